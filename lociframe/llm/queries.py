@@ -5,8 +5,9 @@ from __future__ import annotations
 from lociframe.llm.mixing import op8_mix_sources
 from lociframe.llm.quality_classifier import op6_quality_classifier
 from lociframe.llm.quality_rules import op10_quality_rules
+from lociframe.llm.substring_dedup import op7_substring_dedup
 from lociframe.llm.simhash import op5_simhash_near_dedup
 from lociframe.llm.url_filter import OP9_SQL, op9_url_filters
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_quality_classifier, op8_mix_sources, op9_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_quality_classifier, op7_substring_dedup, op8_mix_sources, op9_url_filters, op10_quality_rules)}
 ORACLE_SQL = {"op9_url_filters": OP9_SQL}
