@@ -8,7 +8,8 @@ from lociframe.llm.quality_rules import op10_quality_rules
 from lociframe.llm.substring_dedup import op7_substring_dedup
 from lociframe.llm.simhash import op5_simhash_near_dedup
 from lociframe.llm.suffix_dedup import op3_suffix_array_dedup
+from lociframe.llm.token_output import op2_token_output
 from lociframe.llm.url_filter import OP9_SQL, op9_url_filters
 
-QUERIES = {f.__name__: f for f in (op3_suffix_array_dedup, op5_simhash_near_dedup, op6_quality_classifier, op7_substring_dedup, op8_mix_sources, op9_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_token_output, op3_suffix_array_dedup, op5_simhash_near_dedup, op6_quality_classifier, op7_substring_dedup, op8_mix_sources, op9_url_filters, op10_quality_rules)}
 ORACLE_SQL = {"op9_url_filters": OP9_SQL}
