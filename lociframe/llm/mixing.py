@@ -56,18 +56,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return ranked.withColumn("level", level["level"]).select("source", "source_size", F.least(F.col("most"), F.coalesce(F.col("level") * F.col("w"), F.col("most"))).alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slices: int = 64) -> DataFrame:
-    """Rows (doc_id, source, size, source_size, target, taken), one per row of `docs`.
-
-    taken: words of the document in the mix, repeats counted, at most ceil(limit) times its size; a source's sum is its
-    target, rounded down. Empty and null texts have size 0 and take 0. Ties of keys go by id, then size; rows with equal id
-    and size are told apart by nothing and share a key, each counted. Reruns agree: keys are hashes, not random numbers.
-    """
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), quality_weight(F.col(text_col)).alias("weight")
-    )
-    u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 53)) + 0.5) / float(1 << 53)
-    rows = rows.withColumn("key", -F.log(u) / F.col("weight"))
+def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, limit: float, seed: int, slices: int) -> DataFrame:
+    """Rows (doc_id, source, size, key, source_size, target, epochs, part): part is what the last pass takes of the row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), key_of(F.col(id_col), F.col(text_col), seed).alias("key"))
     # slices of nearly equal width in probability; any rising function of the key would do
     rows = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * slices).cast("int")).persist()
     by_slice = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
@@ -81,7 +72,43 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.floor(F.col("target")) - epochs * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("before") - F.col("inside")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+    return joined.select("doc_id", "source", "size", "key", "source_size", "target", epochs.alias("epochs"), part.alias("part"))
+
+
+def key_of(doc_id: Column, text: Column, seed: int) -> Column:
+    """Exponential key, smaller for documents of more weight."""
+    u = (F.pmod(F.xxhash64(F.lit(seed), doc_id.cast("long")), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    return -F.log(u) / quality_weight(text)
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slices: int = 64) -> DataFrame:
+    """Rows (doc_id, source, size, source_size, target, taken), one per row of `docs`.
+
+    taken: words of the document in the mix, repeats counted, at most ceil(limit) times its size; a source's sum is its
+    target, rounded down. Empty and null texts have size 0 and take 0. Ties of keys go by id, then size; rows with equal id
+    and size are told apart by nothing and share a key, each counted. Reruns agree: keys are hashes, not random numbers.
+    """
+    placed = _placed(docs, id_col, text_col, source_col, weights, share, limit, seed, slices)
+    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slices: int = 64) -> DataFrame:
+    """The rows of `docs` as the mix repeats them: each once per epoch, and once more if its key comes before its source's cut.
+
+    Documents stay whole: the one that the cut falls into is taken if at least half of it lies before the cut. Empty texts
+    go once per epoch. Only one row per source (epochs and cut) is joined; the texts are not shuffled while that table is
+    small enough for Spark to broadcast.
+    """
+    placed = _placed(docs, id_col, text_col, source_col, weights, share, limit, seed, slices)
+    place = F.struct("key", "doc_id", "size")
+    half = F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), place)
+    cuts = placed.groupBy("source").agg(F.first("epochs").alias("__epochs"), F.min(F.when(F.col("part") < F.col("size"), place)).alias("__cut"), F.max(F.when(F.col("part") < F.col("size"), half)).alias("__half"))
+    cuts = cuts.withColumnRenamed("source", "__source")
+    own = F.struct(key_of(F.col(id_col), F.col(text_col), seed).alias("key"), F.col(id_col).cast("long").alias("doc_id"), size_of(F.col(text_col)).alias("size"))
+    last = ((own < F.col("__cut")) | F.coalesce(own == F.col("__half"), F.lit(False))) & (own["size"] > 0)
+    joined = docs.join(cuts, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    copies = F.when(F.col("__cut").isNull(), F.col("__epochs")).otherwise(F.col("__epochs") + last.cast("int")).cast("int")
+    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm.frames import table
-from lociframe.llm.stats import features, training_rows, with_stats
+from lociframe.llm.stats import features, labelled_sample, training_rows, with_stats
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
     is 1). Null and empty texts are scored like any other; a null id is never held out; an empty table gives no rows.
     """
     stats = with_stats(docs, id_col, text_col).persist()
-    train = training_rows(docs.sparkSession, stats, labels, bound)
+    train = training_rows(stats, labelled_sample(labels, bound))
     model = fit(features(train), train["quality"].to_numpy(int))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

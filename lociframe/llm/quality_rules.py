@@ -12,11 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.llm import arrays as A
 from lociframe.llm.frames import table
-from lociframe.llm.stats import COUNTS, FIELDS, WORSE, features, training_rows, with_stats
+from lociframe.llm.stats import COUNTS, WORSE, features, labelled_sample, text_stats, training_rows, with_stats
 
 
 @dataclass(frozen=True)
@@ -120,7 +122,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     empty table gives no rows; without labels the score is constant and the base rules decide alone.
     """
     stats = with_stats(docs, id_col, text_col).persist()
-    train = training_rows(docs.sparkSession, stats, labels, bound)
+    train = training_rows(stats, labelled_sample(labels, bound))
     trees = grow(features(train), train["quality"].to_numpy(float))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,5 +137,25 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return stats.mapInPandas(judge, schema)
 
 
+def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 20_000, threshold: float = 0.5) -> DataFrame:
+    """The rows of `docs` that the quality rules keep, all columns as they are; decided in one pass, without a shuffle of texts."""
+    good = labelled_sample(labels, bound)
+    # bounded by `bound`: the hash sample keeps about that many ids
+    part = docs.join(F.broadcast(good.select(F.col("doc_id").alias(id_col))), id_col, "left_semi")
+    train = training_rows(with_stats(part, id_col, text_col), good)
+    trees = grow(features(train), train["quality"].to_numpy(float))
+    at = docs.columns.index(text_col)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = A.text_bytes(batch.column(at))
+            for a, b, some, where in A.pieces(data, offs):
+                s = pd.DataFrame(text_stats(some, where))
+                failed = (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
+                yield batch.slice(a, b - a).filter(pa.array((~failed & (trees.score(features(s)) >= threshold)).to_numpy()))
+
+    return docs.mapInArrow(judge, docs.schema)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

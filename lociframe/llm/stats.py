@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
@@ -137,8 +137,8 @@ def features(pdf) -> np.ndarray:
 WORSE = (0, 1, 2, 3, 4, 5)
 
 
-def training_rows(spark: SparkSession, stats: DataFrame, labels: DataFrame, bound: int = 20_000):
-    """A pandas table of FIELDS and `quality` for at most about `bound` labelled rows whose crc32(doc_id as text) mod 3 is not 1.
+def labelled_sample(labels: DataFrame, bound: int = 20_000) -> DataFrame:
+    """Rows (doc_id, quality): at most about `bound` labelled ids whose crc32(doc_id as text) mod 3 is not 1.
 
     The bound is the only sample: beyond it a hash of the id keeps the fraction bound/rows. Null ids and labels are left
     out; a doc_id labelled twice counts once, with its largest label.
@@ -146,6 +146,9 @@ def training_rows(spark: SparkSession, stats: DataFrame, labels: DataFrame, boun
     good = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     good = good.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     n = good.count()
-    if n > bound:
-        good = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * bound / n))
+    return good if n <= bound else good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * bound / n))
+
+
+def training_rows(stats: DataFrame, good: DataFrame):
+    """A pandas table of FIELDS and `quality` for the documents of a labelled sample, in a fixed order."""
     return stats.join(good, "doc_id").select(*FIELDS, "quality", "doc_id").toPandas().sort_values(["doc_id", *FIELDS]).drop(columns="doc_id")
