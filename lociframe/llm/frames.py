@@ -44,30 +44,32 @@ def text_size(docs: DataFrame, text: str) -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, rows_per_file: int = 200_000) -> DataFrame:
     """Connected components of `edges` (a long, b long): rows (node, component), component = smallest node reachable.
 
-    Large-star and small-star steps in turn until a round changes nothing; each round is cut by a checkpoint. Every step
-    groups by node with partial aggregation and joins back on the node, so a node with very many neighbours is split by
-    AQE. Nodes without an edge have no row; null ends and self-loops are dropped; an empty input gives an empty result.
+    Large-star and small-star steps in turn until a round changes nothing. Every step groups by node with partial
+    aggregation and joins back on the node, so a node with very many neighbours is split by AQE. Each round ends in a
+    reliable checkpoint, in files of up to `rows_per_file` edges. Nodes without an edge have no row; null ends and
+    self-loops are dropped; an empty input gives an empty result.
     """
-    edges = cut(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct()
-    )
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct().persist()
+    files = 1 + edges.count() // rows_per_file
     seen = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
         large = both.join(least, F.col("a") == F.col("k")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
-        edges = cut(
+        after = (
             large.join(low, F.col("a") == F.col("k"))
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a <> b")
             .distinct()
         )
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        after = cut(after.coalesce(files))
+        state = after.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        edges = after
         if state == seen:
             break
         seen = state

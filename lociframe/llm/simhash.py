@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
-from lociframe.llm.frames import components, cut, table
+from lociframe.llm.frames import components, table
 
 U64 = A.U64
 LOWER = np.arange(256, dtype=np.uint8)
@@ -144,10 +144,10 @@ class Cover:
 class Soft:
     """Short codes over separate bits of a wide fingerprint, visited by margin."""
 
-    def __init__(self, points: int, tables: int = 5, probes: int = 20):
+    def __init__(self, points: int, tables: int = 5):
         self.bits = int(np.clip(np.ceil(np.log2(max(points, 2))) - 1, 8, 25))
-        self.tables, self.probes = tables, probes
-        self.replicas = tables * probes
+        self.tables, self.probes = tables, int(np.clip(12 + 4 * (self.bits - 17), 12, 64))  # longer codes need more visits
+        self.replicas = tables * self.probes
         self.own = [np.arange(t * self.bits, (t + 1) * self.bits) % 128 for t in range(tables)]
 
     def bits_of(self, fp: np.ndarray) -> np.ndarray:
@@ -271,8 +271,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, threshold: int = 2, wide:
     texts have fingerprint zero and are linked like any other; a null id has a row and is never a component's smallest id
     unless it has no other; repeated rows keep a row each; an empty table gives no rows. At most 2**62 distinct fingerprints.
     """
-    marked = cut(fingerprints(docs, shingle, wide, id_col, text_col))
-    points = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("margin").alias("margin")))
+    marked = fingerprints(docs, shingle, wide, id_col, text_col).persist()
+    points = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("margin").alias("margin")).persist()
     n = points.count()
     code = Soft(n) if wide else Cover(n, threshold)
     width = 2 if wide else 1
