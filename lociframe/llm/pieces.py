@@ -12,6 +12,8 @@ score less 10, and so does a literal U+2581, which keeps decoding exact.
 from __future__ import annotations
 
 import heapq
+import itertools
+import operator
 import re
 from collections.abc import Iterator
 
@@ -26,6 +28,7 @@ from lociframe.llm.token_output import public_tokenizer
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+_score = operator.itemgetter(0)
 NBEST = "array<struct<score: double, ids: binary>>"
 
 
@@ -51,107 +54,208 @@ class Model:
                 self.raw.append(text.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for _, s in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
+        # every beginning of a piece; what is a piece itself has its score and ids
+        self.prefixes: dict[str, tuple[float, tuple[int, ...] | None]] = {}
+        self.pairs: set[str] = set()
+        for text, (i, score) in self.pieces.items():
+            self.pairs.update(map("".join, itertools.pairwise(text)))
+            for k in range(1, len(text)):
+                self.prefixes.setdefault(text[:k], (0.0, None))
+            self.prefixes[text] = (score, (i,))
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
         self.words = re.compile(f"^[^{SPACE}]+|{SPACE}+[^{SPACE}]*" if self.by_word else "(?s:.+)").findall
 
 
-def lattice(model: Model, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-    """For each end position, the pieces that end there: (start, score, ids)."""
-    n, get = len(text), model.pieces.get
-    ends: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
-    for i in range(n):
-        if (one := get(text[i])) is None:
-            ends[i + 1].append((i, model.unknown, tuple(model.byte_ids[b] for b in text[i].encode("utf-8", "surrogatepass"))))
-        else:
-            ends[i + 1].append((i, one[1], (one[0],)))
-        for j in range(i + 2, min(n, i + model.longest) + 1):
-            if (hit := get(text[i:j])) is not None:
-                ends[j].append((i, hit[1], (hit[0],)))
-    return ends
-
-
 def n_best(model: Model, text: str, n: int) -> list[tuple[float, bytes]]:
-    """The n best segmentations of `text`, best first: (score, little-endian unsigned 32-bit ids). Fewer where fewer exist."""
-    ends = lattice(model, text)
-    best = [0.0]
-    for k in range(1, len(text) + 1):
-        best.append(max(best[i] + s for i, s, _ in ends[k]))
+    """The n best segmentations of `text`, best first: (score, little-endian unsigned 32-bit ids). Fewer where fewer exist.
+
+    Forward: best[k], and for each position the n best last pieces, for no completion needs more of them. Backward: A-star
+    from the end; best[] is the exact score of the rest, so the first n arrivals at the start are the n best.
+    """
+    size, prefixes, unknown = len(text), model.prefixes, model.unknown
+    enters: list[list[tuple[float, int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
+    best = [0.0] * (size + 1)
+    for i in range(size):
+        if i:
+            here = enters[i]
+            if len(here) > 1:
+                here.sort(key=_score, reverse=True)
+                del here[n:]
+            best[i] = here[0][0]
+        at = best[i]
+        first = text[i]
+        hit = prefixes.get(first)
+        if hit is None or hit[1] is None:
+            enters[i + 1].append((at + unknown, i, unknown, tuple(model.byte_ids[b] for b in first.encode("utf-8", "surrogatepass"))))
+        else:
+            enters[i + 1].append((at + hit[0], i, hit[0], hit[1]))
+        j = i + 2
+        while hit is not None and j <= size:
+            hit = prefixes.get(text[i:j])
+            if hit is not None and hit[1] is not None:
+                enters[j].append((at + hit[0], i, hit[0], hit[1]))
+            j += 1
+    here = enters[size]
+    here.sort(key=_score, reverse=True)
+    del here[n:]
     # (minus estimate, position, tie number, score of what lies behind, link): ties go to what is nearest the start
-    agenda = [(-best[-1], len(text), 0, 0.0, None)]
-    found, visits, number = [], [0] * (len(text) + 1), 0
-    while agenda and len(found) < n:
-        _, at, _, behind, link = heapq.heappop(agenda)
-        visits[at] += 1
-        if visits[at] > n:  # n better ways lead on from here
-            continue
+    agenda = [(-here[0][0], size, 0, 0.0, None)]
+    found, number, pop, push = [], 0, heapq.heappop, heapq.heappush
+    while agenda:
+        _, at, _, behind, link = pop(agenda)
         if at == 0:
             ids: list[int] = []
             while link is not None:
                 ids += link[0]
                 link = link[1]
             found.append((behind, np.array(ids, np.uint32).tobytes()))
+            if len(found) == n:
+                break
             continue
-        for i, s, piece in ends[at]:
+        for total, i, score, piece in enters[at]:
             number += 1
-            heapq.heappush(agenda, (-(best[i] + s + behind), i, number, s + behind, (piece, link)))
+            push(agenda, (-(total + behind), i, number, score + behind, (piece, link)))
+        if len(agenda) > 64 * n:  # only the n best can matter
+            agenda = heapq.nsmallest(n, agenda)
     return found
 
 
-def combine(words: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, bytes]]:
-    """The n best choices of one alternative per word: best-first search over the losses against every word's best."""
-    base = sum(w[0][0] for w in words)
-    out = [(base, b"".join([w[0][1] for w in words]))]
-    if n == 1:
-        return out
-    # only the n - 1 words with the smallest first loss can differ from their best
-    open_words = heapq.nsmallest(n - 1, ((w[0][0] - w[1][0], k) for k, w in enumerate(words) if len(w) > 1))
-    places = [k for _, k in open_words]
-    start = (0,) * len(places)
-    agenda, seen = [(0.0, start)], {start}
-    while agenda and len(out) < n + 1:
+def combine(words: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The n best choices of one alternative per word, best first: (loss against the best, chosen alternatives)."""
+    start = (0,) * len(words)
+    out, agenda, seen = [], [(0.0, start)], {start}
+    while agenda and len(out) < n:
         loss, choice = heapq.heappop(agenda)
-        if any(choice):
-            changed = dict(zip(places, choice, strict=True))
-            out.append((base - loss, b"".join([w[changed.get(k, 0)][1] for k, w in enumerate(words)])))
-            if len(out) == n:
-                break
-        for d, k in enumerate(places):
-            nxt = choice[:d] + (choice[d] + 1,) + choice[d + 1 :]
-            if nxt[d] < len(words[k]) and nxt not in seen:
-                seen.add(nxt)
-                heapq.heappush(agenda, (loss + words[k][nxt[d] - 1][0] - words[k][nxt[d]][0], nxt))
+        out.append((loss, choice))
+        for d, k in enumerate(choice):
+            if k + 1 < len(words[d]):
+                nxt = choice[:d] + (k + 1,) + choice[d + 1 :]
+                if nxt not in seen:
+                    seen.add(nxt)
+                    heapq.heappush(agenda, (loss + words[d][k][0] - words[d][k + 1][0], nxt))
     return out
 
 
+def joined(parts: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, bytes]]:
+    """The n best segmentations of independent parts side by side."""
+    if len(parts) == 1:
+        return parts[0]
+    base = sum(p[0][0] for p in parts)
+    return [(base - loss, b"".join([p[k][1] for p, k in zip(parts, choice, strict=True)])) for loss, choice in combine(parts, n)]
+
+
 class Segmenter:
-    """N-best segmentations of texts; at most about 2 * BOUND words are remembered."""
+    """N-best segmentations of texts; at most about 2 * BOUND words and as many parts of words are remembered."""
 
     BOUND = 300_000
 
     def __init__(self, path: str, n: int):
         self.model, self.n = Model(path), n
-        self.new: dict[str, list[tuple[float, bytes]]] = {}
-        self.old: dict[str, list[tuple[float, bytes]]] = {}
-        self.literal = [(self.model.unknown, np.array([self.model.byte_ids[b] for b in SPACE.encode()], np.uint32).tobytes())]
+        self.words: list[dict[str, list[tuple[float, bytes]]]] = [{}, {}]
+        self.parts: list[dict[str, list[tuple[float, bytes]]]] = [{}, {}]
+
+    def _known(self, memory: list[dict], text: str, make) -> list[tuple[float, bytes]]:
+        new, old = memory
+        got = new.get(text)
+        if got is None:
+            got = old.get(text)
+            got = make(text) if got is None else got
+            if len(new) > self.BOUND:
+                memory[1], memory[0] = new, {}
+            memory[0][text] = got
+        return got
+
+    def part(self, text: str) -> list[tuple[float, bytes]]:
+        return self._known(self.parts, text, lambda t: n_best(self.model, t, self.n))
 
     def word(self, text: str) -> list[tuple[float, bytes]]:
-        got = self.old.get(text) or n_best(self.model, text, self.n)
-        if len(self.new) > self.BOUND:
-            self.old, self.new = self.new, {}
-        self.new[text] = got
-        return got
+        """A word falls into parts where two characters stand side by side that do so in no piece."""
+        if len(text) > 1 and not text[1:].isalpha():
+            pairs, cuts = self.model.pairs, [0]
+            for i in range(1, len(text)):
+                if text[i - 1 : i + 1] not in pairs:
+                    cuts.append(i)
+            cuts.append(len(text))
+            return joined([self.part(text[a:b]) for a, b in itertools.pairwise(cuts)], self.n)
+        return n_best(self.model, text, self.n)
+
+    def one(self, text: str) -> list[list[tuple[float, bytes]]]:
+        """The words of a text with a literal U+2581, which becomes byte pieces."""
+        literal = [(self.model.unknown, np.array([self.model.byte_ids[b] for b in SPACE.encode()], np.uint32).tobytes())]
+        out = []
+        for k, piece in enumerate(text.split(SPACE)):
+            out += [literal] * (k > 0)
+            spaced = piece.replace(" ", SPACE)
+            out += [self.word(w) for w in self.model.words(spaced if k else SPACE + spaced)]
+        return out
 
-    def __call__(self, text: str) -> list[tuple[float, bytes]]:
-        if not text:
-            return [(0.0, b"")]
-        words: list[list[tuple[float, bytes]]] = []
-        get = self.new.get
-        for k, part in enumerate(text.split(SPACE)):
-            if k:
-                words.append(self.literal)
-            spaced = part.replace(" ", SPACE)
-            words += [get(w) or self.word(w) for w in self.model.words(spaced if k else SPACE + spaced)]
-        return combine(words, self.n)
+    def __call__(self, data: np.ndarray, offs: np.ndarray) -> list[list[tuple[float, bytes]]]:
+        """The n best segmentations of each text, given as bytes and offsets.
+
+        Words are told apart by 64-bit hashes and lengths, looked up once per distinct word, and put together for all texts
+        at once. A text's other segmentations differ from its best only in the n - 1 words that lose least.
+        """
+        raw, n = data.tobytes(), len(offs) - 1
+        odd = np.zeros(n, bool)
+        mark = SPACE.encode()
+        at = raw.find(mark)
+        while at >= 0:
+            odd[np.searchsorted(offs, at, "right") - 1] = True
+            at = raw.find(mark, at + 1)
+        odd |= not self.model.by_word
+        plain = np.flatnonzero(~odd & (np.diff(offs) > 0))
+        gap = data == 32
+        begin = gap.copy()
+        begin[1:] &= ~gap[:-1]
+        begins = np.flatnonzero(begin)
+        owner = np.searchsorted(offs, begins, "right") - 1
+        ok = ~odd[owner] & (begins > offs[owner])
+        begins, owner = begins[ok], owner[ok]
+        starts = np.sort(np.concatenate([offs[:-1][plain], begins]))
+        doc = np.sort(np.concatenate([plain, owner]))
+        head = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
+        ends = np.where(np.concatenate([head[1:], [True]]), offs[1:][doc], np.concatenate([starts[1:], [0]])) if len(doc) else starts
+        key = A.span_hash(A.byte_prefix(data), starts, ends)
+        key[head] = A.mix(key[head] ^ A.GRAM)
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        texts = [(SPACE if h else "") + raw[a:b].decode().replace(" ", SPACE) for a, b, h in zip(starts[first].tolist(), ends[first].tolist(), head[first].tolist(), strict=True)]
+        found = [self._known(self.words, t, self.word) for t in texts]
+        score = np.array([w[0][0] for w in found])
+        loss = np.array([w[0][0] - w[1][0] if len(w) > 1 else np.inf for w in found])
+        pool = b"".join([w[0][1] for w in found])
+        size = np.array([len(w[0][1]) for w in found], np.int64) // 4
+        place = np.cumsum(size) - size
+        ids = np.frombuffer(pool, np.uint32)
+        size, place, loss = size[which], place[which], loss[which]
+        total = np.cumsum(size)
+        flat = ids[np.repeat(place - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)]
+        scores = np.bincount(doc, score[which], n) if len(doc) else np.zeros(n)
+        lengths = np.bincount(doc, size, n).astype(np.int64) if len(doc) else np.zeros(n, np.int64)
+        stop = np.cumsum(lengths)
+        bounds = np.searchsorted(doc, np.arange(n + 1))
+        out: list[list[tuple[float, bytes]]] = []
+        body = flat.tobytes()
+        for i in range(n):
+            if odd[i]:
+                out.append(joined(self.one(raw[offs[i] : offs[i + 1]].decode()), self.n) or [(0.0, b"")])
+                continue
+            a, b = int(bounds[i]), int(bounds[i + 1])
+            base, here = float(scores[i]), body[4 * int(stop[i] - lengths[i]) : 4 * int(stop[i])]
+            best = [(base, here)]
+            if self.n > 1 and b > a:
+                few = a + (np.argpartition(loss[a:b], self.n - 2)[: self.n - 1] if b - a > self.n - 1 else np.arange(b - a))
+                few = np.sort(few).tolist()
+                shift = int(total[a] - size[a])
+                spots = [(4 * int(total[k] - size[k] - shift), 4 * int(total[k] - shift)) for k in few]
+                words = [found[which[k]] for k in few]
+                for less, choice in combine(words, self.n)[1:]:
+                    parts, last = [], 0
+                    for (x, y), w, c in zip(spots, words, choice, strict=True):
+                        parts += [here[last:x], w[c][1]]
+                        last = y
+                    best.append((base - less, b"".join([*parts, here[last:]])))
+            out.append(best)
+        return out
 
 
 def sentencepiece_encode(docs: DataFrame, model: str, n: int = 2, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -166,10 +270,10 @@ def sentencepiece_encode(docs: DataFrame, model: str, n: int = 2, id_col: str =
         segment = Segmenter(model, n)
         struct = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
         for batch in batches:
-            _, offs = A.text_bytes(batch.column(1))
-            for a, b, _, _ in A.pieces(np.zeros(int(offs[-1]), np.uint8), offs, 1 << 20):
+            data, offs = A.text_bytes(batch.column(1))
+            for a, b, some, at in A.pieces(data, offs, 1 << 21):
                 part = batch.slice(a, b - a)
-                nbest = [[{"score": s, "ids": ids} for s, ids in segment(t or "")] for t in part.column(1).to_pylist()]
+                nbest = [[{"score": s, "ids": ids} for s, ids in best] for best in segment(some, at)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(2 + k) for k in range(len(carry))), pa.array(nbest, struct)], names=["doc_id", *carry, "nbest"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in carry))
