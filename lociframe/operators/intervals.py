@@ -58,7 +58,8 @@ def subtract(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
     interval are disjoint and its array of cuts is as long as it has merged b intervals in it."""
     key = [F.col(c) for c in a.columns]
     cuts = overlap_pairs(a, merge(b), width).groupBy(*key).agg(F.array_sort(F.collect_set(F.struct("b_start", "b_end"))).alias("__cuts"))
-    joined = a.join(cuts, [a[c].eqNullSafe(cuts[c]) for c in a.columns], "left").select(*(a[c] for c in a.columns), F.coalesce("__cuts", F.expr("cast(array() as array<struct<b_start:bigint,b_end:bigint>>)")).alias("__cuts"))
+    cuts = cuts.select(*(F.col(c).alias(f"__k_{c}") for c in a.columns), "__cuts")
+    joined = a.join(cuts, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in a.columns], "left").select(*a.columns, F.coalesce("__cuts", F.expr("cast(array() as array<struct<b_start:bigint,b_end:bigint>>)")).alias("__cuts"))
     begins = F.concat(F.array(F.col("start").cast("long")), F.transform("__cuts", lambda x: x["b_end"].cast("long")))
     stops = F.concat(F.transform("__cuts", lambda x: x["b_start"].cast("long")), F.array(F.col("end").cast("long")))
     parts = F.filter(F.zip_with(begins, stops, lambda x, y: F.struct(x.alias("s"), y.alias("e"))), lambda p: p["s"] < p["e"])
@@ -86,7 +87,7 @@ def _overlap_exists(a: DataFrame, b: DataFrame, width: int, wanted: bool) -> Dat
     tagged = a.withColumn("__id", F.struct(*a.columns))
     hit = overlap_pairs(tagged, merge(b.select("chrom", "start", "end")), width).select(F.xxhash64("__id").alias("__h"), F.col("__id").alias("__row")).distinct()
     how = "left_semi" if wanted else "left_anti"
-    return a.join(hit, (F.xxhash64(F.struct(*(a[c] for c in a.columns))) == F.col("__h")) & F.struct(*(a[c] for c in a.columns)).eqNullSafe(F.col("__row")), how)
+    return a.join(hit, (F.xxhash64(F.struct(*a.columns)) == F.col("__h")) & F.struct(*a.columns).eqNullSafe(F.col("__row")), how)
 
 
 def complement(iv: DataFrame, contigs: DataFrame) -> DataFrame:
