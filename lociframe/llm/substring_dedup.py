@@ -52,7 +52,7 @@ class Group:
         low = (U64(1) << bits) - U64(1)
         least = A.sliding_min((grams & ~low) | np.arange(len(grams), dtype=U64), self.window - length + 1)
         at = (least[self.starts] & low).astype(np.int64)
-        return grams[at], at
+        return A.mix(grams[at] ^ A.GRAM), at  # smallest hashes are dense at the low end; mixed again they fill all buckets alike
 
     def narrow(self, length: int, bits: bytes) -> None:
         """Keep the candidates whose representative is repeated: in another document of the group, or by the answer in another group."""
