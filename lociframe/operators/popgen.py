@@ -235,9 +235,9 @@ def abba_baba(gt: DataFrame, pops: DataFrame, h1: str, h2: str, h3: str, out: st
     abba = (1 - F.col("p1")) * F.col("p2") * F.col("p3") * (1 - F.col("p4")) + F.col("p1") * (1 - F.col("p2")) * (1 - F.col("p3")) * F.col("p4")
     baba = F.col("p1") * (1 - F.col("p2")) * F.col("p3") * (1 - F.col("p4")) + (1 - F.col("p1")) * F.col("p2") * (1 - F.col("p3")) * F.col("p4")
     blocks = w.groupBy("chrom", F.floor(F.col("pos") / block).alias("block")).agg(F.sum(abba).alias("a"), F.sum(baba).alias("b"))
-    total = blocks.agg(F.sum("a").alias("A"), F.sum("b").alias("B"), F.count(F.lit(1)).alias("n"))
-    left = blocks.crossJoin(F.broadcast(total)).withColumn("d", (F.col("A") - F.col("a") - (F.col("B") - F.col("b"))) / (F.col("A") - F.col("a") + F.col("B") - F.col("b")))
-    d = (F.first("A") - F.first("B")) / (F.first("A") + F.first("B"))
+    total = blocks.agg(F.sum("a").alias("all_a"), F.sum("b").alias("all_b"), F.count(F.lit(1)).alias("n"))
+    left = blocks.crossJoin(F.broadcast(total)).withColumn("d", (F.col("all_a") - F.col("a") - (F.col("all_b") - F.col("b"))) / (F.col("all_a") - F.col("a") + F.col("all_b") - F.col("b")))
+    d = (F.first("all_a") - F.first("all_b")) / (F.first("all_a") + F.first("all_b"))
     se = F.sqrt((F.count("d") - 1) * F.var_pop("d"))
     return left.agg(d.alias("D"), se.alias("SE"), F.count(F.lit(1)).alias("n_blocks")).withColumn("Z", F.col("D") / F.col("SE"))
 

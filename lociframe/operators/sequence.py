@@ -36,10 +36,13 @@ def exclude_mask(iv: DataFrame) -> DataFrame:
     return iv.select("chrom", "start", "end", F.lit("Excluded").alias("label"))
 
 
-def kmers(contigs: DataFrame, k: int) -> DataFrame:
-    """(contig, pos, kmer) for every window of k characters, upper-cased."""
-    starts = F.explode(F.sequence(F.lit(0), F.length("seq") - k)).alias("pos")
-    return contigs.where(F.length("seq") >= k).select("contig", F.upper("seq").alias("seq"), starts).select("contig", "pos", F.substr("seq", F.col("pos") + 1, F.lit(k)).alias("kmer"))
+def kmers(contigs: DataFrame, k: int, tile: int = 512) -> DataFrame:
+    """(contig, pos, kmer) for every window of k characters, upper-cased. Sequences are cut into short overlapping tiles first,
+    so no exploded row carries a sequence and no substring starts far into one."""
+    starts = F.sequence(F.lit(0), F.length("seq") - k, F.lit(tile))
+    tiles = contigs.where(F.length("seq") >= k).select("contig", F.posexplode(F.transform(starts, lambda at: F.substr("seq", at + 1, F.lit(tile + k - 1)))).alias("t", "part"))
+    inner = F.transform(F.sequence(F.lit(0), F.length("part") - k), lambda i: F.upper(F.substr("part", i + 1, F.lit(k))))
+    return tiles.select("contig", "t", F.posexplode(inner).alias("i", "kmer")).select("contig", (F.col("t") * tile + F.col("i")).alias("pos"), "kmer")
 
 
 def kmer_mappability(contigs: DataFrame, k: int, threshold: float) -> DataFrame:

@@ -105,7 +105,7 @@ def _windows(size: int, step: int) -> Column:
 
 def windowed_theta(gt: DataFrame, size: int, step: int) -> DataFrame:
     """Sums of pi and theta_W over sliding windows."""
-    w = _site_terms(gt).withColumn("k", _windows(size, step))
+    w = _site_terms(gt).where("pos >= 1").withColumn("k", _windows(size, step))
     return w.groupBy("chrom", (F.col("k") * step).alias("start")).agg(F.sum("pi").alias("pi"), F.sum("theta_w").alias("theta_w"), F.sum("seg").alias("S"), F.count(F.lit(1)).alias("n_sites"))
 
 
@@ -149,7 +149,7 @@ def sfs_2d_stats(gt: DataFrame, popmap: DataFrame, pop1: str, pop2: str) -> Data
 
 def windowed_fst(gt: DataFrame, popmap: DataFrame, pop1: str, pop2: str, size: int, step: int) -> DataFrame:
     """Fst per sliding window, ratio of sums."""
-    w = _pair_terms(two_pops(gt, popmap, pop1, pop2)).withColumn("k", _windows(size, step))
+    w = _pair_terms(two_pops(gt, popmap, pop1, pop2)).where("pos >= 1").withColumn("k", _windows(size, step))
     return w.groupBy("chrom", (F.col("k") * step).alias("start")).agg((F.sum("num") / F.sum("dxy")).alias("fst"), F.count(F.lit(1)).alias("n_sites"))
 
 

@@ -1 +1,563 @@
 """Queries over sequences, reads, genotypes, the mitochondrial consensus, populations and spectra."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lociframe.operators import genotypes as G
+from lociframe.operators import intervals as I
+from lociframe.operators import mito as M
+from lociframe.operators import popgen as P
+from lociframe.operators import reads as R
+from lociframe.operators import sequence as K
+from lociframe.operators import sfs as X
+from lociframe.plans import views as V
+from lociframe.plans.core_queries import merged_sql
+from lociframe.plans.registry import query
+
+
+def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in cols})
+
+
+# sequences
+
+
+def runs_sql(pattern: str, label: str) -> str:
+    """Runs of one character class: positions by character, islands by row number."""
+    return V.with_views("seq", body=f"""@c AS (SELECT contig, unnest(range(0, length)) AS p, seq FROM seq), h AS (SELECT contig, p, p - row_number() OVER (PARTITION BY contig ORDER BY p) AS k FROM c WHERE regexp_full_match(substr(seq, p + 1, 1), '{pattern}'))
+SELECT contig AS chrom, min(p) AS start, max(p) + 1 AS "end", '{label}' AS label FROM h GROUP BY contig, k""")
+
+
+@query(runs_sql("N", "NRef"))
+def hard_mask(spark: SparkSession, d: str) -> DataFrame:
+    return K.hard_mask(V.sequences(spark, d))
+
+
+@query(runs_sql("[a-z]", "SoftMaskRef"))
+def soft_mask(spark: SparkSession, d: str) -> DataFrame:
+    return K.soft_mask(V.sequences(spark, d))
+
+
+@query(V.with_views("iv", body="""SELECT chrom, start, "end", 'Excluded' AS label FROM iv WHERE weight > 400"""))
+def exclude_mask(spark: SparkSession, d: str) -> DataFrame:
+    return K.exclude_mask(V.intervals(spark, d).where("weight > 400"))
+
+
+@query()
+def kmer_mappability(spark: SparkSession, d: str) -> DataFrame:
+    return K.kmer_mappability(V.sequences(spark, d), 24, 0.5)
+
+
+@query()
+def low_complexity_mask(spark: SparkSession, d: str) -> DataFrame:
+    return K.low_complexity_mask(V.sequences(spark, d), threshold=2.0)
+
+
+@query(V.with_views("seq", body="SELECT round(100.0 * sum(length(seq) - length(translate(seq, 'GCgc', ''))) / sum(length(seq) - length(translate(seq, 'ACGTacgt', ''))), 6) AS gc_percent FROM seq"))
+def gc_percent(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(K.gc_percent(V.sequences(spark, d)), "gc_percent")
+
+
+@query()
+def kmer_hits(spark: SparkSession, d: str) -> DataFrame:
+    pages = V.table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("contig"), F.col("html").alias("seq"))
+    return K.kmer_hits(V.sequences(spark, d), pages.where("seq is not null"), 40, 60)
+
+
+@query(V.with_views("iv", body="@u AS (SELECT chrom, start, \"end\" FROM iv WHERE \"end\" - start >= 5000 AND chrom <> 'click'), " + merged_sql("u", 2000) + " SELECT * FROM merged"))
+def cluster_hits(spark: SparkSession, d: str) -> DataFrame:
+    hits = V.intervals(spark, d).withColumns({"q_start": F.col("weight"), "q_end": F.col("weight") + 5})
+    return K.cluster_hits(hits, 5000, 2000, "click").select("chrom", "start", "end")
+
+
+@query(V.with_views("iv", body="@" + merged_sql("iv").replace("max(\"end\") AS \"end\" FROM numbered", "max(\"end\") AS \"end\", string_agg(DISTINCT label, ',' ORDER BY label) AS label FROM numbered") + " SELECT * FROM merged"))
+def merge_masks(spark: SparkSession, d: str) -> DataFrame:
+    return K.merge_masks(*V.split_intervals(spark, d))
+
+
+@query(V.with_views("contigs", body="SELECT CAST(sum(length) AS BIGINT) AS bases FROM contigs"))
+def mask_summary_total(spark: SparkSession, d: str) -> DataFrame:
+    """Bases of all labels of the mask summary: they add up to the genome."""
+    a, b = V.split_intervals(spark, d)
+    masks = K.merge_masks(b)
+    contigs = V.contigs(spark, d)
+    _, passing, _ = K.summarise_masks(a, masks, contigs)
+    whole = I.merge(masks.select("chrom", "start", "end")).unionByName(passing.select("chrom", "start", "end")).unionByName(I.subtract(I.complement(a, contigs), masks.select("chrom", "start", "end")))
+    return whole.agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+
+
+@query()
+def mask_summary(spark: SparkSession, d: str) -> DataFrame:
+    a, b = V.split_intervals(spark, d)
+    return K.summarise_masks(a, K.merge_masks(b), V.contigs(spark, d))[2]
+
+
+@query(V.with_views("seq", body="SELECT contig, substr(seq, 100 % greatest(length, 1) + 1) || substr(seq, 1, 100 % greatest(length, 1)) AS seq FROM seq"))
+def circular_shift(spark: SparkSession, d: str) -> DataFrame:
+    return K.circular_shift(V.sequences(spark, d), 100).select("contig", "seq")
+
+
+@query(V.with_views("seq", body="SELECT contig, length AS total, CAST(length(seq) - length(translate(seq, 'Nn', '')) AS BIGINT) AS n_bases, round((length(seq) - length(translate(seq, 'Nn', ''))) / length, 6) AS proportion FROM seq WHERE length > 0"))
+def n_proportion(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(K.n_proportion(V.sequences(spark, d).where("length > 0")), "proportion")
+
+
+@query(V.with_views("contigs", body="SELECT contig AS chrom, CAST(0 AS BIGINT) AS start, length AS \"end\" FROM contigs WHERE NOT regexp_matches(contig, '^(click|view)')"))
+def autosome_mask(spark: SparkSession, d: str) -> DataFrame:
+    return K.autosome_mask(V.contigs(spark, d), "^(click|view)")
+
+
+@query(V.with_views("contigs", body="@" + merged_sql("iv") + """ SELECT CAST((SELECT sum(length) FROM contigs) - sum("end" - start) AS BIGINT) AS bases FROM merged"""))
+def allsites(spark: SparkSession, d: str) -> DataFrame:
+    return K.allsites(V.contigs(spark, d), *V.split_intervals(spark, d)).agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+
+
+# reads and alignments
+
+
+def reads(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of 100 characters from texts; qualities from another part of the text."""
+    t = V.table(spark, d, "documents").where("length(text) >= 200")
+    name = F.concat(F.lit("@m:1:FC"), (F.col("doc_id") % 7).cast("string"), F.lit(":"), (F.col("doc_id") % 4 + 1).cast("string"), F.lit(":"), F.col("doc_id").cast("string"), F.lit("/1"))
+    return t.select(name.alias("read_id"), F.substring("text", 1, 100).alias("seq"), F.rpad(F.lit("I"), 100, "I").alias("qual"), F.concat(F.lit("g"), (F.col("doc_id") % 3).cast("string")).alias("rg"), "doc_id")
+
+
+RD = "rd AS (SELECT doc_id, '@m:1:FC' || CAST(doc_id % 7 AS VARCHAR) || ':' || CAST(doc_id % 4 + 1 AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR) || '/1' AS read_id, substr(text, 1, 100) AS seq, 'g' || CAST(doc_id % 3 AS VARCHAR) AS rg FROM documents WHERE length(text) >= 200)"
+
+
+@query(f"WITH {RD} SELECT doc_id, split_part(read_id, ':', 3) AS flowcell, CAST(split_part(read_id, ':', 4) AS INT) AS lane FROM rd")
+def parse_read_header(spark: SparkSession, d: str) -> DataFrame:
+    return R.parse_read_header(reads(spark, d)).select("doc_id", "flowcell", "lane")
+
+
+@query(f"WITH {RD} SELECT DISTINCT split_part(read_id, ':', 3) || '.' || split_part(read_id, ':', 4) || '.' || rg AS rg, 'S' || rg AS sample_id FROM rd")
+def read_group_id(spark: SparkSession, d: str) -> DataFrame:
+    f = R.parse_read_header(reads(spark, d)).select("flowcell", "lane", F.col("rg").alias("lib"), F.concat(F.lit("S"), F.col("rg")).alias("sample_id"))
+    return R.read_group_id(f).select("rg", "sample_id")
+
+
+@query(f"WITH {RD} SELECT rg || '|' || read_id AS read_id FROM rd")
+def annotate_rg(spark: SparkSession, d: str) -> DataFrame:
+    return R.annotate_rg(reads(spark, d)).select("read_id")
+
+
+@query(f"WITH {RD} SELECT doc_id, substr(seq, 1, CASE WHEN strpos(seq, 'the and ') > 0 THEN strpos(seq, 'the and ') - 1 ELSE length(seq) END) AS seq FROM rd")
+def trim_adapter(spark: SparkSession, d: str) -> DataFrame:
+    return R.trim_adapter(reads(spark, d), ["the and of"], 8).select("doc_id", "seq")
+
+
+@query(f"WITH {RD} SELECT doc_id, regexp_replace(seq, 'G{{2,}}$', '') AS seq FROM rd")
+def trim_poly_g(spark: SparkSession, d: str) -> DataFrame:
+    return R.trim_poly_g(reads(spark, d), 2).select("doc_id", "seq")
+
+
+@query()
+def cut_right(spark: SparkSession, d: str) -> DataFrame:
+    r = reads(spark, d).withColumn("qual", F.translate("seq", "etaoin", "!!!!!!"))
+    return R.cut_right(r).select("doc_id", F.length("seq").alias("length"))
+
+
+@query(f"WITH {RD} SELECT doc_id FROM rd WHERE length(seq) >= 15 AND length(seq) - length(replace(seq, 'N', '')) <= 1 AND (SELECT count(*) FROM range(1, 100) t(i) WHERE substr(seq, i, 1) <> substr(seq, i + 1, 1)) >= 0.9 * (length(seq) - 1)")
+def read_filter(spark: SparkSession, d: str) -> DataFrame:
+    return R.read_filter(reads(spark, d), 15, 1, 0.9).select("doc_id")
+
+
+@query(f"WITH {RD} SELECT CAST(length(seq) AS BIGINT) AS length, count(*) AS n, count(DISTINCT seq) AS n_distinct FROM rd GROUP BY 1")
+def length_and_duplication(spark: SparkSession, d: str) -> DataFrame:
+    return R.length_and_duplication(reads(spark, d))
+
+
+@query(f"WITH {RD}, c AS (SELECT unnest(range(1, length(seq) + 1)) AS cycle, seq FROM rd) SELECT cycle, count(*) AS n, 40.0 AS mean_quality, round(avg(CASE WHEN substr(seq, cycle, 1) IN ('G', 'C', 'g', 'c') THEN 1.0 ELSE 0.0 END), 6) AS gc FROM c GROUP BY 1")
+def read_qc(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(R.read_qc(reads(spark, d)), "mean_quality", "gc")
+
+
+@query(f"WITH {RD}, a AS (SELECT * FROM rd WHERE doc_id % 3 <> 0), b AS (SELECT * FROM rd WHERE doc_id % 4 <> 0) SELECT a.rg, count(*) AS pairs FROM a JOIN b USING (doc_id) GROUP BY 1")
+def pair_sync(spark: SparkSession, d: str) -> DataFrame:
+    r = reads(spark, d).withColumn("name", F.col("read_id"))
+    return R.pair_sync(r.where("doc_id % 3 <> 0"), r.where("doc_id % 4 <> 0"))[0].groupBy("rg").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+DROP = 0x4 | 0x100 | 0x200 | 0x400 | 0x800
+
+
+@query(V.with_views("aln", body=f"SELECT qname FROM aln WHERE (flag & {DROP}) = 0 AND mapq >= 20 AND (tlen = 0 OR abs(tlen) BETWEEN 15 AND 10000) AND aligned >= 30"))
+def alignment_filter(spark: SparkSession, d: str) -> DataFrame:
+    return R.alignment_filter(V.alignments(spark, d)).select("qname")
+
+
+@query(V.with_views("aln", body="""SELECT qname, row_number() OVER (PARTITION BY rg, chrom, CASE WHEN (flag & 16) <> 0 THEN "end" ELSE start END, (flag & 16) <> 0 ORDER BY qual_sum DESC, qname) > 1 AS duplicate FROM (SELECT * REPLACE (start // 1000 AS start, "end" // 1000 AS "end") FROM aln)"""))
+def mark_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    coarse = V.alignments(spark, d).withColumns({"start": F.floor(F.col("start") / 1000), "end": F.floor(F.col("end") / 1000)})
+    return R.mark_duplicates(coarse).select("qname", "duplicate")
+
+
+@query(V.with_views("aln", "iv", body="@" + merged_sql("(SELECT chrom, start, \"end\" FROM iv WHERE weight > 450)") + f""" SELECT qname FROM aln a WHERE (flag & {0x4 | 0x100 | 0x400 | 0x800}) = 0 AND EXISTS (SELECT 1 FROM merged m WHERE m.chrom = a.chrom AND m.start < a."end" AND a.start < m."end")"""))
+def recruit_region_reads(spark: SparkSession, d: str) -> DataFrame:
+    return R.recruit_region_reads(V.alignments(spark, d), V.intervals(spark, d).where("weight > 450")).select("qname")
+
+
+DEPTH = f"""used AS (SELECT * FROM aln WHERE mapq >= 0 AND (flag & {DROP}) = 0), ev AS (SELECT chrom, x AS start, sum(d) AS d FROM (SELECT chrom, start AS x, 1 AS d FROM used UNION ALL SELECT chrom, "end", -1 FROM used) GROUP BY 1, 2 HAVING sum(d) <> 0),
+depth AS (SELECT * FROM (SELECT chrom, start, lead(start) OVER w AS "end", CAST(sum(d) OVER (PARTITION BY chrom ORDER BY start) AS BIGINT) AS depth FROM ev WINDOW w AS (PARTITION BY chrom ORDER BY start)) WHERE depth > 0 AND "end" IS NOT NULL)"""
+
+
+@query(V.with_views("aln", body=f"@{DEPTH} SELECT * FROM depth"))
+def per_base_depth(spark: SparkSession, d: str) -> DataFrame:
+    return R.per_base_depth(V.alignments(spark, d))
+
+
+@query(V.with_views("aln", body=f"""@{DEPTH} SELECT least(depth, 2) AS depth, CAST(sum("end" - start) AS BIGINT) AS bases FROM depth GROUP BY 1"""))
+def depth_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return R.depth_distribution(R.per_base_depth(V.alignments(spark, d)), 2)
+
+
+@query()
+def covered_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return R.covered_intervals(R.per_base_depth(V.alignments(spark, d)), V.intervals(spark, d).where("weight > 450"), 1)
+
+
+@query(V.with_views("aln", "contigs", body=f"""@{DEPTH}, r AS (SELECT chrom, count(*) AS n_reads, avg(mapq) AS mean_mapq FROM used GROUP BY 1), c AS (SELECT chrom, sum("end" - start) AS covered, sum(("end" - start) * depth) AS bases FROM depth GROUP BY 1)
+SELECT contig AS chrom, coalesce(n_reads, 0) AS n_reads, CAST(coalesce(covered, 0) AS BIGINT) AS covered, round(100.0 * coalesce(covered, 0) / length, 6) AS coverage, round(coalesce(bases, 0) / length, 6) AS mean_depth, round(coalesce(mean_mapq, 0), 6) AS mean_mapq FROM contigs LEFT JOIN r ON r.chrom = contig LEFT JOIN c ON c.chrom = contig"""))
+def contig_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(R.contig_coverage(V.alignments(spark, d), V.contigs(spark, d)), "coverage", "mean_depth", "mean_mapq")
+
+
+@query()
+def downsample_to_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return R.downsample_to_coverage(V.alignments(spark, d), V.intervals(spark, d).where("weight > 300"), 0.001).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(V.with_views("aln", body="SELECT tlen AS size, count(*) AS n FROM aln WHERE tlen > 0 GROUP BY 1"))
+def insert_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return R.insert_sizes(V.alignments(spark, d))
+
+
+@query(V.with_views("aln", body="SELECT count(*) AS n, CAST(sum(CASE WHEN (flag & 4) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_mapped, CAST(sum(CASE WHEN (flag & 256) <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_secondary, CAST(sum(CASE WHEN (flag & 1024) <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_duplicate, CAST(sum(CASE WHEN mapq < 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_low_mapq, round(avg(CASE WHEN tlen > 0 THEN tlen END), 6) AS mean_insert, round(quantile_cont(CASE WHEN tlen > 0 THEN tlen END, 0.5), 6) AS median_insert FROM aln"))
+def alignment_qc(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(R.alignment_qc(V.alignments(spark, d)), "mean_insert", "median_insert")
+
+
+@query(V.with_views("aln", body="@x AS (SELECT sample_id, rg FROM aln), o AS (SELECT sample_id, rg FROM aln WHERE mapq > 5 OR sample_id <> 'S3'), e AS (SELECT sample_id, string_agg(DISTINCT rg, ',' ORDER BY rg) AS a FROM x GROUP BY 1), f AS (SELECT sample_id, string_agg(DISTINCT rg, ',' ORDER BY rg) AS b FROM o GROUP BY 1) SELECT sample_id, CASE WHEN a = b THEN 'PASS' ELSE 'FAIL' END AS status FROM e JOIN f USING (sample_id)"))
+def reuse_validation(spark: SparkSession, d: str) -> DataFrame:
+    a = V.alignments(spark, d).withColumn("config", F.lit("v1"))
+    return R.reuse_validation(a, a.where("mapq > 5 or sample_id <> 'S3'"))
+
+
+@query(V.with_views("aln", body="SELECT rg, round(sqrt(sum(power(mapq - qual_sum, 2) * aligned) / sum(aligned)), 6) AS rmse, CAST(sum(aligned) AS BIGINT) AS observations FROM aln GROUP BY 1"))
+def recalibration_qc(spark: SparkSession, d: str) -> DataFrame:
+    a = V.alignments(spark, d).select("rg", F.col("mapq").alias("QualityScore"), F.col("qual_sum").alias("EmpiricalQuality"), F.col("aligned").alias("Observations"))
+    return rounded(R.recalibration_qc(a, ["rg"]), "rmse")
+
+
+# genotypes
+
+
+def likelihoods(spark: SparkSession, d: str) -> DataFrame:
+    return G.genotype_likelihoods(V.genotypes(spark, d))
+
+
+GL = """l AS (SELECT *, n_alt * ln(0.01) + n_ref * ln(0.99) AS a0, (n_alt + n_ref) * ln(0.5) AS a1, n_alt * ln(0.99) + n_ref * ln(0.01) AS a2 FROM g), e AS (SELECT *, exp(a0 - greatest(a0, a1, a2)) AS e0, exp(a1 - greatest(a0, a1, a2)) AS e1, exp(a2 - greatest(a0, a1, a2)) AS e2 FROM l),
+gl AS (SELECT chrom, pos, sample_id, dosage, dp, gq, e0 / (e0 + e1 + e2) AS l0, e1 / (e0 + e1 + e2) AS l1, e2 / (e0 + e1 + e2) AS l2 FROM e)"""
+
+
+@query(V.with_views("g", body=f"@{GL} SELECT chrom, pos, sample_id, round(l0, 6) AS l0, round(l1, 6) AS l1, round(l2, 6) AS l2 FROM gl"))
+def genotype_likelihoods(spark: SparkSession, d: str) -> DataFrame:
+    return likelihoods(spark, d).select("chrom", "pos", "sample_id", *(F.round(F.col("gl")[i], 6).alias(f"l{i}") for i in range(3)))
+
+
+@query(V.with_views("g", body=f"@{GL} SELECT chrom, pos, sample_id, CASE WHEN 1 - greatest(l0, l1, l2) <= 1 - 0.9 THEN CASE WHEN l0 = greatest(l0, l1, l2) THEN 0 WHEN l1 = greatest(l0, l1, l2) THEN 1 ELSE 2 END END AS dosage FROM gl"))
+def gp_to_gt(spark: SparkSession, d: str) -> DataFrame:
+    return G.gp_to_gt(likelihoods(spark, d).withColumnRenamed("gl", "gp")).select("chrom", "pos", "sample_id", "dosage")
+
+
+@query()
+def genotype_posteriors(spark: SparkSession, d: str) -> DataFrame:
+    return G.genotype_posteriors(likelihoods(spark, d), rounds=3).select("chrom", "pos", "sample_id", *(F.round(F.col("gp")[i], 6).alias(f"p{i}") for i in range(3)))
+
+
+@query(V.with_views("g", body="SELECT chrom, pos, sample_id, CASE WHEN dp % 5 = 0 THEN NULL ELSE dosage END AS dosage FROM g"))
+def mask_zero_depth(spark: SparkSession, d: str) -> DataFrame:
+    return G.mask_zero_depth(V.genotypes(spark, d).withColumn("dp", F.col("dp") % 5)).select("chrom", "pos", "sample_id", "dosage")
+
+
+@query(V.with_views("s", body="SELECT chrom, pos, concat_ws('_', chrom, CAST(pos AS VARCHAR), ref, alt[1]) AS id FROM s"))
+def set_variant_id(spark: SparkSession, d: str) -> DataFrame:
+    return G.set_variant_id(V.sites(spark, d)).select("chrom", "pos", "id")
+
+
+@query(V.with_views("g", "s", body="""SELECT s.chrom, s.pos, count(g.sample_id) AS n FROM s LEFT JOIN g ON s.chrom = g.chrom AND s.pos = g.pos WHERE len(s.alt) = 1 AND NOT (s.chrom = 'chr1' AND s.pos - 1 BETWEEN 0 AND 9999) GROUP BY 1, 2"""))
+def constrain_to_panel(spark: SparkSession, d: str) -> DataFrame:
+    exclude = spark.createDataFrame([("chr1", 0, 10_000)], "chrom string, start long, end long")
+    return G.constrain_to_panel(V.genotypes(spark, d), V.sites(spark, d), exclude).groupBy("chrom", "pos").agg(F.count("sample_id").alias("n"))
+
+
+@query(V.with_views("s", body="SELECT chrom, pos FROM s WHERE len(alt) <= 1"))
+def max_alt_alleles(spark: SparkSession, d: str) -> DataFrame:
+    return G.max_alt_alleles(V.sites(spark, d), 1).select("chrom", "pos")
+
+
+def phred(spark: SparkSession, d: str) -> DataFrame:
+    return V.genotypes(spark, d).withColumn("pl", F.when(F.col("gq") > 10, F.array(F.col("dosage") * F.col("gq"), F.abs(F.col("dosage") - 1) * F.col("gq"), (2 - F.col("dosage")) * F.col("gq"))))
+
+
+@query(V.with_views("g", body="""@x AS (SELECT chrom, pos, sample_id, gq, power(10, -dosage * gq / 10.0) AS a, power(10, -abs(dosage - 1) * gq / 10.0) AS b, power(10, -(2 - dosage) * gq / 10.0) AS c, max(CASE WHEN gq > 10 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, pos) AS ok FROM g)
+SELECT chrom, pos, sample_id, round(CASE WHEN gq > 10 THEN a / (a + b + c) ELSE 1 / 3.0 END, 6) AS p0, round(CASE WHEN gq > 10 THEN b / (a + b + c) ELSE 1 / 3.0 END, 6) AS p1 FROM x WHERE ok = 1"""))
+def pl_to_gp(spark: SparkSession, d: str) -> DataFrame:
+    return G.pl_to_gp(phred(spark, d)).select("chrom", "pos", "sample_id", *(F.round(F.col("gp")[i], 6).alias(f"p{i}") for i in range(2)))
+
+
+@query()
+def pseudohaploid(spark: SparkSession, d: str) -> DataFrame:
+    return G.pseudohaploid(V.genotypes(spark, d).withColumn("ad", F.array("n_ref", "n_alt"))).select("chrom", "pos", "sample_id", "dosage")
+
+
+@query()
+def single_read_ibs(spark: SparkSession, d: str) -> DataFrame:
+    return G.single_read_ibs(V.genotypes(spark, d).select("chrom", "pos", "sample_id", F.col("n_ref").alias("A"), F.col("n_alt").alias("C"), F.lit(0).alias("G"), F.lit(0).alias("T"))).select("chrom", "pos", "sample_id", "allele")
+
+
+@query(V.with_views("iv", body="""SELECT chrom, count(*) AS n, CAST(sum(p) AS BIGINT) AS total FROM (SELECT chrom, unnest(range(start + 1, "end" + 1)) AS p FROM iv WHERE "end" - start < 500) GROUP BY 1"""))
+def expand_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return G.expand_blocks(V.intervals(spark, d).where("end - start < 500")).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("total"))
+
+
+@query(V.with_views("g", body="""@b AS (SELECT *, CAST(gq >= 20 AS INT) + CAST(gq >= 40 AS INT) AS band FROM (SELECT sample_id, chrom, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY pos) AS pos, dp, gq FROM g)), r AS (SELECT *, pos - row_number() OVER (PARTITION BY sample_id, chrom, band ORDER BY pos) AS run FROM b)
+SELECT sample_id, chrom, band, min(pos) - 1 AS start, max(pos) AS "end", min(dp) AS min_dp FROM r GROUP BY sample_id, chrom, band, run HAVING max(dp) > 0 AND max(gq) > 0"""))
+def gvcf_bands(spark: SparkSession, d: str) -> DataFrame:
+    g = V.genotypes(spark, d).selectExpr("sample_id", "chrom", "row_number() over (partition by sample_id, chrom order by pos) as pos", "dp", "gq")
+    return G.gvcf_bands(g, [20, 40])
+
+
+@query()
+def normalise_variants(spark: SparkSession, d: str) -> DataFrame:
+    s = V.sites(spark, d).select("chrom", "pos", F.concat("ref", F.lit("AC")).alias("ref"), F.array(F.concat("ref", F.lit("TTAC"))).alias("alt"))
+    return G.normalise_variants(s)
+
+
+@query()
+def combine_samples(spark: SparkSession, d: str) -> DataFrame:
+    g = V.genotypes(spark, d)
+    blocks = g.where("dosage = 0").select("sample_id", "chrom", (F.col("pos") - 300).alias("start"), (F.col("pos") + 300).alias("end"), "dp")
+    return G.combine_samples(g.where("dosage > 0").select("chrom", "pos", "sample_id", "dosage", "dp"), blocks)
+
+
+# mitochondrial consensus
+
+COUNTED = """cnt AS (SELECT shifted, sample_id, pos, {sums}, CAST(sum(CASE WHEN allele = 'AT' THEN fwd + rev ELSE 0 END) AS BIGINT) AS non_snv FROM reads_at GROUP BY 1, 2, 3)""".format(sums=", ".join(f"CAST(sum(CASE WHEN allele = '{b}' THEN fwd + rev ELSE 0 END) AS BIGINT) AS {b}" for b in "ACGT"))
+CHOSEN = """fr AS (SELECT sample_id, pos FROM (SELECT DISTINCT sample_id FROM reads_at) CROSS JOIN (SELECT unnest(range(1, 501)) AS pos)), o AS (SELECT * FROM cnt WHERE NOT shifted), sh AS (SELECT * REPLACE ((pos + 249) % 500 + 1 AS pos) FROM cnt WHERE shifted),
+ch AS (SELECT fr.sample_id, fr.pos, CASE WHEN (fr.pos <= 50 OR fr.pos > 450) AND sh.pos IS NOT NULL THEN 'shifted' WHEN o.pos IS NOT NULL THEN 'original' ELSE 'none' END AS source, {cols} FROM fr LEFT JOIN o ON o.sample_id = fr.sample_id AND o.pos = fr.pos LEFT JOIN sh ON sh.sample_id = fr.sample_id AND sh.pos = fr.pos),
+dep AS (SELECT *, A + C + G + T AS depth, A + C + G + T + non_snv AS total_depth FROM ch), rk AS (SELECT *, list_sort([{{'n': -A, 'b': 'A'}}, {{'n': -C, 'b': 'C'}}, {{'n': -G, 'b': 'G'}}, {{'n': -T, 'b': 'T'}}]) AS r FROM dep),
+mj AS (SELECT *, r[1].b AS major, CASE WHEN depth > 0 THEN -r[1].n / depth ELSE 0 END AS major_af, r[2].b AS minor, CASE WHEN depth > 0 THEN -r[2].n / depth ELSE 0 END AS minor_af, CASE WHEN total_depth > 0 THEN non_snv / total_depth ELSE 0 END AS non_snv_af FROM rk),
+vd AS (SELECT *, CASE WHEN total_depth < 3 THEN 'LOW_DEPTH' WHEN non_snv_af > 0.5 THEN 'NON_SNV_EVIDENCE' WHEN depth = 0 THEN 'NO_BASE_SUPPORT' WHEN major_af >= 0.7 THEN 'PASS' WHEN minor_af >= 0.2 THEN 'MIXED_IUPAC' ELSE 'LOW_MAJOR_AF' END AS filter FROM mj),
+cl AS (SELECT *, CASE filter WHEN 'PASS' THEN major WHEN 'MIXED_IUPAC' THEN CASE least(major, minor) || greatest(major, minor) WHEN 'AC' THEN 'M' WHEN 'AG' THEN 'R' WHEN 'AT' THEN 'W' WHEN 'CG' THEN 'S' WHEN 'CT' THEN 'Y' ELSE 'K' END ELSE 'N' END AS base FROM vd)""".format(cols=", ".join(f"coalesce(CASE WHEN (fr.pos <= 50 OR fr.pos > 450) AND sh.pos IS NOT NULL THEN sh.{c} ELSE o.{c} END, 0) AS {c}" for c in ("A", "C", "G", "T", "non_snv")))
+
+
+def mito_calls(spark: SparkSession, d: str) -> DataFrame:
+    a = V.allele_reads(spark, d)
+    original, shifted = M.allele_counts(a.where("not shifted")), M.shifted_to_original(M.allele_counts(a.where("shifted")), 250, 500)
+    return M.call_major_allele(M.choose_source(original, shifted, a.select("sample_id").distinct(), 500, 50))
+
+
+@query(V.with_views("reads_at", body=f"@{COUNTED} SELECT sample_id, pos, A, C, G, T, non_snv FROM cnt WHERE NOT shifted"))
+def mito_allele_counts(spark: SparkSession, d: str) -> DataFrame:
+    return M.allele_counts(V.allele_reads(spark, d).where("not shifted")).select("sample_id", "pos", "A", "C", "G", "T", "non_snv")
+
+
+@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN} SELECT sample_id, pos, source, filter, base, round(major_af, 6) AS major_af FROM cl"))
+def mito_major_alleles(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(mito_calls(spark, d).select("sample_id", "pos", "source", "filter", "base", "major_af"), "major_af")
+
+
+@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN} SELECT sample_id, string_agg(base, '' ORDER BY pos) AS seq FROM cl GROUP BY 1"))
+def mito_consensus(spark: SparkSession, d: str) -> DataFrame:
+    return M.consensus_sequence(mito_calls(spark, d))
+
+
+@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN} SELECT sample_id, round(avg(total_depth), 6) AS mean_depth, round(quantile_cont(total_depth, 0.5), 6) AS median_depth, CAST(sum(CASE WHEN total_depth >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS n_covered, CAST(sum(CASE WHEN base = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown, CAST(sum(CASE WHEN filter = 'PASS' THEN 1 ELSE 0 END) AS BIGINT) AS n_pass, CAST(sum(CASE WHEN source = 'shifted' THEN 1 ELSE 0 END) AS BIGINT) AS n_shifted FROM cl GROUP BY 1"))
+def mito_qc(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(M.mito_qc(mito_calls(spark, d), 3), "mean_depth", "median_depth").select("sample_id", "mean_depth", "median_depth", "n_covered", "n_unknown", "n_pass", "n_shifted")
+
+
+@query()
+def majority_fasta(spark: SparkSession, d: str) -> DataFrame:
+    return M.majority_fasta(mito_calls(spark, d).select("pos", "sample_id", "base"), 2)
+
+
+# populations
+
+FREQ = "fr AS (SELECT chrom, pos, sum(dosage) / (2 * count(dosage)) AS freq, count(dosage) AS n_obs FROM g GROUP BY 1, 2 HAVING count(dosage) > 0)"
+PAIRS = "pr AS (SELECT a.chrom, a.pos, a.sample_id AS sample_i, b.sample_id AS sample_j, a.dosage AS x, b.dosage AS y FROM g a JOIN g b ON a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id {op} b.sample_id)"
+
+
+@query(V.with_views("g", body=f"@{FREQ} SELECT chrom, pos, round(freq, 6) AS freq, n_obs FROM fr"))
+def allele_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.allele_frequencies(V.genotypes(spark, d)), "freq")
+
+
+@query(V.with_views("g", body=f"@{FREQ}, {PAIRS.format(op='<=')} SELECT sample_i, sample_j, round(sum((x - 2 * freq) * (y - 2 * freq) / (2 * freq * (1 - freq))) / count(*), 5) AS value FROM pr JOIN fr USING (chrom, pos) WHERE freq > 0 AND freq < 1 GROUP BY 1, 2"))
+def grm(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.grm(V.genotypes(spark, d)), "value", digits=5)
+
+
+@query(V.with_views("g", body=f"@{FREQ}, {PAIRS.format(op='<=')} SELECT sample_i, sample_j, round(sum(CASE WHEN sample_i = sample_j THEN (x * x - (1 + 2 * freq) * x + 2 * freq * freq) ELSE (x - 2 * freq) * (y - 2 * freq) END / (2 * freq * (1 - freq))) / count(*) + max(CASE WHEN sample_i = sample_j THEN 1 ELSE 0 END), 5) AS value FROM pr JOIN fr USING (chrom, pos) WHERE freq > 0 AND freq < 1 GROUP BY 1, 2"))
+def relatedness_ajk(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.relatedness_ajk(V.genotypes(spark, d)), "value", digits=5)
+
+
+@query(V.with_views("g", body=f"@{PAIRS.format(op='<')}, t AS (SELECT sample_i, sample_j, count(*) AS nsnp, CAST(sum(CASE WHEN x = 1 AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS hethet, CAST(sum(CASE WHEN abs(x - y) = 2 THEN 1 ELSE 0 END) AS BIGINT) AS ibs0, CAST(sum(CASE WHEN x = 1 THEN 1 ELSE 0 END) AS BIGINT) AS het_i, CAST(sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS het_j FROM pr GROUP BY 1, 2) SELECT *, round(CASE WHEN least(het_i, het_j) > 0 THEN (hethet - 2 * ibs0) / (2 * least(het_i, het_j)) + 0.5 - 0.25 * (het_i + het_j) / least(het_i, het_j) END, 6) AS kinship FROM t"))
+def king_table(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.king_table(V.genotypes(spark, d)), "kinship")
+
+
+@query(V.with_views("g", body=f"@{PAIRS.format(op='<')} SELECT sample_i, sample_j, round(sum(abs(x - y)) / (2.0 * count(*)), 6) AS value FROM pr GROUP BY 1, 2"))
+def ibs_distance(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.ibs_distance(V.genotypes(spark, d)), "value")
+
+
+@query()
+def pca_table(spark: SparkSession, d: str) -> DataFrame:
+    g = V.genotypes(spark, d)
+    return P.pca_table(*P.pca(P.grm(g), g.select("sample_id")), V.popmap(spark, d))
+
+
+@query()
+def mds(spark: SparkSession, d: str) -> DataFrame:
+    g = V.genotypes(spark, d)
+    return P.mds(P.drop_until_complete(P.square(P.ibs_distance(g), g.select("sample_id"))))[0]
+
+
+@query()
+def gl_expected_distance(spark: SparkSession, d: str) -> DataFrame:
+    return P.gl_expected_distance(likelihoods(spark, d).withColumnRenamed("gl", "gp"))
+
+
+@query()
+def bootstrap_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return P.bootstrap_blocks(V.genotypes(spark, d), 100, 5)
+
+
+@query()
+def gl_covariance(spark: SparkSession, d: str) -> DataFrame:
+    return P.gl_covariance(likelihoods(spark, d).withColumnRenamed("gl", "gp"))
+
+
+@query(V.with_views("g", body=f"@{FREQ} SELECT sample_id, round(sum(CASE WHEN dosage = 1 THEN 1.0 ELSE 0 END), 6) AS obs_het, round(sum(2 * freq * (1 - freq)), 5) AS exp_het, count(*) AS n_sites, round(1 - sum(CASE WHEN dosage = 1 THEN 1.0 ELSE 0 END) / sum(2 * freq * (1 - freq)), 5) AS F FROM g JOIN fr USING (chrom, pos) WHERE freq > 0 AND freq < 1 GROUP BY 1"))
+def inbreeding(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.inbreeding(V.genotypes(spark, d)), "obs_het", "exp_het", "F", digits=5)
+
+
+@query(V.with_views("g", body="@t AS (SELECT chrom, pos, avg(CASE WHEN dosage = 1 THEN 1.0 ELSE 0 END) AS o, 2 * (sum(dosage) / (2 * count(dosage))) * (1 - sum(dosage) / (2 * count(dosage))) AS e FROM g GROUP BY 1, 2) SELECT chrom, pos, round(o, 6) AS obs_het, round(e, 6) AS exp_het, round(1 - o / e, 6) AS F FROM t WHERE e > 0"))
+def site_inbreeding(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.site_inbreeding(V.genotypes(spark, d)), "obs_het", "exp_het", "F")
+
+
+@query(V.with_views("g", "pop", body="""@p AS (SELECT chrom, pos, pop, sum(dosage) / (2 * count(dosage)) AS p FROM g JOIN pop USING (sample_id) GROUP BY 1, 2, 3), w AS (SELECT chrom, pos, max(CASE WHEN pop = 'P0' THEN p END) AS a, max(CASE WHEN pop = 'P1' THEN p END) AS b, max(CASE WHEN pop = 'P2' THEN p END) AS c, max(CASE WHEN pop = 'P3' THEN p END) AS e FROM p GROUP BY 1, 2),
+k AS (SELECT chrom, floor(pos / 5000) AS blk, sum((1 - a) * b * c * (1 - e) + a * (1 - b) * (1 - c) * e) AS x, sum(a * (1 - b) * c * (1 - e) + (1 - a) * b * (1 - c) * e) AS y FROM w WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND e IS NOT NULL GROUP BY 1, 2), t AS (SELECT sum(x) AS xx, sum(y) AS yy FROM k),
+l AS (SELECT xx, yy, (xx - x - (yy - y)) / (xx - x + yy - y) AS dd FROM k CROSS JOIN t) SELECT round((max(xx) - max(yy)) / (max(xx) + max(yy)), 5) AS D, round(sqrt((count(dd) - 1) * var_pop(dd)), 5) AS SE, count(*) AS n_blocks FROM l"""))
+def abba_baba(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.abba_baba(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", "P2", "P3", 5000).select("D", "SE", "n_blocks"), "D", "SE", digits=5)
+
+
+@query(V.with_views("g", body=f"@{PAIRS.format(op='<')} SELECT sample_i, sample_j, " + ", ".join(f"CAST(sum(CASE WHEN x = {i} AND y = {j} THEN 1 ELSE 0 END) AS BIGINT) AS n{i}{j}" for i in range(3) for j in range(3)) + " FROM pr GROUP BY 1, 2"))
+def joint_genotype_counts(spark: SparkSession, d: str) -> DataFrame:
+    return P.joint_genotype_counts(V.genotypes(spark, d)).select("sample_i", "sample_j", *(f"n{i}{j}" for i in range(3) for j in range(3)))
+
+
+@query(V.with_views("g", "s", body="SELECT s.chrom, s.pos, n_samples FROM s LEFT JOIN (SELECT chrom, pos, CAST(sum(CASE WHEN gq > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_samples FROM g GROUP BY 1, 2) USING (chrom, pos)"))
+def ibs_missing_counts(spark: SparkSession, d: str) -> DataFrame:
+    ibs = V.genotypes(spark, d).withColumn("allele", F.when(F.col("gq") > 20, F.col("dosage")).otherwise(-1))
+    return P.ibs_missing_counts(ibs, V.sites(spark, d))[1]
+
+
+@query(V.with_views("reads_at", body="@a AS (SELECT sample_id, ['A', 'C', 'G', 'T'][CAST(pos % 4 AS INT) + 1] AS anc, allele AS base, CAST(sum(fwd + rev) AS BIGINT) AS n FROM reads_at WHERE allele <> 'AT' GROUP BY 1, 2, 3) SELECT *, round(n / sum(n) OVER (PARTITION BY sample_id, anc), 6) AS rate FROM a"))
+def substitution_matrix(spark: SparkSession, d: str) -> DataFrame:
+    p = V.allele_reads(spark, d).where("allele <> 'AT'").select(F.lit("m").alias("chrom"), "pos", "sample_id", F.col("allele").alias("base"), (F.col("fwd") + F.col("rev")).alias("n"))
+    anc = p.select("chrom", "pos").distinct().withColumn("anc", F.get(F.array(*(F.lit(b) for b in "ACGT")), (F.col("pos") % 4).cast("int")))
+    return rounded(P.substitution_matrix(p, anc), "rate")
+
+
+@query("SELECT 'C' || CAST(c_custkey AS VARCHAR) AS sample_id FROM customer WHERE c_custkey % 1000 BETWEEN 100 AND 600 AND c_acctbal BETWEEN 0 AND 5000")
+def geo_filter(spark: SparkSession, d: str) -> DataFrame:
+    c = V.table(spark, d, "customer").select((F.col("c_custkey") % 1000).cast("double").alias("long"), F.col("c_acctbal").alias("lat"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("sample_id"))
+    box = spark.createDataFrame([(100.0, 0.0), (600.0, 5000.0)], "long double, lat double")
+    dist = c.select(F.col("sample_id").alias("sample_i"), F.col("sample_id").alias("sample_j"), F.lit(0.0).alias("value"))
+    return P.geo_filter(c, box, dist)[0].select("sample_id")
+
+
+@query(V.with_views("s", body="SELECT chrom, pos, chrom || '_' || CAST(CAST(floor((row_number() OVER (PARTITION BY chrom ORDER BY pos) - 1) / 25) AS BIGINT) AS VARCHAR) AS \"window\" FROM s"))
+def genome_windows(spark: SparkSession, d: str) -> DataFrame:
+    return P.genome_windows(V.sites(spark, d).select("chrom", "pos"), "snp", 25)
+
+
+@query(V.with_views("g", "s", "pop", body="SELECT chrom, pos, sample_id FROM g WHERE sample_id IN (SELECT sample_id FROM pop WHERE pop = 'P1') AND (chrom, pos) IN (SELECT (chrom, pos) FROM s WHERE type = 'SNP')"))
+def subset_gl(spark: SparkSession, d: str) -> DataFrame:
+    return P.subset_gl(likelihoods(spark, d), V.popmap(spark, d).where("pop = 'P1'"), V.sites(spark, d).where("type = 'SNP'")).select("chrom", "pos", "sample_id")
+
+
+@query(V.with_views("pop", body="@n AS (SELECT row_number() OVER (ORDER BY sample_id) AS k, sample_id FROM pop) SELECT a.sample_id AS sample_i, b.sample_id AS sample_j FROM n a JOIN n b ON a.k = b.k - 1"))
+def rename_pair_ids(spark: SparkSession, d: str) -> DataFrame:
+    index = V.popmap(spark, d).selectExpr("row_number() over (partition by 0 order by sample_id) as number", "sample_id")
+    return P.rename_pair_ids(index.select(F.col("number").alias("i"), (F.col("number") + 1).alias("j")), index)
+
+
+@query()
+def admixture_em(spark: SparkSession, d: str) -> DataFrame:
+    return P.admixture_em(likelihoods(spark, d), 2, 1, 1, 2)[0]
+
+
+# spectra
+
+SITE = "st AS (SELECT chrom, pos, sum(dosage) AS ac, 2 * count(dosage) AS an FROM g GROUP BY 1, 2 HAVING count(dosage) > 0)"
+TERMS = "tm AS (SELECT chrom, pos, 2.0 * ac * (an - ac) / (an * (an - 1)) AS pi, CASE WHEN ac > 0 AND ac < an THEN 1 ELSE 0 END AS seg, CASE WHEN ac > 0 AND ac < an THEN 1 ELSE 0 END / (SELECT sum(1.0 / i) FROM range(1, 100) r(i) WHERE i < an) AS theta_w FROM st)"
+
+
+@query(V.with_views("g", body=f"@{SITE} SELECT CAST(least(ac, an - ac) AS BIGINT) AS bin, an, count(*) AS n FROM st GROUP BY 1, 2"))
+def sfs_1d(spark: SparkSession, d: str) -> DataFrame:
+    return X.sfs_1d(V.genotypes(spark, d))
+
+
+@query()
+def sfs_stats(spark: SparkSession, d: str) -> DataFrame:
+    s = X.sfs_1d(V.genotypes(spark, d), folded=False)
+    return X.sfs_stats(s.groupBy("bin").agg(F.sum("n").alias("n")))
+
+
+@query()
+def sfs_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return X.sfs_blocks(V.genotypes(spark, d), 10)
+
+
+@query(V.with_views("g", body=f"@{SITE}, {TERMS}, w AS (SELECT *, unnest(range(CAST(greatest(0, ceil((pos - 1 - 9999) / 5000)) AS BIGINT), CAST(floor((pos - 1) / 5000) AS BIGINT) + 1)) AS k FROM tm) SELECT chrom, k * 5000 AS start, round(sum(pi), 5) AS pi, round(sum(theta_w), 5) AS theta_w, CAST(sum(seg) AS BIGINT) AS S, count(*) AS n_sites FROM w GROUP BY 1, 2"))
+def windowed_theta(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(X.windowed_theta(V.genotypes(spark, d), 10_000, 5_000), "pi", "theta_w", digits=5)
+
+
+TWO = "tp AS (SELECT chrom, pos, sum(CASE WHEN pop = 'P0' THEN dosage END) AS ac1, sum(CASE WHEN pop = 'P0' THEN 2 END) AS an1, sum(CASE WHEN pop = 'P1' THEN dosage END) AS ac2, sum(CASE WHEN pop = 'P1' THEN 2 END) AS an2 FROM g JOIN pop USING (sample_id) WHERE pop IN ('P0', 'P1') GROUP BY 1, 2 HAVING sum(CASE WHEN pop = 'P0' THEN 2 END) > 0 AND sum(CASE WHEN pop = 'P1' THEN 2 END) > 0)"
+FST = "ft AS (SELECT chrom, pos, power(ac1 / an1 - ac2 / an2, 2) AS f2, power(ac1 / an1 - ac2 / an2, 2) - ac1 / an1 * (1 - ac1 / an1) / (an1 - 1) - ac2 / an2 * (1 - ac2 / an2) / (an2 - 1) AS num, ac1 / an1 * (1 - ac2 / an2) + ac2 / an2 * (1 - ac1 / an1) AS dxy, CASE WHEN ac1 + ac2 > 0 AND ac1 + ac2 < an1 + an2 THEN 1 ELSE 0 END AS seg FROM tp WHERE an1 > 1 AND an2 > 1)"
+
+
+@query(V.with_views("g", "pop", body=f"@{TWO} SELECT CAST(ac1 AS BIGINT) AS i, CAST(ac2 AS BIGINT) AS j, CAST(count(*) AS DOUBLE) AS n FROM tp GROUP BY 1, 2"))
+def sfs_2d(spark: SparkSession, d: str) -> DataFrame:
+    return X.sfs_2d(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1")
+
+
+@query()
+def sfs_2d_projected(spark: SparkSession, d: str) -> DataFrame:
+    return X.sfs_2d(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", True, (4, 4))
+
+
+@query(V.with_views("g", "pop", body=f"@{TWO}, {FST} SELECT round(avg(f2), 6) AS f2, round(sum(num) / sum(dxy), 6) AS fst, round(avg(dxy), 6) AS dxy, CAST(sum(seg) AS BIGINT) AS S, count(*) AS n_sites FROM ft"))
+def sfs_2d_stats(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(X.sfs_2d_stats(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1"), "f2", "fst", "dxy")
+
+
+@query(V.with_views("g", "pop", body=f"@{TWO}, {FST}, w AS (SELECT *, unnest(range(CAST(greatest(0, ceil((pos - 1 - 19999) / 10000)) AS BIGINT), CAST(floor((pos - 1) / 10000) AS BIGINT) + 1)) AS k FROM ft) SELECT chrom, k * 10000 AS start, round(sum(num) / sum(dxy), 6) AS fst, count(*) AS n_sites FROM w GROUP BY 1, 2"))
+def windowed_fst(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(X.windowed_fst(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", 20_000, 10_000), "fst")
+
+
+@query()
+def site_allele_likelihood(spark: SparkSession, d: str) -> DataFrame:
+    return X.site_allele_likelihood(likelihoods(spark, d)).select("chrom", "pos", F.size("saf").alias("n"))
