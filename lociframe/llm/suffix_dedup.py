@@ -58,7 +58,7 @@ class Group:
             self.at, self.begin = anchor[first], starts[first]  # anchor and first window start of each segment
             self.count = np.diff(np.concatenate([first, [len(starts)]]))
             key = np.empty(len(first), KEY)
-            key["anchor"] = grams[self.at]
+            key["anchor"] = A.mix(grams[self.at] ^ A.GRAM)  # smallest hashes are dense at the low end; mixed again they fill all buckets alike
             key["segment"] = A.mix(A.span_hash(self.prefix, self.begin, self.begin + self.count - 1 + length) + (self.at - self.begin).astype(U64))
         else:
             self.at = self.begin = self.count = np.zeros(0, np.int64)
