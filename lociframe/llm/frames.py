@@ -49,8 +49,8 @@ def components(edges: DataFrame, rounds: int = 60, rows_per_file: int = 200_000)
 
     Large-star and small-star steps in turn until a round changes nothing. Every step groups by node with partial
     aggregation and joins back on the node, so a node with very many neighbours is split by AQE. Each round ends in a
-    reliable checkpoint, in files of up to `rows_per_file` edges. Nodes without an edge have no row; null ends and
-    self-loops are dropped; an empty input gives an empty result.
+    reliable checkpoint, in files of up to `rows_per_file` edges. A component's smallest node and nodes without
+    an edge have no row; null ends and self-loops are dropped; an empty input gives an empty result.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct().persist()
     files = 1 + edges.count() // rows_per_file
