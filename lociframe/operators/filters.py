@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import overlap_pairs, site_in_mask, windows_around_points
+from lociframe.operators.lineage import ensure_checkpoint_dir
 from lociframe.operators.params import FilterParams, TypeThresholds
 
 SITE = ["chrom", "pos"]
@@ -377,6 +378,7 @@ def ld_prune(pairs: DataFrame, sites: DataFrame, r2: float = 0.2, rounds: int =
     """Sites (chrom, pos, priority) kept by greedy pruning: in order of priority (then position), a kept site removes its
     neighbours with r2 above the threshold. Each round keeps the local maxima and drops their neighbours, which gives the
     sequential result; rounds are cut by checkpoints."""
+    ensure_checkpoint_dir(pairs.sparkSession)
     edges = pairs.where(F.col("r2") > r2).select("chrom", F.col("pos_a").alias("pos"), F.col("pos_b").alias("other"))
     edges = edges.unionByName(edges.select("chrom", F.col("other").alias("pos"), F.col("pos").alias("other"))).persist()
     place = F.struct(F.col("priority").alias("p"), (-F.col("pos")).alias("n"))

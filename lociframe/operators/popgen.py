@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.lineage import ensure_checkpoint_dir
+
 SITE = ["chrom", "pos"]
 
 
@@ -183,6 +185,7 @@ def admixture_em(gl: DataFrame, k: int, reps: int = 1, seed: int = 1, rounds: in
 
     Every restart has its own seed, seed + restart. A round joins q and f (arrays of K) to the cells and sums by sample and
     by site; each is cut by a checkpoint."""
+    ensure_checkpoint_dir(gl.sparkSession)
     cells = gl.select(*SITE, "sample_id", "gl").withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).persist()
     draw = lambda *c: F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: (F.pmod(F.xxhash64(F.lit(seed) + F.col("rep"), *c, i), F.lit(9973)) + 1) / 9974.0)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
@@ -207,6 +210,7 @@ def admixture_em(gl: DataFrame, k: int, reps: int = 1, seed: int = 1, rounds: in
 
 def recursive_bipartition(gl: DataFrame, depth: int = 5, rounds: int = 10) -> DataFrame:
     """K = 2, samples split at Q > 0.5, again inside each part; parts of one sample stay. (sample_id, part), part a string of 0 and 1."""
+    ensure_checkpoint_dir(gl.sparkSession)
     parts = gl.select("sample_id").distinct().withColumn("part", F.lit(""))
     for _ in range(depth):
         names = [r["part"] for r in parts.groupBy("part").count().where("count > 1").collect()]
