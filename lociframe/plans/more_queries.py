@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
 from lociframe.operators import mito as M
@@ -561,3 +562,27 @@ def windowed_fst(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def site_allele_likelihood(spark: SparkSession, d: str) -> DataFrame:
     return X.site_allele_likelihood(likelihoods(spark, d)).select("chrom", "pos", F.size("saf").alias("n"))
+
+
+@query()
+def sfs_em(spark: SparkSession, d: str) -> DataFrame:
+    return X.sfs_em(X.site_allele_likelihood(likelihoods(spark, d).where("sample_id in ('S1', 'S2', 'S3', 'S4')")), 5)
+
+
+@query()
+def ld_prune(spark: SparkSession, d: str) -> DataFrame:
+    pairs = Q.ld_r2_pairs(V.genotypes(spark, d), 1000)
+    return Q.ld_prune(pairs, V.sites(spark, d).select("chrom", "pos", F.col("size").alias("priority")), 0.2)
+
+
+@query()
+def admixture_residual_corr(spark: SparkSession, d: str) -> DataFrame:
+    gl = likelihoods(spark, d)
+    q, f, _ = P.admixture_em(gl, 2, 1, 1, 2)
+    return P.admixture_residual_corr(gl.withColumnRenamed("gl", "gp"), q, f)
+
+
+@query()
+def covered_n_share(spark: SparkSession, d: str) -> DataFrame:
+    s = V.sequences(spark, d)
+    return K.covered_n_share(s, s.select(F.col("contig").alias("chrom"), F.explode(F.sequence(F.lit(1), F.length("seq"), F.lit(50))).alias("pos")))
