@@ -148,13 +148,14 @@ class Soft:
         self.bits = int(np.clip(np.ceil(np.log2(max(points, 2))) - 1, 8, 25))
         self.tables, self.probes = tables, int(np.clip(12 + 4 * (self.bits - 17), 12, 64))  # longer codes need more visits
         self.replicas = tables * self.probes
-        self.own = [np.arange(t * self.bits, (t + 1) * self.bits) % 128 for t in range(tables)]
-
-    def bits_of(self, fp: np.ndarray) -> np.ndarray:
-        return np.unpackbits(np.ascontiguousarray(fp).view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little").astype(np.int64)
+        self.own = [np.arange(t * self.bits, (t + 1) * self.bits) for t in range(tables)]  # at most 125 of 128 bits
 
     def home(self, fp: np.ndarray, t: int) -> np.ndarray:
-        return (self.bits_of(fp)[:, self.own[t]] << np.arange(self.bits)).sum(1) * self.tables + t
+        word, at = divmod(t * self.bits, 64)
+        key = fp[:, word] >> U64(at)
+        if at + self.bits > 64:
+            key = key | (fp[:, word + 1] << U64(64 - at))
+        return (key & U64((1 << self.bits) - 1)).astype(np.int64) * self.tables + t
 
     def anchors(self, fp: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         weak = min(7, self.bits)
