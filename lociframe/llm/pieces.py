@@ -62,10 +62,95 @@ class Model:
             for k in range(1, len(text)):
                 self.prefixes.setdefault(text[:k], (0.0, None))
             self.prefixes[text] = (score, (i,))
+        # pieces of each length: sorted hashes, ids and scores, for `forward`
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in {len(t) for t in self.pieces}:
+            some = [t for t in self.pieces if len(t) == size]
+            h = prefix_hashes(code_points(some, size))[:, size]
+            order = np.argsort(h)
+            self.by_length[size] = (h[order], np.array([self.pieces[t][0] for t in some], np.int64)[order], np.array([self.pieces[t][1] for t in some])[order])
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
         self.words = re.compile(f"^[^{SPACE}]+|{SPACE}+[^{SPACE}]*" if self.by_word else "(?s:.+)").findall
 
 
+def code_points(words: list[str], size: int) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), size)
+
+
+def prefix_hashes(cp: np.ndarray) -> np.ndarray:
+    """(words, characters + 1): hash of each beginning, from which `forward` has the hash of any substring."""
+    mixed = A.mix((cp.astype(A.U64) + A.U64(1)) * A.MULT)
+    out = np.zeros((len(cp), cp.shape[1] + 1), A.U64)
+    for j in range(cp.shape[1]):
+        out[:, j + 1] = out[:, j] * A.MULT + mixed[:, j]
+    return out
+
+
+def forward(model: Model, words: list[str], n: int) -> tuple[np.ndarray, list[bytes]]:
+    """Viterbi scores of words of one length, all at once: (scores of the n best segmentations, ids of the best).
+
+    The same scores guide `n_best`, which then finds a word's other segmentations when a text needs them.
+    """
+    m, size = len(words), len(words[0])
+    cp = code_points(words, size)
+    prefix = prefix_hashes(cp)
+    lift = [1]
+    for _ in range(size):
+        lift.append(lift[-1] * int(A.MULT) % (1 << 64))
+    best = np.full((size + 1, m, n), -np.inf)
+    best[0, :, 0] = 0
+    back = np.zeros((size + 1, m), np.int64)
+    via = np.zeros((size + 1, m), np.int64)
+    for j in range(1, size + 1):
+        cur = np.full((m, n), -np.inf)
+        for i in range(max(0, j - model.longest), j):
+            table = model.by_length.get(j - i)
+            if table is None and j - i > 1:
+                continue
+            if table is not None:
+                h = prefix[:, j] - prefix[:, i] * A.U64(lift[j - i])
+                at = np.minimum(np.searchsorted(table[0], h), len(table[0]) - 1)
+                ok = table[0][at] == h
+            if j - i == 1:  # a character without a piece is named by its negative code
+                ids = -cp[:, i].astype(np.int64) - 1 if table is None else np.where(ok, table[1][at], -cp[:, i].astype(np.int64) - 1)
+                scores = np.full(m, model.unknown) if table is None else np.where(ok, table[2][at], model.unknown)
+                rows = np.arange(m)
+            else:
+                rows = np.flatnonzero(ok)
+                if not len(rows):
+                    continue
+                ids, scores = table[1][at[rows]], table[2][at[rows]]
+            x = best[i, rows] + scores[:, None]
+            old = cur[rows]
+            won = x[:, 0] > old[:, 0]
+            back[j, rows[won]], via[j, rows[won]] = i, ids[won]
+            cur[rows] = np.sort(np.concatenate([old, x], axis=1), axis=1)[:, : n - 1 : -1]
+        best[j] = cur
+    at, steps, all_rows, none = np.full(m, size), [], np.arange(m), np.iinfo(np.int64).min
+    while at.any():
+        steps.append(np.where(at > 0, via[at, all_rows], none))
+        at = np.where(at > 0, back[at, all_rows], 0)
+    path = np.array(steps[::-1]).T
+    there = path != none
+    flat, count = path[there], there.sum(1)
+    unknown = flat < 0
+    if unknown.any():
+        codes, which = np.unique(-flat[unknown] - 1, return_inverse=True)
+        spelled = [[model.byte_ids[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in codes.tolist()]
+        width = np.ones(len(flat), np.int64)
+        width[unknown] = np.array([len(x) for x in spelled])[which]
+        ids = np.repeat(flat, width)
+        start = np.cumsum(width) - width
+        for k, x in enumerate(spelled):
+            for d, b in enumerate(x):
+                ids[start[unknown][which == k] + d] = b
+        owner = np.repeat(np.arange(m), count)
+        flat, count = ids, np.bincount(owner, width, m).astype(np.int64)
+    raw = flat.astype(np.uint32).tobytes()
+    ends = (4 * np.cumsum(count)).tolist()
+    return best[size], [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def n_best(model: Model, text: str, n: int) -> list[tuple[float, bytes]]:
     """The n best segmentations of `text`, best first: (score, little-endian unsigned 32-bit ids). Fewer where fewer exist.
 
@@ -147,11 +232,11 @@ def joined(parts: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float,
 class Segmenter:
     """N-best segmentations of texts; at most about 2 * BOUND words and as many parts of words are remembered."""
 
-    BOUND = 300_000
+    BOUND = 200_000
 
     def __init__(self, path: str, n: int):
         self.model, self.n = Model(path), n
-        self.words: list[dict[str, list[tuple[float, bytes]]]] = [{}, {}]
+        self.words: list[dict[str, tuple[float, float, bytes]]] = [{}, {}]  # score, loss of the second best, ids
         self.parts: list[dict[str, list[tuple[float, bytes]]]] = [{}, {}]
 
     def _known(self, memory: list[dict], text: str, make) -> list[tuple[float, bytes]]:
@@ -166,7 +251,7 @@ class Segmenter:
         return got
 
     def part(self, text: str) -> list[tuple[float, bytes]]:
-        return self._known(self.parts, text, lambda t: n_best(self.model, t, self.n))
+        return n_best(self.model, text, self.n)
 
     def word(self, text: str) -> list[tuple[float, bytes]]:
         """A word falls into parts where two characters stand side by side that do so in no piece."""
@@ -179,6 +264,38 @@ class Segmenter:
             return joined([self.part(text[a:b]) for a, b in itertools.pairwise(cuts)], self.n)
         return n_best(self.model, text, self.n)
 
+    def looked_up(self, texts: list[str]) -> list[tuple[float, float, bytes]]:
+        """(score of the best, loss of the second best, ids of the best) of each word; new words by length, all at once."""
+        new, old = self.words
+        found, ask = [], {}
+        for i, t in enumerate(texts):
+            got = new.get(t)
+            if got is None and (got := old.get(t)) is not None:
+                new[t] = got
+            if got is None:
+                ask.setdefault(len(t) if len(t) <= 48 else 0, []).append(i)
+            found.append(got)
+        for size, which in ask.items():
+            for a in range(0, len(which), 8192):
+                some = which[a : a + 8192]
+                words = [texts[i] for i in some]
+                if size:
+                    scores, ids = forward(self.model, words, 2)
+                    made = zip(scores[:, 0].tolist(), (scores[:, 0] - scores[:, 1]).tolist(), ids, strict=True)
+                else:
+                    longer = [n_best(self.model, w, 2) for w in words]
+                    made = [(w[0][0], w[0][0] - w[1][0] if len(w) > 1 else np.inf, w[0][1]) for w in longer]
+                for i, w, got in zip(some, words, made, strict=True):
+                    found[i] = new[w] = got
+        if len(new) > self.BOUND:
+            self.words = [{}, new]
+        return found
+
+    def alternatives(self, text: str, best: tuple[float, float, bytes]) -> list[tuple[float, bytes]]:
+        """The n best of a word, its known best first whatever ties there are."""
+        others = [x for x in self._known(self.parts, text, self.word) if x[1] != best[2]]
+        return [(best[0], best[2]), *others[: self.n - 1]]
+
     def one(self, text: str) -> list[list[tuple[float, bytes]]]:
         """The words of a text with a literal U+2581, which becomes byte pieces."""
         literal = [(self.model.unknown, np.array([self.model.byte_ids[b] for b in SPACE.encode()], np.uint32).tobytes())]
@@ -219,11 +336,11 @@ class Segmenter:
         key[head] = A.mix(key[head] ^ A.GRAM)
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
         texts = [(SPACE if h else "") + raw[a:b].decode().replace(" ", SPACE) for a, b, h in zip(starts[first].tolist(), ends[first].tolist(), head[first].tolist(), strict=True)]
-        found = [self._known(self.words, t, self.word) for t in texts]
-        score = np.array([w[0][0] for w in found])
-        loss = np.array([w[0][0] - w[1][0] if len(w) > 1 else np.inf for w in found])
-        pool = b"".join([w[0][1] for w in found])
-        size = np.array([len(w[0][1]) for w in found], np.int64) // 4
+        found = self.looked_up(texts)
+        score = np.array([w[0] for w in found])
+        loss = np.array([w[1] for w in found])
+        pool = b"".join([w[2] for w in found])
+        size = np.array([len(w[2]) for w in found], np.int64) // 4
         place = np.cumsum(size) - size
         ids = np.frombuffer(pool, np.uint32)
         size, place, loss = size[which], place[which], loss[which]
@@ -247,7 +364,7 @@ class Segmenter:
                 few = np.sort(few).tolist()
                 shift = int(total[a] - size[a])
                 spots = [(4 * int(total[k] - size[k] - shift), 4 * int(total[k] - shift)) for k in few]
-                words = [found[which[k]] for k in few]
+                words = [self.alternatives(texts[which[k]], found[which[k]]) for k in few]
                 for less, choice in combine(words, self.n)[1:]:
                     parts, last = [], 0
                     for (x, y), w, c in zip(spots, words, choice, strict=True):
@@ -258,8 +375,25 @@ class Segmenter:
         return out
 
 
+#: One per model and n in a worker process, kept between its tasks; what it remembers is bounded.
+_segmenters: dict[tuple[str, int], Segmenter] = {}
+
+
+def segmenter_of(path: str, n: int) -> Segmenter:
+    if (path, n) not in _segmenters:
+        _segmenters[path, n] = Segmenter(path, n)
+    return _segmenters[path, n]
+
+
+def text_of(model: Model, ids: bytes) -> bytes:
+    """The UTF-8 text of little-endian unsigned 32-bit ids, without the space that encoding put in front."""
+    raw = b"".join(map(model.raw.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
+    return raw[1:] if raw[:1] == b" " else raw
+
+
 def sentencepiece_encode(docs: DataFrame, model: str, n: int = 2, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (doc_id, carried columns, nbest), one per row of `docs`: the n best segmentations of the text, best first.
+    """Rows (doc_id, carried columns, nbest, exact), one per row of `docs`: the n best segmentations of the text, best first,
+    and whether decoding the best gives the text back.
 
     ids are little-endian unsigned 32-bit. Null and empty texts have one segmentation, of no pieces; ties of score come in
     a fixed order; repeated rows keep a row each; an empty table gives no rows.
@@ -267,17 +401,19 @@ def sentencepiece_encode(docs: DataFrame, model: str, n: int = 2, id_col: str =
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = Segmenter(model, n)
+        segment = segmenter_of(model, n)
         struct = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
         for batch in batches:
             data, offs = A.text_bytes(batch.column(1))
-            for a, b, some, at in A.pieces(data, offs, 1 << 21):
-                part = batch.slice(a, b - a)
-                nbest = [[{"score": s, "ids": ids} for s, ids in best] for best in segment(some, at)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(2 + k) for k in range(len(carry))), pa.array(nbest, struct)], names=["doc_id", *carry, "nbest"])
+            for a, b, some, at in A.pieces(data, offs, 1 << 20):
+                part, raw = batch.slice(a, b - a), some.tobytes()
+                found = segment(some, at)
+                exact = [text_of(segment.model, best[0][1]) == raw[i:j] for best, (i, j) in zip(found, itertools.pairwise(at.tolist()), strict=True)]
+                nbest = [[{"score": s, "ids": ids} for s, ids in best] for best in found]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(2 + k) for k in range(len(carry))), pa.array(nbest, struct), pa.array(exact)], names=["doc_id", *carry, "nbest", "exact"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in carry))
-    return picked.mapInArrow(run, "doc_id long, " + "".join(f"`{c}` {kinds[c]}, " for c in carry) + f"nbest {NBEST}")
+    return picked.mapInArrow(run, "doc_id long, " + "".join(f"`{c}` {kinds[c]}, " for c in carry) + f"nbest {NBEST}, exact boolean")
 
 
 def sentencepiece_decode(rows: DataFrame, model: str, ids_col: str = "ids", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -288,14 +424,11 @@ def sentencepiece_decode(rows: DataFrame, model: str, ids_col: str = "ids", carr
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = Model(model).raw
+        pieces = Model(model)
         for batch in batches:
             for s in range(0, batch.num_rows, 1000):
                 part = batch.slice(s, 1000)
-                texts = []
-                for ids in part.column(0).to_pylist():
-                    text = None if ids is None else b"".join(map(raw.__getitem__, np.frombuffer(ids, np.uint32).tolist())).decode("utf-8", "replace")
-                    texts.append(text[1:] if text and text[0] == " " else text)
+                texts = [None if ids is None else text_of(pieces, ids).decode("utf-8", "replace") for ids in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(part.column(1 + k) for k in range(len(carry))), pa.array(texts, pa.string())], names=[*carry, "decoded"])
 
     return rows.select(F.col(ids_col).alias("__ids"), *(F.col(c) for c in carry)).mapInArrow(run, "".join(f"`{c}` {kinds[c]}, " for c in carry) + "decoded string")
@@ -303,15 +436,8 @@ def sentencepiece_decode(rows: DataFrame, model: str, ids_col: str = "ids", carr
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: pieces and scores of the two best segmentations, their digests, and whether decoding gives the text back."""
-    model = public_tokenizer("piece_bpe_32k.model")
-    encoded = sentencepiece_encode(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), model, 2, carry=("text",))
+    encoded = sentencepiece_encode(table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model"), 2)
     best, other = F.get("nbest", F.lit(0)), F.get("nbest", F.lit(1))
-    flat = encoded.select(
-        "doc_id", F.octet_length("text").alias("n_bytes"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"), best["ids"].alias("ids"), best["score"].alias("score"), other["score"].alias("second_score"), F.crc32(other["ids"]).alias("second_crc32")
-    )
-    digests = flat.withColumns({"n_pieces": F.octet_length("ids") / 4, "ids_crc32": F.crc32("ids")})
-    names = ("doc_id", "n_bytes", "text_crc32", "score", "second_score", "second_crc32", "n_pieces", "ids_crc32")
-    decoded = sentencepiece_decode(digests, model, carry=names)
-    return decoded.select(
-        "doc_id", "n_bytes", F.col("n_pieces").cast("long").alias("n_pieces"), "score", "ids_crc32", "second_score", "second_crc32", (F.crc32(F.encode("decoded", "UTF-8")) == F.col("text_crc32")).alias("exact")
+    return encoded.select(
+        "doc_id", (F.octet_length(best["ids"]) / 4).cast("long").alias("n_pieces"), best["score"].alias("score"), F.crc32(best["ids"]).alias("ids_crc32"), other["score"].alias("second_score"), F.crc32(other["ids"]).alias("second_crc32"), "exact"
     )
