@@ -17,6 +17,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,10 @@ MAGIC = 0x31524650
 BLOCK = 128
 CHUNK_IDS = 1 << 16
 HEADER = np.dtype("<u4")
+STOP = np.zeros(256, bool)
+STOP[list(b".,")] = True
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
 CHUNKS = "shard int, chunk long, start_in_shard long, n_ids long, doc_ids array<long>, n_tokens array<long>, payload binary"
 
 
@@ -57,8 +62,8 @@ def pack(ids: np.ndarray, percentile: float = 0.9) -> bytes:
     for w in np.unique(width).tolist():
         if w:
             rows = np.flatnonzero(width == w)
-            bits = (rest[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-            packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+            bits = np.unpackbits(rest[rows].astype(HEADER).view(np.uint8).reshape(-1, 4), axis=1, count=w, bitorder="little")
+            packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             body[(starts[rows].astype(np.int64)[:, None] + np.arange(packed.shape[1])).ravel()] = packed.ravel()
     patches = np.searchsorted(block, np.arange(blocks)).astype(np.uint32)
     parts = [np.array([MAGIC, n, blocks, len(block)], HEADER), least.astype(HEADER), starts[:-1].astype(HEADER), patches, width, body, spot.astype(np.uint8), high[block, spot].astype(HEADER)]
@@ -85,8 +90,9 @@ def unpack(payload: bytes) -> np.ndarray:
         if w:
             rows = np.flatnonzero(width == w)
             packed = body[starts[rows].astype(np.int64)[:, None] + np.arange(w * BLOCK // 8)]
-            bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-            rest[rows] = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
+            bits = np.zeros((len(rows) * BLOCK, 32), np.uint8)
+            bits[:, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, w)
+            rest[rows] = np.packbits(bits, axis=1, bitorder="little").view(HEADER).reshape(-1, BLOCK)
     block = np.repeat(np.arange(blocks), np.diff(np.append(first, patches).astype(np.int64)))
     rest[block, spot] += high << width[block].astype(np.uint32)
     return (rest + least[:, None]).ravel()[:n]
@@ -100,7 +106,7 @@ class Encoder:
     spaces and texts that hold an added token go to the library whole.
     """
 
-    BOUND = 500_000
+    BOUND = 400_000
 
     def __init__(self, path: str):
         import regex
@@ -115,61 +121,147 @@ class Encoder:
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         # fixed value: the pattern by which byte-level tokenizers split texts
         self.split = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
+        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
+        self.spaced[[i for t, i in self.library.get_vocab().items() if t.startswith("\u0120")]] = True
         self.known: list[dict[str, bytes]] = [{}, {}]  # parts after a space: this generation, the one before
         self.tokens: list[dict[str, bytes]] = [{}, {}]  # pre-tokens
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, texts: list[str]) -> list[bytes]:
+        """Ids of pre-tokens that start with a space, many at once: a token that starts with a space starts the next."""
+        joined = ["".join(texts[a : a + 256]) for a in range(0, len(texts), 256)]
+        out: list[bytes] = []
+        for k, e in enumerate(self.library.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            cuts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            some = texts[256 * k : 256 * k + 256]
+            if len(cuts) == len(some):
+                raw = ids.tobytes()
+                out += [raw[i:j] for i, j in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
+            else:  # the library splits one of them further
+                out += self.whole(some)
+        return out
+
     def _bound(self, generations: list[dict[str, bytes]]) -> None:
         if len(generations[0]) > self.BOUND:
             generations[1], generations[0] = generations[0], {}
 
+    def _split(self, text: str) -> list[str]:
+        if text[1:].isalpha() and text[0] == " ":
+            return [text]
+        if text[-1:] in (".", ",") and text[0] == " " and text[1:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return self.split(text)
+
     def _by_pretokens(self, texts: list[str]) -> list[bytes]:
         new, old = self.tokens
-        split = [self.split(t) for t in texts]
-        missing = list({p for s in split for p in s if p not in new})
-        ask = []
-        for p in missing:
+        split = [self._split(t) for t in texts]
+        spaced, others = [], []
+        for p in {p for s in split for p in s if p not in new}:
             if p in old:
                 new[p] = old[p]
+            elif p[0] == " " and p[1:].isalpha():
+                spaced.append(p)
             else:
-                ask.append(p)
-        new.update(zip(ask, self.whole(ask), strict=True))
-        out = [b"".join(map(new.__getitem__, s)) for s in split]
+                others.append(p)
+        new.update(zip(spaced, self._words(spaced), strict=True))
+        new.update(zip(others, self.whole(others), strict=True))
+        out = [new[s[0]] if len(s) == 1 else b"".join(map(new.__getitem__, s)) for s in split]
         self._bound(self.tokens)
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        plain = [self.parts_alone and "  " not in t and not any(a in t for a in self.added) for t in texts]
-        parts = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
+    def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids per text) for texts given as bytes and offsets.
+
+        Parts between single spaces are told apart by 64-bit hashes and lengths, looked up once per distinct part, and
+        their ids are put in place for all texts at once.
+        """
+        n = len(offs) - 1
+        raw = data.tobytes()
+        odd = np.zeros(n, bool)
+        for mark in ["  ", *self.added] if self.parts_alone else []:
+            at = raw.find(mark.encode())
+            while at >= 0:  # may span two texts; then one more goes to the library whole
+                odd[np.searchsorted(offs, at, "right") - 1] = True
+                at = raw.find(mark.encode(), at + 1)
+        odd |= not self.parts_alone
+        texts = [raw[a:b].decode() for a, b in zip(offs[:-1][odd].tolist(), offs[1:][odd].tolist(), strict=True)]
+        spaces = np.flatnonzero(data == 32)
+        owner = np.searchsorted(offs, spaces, "right") - 1
+        spaces, owner = spaces[~odd[owner]], owner[~odd[owner]]
+        plain = np.flatnonzero(~odd)
+        # a comma or full stop after a letter, at a part's end, is a pre-token of its own
+        stops = np.flatnonzero(STOP[data[1:]] & LETTER[data[:-1]]) + 1
+        last = np.zeros(len(data) + 1, bool)
+        last[spaces], last[offs[1:]] = True, True
+        within = np.searchsorted(offs, stops, "right") - 1
+        fine = last[stops + 1] & ~odd[within] & (stops > offs[within])
+        stops, within = stops[fine], within[fine]
+        starts = np.sort(np.concatenate([offs[:-1][plain], spaces + 1, stops]))
+        ends = np.sort(np.concatenate([spaces, offs[1:][plain], stops]))
+        doc = np.sort(np.concatenate([plain, owner, within]))
+        head = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
+        head[np.searchsorted(starts, stops)] = True
+        key = A.span_hash(A.byte_prefix(data), starts, ends)
+        key[head] = A.mix(key[head] ^ A.GRAM)  # a text's first part and such marks have no space before them
+        which, distinct = pd.factorize(key)
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        words = [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         new, old = self.known
-        ask = []
-        for p in {p for s in parts for p in s[1:] if p not in new}:
-            if p in old:
-                new[p] = old[p]
+        found: list[bytes | None] = [None] * len(words)
+        ask, leading = [], []
+        for i, (w, h) in enumerate(zip(words, head[first].tolist(), strict=True)):
+            if h:
+                leading.append(i)
+            elif (got := new.get(w)) is not None:
+                found[i] = got
+            elif (got := old.get(w)) is not None:
+                new[w] = found[i] = got
             else:
-                ask.append(p)
-        new.update(zip(ask, self._by_pretokens([" " + p for p in ask]), strict=True))
-        heads = iter(self._by_pretokens([s[0] for s in parts if s]))
-        rest = iter(self.whole([t for t, p in zip(texts, plain, strict=True) if not p]))
-        out = [next(heads) + b"".join(map(new.__getitem__, s[1:])) if p else next(rest) for s, p in zip(parts, plain, strict=True)]
+                ask.append(i)
+        for i, ids in zip(ask, self._by_pretokens([" " + words[i] for i in ask]), strict=True):
+            new[words[i]] = found[i] = ids
+        for i, ids in zip(leading, self._by_pretokens([words[i] for i in leading]), strict=True):
+            found[i] = ids
         self._bound(self.known)
-        return out
+        size = np.array([len(x) // 4 for x in found], np.int64)
+        pool, at = np.frombuffer(b"".join(found), np.uint32), np.cumsum(size) - size
+        # whole texts stand after the parts' ids in the pool, as parts of their own
+        whole = [np.frombuffer(x, np.uint32) for x in self.whole(texts)]
+        doc = np.concatenate([doc, np.flatnonzero(odd)])
+        size_of = np.concatenate([size[which], np.array([len(x) for x in whole], np.int64)])
+        start_of = np.concatenate([at[which], len(pool) + np.cumsum([0, *(len(x) for x in whole)])[:-1].astype(np.int64)])
+        pool = np.concatenate([pool, *whole])
+        order = np.argsort(doc, kind="stable")
+        size_of, start_of, doc = size_of[order], start_of[order], doc[order]
+        out = np.repeat(start_of - (np.cumsum(size_of) - size_of), size_of) + np.arange(int(size_of.sum()))
+        return pool[out], np.bincount(doc, size_of, n).astype(np.int64)
+
+
+#: One per tokenizer in a worker process, kept between its tasks; what it remembers is bounded.
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16_000_000) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16_000_000, max_shards: int = 100_000) -> DataFrame:
     """Encode every text, append `end_id`, and write the ids in ascending id order; the written chunks, read back (CHUNKS).
 
     Nulls encode as empty texts, null ids come first, rows with equal ids go by text; an empty table writes no chunks.
     """
     _, size = text_size(docs, text_col)
-    shards = max(16, -(-size // shard_bytes))
+    shards = min(max_shards, max(16, -(-size // shard_bytes)))
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         shard = TaskContext.get().partitionId()
         end = np.uint32(end_id).tobytes()
         chunk, start = 0, 0
@@ -186,12 +278,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["shard", "chunk", "start_in_shard", "n_ids", "doc_ids", "n_tokens", "payload"])
 
         for batch in batches:
-            _, offs = A.text_bytes(batch.column(1))
-            for a, b, _, _ in A.pieces(np.zeros(int(offs[-1]), np.uint8), offs, 1 << 20):
-                ids = batch.column(0).slice(a, b - a).to_pylist()
-                for d, raw in zip(ids, encoder(batch.column(1).slice(a, b - a).to_pylist()), strict=True):
-                    held.append((d, raw + end))
-                    n_held += len(raw) // 4 + 1
+            data, offs = A.text_bytes(batch.column(1))
+            for a, b, part, at in A.pieces(data, offs, 3 << 20):
+                ids, counts = encoder(part, at)
+                ends = np.cumsum(counts)
+                for d, i, j in zip(batch.column(0).slice(a, b - a).to_pylist(), (ends - counts).tolist(), ends.tolist(), strict=True):
+                    held.append((d, ids[i:j].tobytes() + end))
+                    n_held += j - i + 1
                     if n_held >= CHUNK_IDS:
                         yield flush()
         if held:
@@ -203,11 +296,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
 
 def read_tokens(chunks: DataFrame) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids binary) of written chunks: start counts the ids of all documents before."""
-    # one row per shard: the running sum is over shards, whose number is the data size over shard_bytes
+    # one row per shard, at most max_shards of them: the running sum and what is broadcast are of that size
     shards = chunks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     order = W.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     before = shards.select(F.col("shard").alias("s"), F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("before"))
-    joined = chunks.join(before, F.col("shard") == F.col("s")).select("doc_ids", "n_tokens", "payload", (F.col("before") + F.col("start_in_shard")).alias("start"))
+    joined = chunks.join(F.broadcast(before), F.col("shard") == F.col("s")).select("doc_ids", "n_tokens", "payload", (F.col("before") + F.col("start_in_shard")).alias("start"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
