@@ -13,13 +13,13 @@ from lociframe.llm.frames import table
 from lociframe.llm.mixing import mixed_documents
 from lociframe.llm.pieces import sentencepiece_encode
 from lociframe.llm.quality_rules import quality_filter
-from lociframe.llm.simhash import simhash_groups
+from lociframe.llm.simhash import similar_groups
 from lociframe.llm.substring_dedup import substring_dedup
 from lociframe.llm.token_output import public_tokenizer
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
-#: Near copies share 0.8 of their five-word shingles: 19.4 of 128 fingerprint bits differ there on average, 24 or fewer in nine of ten.
-SHINGLE, NEAR_BITS = 5, 24
+#: Near copies share 0.8 of their five-word shingles. 19.4 of 128 fingerprint bits differ there on average; pairs within NEAR_BITS are verified.
+SHINGLE, SIMILARITY, NEAR_BITS = 5, 0.8, 36
 
 
 def stage_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,8 @@ def stage_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def stage_simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id; rows without an id stay as they are."""
-    groups = simhash_groups(docs, shingle=SHINGLE, threshold=NEAR_BITS, wide=True)
+    """One document of each group of verified near copies stays, the one with the smallest id; rows without an id stay as they are."""
+    groups = similar_groups(docs, SHINGLE, SIMILARITY, NEAR_BITS)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").select(*DOCUMENT).dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id is null").select(*DOCUMENT))

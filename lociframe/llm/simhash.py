@@ -7,8 +7,9 @@ Fingerprints are compared per anchor. Two ways to place them:
   that is home to some point within the threshold. Any two fingerprints within the threshold meet at the home of either,
   so no link is lost. The number of blocks follows the number of distinct fingerprints.
 * `soft`: for thresholds too wide for that (a similarity of 0.8 lies near 20 of 128 bits). Several short codes, each over
-  its own bits; a fingerprint is replicated to the anchors nearest to it by the margins of its bits. Recall is measured in
-  the tests.
+  its own bits; a fingerprint is replicated to the anchors nearest to it by the margins of its bits. How many is measured
+  for the number of fingerprints: simulated pairs at similarity 0.8 must meet in `RECALL` of all cases. `similar_groups`
+  takes such pairs as candidates only and verifies the shingle sets.
 
 Equal fingerprints are one point. Per anchor only a spanning forest of the links is emitted, never all pairs.
 """
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
-from lociframe.llm.frames import components, table
+from lociframe.llm.frames import components, cut, table, written
 
 U64 = A.U64
+RECALL = 0.98
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -146,9 +148,35 @@ class Soft:
 
     def __init__(self, points: int, tables: int = 5):
         self.bits = int(np.clip(np.ceil(np.log2(max(points, 2))) - 1, 8, 25))
-        self.tables, self.probes = tables, int(np.clip(12 + 4 * (self.bits - 17), 12, 64))  # longer codes need more visits
-        self.replicas = tables * self.probes
+        self.weak = min(10, self.bits)
+        self.tables = tables
         self.own = [np.arange(t * self.bits, (t + 1) * self.bits) for t in range(tables)]  # at most 125 of 128 bits
+        self.probes = max(12, self.visits(RECALL))  # longer codes need more visits
+        self.replicas = tables * self.probes
+
+    def visits(self, recall: float, similarity: float = 0.8, pairs: int = 3000) -> int:
+        """Visits that let this share of simulated pairs meet: sums of the bits of two sets that share `similarity` of
+        their shingles correlate by 2 * similarity / (1 + similarity)."""
+        r, same = np.random.default_rng(7), 2 * similarity / (1 + similarity)
+        x = r.standard_normal((pairs, 128))
+        y = same * x + np.sqrt(1 - same * same) * r.standard_normal((pairs, 128))
+        met = np.full(pairs, 1 << self.weak)
+        for own in self.own:
+            differ = (x[:, own] > 0) != (y[:, own] > 0)
+            for side in (x, y):
+                order, cost, _ = self.costs(np.minimum(np.abs(side[:, own]) * 32, 255).astype(np.uint8))
+                there = np.take_along_axis(differ, order, 1)
+                place = there @ (1 << np.arange(self.weak))
+                rank = (cost <= np.take_along_axis(cost, place[:, None], 1)).sum(1)
+                met = np.minimum(met, np.where(there.sum(1) == differ.sum(1), rank, 1 << self.weak))
+        return int(np.quantile(met, recall, method="higher"))
+
+    def costs(self, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The weakest bits of each row, the cost of flipping each subset of them, and the subsets."""
+        subset = (np.arange(1 << self.weak)[:, None] >> np.arange(self.weak)) & 1
+        firm = margin.astype(np.float64)
+        order = np.argsort(firm, axis=1, kind="stable")[:, : self.weak]
+        return order, (np.take_along_axis(firm, order, 1) ** 2) @ subset.T.astype(np.float64), subset
 
     def home(self, fp: np.ndarray, t: int) -> np.ndarray:
         word, at = divmod(t * self.bits, 64)
@@ -158,18 +186,16 @@ class Soft:
         return (key & U64((1 << self.bits) - 1)).astype(np.int64) * self.tables + t
 
     def anchors(self, fp: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weak = min(7, self.bits)
-        subset = (np.arange(1 << weak)[:, None] >> np.arange(weak)) & 1
         rows, where = [], []
         for t in range(self.tables):
-            firm = margin[:, self.own[t]].astype(np.float64)
-            order = np.argsort(firm, axis=1, kind="stable")[:, :weak]
-            cost = (np.take_along_axis(firm, order, 1) ** 2) @ subset.T
-            best = np.argpartition(cost, self.probes - 1, axis=1)[:, : self.probes]
+            order, cost, subset = self.costs(margin[:, self.own[t]])
+            probes = min(self.probes, cost.shape[1])
+            best = np.argpartition(cost, probes - 1, axis=1)[:, :probes]
             best[:, 0] = np.where((best == 0).any(1), best[:, 0], 0)  # the home itself is always visited
-            flips = ((1 << order) @ subset.T)
-            rows.append(np.repeat(np.arange(len(fp)), self.probes))
-            where.append(((self.home(fp, t) // self.tables)[:, None] ^ np.take_along_axis(flips, best, 1)).ravel() * self.tables + t)
+            chosen = (best[:, :, None] >> np.arange(self.weak)) & 1
+            flips = (chosen << order[:, None, :]).sum(2)
+            rows.append(np.repeat(np.arange(len(fp)), probes))
+            where.append(((self.home(fp, t) // self.tables)[:, None] ^ flips).ravel() * self.tables + t)
         return np.concatenate(rows), np.concatenate(where)
 
 
@@ -292,5 +318,184 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, threshold: int = 2, wide:
     return marked.join(label, "fp").select("doc_id", high_first.alias("fingerprint"), "component_id")
 
 
+# verified groups
+
+
+def shingle_sets(docs: DataFrame, shingle: int, with_set: bool = False) -> DataFrame:
+    """Rows (doc_id, text_hash, point, fp, margin), one per row of `docs` (doc_id, text, text_hash): a 64-bit name of the set of
+    shingles and the fingerprint of that set; with_set: (point, shingles binary), sorted 64-bit hashes of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = A.text_bytes(batch.column(1))
+            for a, b, part, at in A.pieces(data, offs, 1 << 20):
+                h, counts = wide_shingles(part, at, shingle)
+                doc = np.repeat(np.arange(b - a), counts)
+                order = np.lexsort((h[:, 0], doc))
+                h, doc = h[order], doc[order]
+                fresh = np.ones(len(h), bool)
+                fresh[1:] = (h[1:, 0] != h[:-1, 0]) | (doc[1:] != doc[:-1])
+                h, counts = np.ascontiguousarray(h[fresh]), np.bincount(doc[fresh], minlength=b - a)
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                total = np.concatenate([[U64(0)], np.cumsum(A.mix(h[:, 1]), dtype=U64)])
+                point = pa.array(A.mix(total[ends[1:]] - total[ends[:-1]] + counts.astype(U64)).view(np.int64))
+                if with_set:
+                    sets = [h[x:y, 0].tobytes() for x, y in itertools.pairwise(ends.tolist())]
+                    yield pa.RecordBatch.from_arrays([point, pa.array(sets, pa.binary())], names=["point", "shingles"])
+                    continue
+                ones = bit_counts(h, counts) if len(h) else np.zeros((b - a, 128), np.int64)
+                firm = np.abs(2 * ones - counts[:, None]) / np.sqrt(np.maximum(counts, 1))[:, None]
+                fp = packed(2 * ones > counts[:, None])
+                columns = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (fp, np.minimum(firm * 32, 255).astype(np.uint8))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), point, *columns], names=["doc_id", "text_hash", "point", "fp", "margin"])
+
+    return docs.select("doc_id", "text", "text_hash").mapInArrow(run, "point long, shingles binary" if with_set else "doc_id long, text_hash long, point long, fp binary, margin binary")
+
+
+def nearest_forest(a: np.ndarray, b: np.ndarray, far: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Indices of the edges a-b of a spanning forest of least distance; ties go by name, so that all anchors choose alike."""
+    low, high = np.minimum(names[a], names[b]), np.maximum(names[a], names[b])
+    order = np.lexsort((high, low, far))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    label, chosen = np.arange(len(names)), []
+    while True:
+        x, y = label[a], label[b]
+        cross = x != y
+        if not cross.any():
+            break
+        best = np.full(len(names), len(order))
+        np.minimum.at(best, x[cross], rank[cross])
+        np.minimum.at(best, y[cross], rank[cross])
+        picked = order[np.unique(best[best < len(order)])]
+        chosen.append(picked)
+        node, root, nodes = forest(x[picked], y[picked])
+        step = np.arange(len(names))
+        step[nodes[node]] = nodes[root]
+        label = step[label]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+
+
+def candidates(points: DataFrame, code: Soft, bits: int, buckets: int, every: bool) -> DataFrame:
+    """Pairs (a long, b long) of points (point, fp, margin, label) of different labels that meet at an anchor and differ in at
+    most `bits` bits, a < b: per anchor a spanning forest of them, or every pair."""
+    kind = np.dtype([("anchor", "<i8"), ("point", "<i8"), ("label", "<i8"), ("fp", "<u8", (2,))])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in range(0, batch.num_rows, 1000):
+                part = batch.slice(s, 1000)
+                fp = np.frombuffer(b"".join(part.column(1).to_pylist()), U64).reshape(-1, 2)
+                margin = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(len(fp), -1)
+                rows, anchor = code.anchors(fp, margin)
+                out = np.empty(len(rows), kind)
+                out["anchor"], out["fp"] = anchor, fp[rows]
+                out["point"], out["label"] = part.column(0).to_numpy()[rows], part.column(3).to_numpy()[rows]
+                bucket = (A.mix(anchor.astype(U64) * A.MULT) % U64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                out, bucket = out[order], bucket[order]
+                cuts = np.flatnonzero(np.diff(bucket)) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in np.split(out, cuts)], pa.binary())], names=["bucket", "payload"])
+
+    def near(members: np.ndarray, homes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        step = max(1, (1 << 20) // len(members))
+        for s in range(0, len(homes), step):
+            part = homes[s : s + step]
+            far = np.zeros((len(part), len(members)), np.uint8)
+            for m in range(2):
+                far += np.bitwise_count(members["fp"][part, m][:, None] ^ members["fp"][:, m][None, :])
+            i, j = np.nonzero((far <= bits) & (members["label"][part][:, None] != members["label"][None, :]))
+            yield part[i], j, far[i, j]
+
+    def pairs(members: np.ndarray, homes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        names = members["point"]
+        a, b, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        for i, j, far in near(members, homes):
+            if every:
+                yield names[i], names[j]
+                continue
+            a, b, d = np.concatenate([a, i]), np.concatenate([b, j]), np.concatenate([d, far])
+            if len(a) > 1 << 18:
+                keep = nearest_forest(a, b, d, names)
+                a, b, d = a[keep], b[keep], d[keep]
+        if len(a):
+            keep = nearest_forest(a, b, d, names)
+            yield names[a[keep]], names[b[keep]]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = np.frombuffer(b"".join(p for batch in batches for p in batch.column("payload").to_pylist()), kind)
+        entries = entries[np.argsort(entries["anchor"], kind="stable")]
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(entries["anchor"]) != 0]))
+        fps = np.ascontiguousarray(entries["fp"])
+        at_home = np.zeros(len(entries), bool)
+        for t in range(code.tables):
+            at_home |= code.home(fps, t) == entries["anchor"]
+        left, right, waiting = [], [], 0
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(entries)]):  # noqa: B905
+            homes = np.flatnonzero(at_home[s:e])
+            if not len(homes) or e - s < 2:
+                continue
+            for x, y in pairs(entries[s:e], homes):
+                left.append(np.minimum(x, y))
+                right.append(np.maximum(x, y))
+                waiting += len(x)
+                if waiting > 1 << 16:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+                    left, right, waiting = [], [], 0
+        if waiting:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+
+    picked = points.select("point", "fp", "margin", "label")
+    return picked.mapInArrow(place, "bucket long, payload binary").groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have this Jaccard similarity at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                p, q = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
+                both = len(np.intersect1d(p, q, assume_unique=True)) if min(len(p), len(q)) >= similarity * max(len(p), len(q)) else 0
+                keep.append(both >= similarity * (len(p) + len(q) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(sets.select(F.col("point").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("point").alias("b"), F.col("shingles").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 36, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, point, component_id), one per row of `docs`; component_id is the smallest doc_id reachable over pairs whose
+    sets of shingles have the Jaccard similarity. No pair below it links; of those at it, `RECALL` meet at an anchor.
+
+    Equal sets are one point. Candidates are pairs that meet at an anchor within `bits` bits. A spanning forest of them per
+    anchor is verified first; then every candidate pair whose points are not in one verified class yet. So near copies of
+    one text cost a tree, and every candidate is either verified or in one class. Nulls as in `simhash_groups`.
+    """
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    marked = shingle_sets(rows, shingle).persist()
+    points = marked.groupBy("point").agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"), F.first("margin").alias("margin")).persist()
+    n = points.count()
+    code = Soft(n)
+    buckets = max(64, int(n * code.replicas * 40 / 1.6e7))
+    tree = cut(candidates(points.withColumn("label", F.col("point")), code, bits, buckets, False))
+    met = tree.select(F.explode(F.array("a", "b")).alias("point")).distinct()
+    some = points.join(met, "point", "left_semi").persist()
+    texts = rows.join(some.select("text_hash"), "text_hash", "left_semi")
+    sets = written(shingle_sets(texts, shingle, with_set=True).dropDuplicates(["point"]), "shingle-sets")
+    links = cut(verified(tree, sets, similarity))
+    classes = components(links)
+    labelled = some.join(classes, some["point"] == classes["node"], "left").select("point", "fp", "margin", F.coalesce("component", "point").alias("label"))
+    rest = candidates(labelled, code, bits, buckets, True).join(tree, ["a", "b"], "left_anti")
+    links = links.unionByName(cut(verified(rest, sets, similarity)))
+    parts = components(links)
+    grouped = points.select("point", "first").join(parts, points["point"] == parts["node"], "left").select("point", "first", F.coalesce("component", "point").alias("group"))
+    least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
+    label = grouped.join(least, "group").select("point", "component_id")
+    return marked.join(label, "point").select("doc_id", "point", "component_id")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))

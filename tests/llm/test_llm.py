@@ -361,3 +361,63 @@ def test_pipeline(spark, tmp_path):
     assert len(corpus_pipeline.STAGES) == 5 and all(s.columns == list(corpus_pipeline.DOCUMENT) for s in seen[:4])
     assert not {i for i in ids[0] if i % 4 == 0 and i < 1000} and ids[1] <= ids[0] and not ids[1] & {1001, 1002, 1003} and ids[4] == ids[3]
     assert seen[4].where("not exact").count() == 0
+
+
+def edited(r, sizes, edits):
+    """Texts in pairs: a text and a copy with some of its words, far apart, replaced."""
+    texts = []
+    for size, k in zip(sizes, edits, strict=True):
+        w = [f"w{r.randrange(3000)}" for _ in range(size)]
+        v = list(w)
+        for at in range(k):
+            v[at * size // max(k, 1) + 7] = f"edited{r.randrange(10**9)}"
+        texts += [" ".join(w), " ".join(v)]
+    return texts
+
+
+def jaccard(x, y, k=corpus_pipeline.SHINGLE):
+    a, b = ({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for w in (x.split(), y.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_pipeline_near_copies_are_verified(spark):
+    """With the pipeline's parameters: pairs from 0.66 to 0.9, nearly all at 0.8 and over link and none below."""
+    texts = edited(random.Random(4), [300] * 300, [3 + i % 9 for i in range(300)])
+    alike = np.array([jaccard(texts[2 * i], texts[2 * i + 1]) for i in range(300)])
+    groups = simhash.similar_groups(frame(spark, list(enumerate(texts))), corpus_pipeline.SHINGLE, corpus_pipeline.SIMILARITY, corpus_pipeline.NEAR_BITS)
+    got = {x["doc_id"]: x["component_id"] for x in groups.collect()}
+    joined = np.array([got[2 * i + 1] == 2 * i for i in range(300)])
+    assert all(got[2 * i] == 2 * i for i in range(300)) and (alike < 0.8).sum() > 100
+    assert not joined[alike < 0.8].any() and joined[alike >= 0.8].mean() >= 0.97
+
+
+def test_pipeline_chains_and_clusters_of_near_copies(spark):
+    """A cluster whose members only reach each other over others, beside sets equal in all but order and unlinked texts."""
+    r = random.Random(5)
+    w = [f"w{r.randrange(3000)}" for _ in range(300)]
+    texts = []
+    for k in range(40):
+        v = list(w)
+        for at in range(k):
+            v[7 * at + 3] = f"e{at}"
+        texts.append(" ".join(v))
+    texts += [None, "", "one", "One", *edited(r, [250] * 3, [0] * 3)]
+    pairs = [(i, j) for i in range(40) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    roots = union_find([*pairs, (40, 41), (42, 43), (44, 45), (46, 47), (48, 49)], range(len(texts)))
+    got = simhash.similar_groups(frame(spark, list(enumerate(texts)))).collect()
+    assert {x["doc_id"]: x["component_id"] for x in got} == roots
+
+
+@pytest.mark.parametrize("points", [10**4, 3 * 10**6, 10**7])
+def test_soft_anchors_keep_recall_at_every_size(points):
+    """Simulated pairs at similarity 0.8, other draws than those that the visits are measured on."""
+    code, r, n = simhash.Soft(points), np.random.default_rng(points), 1000
+    x = r.standard_normal((n, 128))
+    sides = x, 8 / 9 * x + np.sqrt(1 - 64 / 81) * r.standard_normal((n, 128))
+    fps = [simhash.packed(s > 0) for s in sides]
+    met = np.zeros(n, bool)
+    for here, there in ((0, 1), (1, 0)):
+        rows, where = code.anchors(fps[here], np.minimum(np.abs(sides[here]) * 32, 255).astype(np.uint8))
+        for t in range(code.tables):
+            np.logical_or.at(met, rows, where == code.home(fps[there], t)[rows])
+    assert met.mean() >= 0.96
