@@ -32,11 +32,14 @@ def site_allele_likelihood(gl: DataFrame) -> DataFrame:
 
 def sfs_em(saf: DataFrame, rounds: int = 20, tol: float = 1e-6) -> DataFrame:
     """Maximum-likelihood spectrum (bin, n) by EM over sites: a round sums the posterior arrays; the spectrum itself, 2n + 1
-    numbers, is what travels between rounds."""
-    saf = saf.persist()
+    numbers, is what travels between rounds. Samples without a row at a site have a flat likelihood there, so every site counts."""
     first = saf.select(F.size("saf").alias("k"), F.lit(1).alias("one")).agg(F.max("k").alias("k"), F.count("one").alias("sites")).first()
     if not first["sites"]:
         return saf.sparkSession.createDataFrame([], "bin int, n double")
+    # one chromosome more of unknown state: of m + 1 with j derived, the unknown one is derived in j / (m + 1) of all cases
+    wider = lambda a: F.transform(F.sequence(F.lit(0), F.size(a)), lambda j: ((F.size(a) - j) * F.coalesce(F.get(a, j), F.lit(0.0)) + j * F.when(j >= 1, F.get(a, F.greatest(j - 1, F.lit(0)))).otherwise(0.0)) / F.size(a))
+    short = F.size("saf") < first["k"]
+    saf = saf.select(F.when(short, F.aggregate(F.sequence(F.size("saf"), F.greatest(F.size("saf"), F.lit(first["k"] - 1))), F.col("saf"), lambda a, _: wider(a))).otherwise(F.col("saf")).alias("saf")).persist()
     p = [1.0 / first["k"]] * first["k"]
     for _ in range(rounds):
         weighted = F.zip_with("saf", F.array(*(F.lit(v) for v in p)), lambda a, b: a * b)

@@ -505,7 +505,7 @@ def rename_pair_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def admixture_em(spark: SparkSession, d: str) -> DataFrame:
-    return P.admixture_em(likelihoods(spark, d), 2, 1, 1, 2)[0]
+    return P.admixture_em(likelihoods(spark, d), 2, 1, 1)[0]
 
 
 # spectra
@@ -566,7 +566,7 @@ def site_allele_likelihood(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def sfs_em(spark: SparkSession, d: str) -> DataFrame:
-    return X.sfs_em(X.site_allele_likelihood(likelihoods(spark, d).where("sample_id in ('S1', 'S2', 'S3', 'S4')")), 5)
+    return X.sfs_em(X.site_allele_likelihood(likelihoods(spark, d)))
 
 
 @query()
@@ -578,7 +578,7 @@ def ld_prune(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def admixture_residual_corr(spark: SparkSession, d: str) -> DataFrame:
     gl = likelihoods(spark, d)
-    q, f, _ = P.admixture_em(gl, 2, 1, 1, 2)
+    q, f, _ = P.admixture_em(gl, 2, 1, 1)
     return P.admixture_residual_corr(gl.withColumnRenamed("gl", "gp"), q, f)
 
 

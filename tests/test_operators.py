@@ -192,3 +192,22 @@ def test_text_sources(spark, tmp_path):
     writers.write_fasta(spark.createDataFrame([("c", "A" * 100)], "contig string, seq string"), str(tmp_path / "out.fa"))
     assert sorted(map(len, "".join(p.read_text() for p in (tmp_path / "out.fa").glob("part*")).split())) == [2, 20, 80]
     assert F is not None
+
+
+def test_spectrum_em_counts_sites_with_fewer_samples(spark):
+    """Against EM over likelihood arrays in which absent samples are flat."""
+    r, rows, safs = random.Random(2), [], []
+    for p in range(20):
+        z = np.ones(1)
+        for s in range(5):
+            gl = [r.random() for _ in range(3)] if s < 2 + p % 4 else [1.0, 1.0, 1.0]
+            if s < 2 + p % 4:
+                rows.append(("c", p, f"s{s}", gl))
+            z = np.convolve(z, np.array(gl) * [1, 2, 1])
+        safs.append(z / [math.comb(10, j) for j in range(11)])
+    want = np.full(11, 1 / 11)
+    for _ in range(20):
+        post = np.array(safs) * want
+        want = (post / post.sum(1, keepdims=True)).mean(0)
+    em = {x["bin"]: x["n"] for x in X.sfs_em(X.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")), tol=0.0).collect()}
+    assert np.allclose([em[j] for j in range(11)], 20 * want) and abs(sum(em.values()) - 20) < 1e-6
