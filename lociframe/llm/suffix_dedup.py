@@ -13,6 +13,8 @@ bounded number:
    all segments at once and updates order and common prefixes; a window repeats if a neighbour in its column shares
    `length` bytes with it. Rounds are bounded by the segment's length. The sequential files of the external algorithm are
    Spark's shuffled rows.
+3. An anchor with more than `hot` distinct segments would be one large group. Its windows are told apart by 128 bits of hash
+   instead, as whole segments are in step 1, and dealt by them: only equal windows meet, once per group of documents.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ from lociframe.llm.frames import table
 
 U64 = A.U64
 KEY = np.dtype([("anchor", "<u8"), ("segment", "<u8")])
+WINDOW = np.dtype([("anchor", "<u8"), ("window", "<u8")])
 HEAD = np.dtype([("anchor", "<u8"), ("left", "<i4"), ("starts", "<i4")])
-SEND, FLAG = 1, 2
+SEND, FLAG, HOT = 1, 2, 4
 
 
 class Group:
@@ -75,6 +78,26 @@ class Group:
     def codes(self, answered: pa.Table) -> np.ndarray:
         return np.frombuffer(X.answers(answered, 0), np.uint8)
 
+    def window_starts(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every window start of these occurrences of segments, and the row of `which` it belongs to."""
+        count = self.count[which]
+        owner = np.repeat(np.arange(len(which)), count)
+        return self.begin[which][owner] + np.arange(int(count.sum())) - (np.cumsum(count) - count)[owner], owner
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of the segments keys[chosen]: starts, each one's distinct window, the distinct windows in order of their hash,
+        and how often each stands in the segments."""
+        starts, owner = self.window_starts(self.sample[chosen])
+        found = np.empty(len(starts), WINDOW)
+        found["anchor"] = self.keys["anchor"][chosen][owner]
+        found["window"] = A.mix(A.span_hash(self.prefix, starts, starts + self.length) ^ A.GRAM)
+        order = np.lexsort((found["anchor"], found["window"]))
+        s = found[order]
+        head = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
+        entry = np.empty(len(s), np.int64)
+        entry[order] = np.cumsum(head) - 1
+        return starts, entry, s[head], np.bincount(entry, minlength=int(head.sum()))
+
     def blob(self, chosen: np.ndarray):
         """Renders the segments keys[chosen][slice]: count, heads, then their bytes."""
 
@@ -173,12 +196,13 @@ def repeated_columns(heads: np.ndarray, body: np.ndarray, length: int) -> np.nda
     return flags
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 32, carry: tuple[str, ...] = ()) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 32, carry: tuple[str, ...] = (), hot: int = 4096) -> DataFrame:
     """Rows (doc_id, carried columns, kept binary, n_bytes, n_removed, n_spans), one per row of `docs`.
 
     A byte goes if a `length`-byte string that covers it also starts anywhere else, in the same document or another;
     strings are judged on the input. Null texts are empty; shorter texts lose nothing; repeated rows repeat each other, so
-    all of their strings go; an empty table gives no rows. Segments are told apart by 128 bits of hash.
+    all of their strings go; an empty table gives no rows. Segments, and windows of anchors with more than `hot` distinct
+    segments, are told apart by 128 bits of hash.
     """
     grouped, size = X.grouped_text(docs, id_col, text_col, carry)
     buckets = X.buckets_for(size)
@@ -197,17 +221,34 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         new_segment = new_anchor | np.concatenate([[True], s["segment"][1:] != s["segment"][:-1]])
         anchor, segment = np.cumsum(new_anchor) - 1, np.cumsum(new_segment) - 1
         kinds = np.bincount(anchor[new_segment])  # distinct segments of each anchor
-        code = np.where(new_segment & (kinds[anchor] > 1), SEND, 0) | np.where(np.bincount(segment)[segment] > 1, FLAG, 0)
+        code = np.where(new_segment & (kinds[anchor] > 1), np.where(kinds[anchor] > hot, HOT, SEND), 0) | np.where(np.bincount(segment)[segment] > 1, FLAG, 0)
         out = np.empty(len(e), np.uint8)
         out[order] = code
         return X.answer_rows(0, key[0].as_py(), rows.column("g").to_pylist(), [out[x].tobytes() for x in X.split_lengths(sizes)])
 
     def second(rows: pa.Table, answered: pa.Table) -> pa.Table:
         g = Group(rows, length, gram)
-        chosen = np.flatnonzero(g.codes(answered) & SEND)
-        return X.ask(rows.column("g")[0].as_py(), chosen, g.keys["anchor"][chosen], buckets, g.blob(chosen))
+        codes, group = g.codes(answered), rows.column("g")[0].as_py()
+        chosen = np.flatnonzero(codes & SEND)
+        sent = X.ask(group, chosen, g.keys["anchor"][chosen], buckets, g.blob(chosen))
+        distinct = g.windows(np.flatnonzero(codes & HOT))[2]
+        asked = X.ask(group, distinct, distinct["window"], buckets)
+        moved = pa.array(asked.column("bucket").to_numpy() + buckets, pa.int32())  # buckets of windows follow those of segments
+        return pa.concat_tables([sent, asked.set_column(0, "bucket", moved)])
+
+    def compare_windows(bucket: int, rows: pa.Table) -> pa.Table:
+        payloads = rows.column("payload").to_pylist()
+        e = np.frombuffer(b"".join(payloads), WINDOW)
+        order = np.lexsort((e["anchor"], e["window"]))
+        s = e[order]
+        window = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]])) - 1
+        out = np.empty(len(e), np.uint8)
+        out[order] = np.bincount(window)[window] > 1
+        return X.answer_rows(2, bucket, rows.column("g").to_pylist(), [out[x].tobytes() for x in X.split_lengths([len(p) // WINDOW.itemsize for p in payloads])])
 
     def columns(key: tuple, rows: pa.Table) -> pa.Table:
+        if key[0].as_py() >= buckets:
+            return compare_windows(key[0].as_py(), rows)
         heads, bodies, counts = [], [], []
         for p in rows.column("payload").to_pylist():
             n = int(np.frombuffer(p, np.int64, 1)[0])
@@ -236,6 +277,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yes = np.unpackbits(np.frombuffer(replies[b], np.uint8))[: int(count.sum())].astype(bool)
             at = np.repeat(g.begin[which] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
             starts[at[yes]] = True
+        at, entry, distinct, times = g.windows(np.flatnonzero(codes & HOT))
+        elsewhere = np.frombuffer(X.answers(answered, 2), np.uint8).astype(bool)
+        starts[at[((times > 1) | elsewhere)[entry]]] = True
         gone = A.cover(starts, length, n)
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]

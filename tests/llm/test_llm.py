@@ -421,3 +421,22 @@ def test_soft_anchors_keep_recall_at_every_size(points):
         for t in range(code.tables):
             np.logical_or.at(met, rows, where == code.home(fps[there], t)[rows])
     assert met.mean() >= 0.96
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_suffix_dedup_of_hot_anchors(spark, hot):
+    """A passage amid differing text: its anchors have a segment per document, told apart window by window."""
+    r = random.Random(6)
+    line = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    shared = line(60)
+    texts = [line(r.randint(0, 60)) + shared[r.randint(0, 15) :] + line(r.randint(0, 60)) for _ in range(60)] + [shared + shared, line(90)]
+    docs = frame(spark, list(enumerate(texts)))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    seen = {}
+    for t in texts:
+        for i in range(len(t) - 39):
+            seen[t[i : i + 40]] = seen.get(t[i : i + 40], 0) + 1
+    gone = [{j for i in range(len(t) - 39) if seen[t[i : i + 40]] > 1 for j in range(i, i + 40)} for t in texts]
+    got = sorted(suffix_dedup.suffix_dedup(docs, length=40, gram=8, hot=hot).select(*columns).collect())
+    assert [(x["doc_id"], x["n_removed"], bytes(x["kept"]).decode()) for x in got] == [(i, len(g), "".join(c for j, c in enumerate(t) if j not in g)) for i, (t, g) in enumerate(zip(texts, gone, strict=True))]
+    assert got == sorted(suffix_dedup.suffix_dedup(docs, length=40, gram=8).select(*columns).collect())
