@@ -374,16 +374,16 @@ def ld_r2_pairs(gt: DataFrame, window: int) -> DataFrame:
     return pairs.groupBy("chrom", "pos_a", "pos_b").agg(n.alias("n"), F.when((vx > 0) & (vy > 0), cov * cov / (vx * vy)).alias("r2")).where("r2 is not null and n >= 2")
 
 
-def ld_prune(pairs: DataFrame, sites: DataFrame, r2: float = 0.2, rounds: int = 50) -> DataFrame:
+def ld_prune(pairs: DataFrame, sites: DataFrame, r2: float = 0.2) -> DataFrame:
     """Sites (chrom, pos, priority) kept by greedy pruning: in order of priority (then position), a kept site removes its
     neighbours with r2 above the threshold. Each round keeps the local maxima and drops their neighbours, which gives the
-    sequential result; rounds are cut by checkpoints."""
+    sequential result; rounds are cut by checkpoints and go on until every site is kept or removed."""
     ensure_checkpoint_dir(pairs.sparkSession)
     edges = pairs.where(F.col("r2") > r2).select("chrom", F.col("pos_a").alias("pos"), F.col("pos_b").alias("other"))
     edges = edges.unionByName(edges.select("chrom", F.col("other").alias("pos"), F.col("pos").alias("other"))).persist()
     place = F.struct(F.col("priority").alias("p"), (-F.col("pos")).alias("n"))
     left, kept = sites.select("chrom", "pos", place.alias("rank")).checkpoint(), []
-    for _ in range(rounds):
+    while True:  # a round settles at least the highest site left of every contig
         best = edges.join(left.select("chrom", F.col("pos").alias("other"), F.col("rank").alias("other_rank")), ["chrom", "other"]).groupBy("chrom", "pos").agg(F.max("other_rank").alias("m"))
         tops = left.join(best, SITE, "left").where("m is null or rank > m").select(*SITE).checkpoint()
         kept.append(tops)

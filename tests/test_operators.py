@@ -211,3 +211,10 @@ def test_spectrum_em_counts_sites_with_fewer_samples(spark):
         want = (post / post.sum(1, keepdims=True)).mean(0)
     em = {x["bin"]: x["n"] for x in X.sfs_em(X.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")), tol=0.0).collect()}
     assert np.allclose([em[j] for j in range(11)], 20 * want) and abs(sum(em.values()) - 20) < 1e-6
+
+
+def test_prune_settles_a_long_chain(spark):
+    """Tied priorities along a chain: every second site stays, past any number of rounds."""
+    sites, pairs = [("c", p, 0) for p in range(106)], [("c", p, p + 1, 0.9) for p in range(105)]
+    got = Q.ld_prune(spark.createDataFrame(pairs, "chrom string, pos_a long, pos_b long, r2 double").coalesce(1), spark.createDataFrame(sites, "chrom string, pos long, priority int").coalesce(1))
+    assert {x["pos"] for x in got.collect()} == set(range(0, 106, 2))
