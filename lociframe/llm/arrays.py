@@ -33,14 +33,14 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """MULT**i and MULT**-i for i < n (kept between batches up to 16 M entries)."""
+    """MULT**i and MULT**-i for i < n (kept between batches up to 2 M entries)."""
     up, down = _powers["up"], _powers["down"]
     if len(up) < n:
         size = max(n, 1 << 20)
         up, down = np.full(size, MULT, U64), np.full(size, MULT_INV, U64)
         up[0] = down[0] = U64(1)
         up, down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
-        if size <= 1 << 24:
+        if size <= 1 << 21:
             _powers.update(up=up, down=down)
     return up[:n], down[:n]
 
@@ -72,6 +72,15 @@ def pieces(data: np.ndarray, offs: np.ndarray, limit: int = 1 << 21) -> Iterator
         a = b
 
 
+def positions(raw: bytes, mark: bytes) -> np.ndarray:
+    """Where `mark` stands in `raw`."""
+    out, at = [], raw.find(mark)
+    while at >= 0:
+        out.append(at)
+        at = raw.find(mark, at + 1)
+    return np.array(out, np.int64)
+
+
 def count_between(flags: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Number of set flags in each [offs[i], offs[i+1])."""
     total = np.zeros(len(flags) + 1, np.int64)

@@ -17,7 +17,6 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +25,8 @@ from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
 from lociframe.llm.frames import table, text_size, written
+from lociframe.llm.wordtable import WordTable, distinct, runs, word_keys
+from lociframe.llm.workers import keeping, tidied
 
 MAGIC = 0x31524650
 BLOCK = 128
@@ -35,6 +36,12 @@ STOP = np.zeros(256, bool)
 STOP[list(b".,")] = True
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
+#: Kinds of parts: a word after a space, a word after anything else, white space.
+SPACED, ALONE, SPACES = 0, 1, 2
+# fixed values: UTF-8 of white space beyond ASCII: U+0085, U+00A0, U+1680, U+205F, U+3000; U+2000 to U+200A, U+2028, U+2029 and U+202F by their third byte
+WIDE_SPACES = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+WIDE_THIRD = np.zeros(256, bool)
+WIDE_THIRD[[*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] = True
 CHUNKS = "shard int, chunk long, start_in_shard long, n_ids long, doc_ids array<long>, n_tokens array<long>, payload binary"
 
 
@@ -99,17 +106,18 @@ def unpack(payload: bytes) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, with a bounded memory of what parts of texts encode to.
+    """Ids of texts by the tokenizers library, with a bounded memory of what words encode to.
 
-    A byte-level tokenizer splits a text into pre-tokens and encodes each alone, so the library is asked once per distinct
-    pre-token, and texts are put together from their parts between single spaces. Other tokenizers, texts with runs of
-    spaces and texts that hold an added token go to the library whole.
+    A byte-level tokenizer splits a text into pre-tokens and encodes each alone, and a run of white space ends before the
+    last of its characters, which opens the next pre-token if it is a space. So texts are put together from their words and
+    white-space runs, and the library is asked once per distinct one, many in a row. Other tokenizers, texts with white space
+    beyond ASCII and texts that hold an added token go to the library whole.
     """
 
-    BOUND = 400_000
+    #: Words remembered, at about 45 bytes each.
+    BOUND = 800_000
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -118,137 +126,125 @@ class Encoder:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.parts_alone = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and spec["model"].get("type") == "BPE"
-        self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        # fixed value: the pattern by which byte-level tokenizers split texts
-        self.split = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
-        self.spaced = np.zeros(self.library.get_vocab_size(), bool)
-        self.spaced[[i for t, i in self.library.get_vocab().items() if t.startswith("\u0120")]] = True
-        self.known: list[dict[str, bytes]] = [{}, {}]  # parts after a space: this generation, the one before
-        self.tokens: list[dict[str, bytes]] = [{}, {}]  # pre-tokens
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, texts: list[str]) -> list[bytes]:
-        """Ids of pre-tokens that start with a space, many at once: a token that starts with a space starts the next."""
-        joined = ["".join(texts[a : a + 256]) for a in range(0, len(texts), 256)]
-        out: list[bytes] = []
-        for k, e in enumerate(self.library.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
-            some = texts[256 * k : 256 * k + 256]
-            if len(cuts) == len(some):
-                raw = ids.tobytes()
-                out += [raw[i:j] for i, j in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
-            else:  # the library splits one of them further
-                out += self.whole(some)
-        return out
-
-    def _bound(self, generations: list[dict[str, bytes]]) -> None:
-        if len(generations[0]) > self.BOUND:
-            generations[1], generations[0] = generations[0], {}
-
-    def _split(self, text: str) -> list[str]:
-        if text[1:].isalpha() and text[0] == " ":
-            return [text]
-        if text[-1:] in (".", ",") and text[0] == " " and text[1:-1].isalpha():
-            return [text[:-1], text[-1]]
-        return self.split(text)
-
-    def _by_pretokens(self, texts: list[str]) -> list[bytes]:
-        new, old = self.tokens
-        split = [self._split(t) for t in texts]
-        spaced, others = [], []
-        for p in {p for s in split for p in s if p not in new}:
-            if p in old:
-                new[p] = old[p]
-            elif p[0] == " " and p[1:].isalpha():
-                spaced.append(p)
-            else:
-                others.append(p)
-        new.update(zip(spaced, self._words(spaced), strict=True))
-        new.update(zip(others, self.whole(others), strict=True))
-        out = [new[s[0]] if len(s) == 1 else b"".join(map(new.__getitem__, s)) for s in split]
-        self._bound(self.tokens)
-        return out
+        self.added = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        vocabulary = self.library.get_vocab()
+        self.opens = [np.zeros(max(vocabulary.values()) + 1, bool) for _ in range(2)]
+        self.opens[SPACED][[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.opens[ALONE][[i for t, i in vocabulary.items() if t == "\u010a"]] = True
+        self.known = WordTable(self.BOUND)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _asked(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word) of words of one kind, many in a row: each opened by a space, or by a line feed that is a pre-token
+        of its own and taken out again."""
+        size = end - start + 1
+        joined = data[np.maximum(runs(start - 1, size), 0)]
+        joined[np.cumsum(size) - size] = 32 if kind == SPACED else 10
+        stops = np.concatenate([[0], np.cumsum(size)])
+        heads = np.arange(0, len(start), 512)
+        raw = joined.tobytes()
+        texts = [raw[stops[a] : stops[min(a + 512, len(start))]].decode() for a in heads.tolist()]
+        ids, sizes = [], []
+        for a, e in zip(heads.tolist(), self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            got = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(self.opens[kind][got])
+            n = min(512, len(start) - a)
+            if len(cuts) == n:
+                sizes.append(np.diff(np.append(cuts, len(got))) - (kind == ALONE))
+                ids.append(got if kind == SPACED else np.delete(got, cuts))
+            else:  # a word that the library splits in another way
+                mark = " " if kind == SPACED else ""
+                each = self.whole([mark + data[i:j].tobytes().decode() for i, j in zip(start[a : a + n].tolist(), end[a : a + n].tolist(), strict=True)])
+                sizes.append(np.array([len(x) for x in each]))
+                ids += each
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def _spaces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per run) of runs of white space."""
+        each = self.whole([data[i:j].tobytes().decode() for i, j in zip(start.tolist(), end.tolist(), strict=True)])
+        return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(x) for x in each], np.int64)
+
+    def _odd(self, raw: bytes, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Texts that go to the library whole. What spans two texts sends one more."""
+        odd = np.full(len(offs) - 1, not self.parts_alone)
+        if not self.parts_alone:
+            return odd
+        at = [A.positions(raw, mark) for mark in (*self.added, *WIDE_SPACES)]
+        dashes = A.positions(raw, b"\xe2\x80")
+        at.append(dashes[WIDE_THIRD[data[np.minimum(dashes + 2, len(data) - 1)]]])
+        odd[np.searchsorted(offs, np.concatenate(at), "right") - 1] = True
+        return odd
 
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, ids per text) for texts given as bytes and offsets.
-
-        Parts between single spaces are told apart by 64-bit hashes and lengths, looked up once per distinct part, and
-        their ids are put in place for all texts at once.
-        """
-        n = len(offs) - 1
+        """(ids of all texts in a row, ids per text) for texts given as bytes and offsets."""
         raw = data.tobytes()
-        odd = np.zeros(n, bool)
-        for mark in ["  ", *self.added] if self.parts_alone else []:
-            at = raw.find(mark.encode())
-            while at >= 0:  # may span two texts; then one more goes to the library whole
-                odd[np.searchsorted(offs, at, "right") - 1] = True
-                at = raw.find(mark.encode(), at + 1)
-        odd |= not self.parts_alone
-        texts = [raw[a:b].decode() for a, b in zip(offs[:-1][odd].tolist(), offs[1:][odd].tolist(), strict=True)]
-        spaces = np.flatnonzero(data == 32)
-        owner = np.searchsorted(offs, spaces, "right") - 1
-        spaces, owner = spaces[~odd[owner]], owner[~odd[owner]]
-        plain = np.flatnonzero(~odd)
-        # a comma or full stop after a letter, at a part's end, is a pre-token of its own
-        stops = np.flatnonzero(STOP[data[1:]] & LETTER[data[:-1]]) + 1
-        last = np.zeros(len(data) + 1, bool)
-        last[spaces], last[offs[1:]] = True, True
-        within = np.searchsorted(offs, stops, "right") - 1
-        fine = last[stops + 1] & ~odd[within] & (stops > offs[within])
-        stops, within = stops[fine], within[fine]
-        starts = np.sort(np.concatenate([offs[:-1][plain], spaces + 1, stops]))
-        ends = np.sort(np.concatenate([spaces, offs[1:][plain], stops]))
-        doc = np.sort(np.concatenate([plain, owner, within]))
-        head = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
-        head[np.searchsorted(starts, stops)] = True
-        key = A.span_hash(A.byte_prefix(data), starts, ends)
-        key[head] = A.mix(key[head] ^ A.GRAM)  # a text's first part and such marks have no space before them
-        which, distinct = pd.factorize(key)
-        first = np.empty(len(distinct), np.int64)
-        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-        words = [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        new, old = self.known
-        found: list[bytes | None] = [None] * len(words)
-        ask, leading = [], []
-        for i, (w, h) in enumerate(zip(words, head[first].tolist(), strict=True)):
-            if h:
-                leading.append(i)
-            elif (got := new.get(w)) is not None:
-                found[i] = got
-            elif (got := old.get(w)) is not None:
-                new[w] = found[i] = got
-            else:
-                ask.append(i)
-        for i, ids in zip(ask, self._by_pretokens([" " + words[i] for i in ask]), strict=True):
-            new[words[i]] = found[i] = ids
-        for i, ids in zip(leading, self._by_pretokens([words[i] for i in leading]), strict=True):
-            found[i] = ids
-        self._bound(self.known)
-        size = np.array([len(x) // 4 for x in found], np.int64)
-        pool, at = np.frombuffer(b"".join(found), np.uint32), np.cumsum(size) - size
-        # whole texts stand after the parts' ids in the pool, as parts of their own
-        whole = [np.frombuffer(x, np.uint32) for x in self.whole(texts)]
-        doc = np.concatenate([doc, np.flatnonzero(odd)])
-        size_of = np.concatenate([size[which], np.array([len(x) for x in whole], np.int64)])
-        start_of = np.concatenate([at[which], len(pool) + np.cumsum([0, *(len(x) for x in whole)])[:-1].astype(np.int64)])
-        pool = np.concatenate([pool, *whole])
-        order = np.argsort(doc, kind="stable")
-        size_of, start_of, doc = size_of[order], start_of[order], doc[order]
-        out = np.repeat(start_of - (np.cumsum(size_of) - size_of), size_of) + np.arange(int(size_of.sum()))
-        return pool[out], np.bincount(doc, size_of, n).astype(np.int64)
-
-
-#: One per tokenizer in a worker process, kept between its tasks; what it remembers is bounded.
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        odd = self._odd(raw, data, offs)
+        w = A.Words(data, offs)
+        # white space before each word, and after the last word of each text
+        lead = w.start.copy()
+        if len(lead):
+            lead[1:] -= w.end[:-1]
+            heads = w.first[:-1][w.count > 0]
+            lead[heads] = w.start[heads] - offs[w.doc[heads]]
+        last = offs[:-1].copy()
+        last[w.count > 0] = w.end[w.first[1:][w.count > 0] - 1]
+        opened = np.zeros(len(w.start), bool)
+        opened[lead > 0] = data[w.start[lead > 0] - 1] == 32
+        # a comma or full stop after a letter, at a word's end, is a pre-token of its own
+        before = data[np.maximum(w.end - 2, 0)]
+        stop = STOP[data[w.end - 1]] & LETTER[before] & (w.end - w.start > 1)
+        runs_of = np.flatnonzero(lead > 1), np.flatnonzero((lead > 0) & ~opened), np.flatnonzero(last < offs[1:])
+        start = np.concatenate([w.start, w.end[stop] - 1, (w.start - lead)[runs_of[0]], w.start[runs_of[1]] - 1, last[runs_of[2]]])
+        end = np.concatenate([w.end - stop, w.end[stop], w.start[runs_of[0]] - 1, w.start[runs_of[1]], offs[1:][runs_of[2]]])
+        doc = np.concatenate([w.doc, w.doc[stop], w.doc[runs_of[0]], w.doc[runs_of[1]], runs_of[2]])
+        kind = np.full(len(start), SPACES, np.uint8)
+        kind[: len(opened)], kind[len(opened) : len(opened) + int(stop.sum())] = np.where(opened, SPACED, ALONE), ALONE
+        plain = np.flatnonzero(~odd[doc])
+        order = plain[np.argsort(start[plain], kind="stable")]
+        start, end, doc, kind = start[order], end[order], doc[order], kind[order]
+        # longer words are named by their number in a batch
+        names, short = word_keys(data, start, end, kind)
+        longer: dict[tuple[bytes, int], int] = {}
+        for i in np.flatnonzero(~short).tolist():
+            names[i] = longer.setdefault((raw[start[i] : end[i]], int(kind[i])), len(longer)), 255 << 56
+        which, first, hashes = distinct(names)
+        names, kind, short = names[first], kind[first], short[first]
+        at = np.full(len(first), -1)
+        at[short] = self.known.find(names[short], hashes[short])
+        size, begin = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        there = at >= 0
+        size[there], begin[there] = self.known.size[at[there]], self.known.start[at[there]]
+        pools = [self.known.pool]
+        base = len(self.known.pool)
+        new_rows, new_ids = [], []
+        for k in (SPACED, ALONE, SPACES):
+            ask = np.flatnonzero(~there & (kind == k))
+            if len(ask):
+                spans = data, start[first[ask]], end[first[ask]]
+                ids, n = self._spaces(*spans) if k == SPACES else self._asked(*spans, k)
+                size[ask], begin[ask] = n, base + np.cumsum(n) - n
+                base += len(ids)
+                pools.append(ids)
+                new_rows.append(ask)
+        pool = np.concatenate(pools)
+        if new_rows:
+            new = np.concatenate(new_rows)
+            new = new[short[new]]
+            new_ids = pool[runs(begin[new], size[new])]
+            self.known.add(names[new], hashes[new], size[new], new_ids)
+        # whole texts stand after the words' ids in the pool, as parts of their own
+        whole = self.whole([raw[a:b].decode() for a, b in zip(offs[:-1][odd].tolist(), offs[1:][odd].tolist(), strict=True)])
+        whole_size = np.array([len(x) for x in whole], np.int64)
+        size_of, start_of = size[which], begin[which]
+        if len(whole):
+            doc = np.concatenate([doc, np.flatnonzero(odd)])
+            size_of, start_of = np.concatenate([size_of, whole_size]), np.concatenate([start_of, len(pool) + np.cumsum(whole_size) - whole_size])
+            pool = np.concatenate([pool, *whole])
+            order = np.argsort(doc, kind="stable")
+            size_of, start_of, doc = size_of[order], start_of[order], doc[order]
+        return pool[runs(start_of, size_of)], np.bincount(doc, size_of, len(offs) - 1).astype(np.int64)
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16_000_000, max_shards: int = 100_000) -> DataFrame:
@@ -260,8 +256,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
     shards = min(max_shards, max(16, -(-size // shard_bytes)))
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer)
+    @keeping(("tokens", tokenizer), lambda: Encoder(tokenizer))
+    def encode(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         end = np.uint32(end_id).tobytes()
         chunk, start = 0, 0
@@ -302,6 +298,7 @@ def read_tokens(chunks: DataFrame) -> DataFrame:
     before = shards.select(F.col("shard").alias("s"), F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("before"))
     joined = chunks.join(F.broadcast(before), F.col("shard") == F.col("s")).select("doc_ids", "n_tokens", "payload", (F.col("before") + F.col("start_in_shard")).alias("start"))
 
+    @tidied
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
