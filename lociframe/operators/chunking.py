@@ -1,7 +1,7 @@
 """Balanced chunks of weighted intervals.
 
-The order is genome order; prefix sums run per contig and are shifted by the totals of the contigs before, of which there
-is one row each. Cuts are found by one window over candidate boundaries, not by a loop over intervals.
+The order is genome order; prefix sums run in tiles of a contig and are shifted by the totals of the contigs before, of
+which there is one row each. Cuts are found by one window over candidate boundaries, not by a loop over intervals.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import make_windows, map_sum, merge
+from lociframe.operators.tiles import running, tile_of
 
 
 def with_prefix(iv: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -19,8 +20,8 @@ def with_prefix(iv: DataFrame, contigs: DataFrame) -> DataFrame:
     # one row per contig
     all_contigs = W.partitionBy(F.lit(0)).orderBy("__rank").rowsBetween(W.unboundedPreceding, -1)
     shift = totals.select("chrom", F.coalesce(F.sum("__w").over(all_contigs), F.lit(0)).alias("__shift"), F.coalesce(F.sum("__n").over(all_contigs), F.lit(0)).alias("__shift_n"), F.sum("__w").over(W.partitionBy(F.lit(0))).alias("total"))
-    order = W.partitionBy("chrom").orderBy("start", "end")
-    inner = iv.withColumns({"__before": F.coalesce(F.sum("weight").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "__i": F.row_number().over(order) - 1})
+    both = running(iv, "__sums", "sum", F.col("weight"), ["start", "end", "weight"], tile_of("start")).withColumn("__before", F.coalesce("__sums", F.lit(0)))
+    inner = running(both, "__n", "sum", F.lit(1), ["start", "end", "weight"], tile_of("start")).withColumn("__i", F.coalesce("__n", F.lit(0)))
     joined = inner.join(shift, "chrom")
     return joined.select(*iv.columns, (F.col("__before") + F.col("__shift")).alias("before"), (F.col("__i") + F.col("__shift_n")).alias("place"), "total")
 
@@ -30,7 +31,7 @@ def chunk_balanced(iv: DataFrame, contigs: DataFrame, target: float) -> DataFram
 
     Cut j goes where the running weight is nearest to j * total / K, ties earlier; each chunk holds at least one positive
     interval, so a cut that would not advance moves on by one: b'_j = j + max over i <= j of (b_i - i). Intervals of weight
-    zero stay in the open chunk. The cut table has K rows and is joined by position.
+    zero stay in the open chunk.
     """
     placed = with_prefix(iv, contigs)
     positive = placed.where("weight > 0")
@@ -49,11 +50,13 @@ def chunk_balanced(iv: DataFrame, contigs: DataFrame, target: float) -> DataFram
     best = near.groupBy("j").agg(F.min(F.struct(F.least(F.abs(F.col("before") - F.col("j") * per), F.abs(F.col("cum") - F.col("j") * per)).alias("d"), (F.when(F.abs(F.col("before") - F.col("j") * per) <= F.abs(F.col("cum") - F.col("j") * per), F.col("rank0")).otherwise(F.col("rank0") + 1)).alias("b"))).alias("x")).select("j", F.col("x.b").alias("b"))
     moved = best.withColumn("cut", F.col("j") + F.max(F.col("b") - F.col("j")).over(W.partitionBy(F.lit(0)).orderBy("j")))
     moved = moved.select("j", F.greatest("cut", "j").alias("cut"))
-    cuts = moved.groupBy(F.lit(0).alias("__k")).agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
     filled = placed.join(counted, key).withColumn("__r", F.when(F.col("weight") > 0, F.col("rank0")).otherwise(F.col("rank0") - 1))
-    with_cuts = filled.join(F.broadcast(cuts), F.lit(True), "left")  # one row of K numbers
-    chunk = F.size(F.filter(F.coalesce("cuts", F.expr("cast(array() as array<bigint>)")), lambda c: c <= F.col("__r"))).cast("long")
-    return with_cuts.select(*iv.columns, chunk.alias("chunk"))
+    # every interval looks up the last cut at or before it, by union and a running maximum over its number
+    kept = F.struct(*iv.columns)
+    rows = filled.select(F.col("__r").cast("long").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__j"), kept.alias("__row"))
+    marks = moved.select(F.col("cut").cast("long").alias("__at"), F.lit(0).alias("__kind"), F.col("j").cast("long").alias("__j"), F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"))
+    found = running(rows.unionByName(marks), "chunk", "max", F.col("__j"), ["__at", "__kind"], tile_of("__at", 100_000), keys=(), inclusive=True)
+    return found.where("__kind = 1").select("__row.*", F.coalesce("chunk", F.lit(0)).alias("chunk"))
 
 
 def chunk_balanced_split(iv: DataFrame, contigs: DataFrame, target: float) -> DataFrame:

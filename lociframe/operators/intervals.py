@@ -1,16 +1,17 @@
 """Interval algebra on frames (chrom, start, end, ...): 0-based, half-open.
 
 Range joins are equi-joins on (chrom, bin): each interval is placed in every bin it touches and a pair is taken in the first
-bin that both touch, so no pair comes twice and nothing is compared across bins. Islands come from window functions per
-contig. Empty intervals (end <= start) overlap nothing.
+bin that both touch, so no pair comes twice and nothing is compared across bins. Islands and as-of lookups run in
+tiles of a contig (`tiles`), so a large contig is many tasks. Empty intervals (end <= start) overlap nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.tiles import TILE, numbered, running, tile_of
+
 BIN = 16_384
 
 
@@ -34,18 +35,17 @@ def sort_genome_order(iv: DataFrame, contigs: DataFrame) -> DataFrame:
     return ranked.orderBy(F.col("__rank").asc_nulls_last(), "chrom", "start", "end").drop("__rank")
 
 
-def islands(iv: DataFrame, gap: int = 0) -> DataFrame:
-    """iv with `island`: rows of a contig whose gap to everything before is at most `gap` share a number."""
-    order = W.partitionBy("chrom").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
-    fresh = (reach.isNull() | (F.col("start") - reach > gap)).cast("int")
-    return iv.withColumn("__new", fresh).withColumn("island", F.sum("__new").over(order.rowsBetween(W.unboundedPreceding, 0))).drop("__new")
+def islands(iv: DataFrame, gap: int = 0, tile: int = TILE) -> DataFrame:
+    """iv with `island`: rows of a contig whose gap to everything before is at most `gap` share a number, the start of the first."""
+    reached = running(iv, "__reach", "max", F.col("end"), ["start", "end"], tile_of("start", tile))
+    fresh = F.col("__reach").isNull() | (F.col("start") - F.col("__reach") > gap)
+    return running(reached, "island", "last", F.when(fresh, F.col("start")), ["start", "end", "__reach"], tile_of("start", tile), inclusive=True).drop("__reach")
 
 
-def merge(iv: DataFrame, gap: int = 0, aggs: dict[str, Column] | None = None) -> DataFrame:
+def merge(iv: DataFrame, gap: int = 0, aggs: dict[str, Column] | None = None, tile: int = TILE) -> DataFrame:
     """Intervals merged where the gap is at most `gap` (0 joins neighbours that touch), with extra aggregates by name."""
     named = [c.alias(n) for n, c in (aggs or {}).items()]
-    return islands(iv, gap).groupBy("chrom", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *named).drop("island")
+    return islands(iv, gap, tile).groupBy("chrom", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *named).drop("island")
 
 
 def distinct_labels(col: str = "label") -> Column:
@@ -94,10 +94,9 @@ def complement(iv: DataFrame, contigs: DataFrame) -> DataFrame:
     """Gaps of the merged intervals over the contigs, contigs without any included whole."""
     merged = merge(iv.where("end > start"))
     edges = merged.select("chrom", "start", "end").unionByName(contigs.select(F.col("contig").alias("chrom"), F.col("length").alias("start"), F.col("length").alias("end")))
-    order = W.partitionBy("chrom").orderBy("start", "end")
-    before = F.coalesce(F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     known = contigs.select(F.col("contig").alias("chrom"))
-    return edges.join(known, "chrom", "left_semi").select("chrom", before.cast("long").alias("start"), F.col("start").cast("long").alias("end")).where("end > start")
+    reached = running(edges.join(known, "chrom", "left_semi"), "__reach", "max", F.col("end"), ["start", "end"], tile_of("start"))
+    return reached.select("chrom", F.coalesce("__reach", F.lit(0)).cast("long").alias("start"), F.col("start").cast("long").alias("end")).where("end > start")
 
 
 def slop(iv: DataFrame, bases: int, contigs: DataFrame) -> DataFrame:
@@ -121,14 +120,13 @@ def make_windows(iv: DataFrame, size: int, step: int | None = None) -> DataFrame
 
 def site_in_mask(sites: DataFrame, mask: DataFrame, name: str = "in_mask") -> DataFrame:
     """sites (chrom, pos 1-based, ...) with 1 if pos - 1 lies in the mask, else 0: an as-of lookup of the last merged
-    interval that starts at or before the site, by union and one window per contig."""
+    interval that starts at or before the site, by union and a running last value in tiles."""
     merged = merge(mask.select("chrom", "start", "end"))
     kept = F.struct(*sites.columns)
     both = sites.select("chrom", (F.col("pos") - 1).alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__end"), kept.alias("__row")).unionByName(
         merged.select("chrom", F.col("start").alias("__at"), F.lit(0).alias("__kind"), F.col("end").cast("long").alias("__end"), F.lit(None).cast(sites.schema).alias("__row"))
     )
-    order = W.partitionBy("chrom").orderBy("__at", "__kind").rowsBetween(W.unboundedPreceding, 0)
-    flagged = both.withColumn("__last", F.last("__end", ignorenulls=True).over(order)).where("__kind = 1")
+    flagged = running(both, "__last", "last", F.col("__end"), ["__at", "__kind"], tile_of("__at"), inclusive=True).where("__kind = 1")
     return flagged.select("__row.*", F.coalesce((F.col("__at") < F.col("__last")).cast("int"), F.lit(0)).alias(name))
 
 
@@ -167,10 +165,11 @@ def read_ranges(counts: DataFrame, size: int, limit: int = 99_999) -> DataFrame:
 
 def regions_every_n_sites(sites: DataFrame, n: int) -> DataFrame:
     """Per contig, regions that start at every n-th site and end before the next; the last ends at the last site."""
-    order = W.partitionBy("chrom").orderBy("pos")
-    marked = sites.select("chrom", "pos").distinct().withColumn("__i", F.row_number().over(order) - 1).withColumn("__last", F.max("pos").over(W.partitionBy("chrom")))
-    heads = marked.where(F.col("__i") % n == 0)
-    return heads.select("chrom", F.col("pos").alias("start"), F.coalesce(F.lead("pos").over(order) - 1, F.col("__last")).alias("end"))
+    marked = numbered(sites.select("chrom", "pos").distinct(), "__i")
+    heads = running(marked.where(F.col("__i") % n == 0), "__next", "next", F.col("pos"), ["pos"], tile_of("pos"))
+    # one row per contig
+    last = sites.groupBy("chrom").agg(F.max("pos").alias("__last"))
+    return heads.join(last, "chrom").select("chrom", F.col("pos").alias("start"), F.coalesce(F.col("__next") - 1, F.col("__last")).alias("end"))
 
 
 def full_length_check(iv: DataFrame, contigs: DataFrame) -> DataFrame:

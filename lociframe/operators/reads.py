@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import merge, overlap_pairs, overlap_semi, subtract
+from lociframe.operators.tiles import running, tile_of
 
 #: Alignment flag bits.
 UNMAPPED, MATE_UNMAPPED, REVERSE, READ1, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 0x4, 0x8, 0x10, 0x40, 0x100, 0x200, 0x400, 0x800
@@ -123,11 +124,11 @@ def recruit_region_reads(aln: DataFrame, *regions: DataFrame) -> DataFrame:
 
 
 def per_base_depth(aln: DataFrame, min_mapq: int = 0, drop_flags: int = DROPPED) -> DataFrame:
-    """Run-length depth (chrom, start, end, depth > 0): a sweep over summed +1/-1 events per contig."""
+    """Run-length depth (chrom, start, end, depth > 0): a sweep over summed +1/-1 events, in tiles of a contig."""
     used = aln.where((F.col("mapq") >= min_mapq) & ~flag(drop_flags) & (F.col("end") > F.col("start")))
     events = used.select("chrom", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e")).groupBy("chrom", F.col("e.at").alias("start")).agg(F.sum("e.d").alias("d")).where("d <> 0")
-    order = W.partitionBy("chrom").orderBy("start")
-    runs = events.select("chrom", "start", F.lead("start").over(order).alias("end"), F.sum("d").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("depth"))
+    deep = running(events, "depth", "sum", F.col("d"), ["start"], tile_of("start"), inclusive=True)
+    runs = running(deep, "end", "next", F.col("start"), ["start"], tile_of("start")).select("chrom", "start", "end", "depth")
     return runs.where("depth > 0 and end is not null")
 
 
