@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.operators.filters import hwe_p
+from lociframe.operators.filters import hwe_test
 from lociframe.operators.mito import IUPAC
 
 
@@ -19,6 +19,6 @@ def register_sql_functions(spark: SparkSession) -> None:
 
     @F.pandas_udf("double")
     def hwe(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([hwe_p(int(x), int(y), int(z))[0] for x, y, z in zip(a, b, c, strict=True)])
+        return hwe_test.func(a, b, c)["HWE"]
 
     spark.udf.register("hwe_exact", hwe)

@@ -6,19 +6,25 @@ of a site are built in one projection, so they run in one stage after the tag ag
 
 from __future__ import annotations
 
+import functools
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lociframe.operators.intervals import overlap_pairs, site_in_mask, windows_around_points
 from lociframe.operators.lineage import ensure_checkpoint_dir
 from lociframe.operators.params import FilterParams, TypeThresholds
+from lociframe.operators.tiles import near, running
 
 SITE = ["chrom", "pos"]
+#: Metrics of each population.
+POP_METRICS = ("NS", "MAF", "CR", "HWE", "ExcHet")
 
 
 def true(c: Column) -> Column:
@@ -135,37 +141,49 @@ def hwe_p(n_hom: int, n_het: int, n_alt: int) -> tuple[float, float]:
     return float(min(1.0, p[p <= here * (1 + 1e-9)].sum())), float(min(1.0, p[hets >= n_het].sum()))
 
 
+@F.pandas_udf(StructType([StructField("HWE", DoubleType()), StructField("ExcHet", DoubleType())]))
+def hwe_test(n0: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.DataFrame:
+    """Exact tests of a batch of counts; each distinct triple of the batch is tested once. Null counts are zero."""
+    triples = np.column_stack([x.fillna(0).to_numpy(np.int64) for x in (n0, n1, n2)])
+    distinct, which = np.unique(triples, axis=0, return_inverse=True)
+    found = np.array([hwe_p(*t) for t in distinct.tolist()]).reshape(-1, 2)
+    return pd.DataFrame(found[which.ravel()], columns=["HWE", "ExcHet"])
+
+
 def hwe_exact(counts: DataFrame) -> DataFrame:
-    """counts (n0, n1, n2, ...) with HWE and ExcHet; each distinct triple is tested once."""
+    """counts (n0, n1, n2, ...) with HWE and ExcHet, batch by batch: no shuffle."""
+    return counts.withColumn("__t", hwe_test("n0", "n1", "n2")).select(*counts.columns, "__t.HWE", "__t.ExcHet")
 
-    @F.pandas_udf("struct<HWE double, ExcHet double>")
-    def test(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([hwe_p(int(x), int(y), int(z)) for x, y, z in zip(a, b, c, strict=True)], columns=["HWE", "ExcHet"])
 
-    triples = counts.select("n0", "n1", "n2").distinct().withColumn("t", test("n0", "n1", "n2")).select("n0", "n1", "n2", "t.HWE", "t.ExcHet")
-    return counts.join(triples, ["n0", "n1", "n2"])
+def tags_of(n: list[Column], samples: int | Column) -> dict[str, Column]:
+    """AC, AN, NS, MAF, F_MISSING, CR of counts of the three genotypes among `samples`."""
+    ns, ac = n[0] + n[1] + n[2], n[1] + 2 * n[2]
+    freq, size = F.when(ns > 0, ac / (2 * ns)), F.lit(samples) if isinstance(samples, int) else samples
+    return {"AC": ac, "AN": 2 * ns, "NS": ns, "MAF": F.least(freq, 1 - freq), "F_MISSING": 1 - ns / size, "CR": ns / size}
 
 
 def site_tags_by_pop(gt: DataFrame, groups: DataFrame, pops: list[str]) -> DataFrame:
-    """Per site and population NS, MAF and CR, wide as METRIC_POP; `pops` fixes the columns."""
+    """Per site and population NS, MAF, HWE, ExcHet and CR, wide as METRIC_POP; `pops` fixes the columns. Null where no sample
+    of the population has a row at the site."""
     sizes = groups.groupBy("pop").agg(F.count(F.lit(1)).alias("__n"))
-    cells = gt.join(groups, "sample_id").groupBy(*SITE, "pop").agg(F.count("dosage").alias("NS"), F.sum("dosage").alias("AC")).join(sizes, "pop")
-    freq = F.when(F.col("NS") > 0, F.col("AC") / (2 * F.col("NS")))
-    tags = cells.select(*SITE, "pop", "NS", F.least(freq, 1 - freq).alias("MAF"), (F.col("NS") / F.col("__n")).alias("CR"))
-    wide = tags.groupBy(*SITE).pivot("pop", pops).agg(*(F.first(m).alias(m) for m in ("NS", "MAF", "CR")))
-    return wide.select(*SITE, *(F.col(f"{p}_{m}").alias(f"{m}_{p}") for p in pops for m in ("NS", "MAF", "CR")))
+    cells = genotype_counts(gt.join(groups, "sample_id"), ["pop"]).join(sizes, "pop")
+    n = [F.col(f"n{d}").cast("long") for d in (0, 1, 2)]
+    t = tags_of(n, F.col("__n"))
+    tags = hwe_exact(cells).select(*SITE, "pop", *(t[m].alias(m) for m in ("NS", "MAF", "CR")), "HWE", "ExcHet")
+    wide = tags.groupBy(*SITE).pivot("pop", pops).agg(*(F.first(m).alias(m) for m in POP_METRICS))
+    return wide.select(*SITE, *(F.col(f"{p}_{m}").alias(f"{m}_{p}") for p in pops for m in POP_METRICS))
 
 
 def snp_gap(sites: DataFrame, d: int) -> DataFrame:
     """SNPs with an indel within d bases: flag snp_gap."""
-    near = W.partitionBy("chrom").orderBy("pos").rangeBetween(-d, d)
-    return sites.withColumn("snp_gap", ((F.col("type") == "SNP") & (F.sum((F.col("type") == "INDEL").cast("int")).over(near) > 0)).cast("int"))
+    counted = near(sites, "__indels", F.col("type") == "INDEL", d)
+    return counted.withColumn("snp_gap", ((F.col("type") == "SNP") & (F.col("__indels") > 0)).cast("int")).drop("__indels")
 
 
 def indel_gap(sites: DataFrame, d: int) -> DataFrame:
     """Indels with another indel within d bases: flag indel_gap."""
-    near = W.partitionBy("chrom").orderBy("pos").rangeBetween(-d, d)
-    return sites.withColumn("indel_gap", ((F.col("type") == "INDEL") & (F.sum((F.col("type") == "INDEL").cast("int")).over(near) > 1)).cast("int"))
+    counted = near(sites, "__indels", F.col("type") == "INDEL", d)
+    return counted.withColumn("indel_gap", ((F.col("type") == "INDEL") & (F.col("__indels") > 1)).cast("int")).drop("__indels")
 
 
 def mask_filter(sites: DataFrame, mask: DataFrame) -> DataFrame:
@@ -191,14 +209,23 @@ def global_site_filters(tags: DataFrame, types: dict[str, TypeThresholds]) -> Da
 
 def population_site_filters(pop_tags: DataFrame, pops: list[str], thresholds: dict[str, float], mode: str = "ALL") -> DataFrame:
     """`pop_filter`: POP_<METRIC>_FAIL where the metric is below its threshold in all (ALL) or any (ANY) populations."""
-    fails = []
-    for metric, low in thresholds.items():
-        values = F.array(*(true(F.col(f"{metric}_{p}") < low) for p in pops))
-        bad = F.forall(values, lambda x: x) if mode == "ALL" else F.exists(values, lambda x: x)
-        fails.append(F.when(bad, F.lit(f"POP_{metric}_FAIL")))
+    fails = [F.when(_in_pops(metric, low, pops, mode), F.lit(f"POP_{'EH' if metric == 'ExcHet' else metric}_FAIL")) for metric, low in thresholds.items()]
     return pop_tags.withColumn("pop_filter", F.array_compact(F.array(*fails)) if fails and pops else F.expr("cast(array() as array<string>)"))
 
 
+def _in_pops(metric: str, low: float, pops: list[str], mode: str) -> Column:
+    """The metric is below `low` in all or any of the populations; never without populations."""
+    if not pops:
+        return F.lit(False)
+    values = F.array(*(true(F.col(f"{metric}_{p}") < low) for p in pops))
+    return F.forall(values, lambda x: x) if mode == "ALL" else F.exists(values, lambda x: x)
+
+
+def _pop_tests(t: TypeThresholds, pops: list[str], mode: str) -> list[tuple[str, Column]]:
+    rules = [("POP_EH_FAIL", "ExcHet", t.pop_eh), ("POP_HWE_FAIL", "HWE", t.pop_hwe), ("POP_MAF_FAIL", "MAF", t.pop_maf), ("POP_NS_FAIL", "NS", t.pop_ns), ("POP_CR_FAIL", "CR", t.pop_cr)]
+    return [(name, _in_pops(metric, low, pops, mode)) for name, metric, low in rules if low is not None]
+
+
 def pass_sites(sites: DataFrame, keep_tags: list[str]) -> DataFrame:
     """Sites without a failed test, with the listed columns only."""
     return sites.where(F.size("filter") == 0).select(*SITE, *keep_tags)
@@ -318,8 +345,8 @@ def snpstat_filter_summary(stats: DataFrame, params: dict[str, tuple[str, float]
 
 
 def lr_pvalue_bh(lr: DataFrame, given_p: bool = False) -> DataFrame:
-    """p = half the upper tail of chi-square with one degree, and Benjamini-Hochberg adjusted values. Ranks come from a range
-    partitioned histogram of p: one row per distinct p is windowed."""
+    """p = half the upper tail of chi-square with one degree, and Benjamini-Hochberg adjusted values. Ranks and running minima
+    over the distinct p run in two levels: ranges of p, 256 to an octave, and the values in a range."""
 
     @F.pandas_udf("double")
     def tail(x: pd.Series) -> pd.Series:
@@ -327,10 +354,11 @@ def lr_pvalue_bh(lr: DataFrame, given_p: bool = False) -> DataFrame:
 
     withp = lr if given_p else lr.withColumn("p", tail("lr"))
     levels = withp.where("p is not null").groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-    whole = W.partitionBy(F.lit(0))
-    ranked = levels.select("p", F.sum("n").over(whole.orderBy("p").rowsBetween(W.unboundedPreceding, 0)).alias("rank"), F.sum("n").over(whole).alias("m"))
-    adjusted = ranked.select("p", F.least(F.lit(1.0), F.min(F.col("p") * F.col("m") / F.col("rank")).over(whole.orderBy(F.desc("p")).rowsBetween(W.unboundedPreceding, 0))).alias("p_adjusted"))
-    return withp.join(adjusted, "p", "left")
+    octave = F.when(F.col("p") > 0, F.floor(F.log2("p") * 256)).otherwise(F.lit(-(1 << 20))).cast("long")
+    ranked = running(levels, "rank", "sum", F.col("n"), ["p"], octave, keys=(), inclusive=True).crossJoin(F.broadcast(levels.agg(F.sum("n").alias("m"))))
+    down = ranked.withColumn("__down", -F.col("p"))
+    adjusted = running(down, "__low", "min", F.col("p") * F.col("m") / F.col("rank"), ["__down"], -octave, keys=(), inclusive=True)
+    return withp.join(adjusted.select("p", F.least(F.lit(1.0), F.col("__low")).alias("p_adjusted")), "p", "left")
 
 
 def paralog_mask(tested: DataFrame, alpha: float = 0.001, radius: int = 1000) -> DataFrame:
@@ -391,6 +419,7 @@ def ld_prune(pairs: DataFrame, sites: DataFrame, r2: float = 0.2) -> DataFrame:
         left = left.join(gone, SITE, "left_anti").checkpoint()
         if left.isEmpty():
             break
+    edges.unpersist()
     out = kept[0]
     for k in kept[1:]:
         out = out.unionByName(k)
@@ -410,12 +439,60 @@ def regions_overlap(sites: DataFrame, iv: DataFrame) -> DataFrame:
     return overlap_pairs(points, iv).select(*SITE).distinct()
 
 
-def site_filter_query(gt: DataFrame, sites: DataFrame, popmap: DataFrame, params: FilterParams) -> DataFrame:
-    """The whole filter: genotype masks, sample drop, tags, depth bounds, site filters. Sites with tags and `filter`."""
+def kept_samples(masked: DataFrame, sites: DataFrame, popmap: DataFrame, maximum: float) -> list[tuple[str, str]]:
+    """(sample_id, cleaned population) of the samples that are kept, in order: one row per sample on the driver, as a header
+    names them. None left is an error."""
+    kept = keep_samples(sample_missingness(masked, sites), maximum)
+    rows = population_groups(popmap.withColumn("pop", F.coalesce("pop", F.lit("unknown"))), kept, 1).select("sample_id", "pop").distinct().collect()
+    if not rows:
+        raise ValueError("no sample is below the maximum of missing genotypes")
+    return sorted((r["sample_id"], r["pop"]) for r in rows)
+
+
+def site_filter_query(gt: DataFrame, sites: DataFrame, popmap: DataFrame, params: FilterParams, mask: DataFrame | None = None) -> DataFrame:
+    """Biallelic sites with their tags, those of each population (METRIC_POP), and `filter`, the tests that failed, in order.
+
+    gt: (chrom, pos, sample_id, dosage, dp, gq). Genotypes are masked, samples with too many missing ones left out, and one
+    aggregation by site gives the genotype counts of all and of every population; DP is of all samples, and its percentiles
+    over all sites bound it. Then gaps to indels, the mask, and the tests of the site's type run in one projection.
+    """
+    spark = gt.sparkSession
     masked = mask_genotypes(gt, params.gq, params.gt_dp_min, params.gt_dp_max)
-    missing = sample_missingness(masked, sites)
-    kept = keep_samples(missing, params.sample_max_missing)
-    groups = popmap.join(kept, "sample_id", "left_semi")
-    used = masked.join(groups.select("sample_id"), "sample_id", "left_semi")
-    tags = site_tags(used, biallelic(sites))
-    return global_site_filters(tags, params.types)
+    chosen = kept_samples(masked, sites, popmap, params.sample_max_missing)
+    sizes = Counter(p for _, p in chosen)
+    pops = sorted(p for p, n in sizes.items() if n >= params.pop_min_n)
+    # one row per sample
+    cells = masked.join(F.broadcast(spark.createDataFrame(chosen, "sample_id string, pop string")), "sample_id", "left")
+    count = lambda d, who: F.sum((true(F.col("dosage") == d) & true(who)).cast("long"))
+    counts = cells.groupBy(*SITE).agg(F.sum("dp").alias("DP"), *(count(d, F.col("pop").isNotNull()).alias(f"n{d}") for d in (0, 1, 2)), *(count(d, F.col("pop") == p).alias(f"n{d}_{p}") for p in pops for d in (0, 1, 2)))
+    deep = sites.join(counts, SITE, "left")
+    two = biallelic(deep).where("n0 is not null")
+    tags = {**tags_of([F.col(f"n{d}") for d in (0, 1, 2)], len(chosen)), **{f"{m}_{p}": c for p in pops for m, c in tags_of([F.col(f"n{d}_{p}") for d in (0, 1, 2)], sizes[p]).items() if m in POP_METRICS}}
+    tested = two.withColumns({f"__h{p}": hwe_test(f"n0{p}", f"n1{p}", f"n2{p}") for p in ("", *(f"_{p}" for p in pops))})
+    tags |= {f"{m}{p}": F.col(f"__h{p}")[m] for p in ("", *(f"_{p}" for p in pops)) for m in ("HWE", "ExcHet")}
+    tagged = tested.select(*sites.columns, *(c.alias(n) for n, c in tags.items()), "DP")
+    if params.dist_indel_snp is not None:
+        tagged = snp_gap(tagged, params.dist_indel_snp)
+    if params.dist_indel_indel is not None:
+        tagged = indel_gap(tagged, params.dist_indel_indel)
+    if mask is not None and params.filter_masked:
+        tagged = site_in_mask(tagged, mask, "__masked")
+    bounds = {"dp_lower": params.dp_percentile_lower, "dp_upper": params.dp_percentile_upper}
+    if any(v is not None for v in bounds.values()):
+        hist = depth_histogram(deep.select(F.col("DP").alias("dp")))
+        tagged = tagged.crossJoin(F.broadcast(depth_bounds(hist, bounds["dp_lower"] or 0, bounds["dp_upper"] or 100)))
+    rules = [("SnpGap", "snp_gap"), ("IndelGap", "indel_gap"), ("MASK_FAIL", "__masked")]
+    fails = [F.when(F.col(c) == 1, F.lit(name)) for name, c in rules if c in tagged.columns]
+    names = ("QUAL_FAIL", "DP_MIN_FAIL", "DP_LOWER_PERC_FAIL", "DP_UPPER_PERC_FAIL", "EH_FAIL", "HWE_FAIL", "MAF_FAIL", "NS_FAIL", "CR_FAIL", "POP_EH_FAIL", "POP_HWE_FAIL", "POP_MAF_FAIL", "POP_NS_FAIL", "POP_CR_FAIL")
+    tests: dict[str, list[Column]] = {n: [] for n in names}
+    for kind, t in params.types.items():
+        found = _tests(t) + _pop_tests(t, pops, params.pop_fail_mode)
+        if t.dp_lower is None and bounds["dp_lower"] is not None:
+            found.append(("DP_LOWER_PERC_FAIL", F.col("DP") < F.col("DPlower")))
+        if t.dp_upper is None and bounds["dp_upper"] is not None:
+            found.append(("DP_UPPER_PERC_FAIL", F.col("DP") > F.col("DPupper")))
+        for name, bad in found:
+            tests[name].append((F.col("type") == kind) & true(bad))
+    fails += [F.when(functools.reduce(lambda a, b: a | b, bad), F.lit(name)) for name, bad in tests.items() if bad]
+    found = F.array_compact(F.array(*fails)) if fails else F.expr("cast(array() as array<string>)")
+    return tagged.withColumn("filter", found).drop("snp_gap", "indel_gap", "__masked", "DPlower", "DPupper")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASES = ["A", "C", "G", "T"]
+#: Names of the verdicts, in the order in which they are tried.
+VERDICTS = ("LOW_DEPTH", "NON_SNV_EVIDENCE", "NO_BASE_SUPPORT", "PASS", "MIXED_IUPAC", "LOW_MAJOR_AF")
 #: Two-base ambiguity codes.
 IUPAC = {"AC": "M", "AG": "R", "AT": "W", "CG": "S", "CT": "Y", "GT": "K"}
 
@@ -20,10 +22,11 @@ def validate_mito(contig_length: int, n_contigs: int, shift: int, fractions: lis
 
 
 def allele_counts(counts: DataFrame) -> DataFrame:
-    """counts (sample_id, pos, allele, fwd, rev), several rows per cell: per cell reads of A, C, G, T, other alleles, depths and
-    the share of other alleles."""
+    """counts (sample_id, pos, allele, fwd, rev), several rows per cell: per cell reads of A, C, G, T in either case, of other
+    alleles (a null one is another), depths and the share of other alleles."""
+    counts = counts.withColumn("allele", F.upper("allele"))
     n = F.coalesce("fwd", F.lit(0)) + F.coalesce("rev", F.lit(0))
-    is_base = F.col("allele").isin(*BASES)
+    is_base = F.coalesce(F.col("allele").isin(*BASES), F.lit(False))
     out = counts.groupBy("sample_id", "pos").agg(*(F.sum(F.when(F.col("allele") == b, n).otherwise(0)).alias(b) for b in BASES), F.sum(F.when(~is_base, n).otherwise(0)).alias("non_snv"))
     depth = sum(F.col(b) for b in BASES)
     return out.withColumn("depth", depth).withColumn("total_depth", depth + F.col("non_snv")).withColumn("non_snv_af", F.when(F.col("total_depth") > 0, F.col("non_snv") / F.col("total_depth")).otherwise(0.0))
@@ -47,9 +50,16 @@ def choose_source(original: DataFrame, shifted: DataFrame, samples: DataFrame, l
     return joined.select("sample_id", "pos", source.alias("source"), *(F.coalesce(pick[v], F.lit(0)).alias(v) for v in values))
 
 
-def call_major_allele(obs: DataFrame, min_depth: int = 3, max_non_snv_af: float = 0.5, min_major_af: float = 0.7, min_minor_af: float = 0.2) -> DataFrame:
-    """Base and filter of each row: bases ranked by count, then letter; rules in order LOW_DEPTH, NON_SNV_EVIDENCE,
-    NO_BASE_SUPPORT, PASS, MIXED_IUPAC, LOW_MAJOR_AF."""
+def call_major_allele(
+    obs: DataFrame, min_depth: int = 10, max_non_snv_af: float = 0.2, major_af: float = 0.8, mixed_min_af: float = 0.2, min_minor_depth: int = 3, het_mode: str = "N"
+) -> DataFrame:
+    """Base and filter of each row: bases ranked by count, then letter; the first of VERDICTS that fits.
+
+    A position under `major_af` gets an ambiguity code only in het_mode "iupac" and where its second base has
+    `min_minor_depth` reads and `mixed_min_af` of them at least; in het_mode "N", or with less, it is N.
+    """
+    if het_mode not in ("N", "iupac"):
+        raise ValueError("het_mode is N or iupac")
     ranked = F.array_sort(F.array(*(F.struct((-F.col(b)).alias("n"), F.lit(b).alias("b")) for b in BASES)))
     x = obs.withColumn("__r", ranked)
     first, second = F.col("__r")[0], F.col("__r")[1]
@@ -57,9 +67,10 @@ def call_major_allele(obs: DataFrame, min_depth: int = 3, max_non_snv_af: float
     x = x.withColumns({"major": first["b"], "major_af": af(first), "minor": second["b"], "minor_af": af(second)})
     pair = F.concat(F.least("major", "minor"), F.greatest("major", "minor"))
     code = F.create_map(*(F.lit(v) for kv in IUPAC.items() for v in kv))[pair]
+    mixed = F.lit(het_mode == "iupac") & (-second["n"] >= min_minor_depth) & (F.col("minor_af") >= mixed_min_af)
     verdict = (
         F.when(F.col("total_depth") < min_depth, "LOW_DEPTH").when(F.col("non_snv_af") > max_non_snv_af, "NON_SNV_EVIDENCE").when(F.col("depth") == 0, "NO_BASE_SUPPORT")
-        .when(F.col("major_af") >= min_major_af, "PASS").when(F.col("minor_af") >= min_minor_af, "MIXED_IUPAC").otherwise("LOW_MAJOR_AF")
+        .when(F.col("major_af") >= major_af, "PASS").when(mixed, "MIXED_IUPAC").otherwise("LOW_MAJOR_AF")
     )
     x = x.withColumn("filter", verdict)
     return x.withColumn("base", F.when(F.col("filter") == "PASS", F.col("major")).when(F.col("filter") == "MIXED_IUPAC", code).otherwise("N")).drop("__r")
@@ -74,7 +85,7 @@ def consensus_sequence(calls: DataFrame) -> DataFrame:
 def mito_qc(calls: DataFrame, min_depth: int) -> DataFrame:
     """Per sample: depths, covered, passing and N positions with their shares, counts per filter, shifted positions."""
     n = F.count(F.lit(1))
-    named = [F.sum((F.col("filter") == f).cast("long")).alias(f"n_{f.lower()}") for f in ("LOW_DEPTH", "NON_SNV_EVIDENCE", "NO_BASE_SUPPORT", "PASS", "MIXED_IUPAC", "LOW_MAJOR_AF")]
+    named = [F.sum((F.col("filter") == f).cast("long")).alias(f"n_{f.lower()}") for f in VERDICTS]
     covered, unknown = F.sum((F.col("total_depth") >= min_depth).cast("long")), F.sum((F.col("base") == "N").cast("long"))
     return calls.groupBy("sample_id").agg(n.alias("n_positions"), F.avg("total_depth").alias("mean_depth"), F.expr("percentile(total_depth, 0.5)").alias("median_depth"), covered.alias("n_covered"), (covered / n).alias("covered_fraction"), unknown.alias("n_unknown"), (unknown / n).alias("unknown_fraction"), *named, F.sum((F.col("source") == "shifted").cast("long")).alias("n_shifted"))
 
