@@ -119,3 +119,19 @@ def manifest(df: DataFrame, key: str, within: list[str]) -> DataFrame:
 def counted_groups(parts: DataFrame, key: str, part: str, expected: str) -> DataFrame:
     """Keys whose declared number of distinct parts has arrived (the batch twin of the stream)."""
     return parts.groupBy(key, expected).agg(F.countDistinct(part).alias("n_parts")).where(F.col("n_parts") == F.col(expected))
+
+
+def in_both(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of the first that the second has too; nulls equal nulls."""
+    return a.select(*b.columns).intersect(b)
+
+
+def only_first(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of the first that the second lacks; nulls equal nulls."""
+    return a.select(*b.columns).subtract(b)
+
+
+def top_k(df: DataFrame, by: list[str], order: list[tuple[str, bool]], k: int) -> DataFrame:
+    """The first k rows of each group by (column, ascending) pairs; Spark keeps k rows a group before it shuffles."""
+    place = F.row_number().over(W.partitionBy(*by).orderBy(*(F.col(c).asc() if up else F.col(c).desc() for c, up in order)))
+    return df.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")

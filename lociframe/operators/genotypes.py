@@ -139,12 +139,36 @@ def single_read_ibs(counts: DataFrame, mode: str = "random", seed: int = 123) ->
     return counts.withColumn("allele", F.when(total > 0, pick).otherwise(-1))
 
 
-def normalise_variants(sites: DataFrame) -> DataFrame:
-    """Shared ends of ref and each alt trimmed (suffix first, then prefix, one base kept), position moved, one row per alt."""
-    one = sites.select("chrom", "pos", "ref", F.explode("alt").alias("alt"))
-    most = F.least(F.length("ref"), F.length("alt")) - 1
-    tail = F.aggregate(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda a, i: F.struct(F.when(a["go"] & (i <= most) & (F.substr("ref", F.length("ref") - i + 1, F.lit(1)) == F.substr("alt", F.length("alt") - i + 1, F.lit(1))), i).otherwise(a["n"]).alias("n"), (a["go"] & (i <= most) & (F.substr("ref", F.length("ref") - i + 1, F.lit(1)) == F.substr("alt", F.length("alt") - i + 1, F.lit(1)))).alias("go")), lambda a: a["n"])
-    cut = one.withColumn("__t", tail).select("chrom", "pos", F.substr("ref", F.lit(1), F.length("ref") - F.col("__t")).alias("ref"), F.substr("alt", F.lit(1), F.length("alt") - F.col("__t")).alias("alt"))
-    most2 = F.least(F.length("ref"), F.length("alt")) - 1
-    head = F.aggregate(F.sequence(F.lit(1), F.greatest(most2, F.lit(1))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda a, i: F.struct(F.when(a["go"] & (i <= most2) & (F.substr("ref", i, F.lit(1)) == F.substr("alt", i, F.lit(1))), i).otherwise(a["n"]).alias("n"), (a["go"] & (i <= most2) & (F.substr("ref", i, F.lit(1)) == F.substr("alt", i, F.lit(1)))).alias("go")), lambda a: a["n"])
-    return cut.withColumn("__h", head).select("chrom", (F.col("pos") + F.col("__h")).alias("pos"), F.substr("ref", F.col("__h") + 1).alias("ref"), F.substr("alt", F.col("__h") + 1).alias("alt")).distinct()
+def shared(a: Column, b: Column, most: Column, at_end: bool) -> Column:
+    """How many characters, `most` at the most, two strings share at their end or start: each length is tried."""
+    same = (lambda n: F.right(a, n) == F.right(b, n)) if at_end else (lambda n: F.left(a, n) == F.left(b, n))
+    return F.coalesce(F.array_max(F.filter(F.sequence(F.lit(0), F.greatest(most, F.lit(0))), lambda n: (n == 0) | same(n))), F.lit(0))
+
+
+def normalise_variants(sites: DataFrame, flank: str | None = None) -> DataFrame:
+    """Shared ends of ref and each alt trimmed (suffix first, then prefix, one base kept), position moved, one row per alt.
+
+    `flank` names a column with the reference bases right before pos: an insertion or deletion that could as well stand
+    further left moves there, as far as the flank shows.
+    """
+    before = F.col(flank) if flank else F.lit("")
+    one = sites.select("chrom", "pos", "ref", F.explode("alt").alias("alt"), F.coalesce(before, F.lit("")).alias("__flank"))
+    r, a = F.col("ref"), F.col("alt")
+    tail = one.withColumn("__t", shared(r, a, F.least(F.length(r), F.length(a)) - 1, True))
+    cut = tail.withColumns({"ref": F.left(r, F.length(r) - F.col("__t")), "alt": F.left(a, F.length(a) - F.col("__t"))})
+    headed = cut.withColumn("__h", shared(r, a, F.least(F.length(r), F.length(a)) - 1, False))
+    moved = headed.select("chrom", (F.col("pos") + F.col("__h")).alias("pos"), F.substr(r, F.col("__h") + 1).alias("ref"), F.substr(a, F.col("__h") + 1).alias("alt"), F.concat("__flank", F.left(r, F.col("__h"))).alias("__flank"))
+    # an indel of the bases `unit` after an anchor base may move by n if the last n bases up to the anchor continue it backwards
+    indel = (F.least(F.length(r), F.length(a)) == 1) & (F.length(r) != F.length(a)) & (F.left(r, F.lit(1)) == F.left(a, F.lit(1)))
+    unit = F.substr(F.when(F.length(r) > F.length(a), r).otherwise(a), F.lit(2))
+    shown = moved.withColumns({"__unit": F.when(indel, unit), "__left": F.concat("__flank", F.left(r, F.lit(1)))})
+    left, u = F.col("__left"), F.col("__unit")
+    # bases n places before the end of `left` against those of the unit, over and over
+    differ = F.filter(F.sequence(F.lit(1), F.greatest(F.length(left), F.lit(1))), lambda n: F.substr(left, F.length(left) - n + 1, F.lit(1)) != F.substr(u, F.length(u) - F.pmod(n - 1, F.length(u)), F.lit(1)))
+    steps = F.when(u.isNull(), 0).otherwise(F.least(F.coalesce(F.get(differ, F.lit(0)) - 1, F.length(left)), F.length(left) - 1))
+    placed = shown.withColumn("__n", steps)
+    n = F.col("__n")
+    base = F.substr(left, F.length(left) - n, F.lit(1))
+    rolled = F.concat(base, F.left(F.concat(F.right(left, n), u), F.length(u)))
+    here = lambda c: F.when(n == 0, c).when(F.length(c) == 1, base).otherwise(rolled)
+    return placed.select("chrom", (F.col("pos") - n).alias("pos"), here(r).alias("ref"), here(a).alias("alt")).distinct()

@@ -1,11 +1,26 @@
-"""Reliable checkpoints for iterative operators."""
+"""Reliable checkpoints and folders of files that the driver and all executors share."""
 
 from __future__ import annotations
 
+import uuid
+from tempfile import mkdtemp
+
 from pyspark.sql import SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder named by spark.checkpoint.dir; sets one of its own only where none is set (local runs)."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir, or the context's. Where neither is set, a local master gets a temporary one; on
+    a cluster, whose nodes share none, that is an error."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = mkdtemp(prefix="lociframe-shared-")
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/lociframe-checkpoints")
+        spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}-files/{name}-{uuid.uuid4().hex}"

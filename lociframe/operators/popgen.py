@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.lineage import ensure_checkpoint_dir
+from lociframe.operators.tiles import numbered
 
 SITE = ["chrom", "pos"]
 
@@ -73,16 +74,19 @@ def square(pairs: DataFrame, samples: DataFrame, diagonal: float = 0.0) -> DataF
     return frame.join(both, ["sample_i", "sample_j"], "left").withColumn("value", F.coalesce("value", F.when(F.col("sample_i") == F.col("sample_j"), F.lit(diagonal)).otherwise(F.lit(float("nan")))))
 
 
-def _matrix(sq: DataFrame, limit: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """A square of at most `limit` samples on the driver: eigen-decomposition needs the n x n matrix in one place."""
-    names = [r[0] for r in sq.select("sample_i").distinct().orderBy("sample_i").limit(limit + 1).collect()]
-    if len(names) > limit:
+def _matrix(sq: DataFrame, limit: int = 5_000) -> tuple[list[str], np.ndarray]:
+    """A square of at most `limit` samples (200 MB) on the driver: eigen-decomposition needs the n x n matrix in one place. One
+    packed row per sample comes over, its values in order of the samples."""
+    n = sq.select("sample_i").distinct().limit(limit + 1).count()
+    if n > limit:
         raise ValueError(f"more than {limit} samples")
-    pdf = sq.toPandas()
-    at = {s: i for i, s in enumerate(names)}
-    m = np.full((len(names), len(names)), np.nan)
-    m[pdf["sample_i"].map(at), pdf["sample_j"].map(at)] = pdf["value"]
-    return names, m
+    packed = sq.groupBy("sample_i").agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_j", F.coalesce("value", F.lit(float("nan"))).alias("v")))), lambda x: x["v"]).alias("values")).orderBy("sample_i").toArrow()
+    names = packed.column("sample_i").to_pylist()
+    values = packed.column("values").combine_chunks()
+    m = np.asarray(values.flatten()).reshape(len(names), -1) if names else np.zeros((0, 0))
+    if m.shape[0] != m.shape[1]:
+        raise ValueError("not a square: every ordered pair of samples needs one row")
+    return names, m.copy()
 
 
 def _eigen(spark, names: list[str], m: np.ndarray, k: int, centre: bool) -> tuple[DataFrame, DataFrame]:
@@ -114,12 +118,19 @@ def pca_table(vectors: DataFrame, values: DataFrame, popmap: DataFrame) -> DataF
 
 
 def drop_until_complete(sq: DataFrame) -> DataFrame:
-    """Samples with most NaN dropped one at a time (first by name) until none is left; each round is one aggregation."""
-    while True:
-        worst = sq.where(F.isnan("value")).groupBy("sample_i").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "sample_i").first()
-        if worst is None:
-            return sq
-        sq = sq.where((F.col("sample_i") != worst["sample_i"]) & (F.col("sample_j") != worst["sample_i"]))
+    """Samples with most NaN dropped one at a time (first by name) until none is left. The choices are made on the driver, on
+    the same matrix that `mds` needs there; the square is filtered once."""
+    names, m = _matrix(sq)
+    open_ = np.isnan(m)
+    dropped = []
+    while open_.any():
+        worst = int(np.argmax(open_.sum(1)))
+        dropped.append(names[worst])
+        open_[worst, :] = open_[:, worst] = False
+    if not dropped:
+        return sq
+    gone = sq.sparkSession.createDataFrame([(s,) for s in dropped], "__gone string")
+    return sq.join(F.broadcast(gone), F.col("sample_i") == F.col("__gone"), "left_anti").join(F.broadcast(gone), F.col("sample_j") == F.col("__gone"), "left_anti")
 
 
 def mds(sq: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame]:
@@ -140,8 +151,7 @@ def gl_expected_distance(gl: DataFrame) -> DataFrame:
 
 def bootstrap_blocks(gt: DataFrame, block: int = 1000, reps: int = 100, seed: int = 7) -> DataFrame:
     """Distances of replicates that weigh blocks of sites by Poisson(1) numbers from a hash: (rep, sample_i, sample_j, value)."""
-    order = W.partitionBy("chrom").orderBy("pos")
-    blocks = gt.select(*SITE).distinct().withColumn("block", F.floor((F.row_number().over(order) - 1) / block))
+    blocks = numbered(gt.select(*SITE).distinct(), "__i").withColumn("block", F.floor(F.col("__i") / block)).drop("__i")
     sums = site_pairs(gt.join(blocks, SITE), extra=["block"]).groupBy("chrom", "block", "sample_i", "sample_j").agg(F.sum(F.abs(F.col("x") - F.col("y")) / 2).alias("d"), F.count(F.lit(1)).alias("n"))
     wide = sums.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
     u = (F.pmod(F.xxhash64(F.lit(seed), "rep", "chrom", "block"), F.lit(1 << 30)) + 0.5) / float(1 << 30)
@@ -180,13 +190,15 @@ def site_inbreeding(gt: DataFrame) -> DataFrame:
     return out.where("exp_het > 0").withColumn("F", 1 - F.col("obs_het") / F.col("exp_het"))
 
 
-def admixture_em(gl: DataFrame, k: int, reps: int = 1, seed: int = 1, rounds: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+def admixture_em(gl: DataFrame, k: int, reps: int = 1, seed: int = 1, rounds: int = 10, parts: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """K-cluster EM on likelihoods `gl`: (q: rep, sample_id, cluster, q), (f: rep, site, cluster, f), (log-likelihoods per rep).
 
     Every restart has its own seed, seed + restart. A round joins q and f (arrays of K) to the cells and sums by sample and
-    by site; each is cut by a checkpoint."""
+    by site; each is cut by a checkpoint. parts (sample_id, rep) runs one model per set of samples instead of restarts."""
     ensure_checkpoint_dir(gl.sparkSession)
-    cells = gl.select(*SITE, "sample_id", "gl").withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).persist()
+    cells = gl.select(*SITE, "sample_id", "gl")
+    cells = cells.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))) if parts is None else cells.join(parts.select("sample_id", "rep"), "sample_id")
+    cells = cells.persist()
     draw = lambda *c: F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: (F.pmod(F.xxhash64(F.lit(seed) + F.col("rep"), *c, i), F.lit(9973)) + 1) / 9974.0)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     q = cells.select("rep", "sample_id").distinct().withColumn("q", draw("sample_id")).withColumn("q", F.transform("q", lambda x: x / total(F.col("q"))))
@@ -205,23 +217,24 @@ def admixture_em(gl: DataFrame, k: int, reps: int = 1, seed: int = 1, rounds: in
         f = x.groupBy("rep", *SITE).agg(sums("a").alias("A"), sums("b").alias("B")).select("rep", *SITE, F.transform(F.zip_with("A", "B", lambda s, t: s / (s + t)), lambda v: F.least(F.greatest(v, F.lit(1e-6)), F.lit(1 - 1e-6))).alias("f")).checkpoint()
         like = x.groupBy("rep").agg(F.sum(F.log("l")).alias("log_likelihood")).checkpoint()
         x.unpersist()
+    cells.unpersist()
     return q.select("rep", "sample_id", F.posexplode("q").alias("cluster", "q")), f.select("rep", *SITE, F.posexplode("f").alias("cluster", "f")), like
 
 
 def recursive_bipartition(gl: DataFrame, depth: int = 5, rounds: int = 10) -> DataFrame:
-    """K = 2, samples split at Q > 0.5, again inside each part; parts of one sample stay. (sample_id, part), part a string of 0 and 1."""
+    """K = 2, samples split at Q > 0.5, again inside each part; parts of one sample stay. (sample_id, part), part a string of 0
+    and 1. All parts of a level are split in one run, each a model of its own."""
     ensure_checkpoint_dir(gl.sparkSession)
-    parts = gl.select("sample_id").distinct().withColumn("part", F.lit(""))
+    parts = gl.select("sample_id").distinct().withColumn("part", F.lit("")).checkpoint()
     for _ in range(depth):
-        names = [r["part"] for r in parts.groupBy("part").count().where("count > 1").collect()]
-        if not names:
+        sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
+        sized = parts.join(sizes, "part")
+        split = sized.where("__n > 1").select("sample_id", "part", F.conv(F.concat(F.lit("1"), "part"), 2, 10).cast("long").alias("rep"))
+        if split.isEmpty():
             break
-        out = parts.join(parts.groupBy("part").count().where("count = 1").select("part"), "part", "left_semi").select("sample_id", "part")
-        for name in names:
-            q, _, _ = admixture_em(gl.join(parts.where(F.col("part") == name).select("sample_id"), "sample_id", "left_semi"), 2, 1, 1, rounds)
-            side = q.where("cluster = 0").select("sample_id", F.concat(F.lit(name), F.when(F.col("q") > 0.5, "0").otherwise("1")).alias("part"))
-            out = out.unionByName(side)
-        parts = out.checkpoint()
+        q, _, _ = admixture_em(gl, 2, 1, 1, rounds, split)
+        side = q.where("cluster = 0").join(split.select("sample_id", "part"), "sample_id").select("sample_id", F.concat("part", F.when(F.col("q") > 0.5, "0").otherwise("1")).alias("part"))
+        parts = sized.where("__n = 1").select("sample_id", "part").unionByName(side).checkpoint()
     return parts
 
 
@@ -280,9 +293,10 @@ def geo_filter(coords: DataFrame, habitat: DataFrame, dist: DataFrame) -> tuple[
 
 def genome_windows(sites: DataFrame, mode: str, n: int = 1) -> DataFrame:
     """`window` of each site: by bases (pos div n), by number of sites, or the contig."""
-    order = W.partitionBy("chrom").orderBy("pos")
-    number: Column = {"bp": F.floor(F.col("pos") / n), "snp": F.floor((F.row_number().over(order) - 1) / n), "contig": F.lit(0)}[mode]
-    return sites.withColumn("window", F.concat_ws("_", "chrom", number.cast("long").cast("string")) if mode != "contig" else F.col("chrom"))
+    if mode == "contig":
+        return sites.withColumn("window", F.col("chrom"))
+    rows = numbered(sites, "__i") if mode == "snp" else sites.withColumn("__i", F.col("pos"))
+    return rows.withColumn("window", F.concat_ws("_", "chrom", F.floor(F.col("__i") / n).cast("long").cast("string"))).drop("__i")
 
 
 def subset_gl(gl: DataFrame, samples: DataFrame, sites: DataFrame, freq: DataFrame | None = None) -> DataFrame:

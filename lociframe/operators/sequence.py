@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,25 +17,41 @@ from lociframe.operators.intervals import complement, label_lengths, merge, over
 TILE = 65_536
 
 
-def _runs(contigs: DataFrame, inside: str, label: str) -> DataFrame:
-    """Maximal runs of characters of a class. Sequences are tiled first, so one huge contig is spread; runs that meet at a
-    tile's edge are merged again."""
-    tiles = contigs.where(F.length("seq") > 0).select("contig", F.col("seq"), F.explode(F.sequence(F.lit(0), F.length("seq") - 1, F.lit(TILE))).alias("at")).select("contig", "at", F.substr("seq", F.col("at") + 1, F.lit(TILE)).alias("seq"))
-    parts = tiles.select("contig", "at", F.posexplode(F.regexp_extract_all("seq", F.lit(f"([{inside}]+|[^{inside}]+)"), F.lit(1))).alias("i", "part"))
-    order = W.partitionBy("contig", "at").orderBy("i").rowsBetween(W.unboundedPreceding, -1)
-    placed = parts.withColumn("start", (F.col("at") + F.coalesce(F.sum(F.length("part")).over(order), F.lit(0))).cast("long"))
-    hits = placed.where(F.col("part").rlike(f"^[{inside}]")).select(F.col("contig").alias("chrom"), "start", (F.col("start") + F.length("part")).alias("end"))
-    return merge(hits).withColumn("label", F.lit(label))
+def _runs(contigs: DataFrame, inside: bytes, label: str) -> DataFrame:
+    """Maximal runs of the ASCII characters `inside`. Sequences are tiled first, so one huge contig is spread; the runs of a tile
+    are found in numpy, and only those that touch a tile's edge are merged."""
+    member = np.zeros(256, bool)
+    member[list(inside)] = True
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, ends, edges = [], [], [], []
+            for k, (at, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
+                raw = np.frombuffer(text.as_buffer(), np.uint8)
+                flag = np.concatenate([[False], member[raw], [False]])
+                chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                change = np.flatnonzero(flag[1:] != flag[:-1])
+                first, last = chars[change[::2]], chars[change[1::2]]
+                rows.append(np.full(len(first), k))
+                starts.append(first + at)
+                ends.append(last + at)
+                edges.append(((first == 0) & (at > 0)) | ((last == chars[-1]) & (chars[-1] == TILE)))
+            some = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(some), *(pa.array(np.concatenate([np.zeros(0, t), *x])) for t, x in ((np.int64, starts), (np.int64, ends), (bool, edges)))], names=["chrom", "start", "end", "edge"])
+
+    tiles = contigs.where(F.length("seq") > 0).select("contig", F.col("seq"), F.explode(F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(TILE).cast("long"))).alias("at")).select("contig", "at", F.substr("seq", (F.col("at") + 1).cast("int"), F.lit(TILE)).alias("seq"))
+    hits = tiles.mapInArrow(find, "chrom string, start long, end long, edge boolean")
+    return hits.where("not edge").select("chrom", "start", "end").unionByName(merge(hits.where("edge").select("chrom", "start", "end"))).withColumn("label", F.lit(label))
 
 
 def hard_mask(contigs: DataFrame) -> DataFrame:
     """Runs of upper-case N."""
-    return _runs(contigs, "N", "NRef")
+    return _runs(contigs, b"N", "NRef")
 
 
 def soft_mask(contigs: DataFrame) -> DataFrame:
     """Runs of lower-case letters."""
-    return _runs(contigs, "a-z", "SoftMaskRef")
+    return _runs(contigs, bytes(range(97, 123)), "SoftMaskRef")
 
 
 def exclude_mask(iv: DataFrame) -> DataFrame:
@@ -53,15 +75,32 @@ def kmer_mappability(contigs: DataFrame, k: int, threshold: float) -> DataFrame:
     return merge(low)
 
 
-def low_complexity_mask(contigs: DataFrame, k: int = 3, window: int = 64, threshold: float = 20.0) -> DataFrame:
-    """Merged windows whose k-mer repetition score, the sum over distinct k-mers of n(n-1)/2 / (k-mers - 1), is above the threshold."""
+def low_complexity_mask(contigs: DataFrame, k: int = 7, window: int = 5_000, threshold: float = 0.6) -> DataFrame:
+    """Merged windows of low complexity: over the counts n of a window's k-mers, the sum of ln(n!) exceeds what as many random
+    k-mers give, 4^k e^-x sum(ln(n!) x^n / n!) with x = k-mers / 4^k, by more than `threshold` per k-mer."""
+    log_factorial = [0.0, 0.0]
+    for n in range(2, window + 1):
+        log_factorial.append(log_factorial[-1] + math.log(n))
+    logs = F.from_json(F.lit(json.dumps(log_factorial)), "array<double>")  # entry n is ln(n!)
     found = kmers(contigs, k).withColumn("w", F.floor(F.col("pos") / window).cast("long"))
     counts = found.groupBy("contig", "w", "kmer").agg(F.count(F.lit(1)).alias("n"))
-    scored = counts.groupBy("contig", "w").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("s"), F.sum("n").alias("m")).where((F.col("m") > 1) & (F.col("s") / (F.col("m") - 1) > threshold))
+    sums = counts.groupBy("contig", "w").agg(F.sum(F.get(logs, F.col("n").cast("int"))).alias("s"), F.sum("n").alias("m"))
+    x = F.col("m") / float(4**k)
+    random = F.aggregate(F.sequence(F.lit(2), F.lit(RANDOM_TERMS)), F.lit(0.0), lambda a, n: a + F.get(logs_to(RANDOM_TERMS), n) * F.exp(n * F.log(x) - x - F.get(logs_to(RANDOM_TERMS), n)))
+    scored = sums.where(F.col("s") - float(4**k) * random > threshold * F.col("m"))
     ends = scored.join(contigs.select("contig", F.length("seq").alias("len")), "contig")
     return merge(ends.select(F.col("contig").alias("chrom"), (F.col("w") * window).alias("start"), F.least((F.col("w") + 1) * window, F.col("len").cast("long")).alias("end")))
 
 
+#: Terms of the sum for random k-mers; x is small where a window has fewer k-mers than there are different ones.
+RANDOM_TERMS = 60
+
+
+def logs_to(n: int) -> Column:
+    """ln(i!) for i up to n, as one array."""
+    return F.from_json(F.lit(json.dumps([math.lgamma(i + 1) for i in range(n + 1)])), "array<double>")
+
+
 def count_of(seq: Column, letters: str) -> Column:
     return F.length(seq) - F.length(F.translate(seq, letters, ""))
 
@@ -73,7 +112,9 @@ def gc_percent(contigs: DataFrame) -> DataFrame:
 
 def kmer_hits(a: DataFrame, b: DataFrame, k: int, min_len: int) -> DataFrame:
     """Shared exact k-mers between two sequence sets, chained along diagonals into blocks (a_contig, b_contig, start, end, b_start).
-    K-mers seen more than once on both sides multiply, so repeats on both sides are best masked before."""
+
+    A k-mer seen m times on one side and n times on the other gives m * n hits, all of them part of the result; AQE splits the
+    tasks of such k-mers. Repeats on both sides are best masked before."""
     left = kmers(a, k).select(F.col("contig").alias("a_contig"), F.col("pos").alias("a_pos"), "kmer")
     right = kmers(b, k).select(F.col("contig").alias("b_contig"), F.col("pos").alias("b_pos"), "kmer")
     hits = left.join(right, "kmer").withColumn("diagonal", F.col("a_pos") - F.col("b_pos"))

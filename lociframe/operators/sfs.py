@@ -2,32 +2,41 @@
 
 from __future__ import annotations
 
+import json
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.tiles import numbered
+
 SITE = ["chrom", "pos"]
 
 
 def site_allele_likelihood(gl: DataFrame) -> DataFrame:
     """`saf`: likelihood of each number of derived alleles at a site, the samples' likelihoods convolved in order of their ids,
     binomials divided out; scaled to maximum 1."""
-    packed = gl.groupBy(*SITE).agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_id", "gl"))), lambda x: x["gl"]).alias("g"))
-    at = lambda a, j: F.coalesce(F.get(a, j), F.lit(0.0))
-
-    def add(a: Column, g: Column) -> Column:
-        step = F.transform(F.sequence(F.lit(0), F.size(a) + 1), lambda j: at(a, j) * g[0] + 2 * F.when(j >= 1, at(a, F.greatest(j - 1, F.lit(0)))).otherwise(0.0) * g[1] + F.when(j >= 2, at(a, F.greatest(j - 2, F.lit(0)))).otherwise(0.0) * g[2])
-        return F.transform(step, lambda x: x / F.array_max(step))
-
-    saf = F.aggregate("g", F.array(F.lit(1.0)), add)
-    raw = packed.select(*SITE, saf.alias("z"))
-    # divide by the number of ways, choose(2n, j)
-    n = F.size("z") - 1
-    logs = F.transform("z", lambda x, j: F.log(F.greatest(x, F.lit(1e-300))) - F.aggregate(F.sequence(F.lit(1), F.greatest(j, F.lit(1))), F.lit(0.0), lambda s, i: s + F.when(j > 0, F.log(F.col("__n") - i + 1) - F.log(i)).otherwise(0.0)))
-    scaled = raw.withColumn("__n", n).withColumn("l", logs)
-    return scaled.select(*SITE, F.transform("l", lambda x: F.exp(x - F.array_max("l"))).alias("saf"))
+    packed = gl.groupBy(*SITE).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sample_id", "gl"))), lambda x: x["gl"])).alias("g"))
+
+    def convolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for g in batch.column(2):
+                z = np.ones(1)
+                for a, b, c in np.asarray(g.values, float).reshape(-1, 3):
+                    z = np.convolve(z, (a, 2 * b, c))
+                    z /= z.max()
+                n = len(z) - 1
+                ways = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in range(n + 1)])
+                logs = np.log(np.maximum(z, 1e-300)) - ways
+                out.append(np.exp(logs - logs.max()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))], names=[*SITE, "saf"])
+
+    chrom, pos = (gl.schema[c].dataType.simpleString() for c in SITE)
+    return packed.mapInArrow(convolve, f"chrom {chrom}, pos {pos}, saf array<double>")
 
 
 def sfs_em(saf: DataFrame, rounds: int = 20, tol: float = 1e-6) -> DataFrame:
@@ -42,15 +51,17 @@ def sfs_em(saf: DataFrame, rounds: int = 20, tol: float = 1e-6) -> DataFrame:
     saf = saf.select(F.when(short, F.aggregate(F.sequence(F.size("saf"), F.greatest(F.size("saf"), F.lit(first["k"] - 1))), F.col("saf"), lambda a, _: wider(a))).otherwise(F.col("saf")).alias("saf")).persist()
     p = [1.0 / first["k"]] * first["k"]
     for _ in range(rounds):
-        weighted = F.zip_with("saf", F.array(*(F.lit(v) for v in p)), lambda a, b: a * b)
+        # the spectrum goes in as one literal and the sums come out as one row a bin, however many bins there are
+        weighted = F.zip_with("saf", F.from_json(F.lit(json.dumps(p)), "array<double>"), lambda a, b: a * b)
         total = F.aggregate("w", F.lit(0.0), lambda s, x: s + x)
-        post = saf.select(weighted.alias("w")).select(F.transform("w", lambda x: x / total).alias("w"))
-        row = post.agg(*(F.sum(F.col("w")[j]).alias(f"b{j}") for j in range(len(p)))).first()
-        new = [row[f"b{j}"] / first["sites"] for j in range(len(p))]
+        post = saf.select(weighted.alias("w")).select(F.posexplode(F.transform("w", lambda x: x / total)).alias("j", "x"))
+        sums = {r["j"]: r["s"] for r in post.groupBy("j").agg(F.sum("x").alias("s")).collect()}
+        new = [sums.get(j, 0.0) / first["sites"] for j in range(len(p))]
         change = max(abs(a - b) for a, b in zip(p, new, strict=True))
         p = new
         if change < tol:
             break
+    saf.unpersist()
     return saf.sparkSession.createDataFrame([(j, v * first["sites"]) for j, v in enumerate(p)], "bin int, n double")
 
 
@@ -92,9 +103,18 @@ def sfs_stats(sfs: DataFrame) -> DataFrame:
     return t.select("pi", "theta_w", "S", "n_sites", tajima.alias("tajima_d"), fu_li.alias("fu_li_d"))
 
 
+def blocks_of_equal_size(sites: DataFrame, n_blocks: int) -> DataFrame:
+    """sites with `block`, 1 to n_blocks along each contig; sizes differ by one at most, the first blocks being the larger."""
+    sized = numbered(sites, "__i").join(sites.groupBy("chrom").agg(F.count(F.lit(1)).alias("__n")), "chrom")
+    least, more = F.floor(F.col("__n") / n_blocks), F.col("__n") % n_blocks
+    i, head = F.col("__i"), more * (least + 1)
+    block = F.when(i < head, F.floor(i / (least + 1))).otherwise(more + F.floor((i - head) / F.greatest(least, F.lit(1))))
+    return sized.withColumn("block", (block + 1).cast("int")).drop("__i", "__n")
+
+
 def sfs_blocks(gt: DataFrame, n_blocks: int = 100) -> DataFrame:
     """Per block of neighbouring sites: pi, theta_W, S, sites, and the global sums minus the block's."""
-    terms = _site_terms(gt).withColumn("block", F.ntile(n_blocks).over(W.partitionBy("chrom").orderBy("pos")))
+    terms = blocks_of_equal_size(_site_terms(gt), n_blocks)
     own = terms.groupBy("chrom", "block").agg(F.sum("pi").alias("pi"), F.sum("theta_w").alias("theta_w"), F.sum("seg").alias("S"), F.count(F.lit(1)).alias("n_sites"))
     whole = own.agg(F.sum("pi").alias("__pi"), F.sum("S").alias("__s"))
     return own.crossJoin(F.broadcast(whole)).select("chrom", "block", "pi", "theta_w", "S", "n_sites", (F.col("__pi") - F.col("pi")).alias("pi_without"), (F.col("__s") - F.col("S")).alias("S_without"))

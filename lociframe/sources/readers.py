@@ -96,17 +96,29 @@ def gvcf_blocks(sites: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(contig, seq, length, rank). A record is one row; ranks follow the order in the file."""
+    """(contig, seq, length, rank). A record is one row; ranks follow the order in the file, and are made from the row ids alone."""
     records = spark.read.text(path, lineSep=">").where(F.trim("value") != "").select("value", F.monotonically_increasing_id().alias("__at"))
     named = records.select("__at", F.regexp_extract("value", r"^(\S+)", 1).alias("contig"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
-    # one row per contig
-    return named.select("contig", "seq", F.length("seq").cast("long").alias("length"), F.row_number().over(W.partitionBy(F.lit(0)).orderBy("__at")).alias("rank"))
+    # one number per contig
+    ranks = records.select("__at").withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("__at")))
+    return named.join(ranks, "__at").select("contig", "seq", F.length("seq").cast("long").alias("length"), "rank")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, n): lines with their number from 0 in the order of the files' splits. Row ids count within a split; the splits
+    before are counted once, a row per split."""
+    ids = spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("__id"))
+    split, within = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ids.groupBy(split.alias("__split")).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__split", F.coalesce(F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__split").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return ids.withColumn("__split", split).join(F.broadcast(before), "__split").select("line", (F.col("__before") + within).alias("n"))
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
-    """(read_id, seq, qual, mate): four lines a record. Line numbers come from zipWithIndex, which counts per partition first."""
-    indexed = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1] // 4, x[1] % 4, x[0][0])).toDF("rec long, i long, line string")
-    wide = indexed.groupBy("rec").agg(*(F.max(F.when(F.col("i") == i, F.col("line"))).alias(n) for i, n in ((0, "read_id"), (1, "seq"), (3, "qual"))))
+    """(read_id, seq, qual, mate): four lines a record."""
+    lines = numbered_lines(spark, path)
+    at = F.pmod("n", F.lit(4))
+    wide = lines.groupBy(F.floor(F.col("n") / 4).alias("__rec")).agg(*(F.max(F.when(at == i, F.col("line"))).alias(c) for i, c in ((0, "read_id"), (1, "seq"), (3, "qual"))))
     return wide.select("read_id", "seq", "qual", F.lit(mate).alias("mate"))
 
 
@@ -124,17 +136,20 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def read_beagle(spark: SparkSession, path: str) -> DataFrame:
     """(marker, allele1, allele2, sample_id, gl[3]) from the wide table; three columns per sample."""
     lines = lines_of(spark, path)
-    head = lines.where(F.col("line").startswith("marker")).first()["line"].split("\t")[3::3]
+    header = lines.where(F.col("line").startswith("marker")).first()
+    if header is None:
+        raise ValueError("no header line that begins with marker")
+    head = header["line"].split("\t")[3::3]
     p = lines.where(~F.col("line").startswith("marker") & (F.col("line") != "")).select(F.split("line", "\t").alias("p"))
     value = F.transform(F.sequence(F.lit(0), F.lit(len(head) - 1)), lambda i: F.transform(F.slice(F.col("p"), 4 + 3 * i, F.lit(3)), lambda x: x.cast("double")))
     return p.select(F.col("p")[0].alias("marker"), F.col("p")[1].alias("allele1"), F.col("p")[2].alias("allele2"), F.explode(F.arrays_zip(F.array(*(F.lit(s) for s in head)).alias("s"), value.alias("g"))).alias("z")).select("marker", "allele1", "allele2", F.col("z.s").alias("sample_id"), F.col("z.g").alias("gl"))
 
 
 def read_pileup_counts(spark: SparkSession, path: str, samples: list[str]) -> DataFrame:
-    """(sample_id, chrom, pos, allele, fwd, rev) from rows chrom, pos, ref, alleles, then GT:FWD:REV per sample; another number
+    """(sample_id, chrom, pos, allele in upper case, fwd, rev) from rows chrom, pos, ref, alleles, then GT:FWD:REV per sample; another number
     of columns is an error when read."""
     p = lines_of(spark, path).where(~F.col("line").rlike("^(#|$)")).select(F.split("line", "\t").alias("p"))
     checked = p.select(F.when(F.size("p") == 4 + len(samples), F.col("p")).otherwise(F.raise_error(F.lit("columns do not match the samples"))).alias("p"))
-    cells = checked.select(F.col("p")[0].alias("chrom"), F.col("p")[1].cast("long").alias("pos"), F.split(F.col("p")[3], ",").alias("a"), F.explode(F.arrays_zip(F.array(*(F.lit(s) for s in samples)).alias("s"), F.slice("p", 5, len(samples)).alias("v"))).alias("z"))
+    cells = checked.select(F.col("p")[0].alias("chrom"), F.col("p")[1].cast("long").alias("pos"), F.split(F.upper(F.col("p")[3]), ",").alias("a"), F.explode(F.arrays_zip(F.array(*(F.lit(s) for s in samples)).alias("s"), F.slice("p", 5, len(samples)).alias("v"))).alias("z"))
     counts = cells.select("chrom", "pos", F.col("z.s").alias("sample_id"), "a", F.split(F.split(F.col("z.v"), ":")[1], ",").alias("f"), F.split(F.split(F.col("z.v"), ":")[2], ",").alias("r"))
     return counts.select("sample_id", "chrom", "pos", F.explode(F.arrays_zip("a", "f", "r")).alias("z")).select("sample_id", "chrom", "pos", F.col("z.a").alias("allele"), F.col("z.f").cast("long").alias("fwd"), F.col("z.r").cast("long").alias("rev"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -15,16 +16,20 @@ def write_interval_chunks(chunks: DataFrame, path: str) -> None:
 
 
 def beagle_rows(gp: DataFrame) -> DataFrame:
-    """Wide likelihood rows (marker, allele1, allele2, values): three columns per sample, in order of sample ids."""
+    """Wide likelihood rows (chrom, pos, marker, allele1, allele2, values): three columns per sample, in order of sample ids;
+    a missing allele is a dot."""
     ordered = F.array_sort(F.collect_list(F.struct("sample_id", "gp")))
     values = F.flatten(F.transform(ordered, lambda x: x["gp"]))
-    return gp.groupBy("chrom", "pos", "ref", F.get("alt", F.lit(0)).alias("alt")).agg(values.alias("v")).select(F.concat_ws(":", "chrom", F.col("pos").cast("string")).alias("marker"), F.col("ref").alias("allele1"), F.col("alt").alias("allele2"), F.array_join(F.transform("v", lambda x: F.format_number(x, 6)), "\t").alias("values"))
+    return gp.groupBy("chrom", "pos", "ref", F.get("alt", F.lit(0)).alias("alt")).agg(values.alias("v")).select("chrom", "pos", F.concat_ws(":", "chrom", F.col("pos").cast("string")).alias("marker"), F.coalesce("ref", F.lit(".")).alias("allele1"), F.coalesce("alt", F.lit(".")).alias("allele2"), F.array_join(F.transform("v", lambda x: F.format_string("%.6f", x)), "\t").alias("values"))
 
 
 def write_beagle(gp: DataFrame, path: str) -> None:
+    """The header line, then rows in order of contig and position: the part files read in order of their names are the table."""
     samples = sorted(r[0] for r in gp.select("sample_id").distinct().collect())  # the header names every sample
-    head = gp.sparkSession.createDataFrame([("\t".join(["marker", "allele1", "allele2", *(s for s in samples for _ in range(3))]),)], "value string")
-    head.unionByName(beagle_rows(gp).select(F.concat_ws("\t", "marker", "allele1", "allele2", "values").alias("value"))).write.mode("overwrite").text(path)
+    line = "\t".join(["marker", "allele1", "allele2", *(s for s in samples for _ in range(3))])
+    head = gp.sparkSession.createDataFrame([(0, "", 0, line)], "__k int, chrom string, pos long, value string")
+    rows = beagle_rows(gp).select(F.lit(1).alias("__k"), "chrom", F.col("pos").cast("long").alias("pos"), F.concat_ws("\t", "marker", "allele1", "allele2", "values").alias("value"))
+    head.unionByName(rows).orderBy("__k", "chrom", "pos").select("value").write.mode("overwrite").text(path)
 
 
 def write_fasta(seqs: DataFrame, path: str, width: int = 80) -> None:
@@ -53,12 +58,20 @@ def split_by_contig(df: DataFrame, path: str) -> None:
     df.withColumn("contig_name", F.regexp_replace("chrom", "[^A-Za-z0-9_.-]", "_")).write.mode("overwrite").partitionBy("contig_name").parquet(path)
 
 
-def genotype_strings(gt: DataFrame) -> DataFrame:
-    """Per sample one string of 0, 1, 2 and 3 (missing) over all sites in order."""
-    sites = gt.select("chrom", "pos").distinct()
-    full = sites.crossJoin(gt.select("sample_id").distinct()).join(gt.select("chrom", "pos", "sample_id", "dosage"), ["chrom", "pos", "sample_id"], "left")
-    ordered = F.array_sort(F.collect_list(F.struct("chrom", "pos", F.coalesce("dosage", F.lit(3)).alias("d"))))
-    return full.groupBy("sample_id").agg(F.array_join(F.transform(ordered, lambda x: x["d"].cast("string")), "").alias("genotypes"))
+def genotype_strings(gt: DataFrame, tile: int = 1 << 20) -> DataFrame:
+    """(sample_id, chrom, tile, n_sites, genotypes): per sample and tile of a contig one string of 0, 1, 2 and 3 (missing) over the
+    tile's sites in order. Every sample has a row in every tile that has a site."""
+    tiled = gt.select("chrom", "pos", "sample_id", "dosage", F.floor(F.col("pos") / tile).cast("long").alias("tile"))
+    order = W.partitionBy("chrom", "tile").orderBy("pos")
+    sites = tiled.select("chrom", "tile", "pos").distinct().withColumn("i", F.row_number().over(order))
+    tiles = sites.groupBy("chrom", "tile").agg(F.count(F.lit(1)).alias("n_sites"))
+    called = tiled.where("dosage is not null").join(sites, ["chrom", "tile", "pos"]).groupBy("sample_id", "chrom", "tile").agg(F.array_sort(F.collect_list(F.struct("i", F.col("dosage").cast("string").alias("d")))).alias("c"))
+    # a row per sample and tile
+    frame = tiles.crossJoin(gt.select("sample_id").distinct()).join(called, ["sample_id", "chrom", "tile"], "left").withColumn("c", F.coalesce("c", F.expr("cast(array() as array<struct<i:int,d:string>>)")))
+    gap = lambda a, b: F.repeat(F.lit("3"), (b - a - 1).cast("int"))
+    parts = F.transform("c", lambda x, k: F.concat(gap(F.coalesce(F.get(F.col("c"), k - 1)["i"], F.lit(0)), x["i"]), x["d"]))
+    tail = gap(F.coalesce(F.get("c", F.size("c") - 1)["i"], F.lit(0)), F.col("n_sites") + 1)
+    return frame.select("sample_id", "chrom", "tile", "n_sites", F.concat(F.array_join(parts, ""), tail).alias("genotypes"))
 
 
 def merge_tables_with_check(dfs: list[DataFrame]) -> tuple[DataFrame, DataFrame]:

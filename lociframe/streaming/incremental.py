@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -27,14 +27,19 @@ def counted_groups(stream: DataFrame, key: str = "sample_id", part: str = "part"
     return stream.groupBy(key).applyInPandasWithState(step, f"{key} string, n_seen long", "seen array<string>, done boolean", "append", GroupStateTimeout.NoTimeout)
 
 
-def incremental_reuse(stream: DataFrame, store: str, checkpoint: str, key: str = "sample_id"):
-    """Appends to the store (Parquet) the samples of each batch that it does not hold yet; returns the running query."""
+def incremental_reuse(stream: DataFrame, store: str, checkpoint: str, key: str = "sample_id", valid: Column | str | None = None):
+    """Appends to the store (Parquet) the samples of each batch that it does not hold yet; returns the running query.
+
+    valid: stored samples count as held only if this holds for one of their rows; others are made again, and what is stored
+    later stands beside the invalid row. Repeats within a batch count once; a batch that is run again adds nothing.
+    """
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates([key])
         try:
-            fresh = fresh.join(spark.read.schema(batch.schema).parquet(store).select(key), key, "left_anti")
+            held = spark.read.schema(batch.schema).parquet(store)
+            fresh = fresh.join((held if valid is None else held.where(valid)).select(key), key, "left_anti")
         except Exception as e:  # the first batch finds no store
             if "PATH_NOT_FOUND" not in str(e):
                 raise
