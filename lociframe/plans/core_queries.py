@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from lociframe.operators import chunking as C
 from lociframe.operators import dataflow as D
 from lociframe.operators import filters as Q
 from lociframe.operators import intervals as I
-from lociframe.operators.params import FilterParams
+from lociframe.operators.params import FilterParams, TypeThresholds
 from lociframe.plans import views as V
 from lociframe.plans.registry import query
 
@@ -84,7 +86,7 @@ def interval_windows(spark: SparkSession, d: str) -> DataFrame:
     return I.make_windows(V.intervals(spark, d).select("chrom", "start", "end"), 1000)
 
 
-MASK = """mask AS (SELECT chrom, start, start + 3000 AS "end" FROM (SELECT chrom, pos - 50 AS start, pos FROM s) WHERE pos % 11 = 0)"""
+MASK = """mask AS (SELECT chrom, pos - 50 AS start, pos + 2950 AS "end" FROM s WHERE pos % 11 = 0)"""
 
 
 def site_mask(spark: SparkSession, d: str) -> DataFrame:
@@ -156,9 +158,14 @@ def chunks_balanced(spark: SparkSession, d: str) -> DataFrame:
     return C.chunk_balanced(I.merge(V.intervals(spark, d), 0, {"weight": F.sum("weight")}), V.contigs(spark, d), 20_000)
 
 
-@query()
+@query(V.with_views("iv", body="@" + merged_sql("iv").replace('max("end") AS "end" FROM numbered', 'max("end") AS "end", sum(weight) AS weight FROM numbered') + """, x AS (SELECT *, coalesce(sum(weight) OVER (ORDER BY chrom, start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(weight) OVER () AS total FROM merged),
+k AS (SELECT *, CAST(greatest(1, ceil(total / 20000)) AS BIGINT) AS k, total / greatest(1, ceil(total / 20000)) AS per FROM x), l AS (SELECT *, CAST(least(k - 1, floor((before + 1e-9) / per)) AS BIGINT) AS lo0 FROM k), h AS (SELECT *, CAST(least(k - 1, greatest(lo0, ceil((before + weight) / per - 1e-9) - 1)) AS BIGINT) AS hi0 FROM l),
+e AS (SELECT *, unnest(range(lo0, hi0 + 1)) AS chunk FROM h), c AS (SELECT chrom, start, "end", weight, chunk, "end" - start AS len, CASE WHEN chunk = lo0 THEN 0 ELSE floor(("end" - start) * CASE WHEN weight > 0 THEN least(1.0, greatest(0.0, (chunk * per - before) / weight)) ELSE 0 END + 0.5) END AS lo,
+CASE WHEN chunk = hi0 THEN "end" - start ELSE floor(("end" - start) * CASE WHEN weight > 0 THEN least(1.0, greatest(0.0, ((chunk + 1) * per - before) / weight)) ELSE 0 END + 0.5) END AS hi FROM e)
+SELECT chrom, CAST(start + lo AS BIGINT) AS start, CAST(start + hi AS BIGINT) AS "end", round(weight * (hi - lo) / len, 4) AS weight, chunk FROM c WHERE hi > lo"""))
 def chunks_balanced_split(spark: SparkSession, d: str) -> DataFrame:
-    return C.chunk_balanced_split(I.merge(V.intervals(spark, d), 0, {"weight": F.sum("weight")}), V.contigs(spark, d), 20_000)
+    cut = C.chunk_balanced_split(I.merge(V.intervals(spark, d), 0, {"weight": F.sum("weight")}), V.contigs(spark, d), 20_000)
+    return cut.withColumn("weight", F.round("weight", 4))
 
 
 @query()
@@ -245,19 +252,121 @@ def counted_groups(spark: SparkSession, d: str) -> DataFrame:
     return D.counted_groups(e, "sample_id", "rg", "n_expected")
 
 
+@query("SELECT sample_id FROM (SELECT DISTINCT 'S' || CAST(s_suppkey % 40 AS VARCHAR) AS sample_id FROM supplier INTERSECT SELECT DISTINCT 'S' || CAST(l_suppkey % 30 AS VARCHAR) FROM lineitem)")
+def in_both(spark: SparkSession, d: str) -> DataFrame:
+    named = V.table(spark, d, "lineitem").select(F.concat(F.lit("S"), (F.col("l_suppkey") % 30).cast("string")).alias("sample_id"))
+    return D.in_both(V.popmap(spark, d), named)
+
+
+@query("SELECT DISTINCT 'S' || CAST(s_suppkey % 40 AS VARCHAR) AS sample_id FROM supplier EXCEPT SELECT 'S' || CAST(l_suppkey % 30 AS VARCHAR) FROM lineitem")
+def only_first(spark: SparkSession, d: str) -> DataFrame:
+    named = V.table(spark, d, "lineitem").select(F.concat(F.lit("S"), (F.col("l_suppkey") % 30).cast("string")).alias("sample_id"))
+    return D.only_first(V.popmap(spark, d), named)
+
+
+@query(V.with_views("iv", body="""SELECT chrom, label, start, "end", weight FROM (SELECT *, row_number() OVER (PARTITION BY chrom, label ORDER BY weight DESC, start, "end") AS place FROM iv) WHERE place <= 3"""))
+def top_k(spark: SparkSession, d: str) -> DataFrame:
+    """The three heaviest intervals of each contig and label."""
+    return D.top_k(V.intervals(spark, d), ["chrom", "label"], [("weight", False), ("start", True), ("end", True)], 3).select("chrom", "label", "start", "end", "weight")
+
+
+@query(V.with_views("iv", body="""SELECT chrom, "end" - start AS length, label || ':' || chrom AS name FROM iv"""))
+def map_rows(spark: SparkSession, d: str) -> DataFrame:
+    return D.map_rows(V.intervals(spark, d), {"chrom": "chrom", "length": F.col("end") - F.col("start"), "name": "concat(label, ':', chrom)"})
+
+
+@query(V.with_views("iv", body="SELECT * FROM iv WHERE weight > 250"))
+def keep_rows(spark: SparkSession, d: str) -> DataFrame:
+    return D.keep(V.intervals(spark, d), "weight > 250")
+
+
+@query(V.with_views("iv", body="SELECT label, CASE WHEN weight > 400 THEN 'heavy' WHEN weight > 100 THEN 'middle' ELSE 'light' END AS branch, count(*) AS n FROM iv GROUP BY 1, 2"))
+def branch(spark: SparkSession, d: str) -> DataFrame:
+    parts = D.branch(V.intervals(spark, d), {"heavy": "weight > 400", "middle": "weight > 100", "light": "true"})
+    return D.mix(*(p.withColumn("branch", F.lit(name)) for name, p in parts.items())).groupBy("label", "branch").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(V.with_views("pop", body="SELECT pop, count(*) AS n FROM pop GROUP BY 1"))
+def if_empty(spark: SparkSession, d: str) -> DataFrame:
+    """An empty table gives way to its default, another does not."""
+    p = V.popmap(spark, d)
+    return D.if_empty(D.if_empty(p.where("pop = 'nowhere'"), p), p.limit(0)).groupBy("pop").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(V.with_views("pop", body="SELECT pop, string_agg(sample_id, ',' ORDER BY sample_id) AS samples FROM pop GROUP BY 1"))
+def collect_list_rows(spark: SparkSession, d: str) -> DataFrame:
+    return D.collect_list_rows(V.popmap(spark, d), "sample_id", ["pop"]).select("pop", F.array_join("sample_id", ",").alias("samples"))
+
+
 # filters
 
 MASKED = "m AS (SELECT chrom, pos, sample_id, dp, gq, CASE WHEN coalesce(gq < 3, false) OR coalesce(dp < 1, false) OR coalesce(dp > 100, false) THEN NULL ELSE dosage END AS dosage FROM g)"
 MISSING = "miss AS (SELECT sample_id AS SAMPLE, count(dosage) AS PRESENT_BASES, (SELECT count(*) FROM s) AS TARGET_BASES, ((SELECT count(*) FROM s) - count(dosage)) / (SELECT count(*) FROM s) AS MISSING_FRACTION FROM m GROUP BY 1)"
-TAGS = """kept AS (SELECT SAMPLE AS sample_id FROM miss WHERE MISSING_FRACTION < 0.95), used AS (SELECT * FROM m WHERE sample_id IN (SELECT sample_id FROM kept) AND sample_id IN (SELECT sample_id FROM pop)), coh AS (SELECT count(DISTINCT sample_id) AS n FROM used),
-cnt AS (SELECT chrom, pos, CAST(coalesce(sum(dosage), 0) AS BIGINT) AS AC, count(dosage) AS NS, CAST(sum(dp) AS BIGINT) AS DP FROM used GROUP BY 1, 2),
-tags AS (SELECT s.*, AC, 2 * NS AS AN, NS, CASE WHEN NS > 0 THEN least(AC / (2 * NS), 1 - AC / (2 * NS)) END AS MAF, 1 - NS / coh.n AS F_MISSING, NS / coh.n AS CR, DP FROM s JOIN cnt USING (chrom, pos) CROSS JOIN coh WHERE len(s.alt) = 1)"""
-FILTERED = """f AS (SELECT *, concat_ws(';', CASE WHEN type IN ('SNP', 'INDEL') AND qual < 30 THEN 'QUAL_FAIL' END, CASE WHEN type IN ('SNP', 'INDEL') AND MAF < 0.05 THEN 'MAF_FAIL' END, CASE WHEN CR < 0.3 THEN 'CR_FAIL' END) AS filter FROM tags)"""
-FLAGSHIP = f"@{MASKED}, {MISSING}, {TAGS}, {FILTERED}"
+POPS = ["P0", "P1", "P2", "P3"]
+#: Settings under which every test fails some site of the driver tables.
+SITE_PARAMS = FilterParams(
+    gq=3, gt_dp_min=1, gt_dp_max=100, sample_max_missing=0.95, dp_percentile_lower=2.0, dp_percentile_upper=97.0, dist_indel_snp=200, dist_indel_indel=200, pop_min_n=3, pop_fail_mode="ANY",
+    types={k: TypeThresholds(qual=20, dp_min=480, eh=0.4, hwe=0.004, maf=0.27, ns=16, cr=0.4, pop_eh=0.4, pop_hwe=0.02, pop_maf=0.01, pop_ns=1, pop_cr=0.12) for k in ("SNP", "INDEL")},
+)
+
 
+def hwe_sql(src: str, name: str = "hw") -> str:
+    """Common table expressions that end in `name` (n0, n1, n2, HWE, ExcHet) for the triples of `src`."""
+    return f"""{name}_t AS (SELECT DISTINCT n0, n1, n2, n0 + n1 + n2 AS n, least(2 * n0 + n1, 2 * n2 + n1) AS rare FROM {src}),
+{name}_h AS (SELECT *, unnest(range(rare % 2, rare + 1, 2)) AS h FROM {name}_t),
+{name}_l AS (SELECT *, lgamma(n + 1) - lgamma((rare - h) // 2 + 1) - lgamma(h + 1) - lgamma(n - (rare + h) // 2 + 1) + h * ln(2) AS lp FROM {name}_h),
+{name}_w AS (SELECT *, exp(lp - max(lp) OVER (PARTITION BY n0, n1, n2)) AS w FROM {name}_l), {name}_x AS (SELECT *, max(CASE WHEN h = n1 THEN w END) OVER (PARTITION BY n0, n1, n2) AS here FROM {name}_w),
+{name} AS (SELECT n0, n1, n2, least(1, sum(CASE WHEN w <= here * (1 + 1e-9) THEN w ELSE 0 END) / sum(w)) AS HWE, least(1, sum(CASE WHEN h >= n1 THEN w ELSE 0 END) / sum(w)) AS ExcHet FROM {name}_x GROUP BY 1, 2, 3)"""
 
-def filtered(spark: SparkSession, d: str) -> DataFrame:
-    return Q.site_filter_query(V.genotypes(spark, d), V.sites(spark, d), V.popmap(spark, d), FilterParams())
+
+def in_pops(metric: str, low: float, mode: str = "ANY") -> str:
+    """Any (or every) population of three samples or more has the metric below `low`; false without one."""
+    each = [f"(q.n_{p} IS NOT NULL AND coalesce({metric}_{p} < {low}, false))" if mode == "ANY" else f"(q.n_{p} IS NULL OR coalesce({metric}_{p} < {low}, false))" for p in POPS]
+    return "(" + (" OR " if mode == "ANY" else " AND ").join(each) + ")"
+
+
+GENOTYPES = [(p, d) for p in POPS for d in (0, 1, 2)]
+TAGS = f"""kept AS (SELECT SAMPLE AS sample_id FROM miss WHERE MISSING_FRACTION < 0.95), grp AS (SELECT sample_id, regexp_replace(pop, '[\\s_]', '', 'g') AS pop FROM pop WHERE sample_id IN (SELECT sample_id FROM kept)),
+q AS (SELECT count(*) AS n, {", ".join(f"CASE WHEN count(*) FILTER (pop = '{p}') >= 3 THEN count(*) FILTER (pop = '{p}') END AS n_{p}" for p in POPS)} FROM grp),
+cnt AS (SELECT m.chrom, m.pos, CAST(sum(dp) AS BIGINT) AS DP, {", ".join(f"count(*) FILTER (grp.pop IS NOT NULL AND dosage = {d}) AS n{d}" for d in (0, 1, 2))}, {", ".join(f"count(*) FILTER (grp.pop = '{p}' AND dosage = {d}) AS n{d}_{p}" for p, d in GENOTYPES)} FROM m LEFT JOIN grp USING (sample_id) GROUP BY 1, 2),
+deep AS (SELECT s.*, cnt.* EXCLUDE (chrom, pos) FROM s LEFT JOIN cnt USING (chrom, pos)), dh AS (SELECT coalesce(DP, 0) AS depth, count(*) AS k FROM deep GROUP BY 1), dc AS (SELECT depth, sum(k) OVER (ORDER BY depth) AS cum, sum(k) OVER () AS total FROM dh),
+bnd AS (SELECT min(CASE WHEN cum >= greatest(1, ceil(0.02 * total)) THEN depth END) AS DPlower, min(CASE WHEN cum >= greatest(1, ceil(0.97 * total)) THEN depth END) AS DPupper FROM dc),
+two AS (SELECT * FROM deep WHERE len(alt) = 1 AND n0 IS NOT NULL),
+trip AS (SELECT n0, n1, n2 FROM two {" ".join(f"UNION ALL SELECT n0_{p}, n1_{p}, n2_{p} FROM two" for p in POPS)}), {hwe_sql("trip")},
+tags AS (SELECT two.*, CAST(two.n1 + 2 * two.n2 AS BIGINT) AS AC, 2 * (two.n0 + two.n1 + two.n2) AS AN, two.n0 + two.n1 + two.n2 AS NS, CASE WHEN two.n0 + two.n1 + two.n2 > 0 THEN least((two.n1 + 2 * two.n2) / (2 * (two.n0 + two.n1 + two.n2)), 1 - (two.n1 + 2 * two.n2) / (2 * (two.n0 + two.n1 + two.n2))) END AS MAF,
+  1 - (two.n0 + two.n1 + two.n2) / q.n AS F_MISSING, (two.n0 + two.n1 + two.n2) / q.n AS CR, hw.HWE, hw.ExcHet,
+  {", ".join(f"two.n0_{p} + two.n1_{p} + two.n2_{p} AS NS_{p}, (two.n0_{p} + two.n1_{p} + two.n2_{p}) / q.n_{p} AS CR_{p}, CASE WHEN two.n0_{p} + two.n1_{p} + two.n2_{p} > 0 THEN least((two.n1_{p} + 2 * two.n2_{p}) / (2 * (two.n0_{p} + two.n1_{p} + two.n2_{p})), 1 - (two.n1_{p} + 2 * two.n2_{p}) / (2 * (two.n0_{p} + two.n1_{p} + two.n2_{p}))) END AS MAF_{p}, h{p}.HWE AS HWE_{p}, h{p}.ExcHet AS ExcHet_{p}" for p in POPS)}
+  FROM two CROSS JOIN q JOIN hw USING (n0, n1, n2) {" ".join(f"JOIN hw h{p} ON h{p}.n0 = two.n0_{p} AND h{p}.n1 = two.n1_{p} AND h{p}.n2 = two.n2_{p}" for p in POPS)})"""
+
+
+def filter_sql(mode: str) -> str:
+    plain = [("QUAL_FAIL", "qual < 20"), ("DP_MIN_FAIL", "DP < 480"), ("DP_LOWER_PERC_FAIL", "DP < DPlower"), ("DP_UPPER_PERC_FAIL", "DP > DPupper"), ("EH_FAIL", "ExcHet < 0.4"), ("HWE_FAIL", "HWE < 0.004"), ("MAF_FAIL", "MAF < 0.27"), ("NS_FAIL", "NS < 16"), ("CR_FAIL", "CR < 0.4")]
+    some = "(" + " OR ".join(f"q.n_{p} IS NOT NULL" for p in POPS) + ")"
+    pops = [(f"POP_{n}_FAIL", f"{some} AND {in_pops(m, low, mode)}") for n, m, low in (("EH", "ExcHet", 0.4), ("HWE", "HWE", 0.02), ("MAF", "MAF", 0.01), ("NS", "NS", 1), ("CR", "CR", 0.12))]
+    gap = "EXISTS (SELECT 1 FROM two i WHERE i.chrom = t.chrom AND i.type = 'INDEL' {own} AND abs(i.pos - t.pos) <= {d})"
+    first = [("SnpGap", "t.type = 'SNP' AND " + gap.format(own="", d=200)), ("IndelGap", "t.type = 'INDEL' AND " + gap.format(own="AND i.pos <> t.pos", d=200)), ("MASK_FAIL", """EXISTS (SELECT 1 FROM gone k WHERE k.chrom = t.chrom AND k.start <= t.pos - 1 AND t.pos - 1 < k."end")""")]
+    cases = [f"CASE WHEN {c} THEN '{n}' END" for n, c in first] + [f"CASE WHEN t.type IN ('SNP', 'INDEL') AND {c} THEN '{n}' END" for n, c in plain + pops]
+    return f"""gone AS (SELECT chrom, pos - 50 AS start, pos + 350 AS "end" FROM s WHERE pos % 77 = 0), f AS (SELECT t.*, concat_ws(';', {", ".join(cases)}) AS filter FROM tags t CROSS JOIN q CROSS JOIN bnd)"""
+
+
+FLAGSHIP = f"@{MASKED}, {MISSING}, {TAGS}, {filter_sql('ANY')}"
+FLAGSHIP_ALL = f"@{MASKED}, {MISSING}, {TAGS}, {filter_sql('ALL')}"
+
+
+def filtered(spark: SparkSession, d: str, mode: str = "ANY") -> DataFrame:
+    gone = V.sites(spark, d).where("pos % 77 = 0").select("chrom", (F.col("pos") - 50).alias("start"), (F.col("pos") + 350).alias("end"))
+    return Q.site_filter_query(V.genotypes(spark, d), V.sites(spark, d), V.popmap(spark, d), replace(SITE_PARAMS, pop_fail_mode=mode), gone)
+
+
+@query(V.with_views("g", "s", "pop", body=FLAGSHIP + " SELECT chrom, pos, filter FROM f"))
+def site_filters(spark: SparkSession, d: str) -> DataFrame:
+    """The whole filter: every test of a site, global and in populations, with what failed."""
+    return filtered(spark, d).select("chrom", "pos", F.concat_ws(";", "filter").alias("filter"))
+
+
+@query(V.with_views("g", "s", "pop", body=FLAGSHIP_ALL + " SELECT chrom, pos, filter FROM f"))
+def site_filters_all_populations(spark: SparkSession, d: str) -> DataFrame:
+    return filtered(spark, d, "ALL").select("chrom", "pos", F.concat_ws(";", "filter").alias("filter"))
 
 
 @query(V.with_views("g", "s", "pop", body=FLAGSHIP + " SELECT CASE WHEN filter = '' THEN 'PASS' ELSE filter END AS FILTER, count(*) AS COUNT FROM f GROUP BY 1"))
@@ -265,9 +374,9 @@ def site_filter_summary(spark: SparkSession, d: str) -> DataFrame:
     return Q.filter_summary(filtered(spark, d))
 
 
-@query(V.with_views("g", "s", "pop", body=FLAGSHIP + " SELECT chrom, pos, AC, AN, NS, round(MAF, 6) AS MAF, round(F_MISSING, 6) AS F_MISSING, round(CR, 6) AS CR, DP FROM f"))
+@query(V.with_views("g", "s", "pop", body=FLAGSHIP + " SELECT chrom, pos, AC, AN, NS, round(MAF, 6) AS MAF, round(F_MISSING, 6) AS F_MISSING, round(CR, 6) AS CR, round(HWE, 6) AS HWE, round(ExcHet, 6) AS ExcHet, DP FROM f"))
 def site_tags(spark: SparkSession, d: str) -> DataFrame:
-    return filtered(spark, d).select("chrom", "pos", "AC", "AN", "NS", *(F.round(c, 6).alias(c) for c in ("MAF", "F_MISSING", "CR")), "DP")
+    return filtered(spark, d).select("chrom", "pos", "AC", "AN", "NS", *(F.round(c, 6).alias(c) for c in ("MAF", "F_MISSING", "CR", "HWE", "ExcHet")), "DP")
 
 
 @query(V.with_views("g", "s", "pop", body=FLAGSHIP + " SELECT chrom, pos, type, round(qual, 2) AS qual FROM f WHERE filter = ''"))
@@ -339,17 +448,18 @@ def biallelic(spark: SparkSession, d: str) -> DataFrame:
     return Q.biallelic(V.sites(spark, d)).select("chrom", "pos", "type")
 
 
-POPS = ["P0", "P1", "P2", "P3"]
-POP_TAGS = "sz AS (SELECT pop, count(*) AS n FROM pop GROUP BY 1), cell AS (SELECT chrom, pos, pop, count(dosage) AS NS, least(sum(dosage) / (2 * count(dosage)), 1 - sum(dosage) / (2 * count(dosage))) AS MAF, count(dosage) / max(n) AS CR FROM g JOIN pop USING (sample_id) JOIN sz USING (pop) GROUP BY 1, 2, 3), wide AS (SELECT chrom, pos, " + ", ".join(f"max(CASE WHEN pop = '{p}' THEN {m} END) AS {m}_{p}" for p in POPS for m in ("NS", "MAF", "CR")) + " FROM cell GROUP BY 1, 2)"
+POP_TAGS = "sz AS (SELECT pop, count(*) AS n FROM pop GROUP BY 1), pc AS (SELECT chrom, pos, pop, " + ", ".join(f"count(*) FILTER (dosage = {d}) AS n{d}" for d in (0, 1, 2)) + " FROM g JOIN pop USING (sample_id) GROUP BY 1, 2, 3), " + hwe_sql("pc") + """,
+cell AS (SELECT chrom, pos, pop, n0 + n1 + n2 AS NS, CASE WHEN n0 + n1 + n2 > 0 THEN least((n1 + 2 * n2) / (2 * (n0 + n1 + n2)), 1 - (n1 + 2 * n2) / (2 * (n0 + n1 + n2))) END AS MAF, (n0 + n1 + n2) / sz.n AS CR, HWE, ExcHet FROM pc JOIN sz USING (pop) JOIN hw USING (n0, n1, n2)),
+wide AS (SELECT chrom, pos, """ + ", ".join(f"max(CASE WHEN pop = '{p}' THEN {m} END) AS {m}_{p}" for p in POPS for m in Q.POP_METRICS) + " FROM cell GROUP BY 1, 2)"
 
 
 def pop_tags(spark: SparkSession, d: str) -> DataFrame:
     return Q.site_tags_by_pop(V.genotypes(spark, d), V.popmap(spark, d), POPS)
 
 
-@query(V.with_views("g", "pop", body=f"@{POP_TAGS} SELECT chrom, pos, " + ", ".join(f"NS_{p}, round(MAF_{p}, 6) AS MAF_{p}, round(CR_{p}, 6) AS CR_{p}" for p in POPS) + " FROM wide"))
+@query(V.with_views("g", "pop", body=f"@{POP_TAGS} SELECT chrom, pos, " + ", ".join(f"round(CAST({m}_{p} AS DOUBLE), 6) AS {m}_{p}" for p in POPS for m in Q.POP_METRICS) + " FROM wide"))
 def site_tags_by_pop(spark: SparkSession, d: str) -> DataFrame:
-    return pop_tags(spark, d).select("chrom", "pos", *(c for p in POPS for c in (F.col(f"NS_{p}"), F.round(f"MAF_{p}", 6).alias(f"MAF_{p}"), F.round(f"CR_{p}", 6).alias(f"CR_{p}"))))
+    return pop_tags(spark, d).select("chrom", "pos", *(F.round(F.col(f"{m}_{p}").cast("double"), 6).alias(f"{m}_{p}") for p in POPS for m in Q.POP_METRICS))
 
 
 def bad_sql(m: str, low: float, op: str) -> str:
@@ -393,17 +503,24 @@ def pass_fail_histogram(spark: SparkSession, d: str) -> DataFrame:
     return Q.pass_fail_histogram(filtered(spark, d), "qual", "QUAL_FAIL")
 
 
-@query(V.with_views("g", "s", "pop", body=FLAGSHIP + """, l AS (SELECT type AS TYPE, 'MAF' AS RULE, MAF AS v, 0.0 AS lo, 0.5 AS hi, CASE WHEN contains(filter, 'MAF_FAIL') THEN 'FAIL' ELSE 'PASS' END AS FILTER FROM f UNION ALL SELECT type, 'CR', CR, 0.0, 1.0, CASE WHEN contains(filter, 'CR_FAIL') THEN 'FAIL' ELSE 'PASS' END FROM f),
+@query(V.with_views("g", "s", "pop", body=FLAGSHIP + """, l AS (SELECT type AS TYPE, 'MAF' AS RULE, MAF AS v, 0.0 AS lo, 0.5 AS hi, CASE WHEN list_contains(string_split(filter, ';'), 'MAF_FAIL') THEN 'FAIL' ELSE 'PASS' END AS FILTER FROM f UNION ALL SELECT type, 'CR', CR, 0.0, 1.0, CASE WHEN list_contains(string_split(filter, ';'), 'CR_FAIL') THEN 'FAIL' ELSE 'PASS' END FROM f),
 b AS (SELECT TYPE, RULE, FILTER, lo, (hi - lo) / 20 AS w, greatest(1, ceil((least(greatest(v, lo), hi) - lo) / ((hi - lo) / 20))) AS i FROM l WHERE v IS NOT NULL), c AS (SELECT TYPE, RULE, FILTER, round(lo + (i - 0.5) * w, 6) AS BIN, count(*) AS COUNT FROM b GROUP BY 1, 2, 3, 4) SELECT *, round(COUNT / sum(COUNT) OVER (PARTITION BY TYPE, RULE), 6) AS PROP FROM c"""))
 def metric_histogram_global(spark: SparkSession, d: str) -> DataFrame:
     h = Q.metric_histogram_global(filtered(spark, d), {"MAF": (0, 0.5), "CR": (0, 1)}, 20)
     return h.select("TYPE", "RULE", "FILTER", F.round("BIN", 6).alias("BIN"), "COUNT", F.round("PROP", 6).alias("PROP"))
 
 
-@query()
+def histogram_sql(src: str, by: str, bins: int) -> str:
+    """Right-closed bins by mid-point and shares, for rows (by..., TYPE, RULE, v, lo, hi, FILTER) of `src`."""
+    return f"""b AS (SELECT {by}TYPE, RULE, FILTER, lo, (hi - lo) / {bins} AS w, greatest(1, ceil((least(greatest(v, lo), hi) - lo) / ((hi - lo) / {bins}))) AS i FROM {src} WHERE v IS NOT NULL),
+c AS (SELECT {by}TYPE, RULE, FILTER, round(lo + (i - 0.5) * w, 6) AS BIN, count(*) AS COUNT FROM b GROUP BY ALL) SELECT *, round(COUNT / sum(COUNT) OVER (PARTITION BY {by}TYPE, RULE), 6) AS PROP FROM c"""
+
+
+@query(V.with_views("g", "pop", body=f"@{POP_TAGS}, l AS (" + " UNION ALL ".join(f"SELECT '{p}' AS POP, 'SNP' AS TYPE, '{m}' AS RULE, CAST({m}_{p} AS DOUBLE) AS v, 0.0 AS lo, {hi} AS hi, CASE WHEN '{m}' = 'MAF' AND (" + " OR ".join(f"coalesce(MAF_{x} < 0.1, false)" for x in POPS) + ") THEN 'FAIL' ELSE 'PASS' END AS FILTER FROM wide" for p in POPS for m, hi in (("MAF", 0.5), ("CR", 1.0))) + "), " + histogram_sql("l", "POP, ", 20)))
 def metric_histogram_by_pop(spark: SparkSession, d: str) -> DataFrame:
     t = Q.population_site_filters(pop_tags(spark, d), POPS, {"MAF": 0.1}, "ANY").withColumn("type", F.lit("SNP"))
-    return Q.metric_histogram_by_pop(t, POPS, {"MAF": (0, 0.5), "CR": (0, 1)}, 20)
+    h = Q.metric_histogram_by_pop(t, POPS, {"MAF": (0, 0.5), "CR": (0, 1)}, 20)
+    return h.select("POP", "TYPE", "RULE", "FILTER", F.round("BIN", 6).alias("BIN"), "COUNT", F.round("PROP", 6).alias("PROP"))
 
 
 @query(V.with_views("s", body="@c AS (SELECT *, CAST(floor(pos / 10000) AS BIGINT) AS chunk FROM s), k AS (SELECT DISTINCT chunk FROM c ORDER BY md5(CAST(chunk AS VARCHAR)) LIMIT 5) SELECT round(max(qual) * 1.1, 6) AS qual FROM c WHERE chunk IN (SELECT chunk FROM k)"))
@@ -478,10 +595,17 @@ def bh_adjusted(spark: SparkSession, d: str) -> DataFrame:
     return Q.lr_pvalue_bh(t, given_p=True).select("chrom", "pos", F.round("p_adjusted", 6).alias("p_adjusted"))
 
 
-@query()
+@query(V.with_views("s", body="@t AS (SELECT chrom, pos, power((pos % 997 + 1) / 998.0, 6) AS p FROM s), r AS (SELECT p, sum(count(*)) OVER (ORDER BY p) AS rank, sum(count(*)) OVER () AS m FROM t GROUP BY p), a AS (SELECT p, least(1.0, min(p * m / rank) OVER (ORDER BY p DESC)) AS q FROM r), w AS (SELECT chrom, greatest(0, pos - 200) AS start, pos + 200 AS \"end\" FROM t JOIN a USING (p) WHERE q < 0.02), " + merged_sql("w") + " SELECT * FROM merged"))
 def paralog_mask(spark: SparkSession, d: str) -> DataFrame:
+    t = V.sites(spark, d).select("chrom", "pos", F.pow((F.col("pos") % 997 + 1) / F.lit(998.0), F.lit(6)).alias("p"))
+    return Q.paralog_mask(Q.lr_pvalue_bh(t, given_p=True), 0.02, 200)
+
+
+@query()
+def lr_pvalues(spark: SparkSession, d: str) -> DataFrame:
+    """Likelihood-ratio tests with their p and adjusted values."""
     lr = V.sites(spark, d).select("chrom", "pos", F.col("qual").alias("lr"))
-    return Q.paralog_mask(Q.lr_pvalue_bh(lr))
+    return Q.lr_pvalue_bh(lr).select("chrom", "pos", F.round("p", 6).alias("p"), F.round("p_adjusted", 6).alias("p_adjusted"))
 
 
 @query(V.with_views("g", body="SELECT sample_id, CAST(sum(CASE WHEN dp > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_sites FROM g GROUP BY 1"))
@@ -516,6 +640,7 @@ def join_site_stats(spark: SparkSession, d: str) -> DataFrame:
     return Q.join_site_stats(V.sites(spark, d).select("chrom", "pos"), n)
 
 
-@query()
+@query(V.with_views("g", body="@c AS (SELECT chrom, pos, " + ", ".join(f"count(*) FILTER (dosage = {d}) AS n{d}" for d in (0, 1, 2)) + " FROM g GROUP BY 1, 2), " + hwe_sql("c") + " SELECT chrom, pos, round(HWE, 6) AS HWE, round(ExcHet, 6) AS ExcHet FROM c JOIN hw USING (n0, n1, n2)"))
 def hwe_exact(spark: SparkSession, d: str) -> DataFrame:
-    return Q.hwe_exact(Q.genotype_counts(V.genotypes(spark, d)))
+    tested = Q.hwe_exact(Q.genotype_counts(V.genotypes(spark, d)))
+    return tested.select("chrom", "pos", F.round("HWE", 6).alias("HWE"), F.round("ExcHet", 6).alias("ExcHet"))

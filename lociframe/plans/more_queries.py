@@ -14,7 +14,7 @@ from lociframe.operators import reads as R
 from lociframe.operators import sequence as K
 from lociframe.operators import sfs as X
 from lociframe.plans import views as V
-from lociframe.plans.core_queries import merged_sql
+from lociframe.plans.core_queries import AB, merged_sql
 from lociframe.plans.registry import query
 
 
@@ -22,6 +22,18 @@ def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in cols})
 
 
+def islands_sql(src: str, name: str, gap: int = 0, extra: str = "") -> str:
+    """Common table expressions that end in `name`: the intervals of `src` merged within `gap`, with extra aggregates."""
+    return f"""{name}_m AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src}),
+{name}_n AS (SELECT *, sum(CASE WHEN reach IS NULL OR start - reach > {gap} THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM {name}_m),
+{name} AS (SELECT chrom, min(start) AS start, max("end") AS "end"{extra} FROM {name}_n GROUP BY chrom, island)"""
+
+
+def kmers_sql(src: str, name: str, k: int) -> str:
+    """(contig, p, kmer) of every window of k characters of `src` (contig, seq), upper-cased."""
+    return f"{name}_p AS (SELECT contig, seq, unnest(range(0, length(seq) - {k} + 1)) AS p FROM {src} WHERE length(seq) >= {k}), {name} AS (SELECT contig, p, upper(substr(seq, p + 1, {k})) AS kmer FROM {name}_p)"
+
+
 # sequences
 
 
@@ -46,14 +58,16 @@ def exclude_mask(spark: SparkSession, d: str) -> DataFrame:
     return K.exclude_mask(V.intervals(spark, d).where("weight > 400"))
 
 
-@query()
+@query(V.with_views("seq", body="@" + kmers_sql("seq", "k", 24) + """, o AS (SELECT kmer FROM k GROUP BY 1 HAVING 1 / count(*) < 0.5), h AS (SELECT contig, p, p - row_number() OVER (PARTITION BY contig ORDER BY p) AS run FROM k WHERE kmer IN (SELECT kmer FROM o))
+SELECT contig AS chrom, min(p) AS start, max(p) + 1 AS "end" FROM h GROUP BY contig, run"""))
 def kmer_mappability(spark: SparkSession, d: str) -> DataFrame:
     return K.kmer_mappability(V.sequences(spark, d), 24, 0.5)
 
 
-@query()
+@query(V.with_views("seq", body="@" + kmers_sql("seq", "k", 3) + """, c AS (SELECT contig, p // 64 AS w, kmer, count(*) AS n FROM k GROUP BY 1, 2, 3), t AS (SELECT contig, w, sum(lgamma(n + 1)) AS s, CAST(sum(n) AS DOUBLE) AS m FROM c GROUP BY 1, 2),
+sc AS (SELECT t.contig AS chrom, w * 64 AS start, least((w + 1) * 64, length) AS "end" FROM t JOIN seq ON seq.contig = t.contig WHERE s - 64 * list_sum(list_transform(range(2, 61), lambda n: lgamma(n + 1) * exp(n * ln(m / 64) - m / 64 - lgamma(n + 1)))) > 0.25 * m), """ + islands_sql("sc", "mg") + " SELECT * FROM mg"))
 def low_complexity_mask(spark: SparkSession, d: str) -> DataFrame:
-    return K.low_complexity_mask(V.sequences(spark, d), threshold=2.0)
+    return K.low_complexity_mask(V.sequences(spark, d), 3, 64, 0.25)
 
 
 @query(V.with_views("seq", body="SELECT round(100.0 * sum(length(seq) - length(translate(seq, 'GCgc', ''))) / sum(length(seq) - length(translate(seq, 'ACGTacgt', ''))), 6) AS gc_percent FROM seq"))
@@ -61,7 +75,8 @@ def gc_percent(spark: SparkSession, d: str) -> DataFrame:
     return rounded(K.gc_percent(V.sequences(spark, d)), "gc_percent")
 
 
-@query()
+@query(V.with_views("seq", body="@pg AS (SELECT 'p' || CAST(page_id AS VARCHAR) AS contig, html AS seq FROM pages WHERE html IS NOT NULL), " + kmers_sql("seq", "ka", 40) + ", " + kmers_sql("pg", "kb", 40) + """, h AS (SELECT ka.contig AS a_contig, kb.contig AS b_contig, ka.p AS a, ka.p - kb.p AS diagonal FROM ka JOIN kb USING (kmer)),
+r AS (SELECT *, a - row_number() OVER (PARTITION BY a_contig, b_contig, diagonal ORDER BY a) AS run FROM h) SELECT a_contig, b_contig, min(a) AS start, max(a) + 40 AS "end", min(a) - diagonal AS b_start FROM r GROUP BY a_contig, b_contig, diagonal, run HAVING max(a) + 40 - min(a) >= 60"""))
 def kmer_hits(spark: SparkSession, d: str) -> DataFrame:
     pages = V.table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("contig"), F.col("html").alias("seq"))
     return K.kmer_hits(V.sequences(spark, d), pages.where("seq is not null"), 40, 60)
@@ -80,21 +95,25 @@ def merge_masks(spark: SparkSession, d: str) -> DataFrame:
 
 @query(V.with_views("contigs", body="SELECT CAST(sum(length) AS BIGINT) AS bases FROM contigs"))
 def mask_summary_total(spark: SparkSession, d: str) -> DataFrame:
-    """Bases of all labels of the mask summary: they add up to the genome."""
+    """Bases of the classification, which covers the genome once."""
     a, b = V.split_intervals(spark, d)
-    masks = K.merge_masks(b)
-    contigs = V.contigs(spark, d)
-    _, passing, _ = K.summarise_masks(a, masks, contigs)
-    whole = I.merge(masks.select("chrom", "start", "end")).unionByName(passing.select("chrom", "start", "end")).unionByName(I.subtract(I.complement(a, contigs), masks.select("chrom", "start", "end")))
-    return whole.agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+    return K.summarise_masks(a, K.merge_masks(b), V.contigs(spark, d))[0].agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
 
 
-@query()
+@query(V.with_views("contigs", body="@" + AB + ", " + islands_sql("a", "ma") + ", " + islands_sql("b", "mb", 0, ", string_agg(DISTINCT label, ',' ORDER BY label) AS label") + """, ov AS (SELECT coalesce(sum(least(ma."end", mb."end") - greatest(ma.start, mb.start)), 0) AS n FROM ma JOIN mb ON ma.chrom = mb.chrom AND ma.start < mb."end" AND mb.start < ma."end"),
+t AS (SELECT (SELECT sum("end" - start) FROM ma) AS a, (SELECT sum("end" - start) FROM mb) AS b, (SELECT sum(length) FROM contigs) AS g, ov.n FROM ov)
+SELECT label, CAST(sum("end" - start) AS BIGINT) AS bases FROM mb GROUP BY 1 UNION ALL SELECT 'Included', CAST(a - n AS BIGINT) FROM t UNION ALL SELECT 'Excluded', CAST(g - a - (b - n) AS BIGINT) FROM t"""))
 def mask_summary(spark: SparkSession, d: str) -> DataFrame:
     a, b = V.split_intervals(spark, d)
     return K.summarise_masks(a, K.merge_masks(b), V.contigs(spark, d))[2]
 
 
+@query(V.with_views("contigs", body="@" + AB + ", " + islands_sql("a", "ma") + ", " + islands_sql("b", "mb") + """, ov AS (SELECT coalesce(sum(least(ma."end", mb."end") - greatest(ma.start, mb.start)), 0) AS n FROM ma JOIN mb ON ma.chrom = mb.chrom AND ma.start < mb."end" AND mb.start < ma."end") SELECT CAST((SELECT sum("end" - start) FROM ma) - n AS BIGINT) AS bases FROM ov"""))
+def mask_passing_bases(spark: SparkSession, d: str) -> DataFrame:
+    a, b = V.split_intervals(spark, d)
+    return K.summarise_masks(a, K.merge_masks(b), V.contigs(spark, d))[1].agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+
+
 @query(V.with_views("seq", body="SELECT contig, substr(seq, 100 % greatest(length, 1) + 1) || substr(seq, 1, 100 % greatest(length, 1)) AS seq FROM seq"))
 def circular_shift(spark: SparkSession, d: str) -> DataFrame:
     return K.circular_shift(V.sequences(spark, d), 100).select("contig", "seq")
@@ -119,18 +138,20 @@ def allsites(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, d: str) -> DataFrame:
-    """Reads of 100 characters from texts; qualities from another part of the text."""
-    t = V.table(spark, d, "documents").where("length(text) >= 200")
-    name = F.concat(F.lit("@m:1:FC"), (F.col("doc_id") % 7).cast("string"), F.lit(":"), (F.col("doc_id") % 4 + 1).cast("string"), F.lit(":"), F.col("doc_id").cast("string"), F.lit("/1"))
-    return t.select(name.alias("read_id"), F.substring("text", 1, 100).alias("seq"), F.rpad(F.lit("I"), 100, "I").alias("qual"), F.concat(F.lit("g"), (F.col("doc_id") % 3).cast("string")).alias("rg"), "doc_id")
+    """Whole texts cut into reads of 100 characters, the last one shorter; qualities from the characters of the text."""
+    starts = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 100).cast("int"))
+    cut = V.table(spark, d, "documents").where("length(text) > 0").select("doc_id", F.posexplode(F.transform(starts, lambda i: F.substr("text", 100 * i + 1, F.lit(100)))).alias("part", "seq"))
+    name = F.concat(F.lit("@m:1:FC"), (F.col("doc_id") % 7).cast("string"), F.lit(":"), (F.col("doc_id") % 4 + 1).cast("string"), F.lit(":"), F.col("doc_id").cast("string"), F.lit(":"), F.col("part").cast("string"), F.lit("/1"))
+    return cut.select(name.alias("read_id"), "seq", F.translate("seq", "etaoinshr ", "!#%*,/37;?").alias("qual"), F.concat(F.lit("g"), (F.col("doc_id") % 3).cast("string")).alias("rg"), "doc_id", F.col("part").cast("long").alias("part"))
 
 
-RD = "rd AS (SELECT doc_id, '@m:1:FC' || CAST(doc_id % 7 AS VARCHAR) || ':' || CAST(doc_id % 4 + 1 AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR) || '/1' AS read_id, substr(text, 1, 100) AS seq, 'g' || CAST(doc_id % 3 AS VARCHAR) AS rg FROM documents WHERE length(text) >= 200)"
+RD = """cutup AS (SELECT doc_id, text, unnest(range(0, (length(text) - 1) // 100 + 1)) AS part FROM documents WHERE length(text) > 0),
+rd AS (SELECT doc_id, part, '@m:1:FC' || CAST(doc_id % 7 AS VARCHAR) || ':' || CAST(doc_id % 4 + 1 AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR) || ':' || CAST(part AS VARCHAR) || '/1' AS read_id, substr(text, part * 100 + 1, 100) AS seq, translate(substr(text, part * 100 + 1, 100), 'etaoinshr ', '!#%*,/37;?') AS qual, 'g' || CAST(doc_id % 3 AS VARCHAR) AS rg FROM cutup)"""
 
 
-@query(f"WITH {RD} SELECT doc_id, split_part(read_id, ':', 3) AS flowcell, CAST(split_part(read_id, ':', 4) AS INT) AS lane FROM rd")
+@query(f"WITH {RD} SELECT doc_id, part, split_part(read_id, ':', 3) AS flowcell, CAST(split_part(read_id, ':', 4) AS INT) AS lane FROM rd")
 def parse_read_header(spark: SparkSession, d: str) -> DataFrame:
-    return R.parse_read_header(reads(spark, d)).select("doc_id", "flowcell", "lane")
+    return R.parse_read_header(reads(spark, d)).select("doc_id", "part", "flowcell", "lane")
 
 
 @query(f"WITH {RD} SELECT DISTINCT split_part(read_id, ':', 3) || '.' || split_part(read_id, ':', 4) || '.' || rg AS rg, 'S' || rg AS sample_id FROM rd")
@@ -144,25 +165,24 @@ def annotate_rg(spark: SparkSession, d: str) -> DataFrame:
     return R.annotate_rg(reads(spark, d)).select("read_id")
 
 
-@query(f"WITH {RD} SELECT doc_id, substr(seq, 1, CASE WHEN strpos(seq, 'the and ') > 0 THEN strpos(seq, 'the and ') - 1 ELSE length(seq) END) AS seq FROM rd")
+@query(f"WITH {RD} SELECT doc_id, part, substr(seq, 1, CASE WHEN strpos(seq, 'the and ') > 0 THEN strpos(seq, 'the and ') - 1 ELSE length(seq) END) AS seq FROM rd")
 def trim_adapter(spark: SparkSession, d: str) -> DataFrame:
-    return R.trim_adapter(reads(spark, d), ["the and of"], 8).select("doc_id", "seq")
+    return R.trim_adapter(reads(spark, d), ["the and of"], 8).select("doc_id", "part", "seq")
 
 
-@query(f"WITH {RD} SELECT doc_id, regexp_replace(seq, 'G{{2,}}$', '') AS seq FROM rd")
+@query(f"WITH {RD} SELECT doc_id, part, regexp_replace(seq, 'G{{2,}}$', '') AS seq FROM rd")
 def trim_poly_g(spark: SparkSession, d: str) -> DataFrame:
-    return R.trim_poly_g(reads(spark, d), 2).select("doc_id", "seq")
+    return R.trim_poly_g(reads(spark, d), 2).select("doc_id", "part", "seq")
 
 
-@query()
+@query(f"WITH {RD}, ql AS (SELECT doc_id, part, qual, list_transform(range(1, length(qual) + 1), lambda i: unicode(substr(qual, i, 1)) - 33) AS x FROM rd) SELECT doc_id, part, CAST(coalesce(list_filter(range(0, greatest(length(qual) - 4, 0) + 1), lambda i: list_sum(list_slice(x, i + 1, i + 4)) < 80)[1], length(qual)) AS BIGINT) AS length FROM ql")
 def cut_right(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d).withColumn("qual", F.translate("seq", "etaoin", "!!!!!!"))
-    return R.cut_right(r).select("doc_id", F.length("seq").alias("length"))
+    return R.cut_right(reads(spark, d)).select("doc_id", "part", F.length("seq").cast("long").alias("length"))
 
 
-@query(f"WITH {RD} SELECT doc_id FROM rd WHERE length(seq) >= 15 AND length(seq) - length(replace(seq, 'N', '')) <= 1 AND (SELECT count(*) FROM range(1, 100) t(i) WHERE substr(seq, i, 1) <> substr(seq, i + 1, 1)) >= 0.9 * (length(seq) - 1)")
+@query(f"WITH {RD} SELECT doc_id, part FROM rd WHERE length(seq) >= 15 AND length(seq) - length(replace(seq, 'N', '')) <= 1 AND len(list_filter(range(1, length(seq)), lambda i: substr(seq, i, 1) <> substr(seq, i + 1, 1))) >= 0.95 * (length(seq) - 1)")
 def read_filter(spark: SparkSession, d: str) -> DataFrame:
-    return R.read_filter(reads(spark, d), 15, 1, 0.9).select("doc_id")
+    return R.read_filter(reads(spark, d), 15, 1, 0.95).select("doc_id", "part")
 
 
 @query(f"WITH {RD} SELECT CAST(length(seq) AS BIGINT) AS length, count(*) AS n, count(DISTINCT seq) AS n_distinct FROM rd GROUP BY 1")
@@ -170,15 +190,25 @@ def length_and_duplication(spark: SparkSession, d: str) -> DataFrame:
     return R.length_and_duplication(reads(spark, d))
 
 
-@query(f"WITH {RD}, c AS (SELECT unnest(range(1, length(seq) + 1)) AS cycle, seq FROM rd) SELECT cycle, count(*) AS n, 40.0 AS mean_quality, round(avg(CASE WHEN substr(seq, cycle, 1) IN ('G', 'C', 'g', 'c') THEN 1.0 ELSE 0.0 END), 6) AS gc FROM c GROUP BY 1")
+@query(f"WITH {RD}, c AS (SELECT unnest(range(1, length(seq) + 1)) AS cycle, seq, qual FROM rd) SELECT cycle, count(*) AS n, round(avg(unicode(substr(qual, cycle, 1)) - 33), 6) AS mean_quality, round(avg(CASE WHEN substr(seq, cycle, 1) IN ('G', 'C', 'g', 'c') THEN 1.0 ELSE 0.0 END), 6) AS gc FROM c GROUP BY 1")
 def read_qc(spark: SparkSession, d: str) -> DataFrame:
     return rounded(R.read_qc(reads(spark, d)), "mean_quality", "gc")
 
 
-@query(f"WITH {RD}, a AS (SELECT * FROM rd WHERE doc_id % 3 <> 0), b AS (SELECT * FROM rd WHERE doc_id % 4 <> 0) SELECT a.rg, count(*) AS pairs FROM a JOIN b USING (doc_id) GROUP BY 1")
+@query(f"WITH {RD}, a AS (SELECT * FROM rd WHERE (doc_id + part) % 3 <> 0), b AS (SELECT * FROM rd WHERE (doc_id + part) % 4 <> 0) SELECT a.rg, count(*) AS pairs FROM a JOIN b USING (doc_id, part) GROUP BY 1")
 def pair_sync(spark: SparkSession, d: str) -> DataFrame:
+    return synced(spark, d)[0].groupBy("rg").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+def synced(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     r = reads(spark, d).withColumn("name", F.col("read_id"))
-    return R.pair_sync(r.where("doc_id % 3 <> 0"), r.where("doc_id % 4 <> 0"))[0].groupBy("rg").agg(F.count(F.lit(1)).alias("pairs"))
+    return R.pair_sync(r.where("(doc_id + part) % 3 <> 0"), r.where("(doc_id + part) % 4 <> 0"))
+
+
+@query(f"WITH {RD} SELECT rg, read_id AS name, CAST(CASE WHEN (doc_id + part) % 4 = 0 THEN 1 ELSE 2 END AS INT) AS mate FROM rd WHERE ((doc_id + part) % 3 = 0) <> ((doc_id + part) % 4 = 0)")
+def pair_sync_alone(spark: SparkSession, d: str) -> DataFrame:
+    """The reads whose mate is missing, and which mate they are."""
+    return synced(spark, d)[1]
 
 
 DROP = 0x4 | 0x100 | 0x200 | 0x400 | 0x800
@@ -214,7 +244,9 @@ def depth_distribution(spark: SparkSession, d: str) -> DataFrame:
     return R.depth_distribution(R.per_base_depth(V.alignments(spark, d)), 2)
 
 
-@query()
+@query(V.with_views("aln", "iv", body=f"@{DEPTH}, " + islands_sql("(SELECT chrom, start, \"end\" FROM iv WHERE weight > 450)", "mb") + """, cuts AS (SELECT d.chrom, d.start AS s0, d."end" AS e0, d.depth, greatest(mb.start, d.start) AS cs, least(mb."end", d."end") AS ce FROM depth d JOIN mb ON d.chrom = mb.chrom AND d.start < mb."end" AND mb.start < d."end"),
+pieces AS (SELECT chrom, depth, coalesce(lag(ce) OVER (PARTITION BY chrom, s0 ORDER BY cs), s0) AS start, cs AS "end" FROM cuts UNION ALL SELECT chrom, depth, max(ce), e0 FROM cuts GROUP BY chrom, s0, e0, depth
+ UNION ALL SELECT chrom, depth, start, "end" FROM depth d WHERE NOT EXISTS (SELECT 1 FROM mb WHERE mb.chrom = d.chrom AND d.start < mb."end" AND mb.start < d."end")), lft AS (SELECT * FROM pieces WHERE start < "end" AND depth >= 1), """ + islands_sql("lft", "mg", 0, ', CAST(sum(("end" - start) * depth) AS BIGINT) AS weight') + " SELECT * FROM mg"))
 def covered_intervals(spark: SparkSession, d: str) -> DataFrame:
     return R.covered_intervals(R.per_base_depth(V.alignments(spark, d)), V.intervals(spark, d).where("weight > 450"), 1)
 
@@ -273,9 +305,15 @@ def gp_to_gt(spark: SparkSession, d: str) -> DataFrame:
     return G.gp_to_gt(likelihoods(spark, d).withColumnRenamed("gl", "gp")).select("chrom", "pos", "sample_id", "dosage")
 
 
-@query()
+def posterior_sql(rounds: int = 5) -> str:
+    """The EM of the cohort model, unrolled."""
+    steps = [f"q{k}a AS (SELECT *, l0 * (1 - f) * (1 - f) AS a, l1 * 2 * f * (1 - f) AS b, l2 * f * f AS c FROM q{k}), q{k + 1} AS (SELECT * EXCLUDE (f, a, b, c), least(greatest(sum((b + 2 * c) / (a + b + c)) OVER (PARTITION BY chrom, pos) / (2 * count(*) OVER (PARTITION BY chrom, pos)), 1e-6), 1 - 1e-6) AS f FROM q{k}a)" for k in range(rounds)]
+    return ", ".join(["q0 AS (SELECT *, 0.25 AS f FROM gl)", *steps, f"po AS (SELECT *, l0 * (1 - f) * (1 - f) AS a, l1 * 2 * f * (1 - f) AS b, l2 * f * f AS c FROM q{rounds})"])
+
+
+@query(V.with_views("g", body=f"@{GL}, {posterior_sql()} SELECT chrom, pos, sample_id, round(a / (a + b + c), 6) AS p0, round(b / (a + b + c), 6) AS p1, round(c / (a + b + c), 6) AS p2 FROM po"))
 def genotype_posteriors(spark: SparkSession, d: str) -> DataFrame:
-    return G.genotype_posteriors(likelihoods(spark, d), rounds=3).select("chrom", "pos", "sample_id", *(F.round(F.col("gp")[i], 6).alias(f"p{i}") for i in range(3)))
+    return G.genotype_posteriors(likelihoods(spark, d)).select("chrom", "pos", "sample_id", *(F.round(F.col("gp")[i], 6).alias(f"p{i}") for i in range(3)))
 
 
 @query(V.with_views("g", body="SELECT chrom, pos, sample_id, CASE WHEN dp % 5 = 0 THEN NULL ELSE dosage END AS dosage FROM g"))
@@ -316,12 +354,22 @@ def pseudohaploid(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def single_read_ibs(spark: SparkSession, d: str) -> DataFrame:
-    return G.single_read_ibs(V.genotypes(spark, d).select("chrom", "pos", "sample_id", F.col("n_ref").alias("A"), F.col("n_alt").alias("C"), F.lit(0).alias("G"), F.lit(0).alias("T"))).select("chrom", "pos", "sample_id", "allele")
+    return G.single_read_ibs(base_counts(spark, d)).select("chrom", "pos", "sample_id", "allele")
+
+
+def base_counts(spark: SparkSession, d: str) -> DataFrame:
+    return V.genotypes(spark, d).select("chrom", "pos", "sample_id", F.col("n_ref").alias("A"), F.col("n_alt").alias("C"), F.lit(0).alias("G"), F.lit(0).alias("T"))
+
+
+@query(V.with_views("g", body="SELECT chrom, pos, sample_id, CAST(CASE WHEN n_ref + n_alt = 0 THEN -1 WHEN n_ref >= n_alt THEN 0 ELSE 1 END AS INT) AS allele FROM g"))
+def single_read_ibs_major(spark: SparkSession, d: str) -> DataFrame:
+    return G.single_read_ibs(base_counts(spark, d), "major").select("chrom", "pos", "sample_id", "allele")
 
 
-@query(V.with_views("iv", body="""SELECT chrom, count(*) AS n, CAST(sum(p) AS BIGINT) AS total FROM (SELECT chrom, unnest(range(start + 1, "end" + 1)) AS p FROM iv WHERE "end" - start < 500) GROUP BY 1"""))
+@query(V.with_views("iv", body="""SELECT chrom, CAST(sum("end" - start) AS BIGINT) AS n, CAST(sum(("end" - start) * (start + 1 + "end") // 2) AS BIGINT) AS total FROM iv GROUP BY 1"""))
 def expand_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return G.expand_blocks(V.intervals(spark, d).where("end - start < 500")).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("total"))
+    """Bases and sum of positions per contig over every block, whatever its length."""
+    return G.expand_blocks(V.intervals(spark, d)).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("total"))
 
 
 @query(V.with_views("g", body="""@b AS (SELECT *, CAST(gq >= 20 AS INT) + CAST(gq >= 40 AS INT) AS band FROM (SELECT sample_id, chrom, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY pos) AS pos, dp, gq FROM g)), r AS (SELECT *, pos - row_number() OVER (PARTITION BY sample_id, chrom, band ORDER BY pos) AS run FROM b)
@@ -331,13 +379,17 @@ def gvcf_bands(spark: SparkSession, d: str) -> DataFrame:
     return G.gvcf_bands(g, [20, 40])
 
 
-@query()
+@query(V.with_views("s", body="SELECT chrom, pos - 2 * (size % 4) - 1 AS pos, 'T' AS ref, 'TCA' AS alt FROM s UNION SELECT chrom, pos, 'C', 'G' FROM s"))
 def normalise_variants(spark: SparkSession, d: str) -> DataFrame:
-    s = V.sites(spark, d).select("chrom", "pos", F.concat("ref", F.lit("AC")).alias("ref"), F.array(F.concat("ref", F.lit("TTAC"))).alias("alt"))
-    return G.normalise_variants(s)
+    """An insertion at the end of repeats of CA, which moves to their start, beside a substitution, which stays."""
+    s = V.sites(spark, d).select("chrom", "pos", F.lit("CA").alias("ref"), F.array(F.lit("CACA"), F.lit("GA")).alias("alt"), F.concat(F.lit("GT"), F.repeat(F.lit("CA"), F.col("size") % 4)).alias("before"))
+    return G.normalise_variants(s, "before")
 
 
-@query()
+@query(V.with_views("g", body="""@v AS (SELECT chrom, pos, sample_id, dosage, dp FROM g WHERE dosage > 0), bl AS (SELECT sample_id, chrom, pos - 300 AS start, pos + 300 AS "end", dp FROM g WHERE dosage = 0), st AS (SELECT DISTINCT chrom, pos FROM v), sm AS (SELECT DISTINCT sample_id FROM g),
+ins AS (SELECT st.chrom, st.pos, bl.sample_id, max(bl.dp) AS block_dp FROM st JOIN bl ON bl.chrom = st.chrom AND bl.start < st.pos AND st.pos - 1 < bl."end" GROUP BY 1, 2, 3)
+SELECT st.chrom, st.pos, sm.sample_id, CAST(CASE WHEN v.sample_id IS NOT NULL THEN v.dosage WHEN ins.block_dp IS NOT NULL THEN 0 END AS INT) AS dosage, coalesce(v.dp, ins.block_dp) AS dp
+FROM st CROSS JOIN sm LEFT JOIN v ON v.chrom = st.chrom AND v.pos = st.pos AND v.sample_id = sm.sample_id LEFT JOIN ins ON ins.chrom = st.chrom AND ins.pos = st.pos AND ins.sample_id = sm.sample_id"""))
 def combine_samples(spark: SparkSession, d: str) -> DataFrame:
     g = V.genotypes(spark, d)
     blocks = g.where("dosage = 0").select("sample_id", "chrom", (F.col("pos") - 300).alias("start"), (F.col("pos") + 300).alias("end"), "dp")
@@ -346,19 +398,26 @@ def combine_samples(spark: SparkSession, d: str) -> DataFrame:
 
 # mitochondrial consensus
 
-COUNTED = """cnt AS (SELECT shifted, sample_id, pos, {sums}, CAST(sum(CASE WHEN allele = 'AT' THEN fwd + rev ELSE 0 END) AS BIGINT) AS non_snv FROM reads_at GROUP BY 1, 2, 3)""".format(sums=", ".join(f"CAST(sum(CASE WHEN allele = '{b}' THEN fwd + rev ELSE 0 END) AS BIGINT) AS {b}" for b in "ACGT"))
-CHOSEN = """fr AS (SELECT sample_id, pos FROM (SELECT DISTINCT sample_id FROM reads_at) CROSS JOIN (SELECT unnest(range(1, 501)) AS pos)), o AS (SELECT * FROM cnt WHERE NOT shifted), sh AS (SELECT * REPLACE ((pos + 249) % 500 + 1 AS pos) FROM cnt WHERE shifted),
+COUNTED = """cnt AS (SELECT shifted, sample_id, pos, {sums}, CAST(sum(CASE WHEN upper(allele) NOT IN ('A', 'C', 'G', 'T') THEN fwd + rev ELSE 0 END) AS BIGINT) AS non_snv FROM reads_at GROUP BY 1, 2, 3)""".format(sums=", ".join(f"CAST(sum(CASE WHEN upper(allele) = '{b}' THEN fwd + rev ELSE 0 END) AS BIGINT) AS {b}" for b in "ACGT"))
+FRAME = """fr AS (SELECT sample_id, pos FROM (SELECT DISTINCT sample_id FROM reads_at) CROSS JOIN (SELECT unnest(range(1, 501)) AS pos)), o AS (SELECT * FROM cnt WHERE NOT shifted), sh AS (SELECT * REPLACE ((pos + 249) % 500 + 1 AS pos) FROM cnt WHERE shifted),
 ch AS (SELECT fr.sample_id, fr.pos, CASE WHEN (fr.pos <= 50 OR fr.pos > 450) AND sh.pos IS NOT NULL THEN 'shifted' WHEN o.pos IS NOT NULL THEN 'original' ELSE 'none' END AS source, {cols} FROM fr LEFT JOIN o ON o.sample_id = fr.sample_id AND o.pos = fr.pos LEFT JOIN sh ON sh.sample_id = fr.sample_id AND sh.pos = fr.pos),
 dep AS (SELECT *, A + C + G + T AS depth, A + C + G + T + non_snv AS total_depth FROM ch), rk AS (SELECT *, list_sort([{{'n': -A, 'b': 'A'}}, {{'n': -C, 'b': 'C'}}, {{'n': -G, 'b': 'G'}}, {{'n': -T, 'b': 'T'}}]) AS r FROM dep),
 mj AS (SELECT *, r[1].b AS major, CASE WHEN depth > 0 THEN -r[1].n / depth ELSE 0 END AS major_af, r[2].b AS minor, CASE WHEN depth > 0 THEN -r[2].n / depth ELSE 0 END AS minor_af, CASE WHEN total_depth > 0 THEN non_snv / total_depth ELSE 0 END AS non_snv_af FROM rk),
-vd AS (SELECT *, CASE WHEN total_depth < 3 THEN 'LOW_DEPTH' WHEN non_snv_af > 0.5 THEN 'NON_SNV_EVIDENCE' WHEN depth = 0 THEN 'NO_BASE_SUPPORT' WHEN major_af >= 0.7 THEN 'PASS' WHEN minor_af >= 0.2 THEN 'MIXED_IUPAC' ELSE 'LOW_MAJOR_AF' END AS filter FROM mj),
-cl AS (SELECT *, CASE filter WHEN 'PASS' THEN major WHEN 'MIXED_IUPAC' THEN CASE least(major, minor) || greatest(major, minor) WHEN 'AC' THEN 'M' WHEN 'AG' THEN 'R' WHEN 'AT' THEN 'W' WHEN 'CG' THEN 'S' WHEN 'CT' THEN 'Y' ELSE 'K' END ELSE 'N' END AS base FROM vd)""".format(cols=", ".join(f"coalesce(CASE WHEN (fr.pos <= 50 OR fr.pos > 450) AND sh.pos IS NOT NULL THEN sh.{c} ELSE o.{c} END, 0) AS {c}" for c in ("A", "C", "G", "T", "non_snv")))
+vd AS (SELECT *, CASE WHEN total_depth < {depth} THEN 'LOW_DEPTH' WHEN non_snv_af > 0.2 THEN 'NON_SNV_EVIDENCE' WHEN depth = 0 THEN 'NO_BASE_SUPPORT' WHEN major_af >= 0.8 THEN 'PASS' WHEN {mixed} AND minor_af >= 0.2 AND -r[2].n >= {minor} THEN 'MIXED_IUPAC' ELSE 'LOW_MAJOR_AF' END AS filter FROM mj),
+cl AS (SELECT *, CASE filter WHEN 'PASS' THEN major WHEN 'MIXED_IUPAC' THEN CASE least(major, minor) || greatest(major, minor) WHEN 'AC' THEN 'M' WHEN 'AG' THEN 'R' WHEN 'AT' THEN 'W' WHEN 'CG' THEN 'S' WHEN 'CT' THEN 'Y' ELSE 'K' END ELSE 'N' END AS base FROM vd)"""
+COLS = dict(cols=", ".join(f"coalesce(CASE WHEN (fr.pos <= 50 OR fr.pos > 450) AND sh.pos IS NOT NULL THEN sh.{c} ELSE o.{c} END, 0) AS {c}" for c in ("A", "C", "G", "T", "non_snv")))
+
 
+CHOSEN = FRAME.format(depth=20, mixed="true", minor=5, **COLS)
+CHOSEN_N = FRAME.format(depth=10, mixed="false", minor=3, **COLS)
 
-def mito_calls(spark: SparkSession, d: str) -> DataFrame:
+
+def mito_calls(spark: SparkSession, d: str, mode: str = "iupac") -> DataFrame:
+    """mode "iupac": as a run calls them; mode "N": the caller's own defaults."""
     a = V.allele_reads(spark, d)
     original, shifted = M.allele_counts(a.where("not shifted")), M.shifted_to_original(M.allele_counts(a.where("shifted")), 250, 500)
-    return M.call_major_allele(M.choose_source(original, shifted, a.select("sample_id").distinct(), 500, 50))
+    chosen = M.choose_source(original, shifted, a.select("sample_id").distinct(), 500, 50)
+    return M.call_major_allele(chosen, min_depth=20, min_minor_depth=5, het_mode="iupac") if mode == "iupac" else M.call_major_allele(chosen)
 
 
 @query(V.with_views("reads_at", body=f"@{COUNTED} SELECT sample_id, pos, A, C, G, T, non_snv FROM cnt WHERE NOT shifted"))
@@ -371,17 +430,22 @@ def mito_major_alleles(spark: SparkSession, d: str) -> DataFrame:
     return rounded(mito_calls(spark, d).select("sample_id", "pos", "source", "filter", "base", "major_af"), "major_af")
 
 
+@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN_N} SELECT sample_id, pos, source, filter, base, round(major_af, 6) AS major_af FROM cl"))
+def mito_major_alleles_n(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(mito_calls(spark, d, "N").select("sample_id", "pos", "source", "filter", "base", "major_af"), "major_af")
+
+
 @query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN} SELECT sample_id, string_agg(base, '' ORDER BY pos) AS seq FROM cl GROUP BY 1"))
 def mito_consensus(spark: SparkSession, d: str) -> DataFrame:
     return M.consensus_sequence(mito_calls(spark, d))
 
 
-@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN} SELECT sample_id, round(avg(total_depth), 6) AS mean_depth, round(quantile_cont(total_depth, 0.5), 6) AS median_depth, CAST(sum(CASE WHEN total_depth >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS n_covered, CAST(sum(CASE WHEN base = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown, CAST(sum(CASE WHEN filter = 'PASS' THEN 1 ELSE 0 END) AS BIGINT) AS n_pass, CAST(sum(CASE WHEN source = 'shifted' THEN 1 ELSE 0 END) AS BIGINT) AS n_shifted FROM cl GROUP BY 1"))
+@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN} SELECT sample_id, round(avg(total_depth), 6) AS mean_depth, round(quantile_cont(total_depth, 0.5), 6) AS median_depth, CAST(sum(CASE WHEN total_depth >= 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_covered, CAST(sum(CASE WHEN base = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown, CAST(sum(CASE WHEN filter = 'PASS' THEN 1 ELSE 0 END) AS BIGINT) AS n_pass, CAST(sum(CASE WHEN source = 'shifted' THEN 1 ELSE 0 END) AS BIGINT) AS n_shifted FROM cl GROUP BY 1"))
 def mito_qc(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(M.mito_qc(mito_calls(spark, d), 3), "mean_depth", "median_depth").select("sample_id", "mean_depth", "median_depth", "n_covered", "n_unknown", "n_pass", "n_shifted")
+    return rounded(M.mito_qc(mito_calls(spark, d), 20), "mean_depth", "median_depth").select("sample_id", "mean_depth", "median_depth", "n_covered", "n_unknown", "n_pass", "n_shifted")
 
 
-@query()
+@query(V.with_views("reads_at", body=f"@{COUNTED}, {CHOSEN}, vt AS (SELECT pos, base, count(*) AS n FROM cl WHERE base IN ('A', 'C', 'G', 'T') GROUP BY 1, 2) SELECT pos, CASE WHEN sum(n) < 2 THEN 'N' ELSE list(base ORDER BY n DESC, base)[1] END AS base FROM vt GROUP BY 1"))
 def majority_fasta(spark: SparkSession, d: str) -> DataFrame:
     return M.majority_fasta(mito_calls(spark, d).select("pos", "sample_id", "base"), 2)
 
@@ -429,9 +493,9 @@ def mds(spark: SparkSession, d: str) -> DataFrame:
     return P.mds(P.drop_until_complete(P.square(P.ibs_distance(g), g.select("sample_id"))))[0]
 
 
-@query()
+@query(V.with_views("g", body=f"@{GL} SELECT a.sample_id AS sample_i, b.sample_id AS sample_j, round(avg(0.5 * (a.l0 * b.l1 + a.l1 * b.l0 + a.l1 * b.l2 + a.l2 * b.l1) + a.l0 * b.l2 + a.l2 * b.l0), 6) AS value FROM gl a JOIN gl b ON a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id < b.sample_id GROUP BY 1, 2"))
 def gl_expected_distance(spark: SparkSession, d: str) -> DataFrame:
-    return P.gl_expected_distance(likelihoods(spark, d).withColumnRenamed("gl", "gp"))
+    return rounded(P.gl_expected_distance(likelihoods(spark, d).withColumnRenamed("gl", "gp")), "value")
 
 
 @query()
@@ -439,9 +503,9 @@ def bootstrap_blocks(spark: SparkSession, d: str) -> DataFrame:
     return P.bootstrap_blocks(V.genotypes(spark, d), 100, 5)
 
 
-@query()
+@query(V.with_views("g", body=f"@{GL}, ed AS (SELECT chrom, pos, sample_id, l1 + 2 * l2 AS x FROM gl), fq AS (SELECT chrom, pos, sum(x) / (2 * count(x)) AS freq FROM ed GROUP BY 1, 2) SELECT a.sample_id AS sample_i, b.sample_id AS sample_j, round(avg((a.x - 2 * freq) * (b.x - 2 * freq) / (2 * freq * (1 - freq))), 5) AS value FROM ed a JOIN ed b ON a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id <= b.sample_id JOIN fq ON fq.chrom = a.chrom AND fq.pos = a.pos WHERE freq > 0 AND freq < 1 GROUP BY 1, 2"))
 def gl_covariance(spark: SparkSession, d: str) -> DataFrame:
-    return P.gl_covariance(likelihoods(spark, d).withColumnRenamed("gl", "gp"))
+    return rounded(P.gl_covariance(likelihoods(spark, d).withColumnRenamed("gl", "gp")), "value", digits=5)
 
 
 @query(V.with_views("g", body=f"@{FREQ} SELECT sample_id, round(sum(CASE WHEN dosage = 1 THEN 1.0 ELSE 0 END), 6) AS obs_het, round(sum(2 * freq * (1 - freq)), 5) AS exp_het, count(*) AS n_sites, round(1 - sum(CASE WHEN dosage = 1 THEN 1.0 ELSE 0 END) / sum(2 * freq * (1 - freq)), 5) AS F FROM g JOIN fr USING (chrom, pos) WHERE freq > 0 AND freq < 1 GROUP BY 1"))
@@ -461,15 +525,24 @@ def abba_baba(spark: SparkSession, d: str) -> DataFrame:
     return rounded(P.abba_baba(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", "P2", "P3", 5000).select("D", "SE", "n_blocks"), "D", "SE", digits=5)
 
 
-@query(V.with_views("g", body=f"@{PAIRS.format(op='<')} SELECT sample_i, sample_j, " + ", ".join(f"CAST(sum(CASE WHEN x = {i} AND y = {j} THEN 1 ELSE 0 END) AS BIGINT) AS n{i}{j}" for i in range(3) for j in range(3)) + " FROM pr GROUP BY 1, 2"))
+@query(V.with_views("g", body=f"@{PAIRS.format(op='<')}, t AS (SELECT sample_i, sample_j, " + ", ".join(f"CAST(sum(CASE WHEN x = {i} AND y = {j} THEN 1 ELSE 0 END) AS BIGINT) AS n{i}{j}" for i in range(3) for j in range(3)) + " FROM pr GROUP BY 1, 2) SELECT *, round(CASE WHEN n11 > 0 THEN (n02 + n20) / n11 END, 6) AS R0, round(CASE WHEN n01 + n10 + n12 + n21 + n02 + n20 > 0 THEN n11 / (n01 + n10 + n12 + n21 + n02 + n20) END, 6) AS R1, round(CASE WHEN n01 + n10 + n12 + n21 + 2 * n11 > 0 THEN (n11 - 2 * (n02 + n20)) / (n01 + n10 + n12 + n21 + 2 * n11) END, 6) AS KING FROM t"))
 def joint_genotype_counts(spark: SparkSession, d: str) -> DataFrame:
-    return P.joint_genotype_counts(V.genotypes(spark, d)).select("sample_i", "sample_j", *(f"n{i}{j}" for i in range(3) for j in range(3)))
+    return rounded(P.joint_genotype_counts(V.genotypes(spark, d)), "R0", "R1", "KING")
 
 
 @query(V.with_views("g", "s", body="SELECT s.chrom, s.pos, n_samples FROM s LEFT JOIN (SELECT chrom, pos, CAST(sum(CASE WHEN gq > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_samples FROM g GROUP BY 1, 2) USING (chrom, pos)"))
 def ibs_missing_counts(spark: SparkSession, d: str) -> DataFrame:
+    return missing_ibs(spark, d)[1]
+
+
+def missing_ibs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     ibs = V.genotypes(spark, d).withColumn("allele", F.when(F.col("gq") > 20, F.col("dosage")).otherwise(-1))
-    return P.ibs_missing_counts(ibs, V.sites(spark, d))[1]
+    return P.ibs_missing_counts(ibs, V.sites(spark, d))
+
+
+@query(V.with_views("g", body="SELECT sample_id, CAST(sum(CASE WHEN gq > 20 THEN 1 ELSE 0 END) AS BIGINT) AS n_sites FROM g GROUP BY 1"))
+def ibs_missing_samples(spark: SparkSession, d: str) -> DataFrame:
+    return missing_ibs(spark, d)[0]
 
 
 @query(V.with_views("reads_at", body="@a AS (SELECT sample_id, ['A', 'C', 'G', 'T'][CAST(pos % 4 AS INT) + 1] AS anc, allele AS base, CAST(sum(fwd + rev) AS BIGINT) AS n FROM reads_at WHERE allele <> 'AT' GROUP BY 1, 2, 3) SELECT *, round(n / sum(n) OVER (PARTITION BY sample_id, anc), 6) AS rate FROM a"))
@@ -481,10 +554,21 @@ def substitution_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT 'C' || CAST(c_custkey AS VARCHAR) AS sample_id FROM customer WHERE c_custkey % 1000 BETWEEN 100 AND 600 AND c_acctbal BETWEEN 0 AND 5000")
 def geo_filter(spark: SparkSession, d: str) -> DataFrame:
-    c = V.table(spark, d, "customer").select((F.col("c_custkey") % 1000).cast("double").alias("long"), F.col("c_acctbal").alias("lat"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("sample_id"))
+    return located(spark, d)[0].select("sample_id")
+
+
+def located(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    c = V.table(spark, d, "customer").select((F.col("c_custkey") % 1000).cast("double").alias("long"), F.col("c_acctbal").alias("lat"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("sample_id"), "c_custkey")
     box = spark.createDataFrame([(100.0, 0.0), (600.0, 5000.0)], "long double, lat double")
-    dist = c.select(F.col("sample_id").alias("sample_i"), F.col("sample_id").alias("sample_j"), F.lit(0.0).alias("value"))
-    return P.geo_filter(c, box, dist)[0].select("sample_id")
+    dist = c.select(F.col("sample_id").alias("sample_i"), F.explode(F.array("sample_id", F.concat(F.lit("C"), (F.col("c_custkey") + 1).cast("string")))).alias("sample_j"), F.col("lat").alias("value"))
+    return P.geo_filter(c.drop("c_custkey"), box, dist)
+
+
+@query("""WITH k AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 1000 BETWEEN 100 AND 600 AND c_acctbal BETWEEN 0 AND 5000)
+SELECT 'C' || CAST(a.c_custkey AS VARCHAR) AS sample_i, 'C' || CAST(b.c_custkey AS VARCHAR) AS sample_j, a.c_acctbal AS value FROM k a JOIN k b ON b.c_custkey IN (a.c_custkey, a.c_custkey + 1)""")
+def geo_filter_distances(spark: SparkSession, d: str) -> DataFrame:
+    """The distances between the samples inside the box."""
+    return located(spark, d)[1]
 
 
 @query(V.with_views("s", body="SELECT chrom, pos, chrom || '_' || CAST(CAST(floor((row_number() OVER (PARTITION BY chrom ORDER BY pos) - 1) / 25) AS BIGINT) AS VARCHAR) AS \"window\" FROM s"))
@@ -503,6 +587,11 @@ def rename_pair_ids(spark: SparkSession, d: str) -> DataFrame:
     return P.rename_pair_ids(index.select(F.col("number").alias("i"), (F.col("number") + 1).alias("j")), index)
 
 
+@query()
+def recursive_bipartition(spark: SparkSession, d: str) -> DataFrame:
+    return P.recursive_bipartition(likelihoods(spark, d), 2, 5)
+
+
 @query()
 def admixture_em(spark: SparkSession, d: str) -> DataFrame:
     return P.admixture_em(likelihoods(spark, d), 2, 1, 1)[0]
@@ -519,15 +608,19 @@ def sfs_1d(spark: SparkSession, d: str) -> DataFrame:
     return X.sfs_1d(V.genotypes(spark, d))
 
 
-@query()
+@query(V.with_views("g", body=f"""@{SITE}, b AS (SELECT ac AS bin, count(*) AS n FROM st GROUP BY 1), z AS (SELECT CAST(max(bin) AS DOUBLE) AS c FROM b),
+t AS (SELECT sum(n * 2 * bin * (c - bin) / (c * (c - 1))) AS pi, sum(CASE WHEN bin > 0 AND bin < c THEN n ELSE 0 END) AS S, sum(n) AS n_sites, sum(CASE WHEN bin = 1 THEN n ELSE 0 END) AS e, max(c) AS c FROM b CROSS JOIN z),
+a AS (SELECT *, list_sum(list_transform(range(1, CAST(c AS BIGINT)), lambda i: 1.0 / i)) AS a1, list_sum(list_transform(range(1, CAST(c AS BIGINT)), lambda i: 1.0 / (i * i))) AS a2 FROM t),
+k AS (SELECT *, (c + 1) / (3 * (c - 1)) - 1 / a1 AS c1, 2 * (c * c + c + 3) / (9 * c * (c - 1)) - (c + 2) / (a1 * c) + a2 / (a1 * a1) AS c2, 1 + a1 * a1 / (a2 + a1 * a1) * (2 * (c * a1 - 2 * (c - 1)) / ((c - 1) * (c - 2)) - (c + 1) / (c - 1)) AS v FROM a)
+SELECT round(pi, 6) AS pi, round(S / a1, 6) AS theta_w, CAST(S AS BIGINT) AS S, CAST(n_sites AS BIGINT) AS n_sites, round((pi - S / a1) / sqrt(c1 / a1 * S + c2 / (a1 * a1 + a2) * S * (S - 1)), 6) AS tajima_d, round((S - a1 * e) / sqrt((a1 - 1 - v) * S + v * S * S), 6) AS fu_li_d FROM k"""))
 def sfs_stats(spark: SparkSession, d: str) -> DataFrame:
     s = X.sfs_1d(V.genotypes(spark, d), folded=False)
-    return X.sfs_stats(s.groupBy("bin").agg(F.sum("n").alias("n")))
+    return rounded(X.sfs_stats(s.groupBy("bin").agg(F.sum("n").alias("n"))), "pi", "theta_w", "tajima_d", "fu_li_d")
 
 
-@query()
+@query(V.with_views("g", body=f"@{SITE}, {TERMS}, bk AS (SELECT *, ntile(10) OVER (PARTITION BY chrom ORDER BY pos) AS block FROM tm), o AS (SELECT chrom, block, sum(pi) AS pi, sum(theta_w) AS theta_w, sum(seg) AS S, count(*) AS n_sites FROM bk GROUP BY 1, 2), w AS (SELECT sum(pi) AS p, sum(S) AS q FROM o) SELECT chrom, CAST(block AS INT) AS block, round(pi, 5) AS pi, round(theta_w, 5) AS theta_w, CAST(S AS BIGINT) AS S, n_sites, round(p - pi, 5) AS pi_without, CAST(q - S AS BIGINT) AS S_without FROM o CROSS JOIN w"))
 def sfs_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return X.sfs_blocks(V.genotypes(spark, d), 10)
+    return rounded(X.sfs_blocks(V.genotypes(spark, d), 10), "pi", "theta_w", "pi_without", digits=5)
 
 
 @query(V.with_views("g", body=f"@{SITE}, {TERMS}, w AS (SELECT *, unnest(range(CAST(greatest(0, ceil((pos - 1 - 9999) / 5000)) AS BIGINT), CAST(floor((pos - 1) / 5000) AS BIGINT) + 1)) AS k FROM tm) SELECT chrom, k * 5000 AS start, round(sum(pi), 5) AS pi, round(sum(theta_w), 5) AS theta_w, CAST(sum(seg) AS BIGINT) AS S, count(*) AS n_sites FROM w GROUP BY 1, 2"))
@@ -544,9 +637,11 @@ def sfs_2d(spark: SparkSession, d: str) -> DataFrame:
     return X.sfs_2d(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1")
 
 
-@query()
+@query(V.with_views("g", "pop", body=f"""@{TWO}, x AS (SELECT *, unnest(range(0, 5)) AS i FROM tp WHERE an1 >= 4 AND an2 >= 4), y AS (SELECT *, unnest(range(0, 5)) AS j FROM x),
+w AS (SELECT i, j, CASE WHEN i <= ac1 AND 4 - i <= an1 - ac1 AND j <= ac2 AND 4 - j <= an2 - ac2 THEN exp({" + ".join(f"lgamma(ac{n} + 1) - lgamma({k} + 1) - lgamma(ac{n} - {k} + 1) + lgamma(an{n} - ac{n} + 1) - lgamma(4 - {k} + 1) - lgamma(an{n} - ac{n} - 4 + {k} + 1) - lgamma(an{n} + 1) + lgamma(5) + lgamma(an{n} - 3)" for n, k in ((1, "i"), (2, "j")))}) ELSE 0 END AS w FROM y)
+SELECT CAST(CASE WHEN i + j > 4 THEN 4 - i ELSE i END AS INT) AS i, CAST(CASE WHEN i + j > 4 THEN 4 - j ELSE j END AS INT) AS j, round(sum(w), 6) AS n FROM w GROUP BY 1, 2"""))
 def sfs_2d_projected(spark: SparkSession, d: str) -> DataFrame:
-    return X.sfs_2d(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", True, (4, 4))
+    return rounded(X.sfs_2d(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", True, (4, 4)), "n")
 
 
 @query(V.with_views("g", "pop", body=f"@{TWO}, {FST} SELECT round(avg(f2), 6) AS f2, round(sum(num) / sum(dxy), 6) AS fst, round(avg(dxy), 6) AS dxy, CAST(sum(seg) AS BIGINT) AS S, count(*) AS n_sites FROM ft"))
@@ -561,7 +656,9 @@ def windowed_fst(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def site_allele_likelihood(spark: SparkSession, d: str) -> DataFrame:
-    return X.site_allele_likelihood(likelihoods(spark, d)).select("chrom", "pos", F.size("saf").alias("n"))
+    """Every entry of every site's likelihoods."""
+    saf = X.site_allele_likelihood(likelihoods(spark, d)).select("chrom", "pos", F.posexplode("saf").alias("n_derived", "likelihood"))
+    return rounded(saf, "likelihood")
 
 
 @query()
@@ -582,7 +679,8 @@ def admixture_residual_corr(spark: SparkSession, d: str) -> DataFrame:
     return P.admixture_residual_corr(gl.withColumnRenamed("gl", "gp"), q, f)
 
 
-@query()
+@query(V.with_views("seq", body="SELECT CAST(sum(length) AS BIGINT) AS n_sites, round(1 - sum(length - length(replace(seq, 'N', ''))) / sum(length), 6) AS not_n FROM seq"))
 def covered_n_share(spark: SparkSession, d: str) -> DataFrame:
     s = V.sequences(spark, d)
-    return K.covered_n_share(s, s.select(F.col("contig").alias("chrom"), F.explode(F.sequence(F.lit(1), F.length("seq"), F.lit(50))).alias("pos")))
+    every = s.where("length > 0").select(F.col("contig").alias("chrom"), F.explode(F.sequence(F.lit(1).cast("long"), F.length("seq").cast("long"))).alias("pos"))
+    return rounded(K.covered_n_share(s, every), "not_n")
\ No newline at end of file

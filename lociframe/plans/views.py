@@ -73,9 +73,12 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allele_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample_id, pos, allele, fwd, rev, shifted) from lineitem."""
-    allele = F.get(F.array(*(F.lit(a) for a in ("A", "C", "G", "T", "AT"))), ((F.col("l_linenumber") + F.col("l_partkey")) % 5).cast("int"))
-    n = F.col("l_quantity").cast("long")
+    """(sample_id, pos, allele, fwd, rev, shifted) from lineitem: few reads a row, most of them of the position's own base, some
+    alleles in lower case."""
+    at = F.when(F.col("l_linenumber") <= 5, F.col("l_partkey") % 4).otherwise((F.col("l_linenumber") + F.col("l_suppkey")) % 5)
+    allele = F.get(F.array(*(F.lit(a) for a in ("A", "C", "G", "T", "AT"))), at.cast("int"))
+    allele = F.when(F.col("l_suppkey") % 7 == 0, F.lower(allele)).otherwise(allele)
+    n = F.col("l_quantity").cast("long") % 4
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("S"), (F.col("l_suppkey") % 4).cast("string")).alias("sample_id"), (F.col("l_partkey") % 500 + 1).alias("pos"), allele.alias("allele"), F.when(F.col("l_returnflag") == "N", n).otherwise(0).alias("fwd"), F.when(F.col("l_returnflag") == "N", 0).otherwise(n).alias("rev"), (F.col("l_linestatus") == "O").alias("shifted")
     )
@@ -99,8 +102,9 @@ SQL = {
       event_type AS chrom, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS start, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 + 1 + CAST(floor(value) AS BIGINT) AS "end", CAST(event_id % 61 AS INT) AS mapq,
       CAST(floor(value) AS BIGINT) AS tlen, CAST(floor(value) AS BIGINT) + 1 AS aligned, 'S' || CAST(user_id % 10 AS VARCHAR) AS sample_id, 'g' || CAST(user_id % 5 AS VARCHAR) AS rg, event_id % 97 AS qual_sum FROM events)""",
     "seq": """seq AS (SELECT 'd' || CAST(doc_id AS VARCHAR) AS contig, text AS seq, CAST(length(text) AS BIGINT) AS length FROM documents WHERE text IS NOT NULL)""",
-    "reads_at": """reads_at AS (SELECT 'S' || CAST(l_suppkey % 4 AS VARCHAR) AS sample_id, l_partkey % 500 + 1 AS pos, ['A', 'C', 'G', 'T', 'AT'][CAST((l_linenumber + l_partkey) % 5 AS INT) + 1] AS allele,
-      CASE WHEN l_returnflag = 'N' THEN CAST(floor(l_quantity) AS BIGINT) ELSE 0 END AS fwd, CASE WHEN l_returnflag = 'N' THEN 0 ELSE CAST(floor(l_quantity) AS BIGINT) END AS rev, l_linestatus = 'O' AS shifted FROM lineitem)""",
+    "reads_at": """reads_at AS (SELECT 'S' || CAST(l_suppkey % 4 AS VARCHAR) AS sample_id, l_partkey % 500 + 1 AS pos, CASE WHEN l_suppkey % 7 = 0 THEN lower(allele) ELSE allele END AS allele,
+      CASE WHEN l_returnflag = 'N' THEN n ELSE 0 END AS fwd, CASE WHEN l_returnflag = 'N' THEN 0 ELSE n END AS rev, l_linestatus = 'O' AS shifted
+      FROM (SELECT *, ['A', 'C', 'G', 'T', 'AT'][CAST(CASE WHEN l_linenumber <= 5 THEN l_partkey % 4 ELSE (l_linenumber + l_suppkey) % 5 END AS INT) + 1] AS allele, CAST(floor(l_quantity) AS BIGINT) % 4 AS n FROM lineitem))""",
 }
 NEEDS = {"contigs": ["iv"]}
 

@@ -67,15 +67,25 @@ def test_greedy_prune(spark):
 
 
 def test_mito_rules(spark):
-    def call(a, c, other=0):
+    def call(a, c, other=0, **settings):
         o = spark.createDataFrame([("s", 1, a, c, 0, 0, other, a + c, a + c + other, other / max(1, a + c + other))], "sample_id string, pos long, A long, C long, G long, T long, non_snv long, depth long, total_depth long, non_snv_af double")
-        x = M.call_major_allele(o).first()
+        x = M.call_major_allele(o, **settings).first()
         return x["filter"], x["base"]
 
-    assert call(1, 1) == ("LOW_DEPTH", "N") and call(7, 3) == ("PASS", "A") and call(5, 5) == ("MIXED_IUPAC", "M")
-    assert call(3, 0, 9) == ("NON_SNV_EVIDENCE", "N") and call(69, 19)[0] == "PASS"
+    assert call(5, 4) == ("LOW_DEPTH", "N") and call(8, 2) == ("PASS", "A") and call(7, 3) == ("LOW_MAJOR_AF", "N")
+    assert call(8, 0, 3) == ("NON_SNV_EVIDENCE", "N") and call(8, 0, 2) == ("PASS", "A") and call(0, 0, 0, min_depth=0) == ("NO_BASE_SUPPORT", "N")
+    mixed = {"het_mode": "iupac", "min_depth": 3, "mixed_min_af": 0.2}
+    for minor, want in ((1, ("LOW_MAJOR_AF", "N")), (2, ("LOW_MAJOR_AF", "N")), (3, ("MIXED_IUPAC", "M")), (4, ("MIXED_IUPAC", "M"))):
+        assert call(2 * minor, minor, **mixed) == want and call(2 * minor, minor, min_depth=3)[1] == "N"
+    assert call(78, 22, het_mode="iupac") == ("MIXED_IUPAC", "M") and call(78, 22, het_mode="iupac", mixed_min_af=0.25) == ("LOW_MAJOR_AF", "N")
+    assert call(5, 15, het_mode="iupac", min_minor_depth=6)[0] == "LOW_MAJOR_AF"
+    with pytest.raises(ValueError):
+        call(1, 1, het_mode="other")
     with pytest.raises(ValueError):
         M.validate_mito(100, 1, 100, [0.5])
+    counts = spark.createDataFrame([("s", 1, "a", 2, 1), ("s", 1, "A", 1, None), ("s", 1, "ct", 4, 0), ("s", 1, None, 0, 2)], "sample_id string, pos long, allele string, fwd long, rev long")
+    x = M.allele_counts(counts).first()
+    assert (x["A"], x["non_snv"], x["depth"], x["total_depth"]) == (4, 6, 4, 10)
 
 
 def test_circular_positions(spark):
@@ -103,6 +113,91 @@ def test_normalise(spark):
     assert ("c", 10, "CT", "C") in [tuple(r) for r in G.normalise_variants(s).collect()]
 
 
+def test_indels_move_left_as_far_as_the_flank_shows(spark):
+    def brute(flank, ref, alt, pos):
+        """The leftmost pair of alleles that makes the same sequence: every start and shape is tried."""
+        here, there = flank + ref, flank + alt
+        while len(here) > 1 and len(there) > 1 and here[-1] == there[-1]:
+            here, there = here[:-1], there[:-1]
+        k = 0
+        while len(here) - k > 1 and len(there) - k > 1 and here[k] == there[k]:
+            k += 1
+        return pos - len(flank) + k, here[k:], there[k:]
+
+    r, rows = random.Random(4), []
+    for p in range(300):
+        flank, ref = "".join(r.choice("AC") for _ in range(r.randint(1, 6))), "".join(r.choice("AC") for _ in range(r.randint(1, 4)))
+        alt = ref[:1] + "".join(r.choice("AC") for _ in range(r.randint(0, 4)))
+        if alt != ref:
+            rows.append(("c", 100 * p + 50, ref, [alt], flank))
+    sites = spark.createDataFrame(rows, "chrom string, pos long, ref string, alt array<string>, before string")
+    got = {x["pos"] // 100: (x["pos"], x["ref"], x["alt"]) for x in G.normalise_variants(sites, "before").collect()}
+    for _, pos, ref, (alt,), flank in rows:
+        want = brute(flank, ref, alt, pos)
+        if 1 in (len(want[1]), len(want[2])) and len(want[1]) != len(want[2]):
+            assert got[pos // 100] == want
+
+
+def test_spectrum_likelihoods_of_long_cohorts(spark):
+    rows = [("c", 1, f"s{s:03}", [0.9, 0.05, 0.05] if s % 3 else [0.05, 0.9, 0.05]) for s in range(200)]
+    saf = X.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")).first()["saf"]
+    assert len(saf) == 401 and max(saf) == pytest.approx(1.0) and all(math.isfinite(x) and x >= 0 for x in saf)
+
+
+def test_bipartition_keeps_two_groups_apart(spark):
+    r, rows = random.Random(3), []
+    for p in range(60):
+        for s in range(8):
+            d = int(r.random() < 0.95) + int(r.random() < 0.95) if (s < 4) == (p % 2 == 0) else int(r.random() < 0.05) + int(r.random() < 0.05)
+            rows.append(("c", p, f"s{s}", [0.98 if d == i else 0.01 for i in range(3)]))
+    gl = spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")
+    parts = {x["sample_id"]: x["part"] for x in P.recursive_bipartition(gl, 1, 15).collect()}
+    assert len({parts[f"s{i}"] for i in range(4)}) == 1 and len({parts[f"s{i}"] for i in range(4, 8)}) == 1 and parts["s0"] != parts["s4"]
+    deep = P.recursive_bipartition(gl, 5, 4)
+    assert deep.count() == 8 and deep.select("sample_id").distinct().count() == 8
+
+
+def test_downsampling_keeps_mates_together_and_meets_the_depth(spark):
+    rows = [(f"r{i}", "c", 10 * (i % 500), 10 * (i % 500) + 100, "s") for i in range(4000) for _ in (1, 2)]
+    aln = spark.createDataFrame(rows, "qname string, chrom string, start long, end long, sample_id string")
+    kept = R.downsample_to_coverage(aln, spark.createDataFrame([("c", 0, 5000)], "chrom string, start long, end long"), 40.0)
+    names = [x["qname"] for x in kept.collect()]
+    assert len(names) == 2 * len(set(names)) and abs(len(names) / len(rows) - 40 / 160) < 0.05
+
+
+def test_balanced_chunks_cover_every_base_once(spark):
+    from lociframe.operators import chunking as C
+
+    r = random.Random(6)
+    iv = [("a" if i % 2 else "b", 100 * i, 100 * i + r.randint(1, 90), r.randint(0, 50)) for i in range(60)]
+    frame_ = spark.createDataFrame(iv, "chrom string, start long, end long, weight long")
+    contigs = spark.createDataFrame([("a", 10_000, 1), ("b", 10_000, 2)], "contig string, length long, rank int")
+    for split in (False, True):
+        got = C.interval_pipeline(frame_.where("weight > 0"), contigs, frame_, 150, 0, split=split).collect()
+        assert sum(x["end"] - x["start"] for x in got) == sum(e - s for _, s, e, w in iv if w > 0)
+        order = sorted(got, key=lambda x: (x["chrom"], x["start"]))
+        assert [x["chunk"] for x in order] == sorted(x["chunk"] for x in order) and len({x["chunk"] for x in order}) >= 5
+
+
+def test_reuse_only_of_what_is_valid(spark, tmp_path):
+    schema = "sample_id string, ok boolean, n int"
+    spark.createDataFrame([("a", True, 1), ("a", True, 2), ("b", False, 1)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run = lambda: incremental.incremental_reuse(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "store"), str(tmp_path / "c"), valid="ok").awaitTermination(90)
+    run()
+    spark.createDataFrame([("a", True, 9), ("b", True, 3), ("c", True, 1)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    held = sorted((x["sample_id"], x["ok"]) for x in spark.read.parquet(str(tmp_path / "store")).collect())
+    assert held == [("a", True), ("b", False), ("b", True), ("c", True)]
+
+
+def test_running_missingness_equals_batch(spark, tmp_path):
+    m = spark.createDataFrame([("s", 3, 10), ("s", 4, 10), ("t", 1, 10)], "SAMPLE string, present long, target long")
+    m.write.parquet(str(tmp_path / "m"))
+    q = incremental.incremental_missing(spark.readStream.schema(m.schema).parquet(str(tmp_path / "m"))).writeStream.format("memory").queryName("missing_now").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
+    q.awaitTermination(90)
+    assert sorted(map(tuple, spark.sql("select * from missing_now").collect())) == [("s", 7, 20), ("t", 1, 10)]
+
+
 def test_pileup(spark):
     a = spark.createDataFrame([("r1", 0, "c", 10, 60, "2S3M1D2M", "xxACGTA", "IIIIIII", "s"), ("r2", 16, "c", 11, 60, "2M", "CT", "I!", "s")], "qname string, flag int, chrom string, pos long, mapq int, cigar string, seq string, qual string, sample_id string")
     got = sorted((r["pos"], r["allele"], r["fwd"], r["rev"]) for r in R.pileup(a).collect())
