@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from lociframe.llm import arrays as A
 from lociframe.llm.frames import table
 from lociframe.llm.token_output import public_tokenizer
+from lociframe.llm.wordtable import WordTable, distinct, runs, word_keys
+from lociframe.llm.workers import keeping, tidy
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -62,6 +64,10 @@ class Model:
             for k in range(1, len(text)):
                 self.prefixes.setdefault(text[:k], (0.0, None))
             self.prefixes[text] = (score, (i,))
+        # bytes side by side that may stand in one piece: all but two ASCII characters, neither a space, that do so in none
+        self.joins = np.ones((256, 256), bool)
+        ascii_ = [c for c in range(128) if c != 32]
+        self.joins[np.ix_(ascii_, ascii_)] = [[chr(c) + chr(d) in self.pairs for d in ascii_] for c in ascii_]
         # pieces of each length: sorted hashes, ids and scores, for `forward`
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in {len(t) for t in self.pieces}:
@@ -230,28 +236,16 @@ def joined(parts: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float,
 
 
 class Segmenter:
-    """N-best segmentations of texts; at most about 2 * BOUND words and as many parts of words are remembered."""
+    """N-best segmentations of texts; at most `BOUND` words (some 60 bytes each) and `PARTS` lists of alternatives are remembered."""
 
-    BOUND = 200_000
+    BOUND = 400_000
+    PARTS = 20_000
 
     def __init__(self, path: str, n: int):
         self.model, self.n = Model(path), n
-        self.words: list[dict[str, tuple[float, float, bytes]]] = [{}, {}]  # score, loss of the second best, ids
-        self.parts: list[dict[str, list[tuple[float, bytes]]]] = [{}, {}]
-
-    def _known(self, memory: list[dict], text: str, make) -> list[tuple[float, bytes]]:
-        new, old = memory
-        got = new.get(text)
-        if got is None:
-            got = old.get(text)
-            got = make(text) if got is None else got
-            if len(new) > self.BOUND:
-                memory[1], memory[0] = new, {}
-            memory[0][text] = got
-        return got
-
-    def part(self, text: str) -> list[tuple[float, bytes]]:
-        return n_best(self.model, text, self.n)
+        self.words = WordTable(self.BOUND, numbers=2)  # ids of the best; its score and the loss of the second best
+        self.parts: dict[str, list[tuple[float, bytes]]] = {}
+        self.literal = [(self.model.unknown, np.array([self.model.byte_ids[b] for b in SPACE.encode()], np.uint32).tobytes())]
 
     def word(self, text: str) -> list[tuple[float, bytes]]:
         """A word falls into parts where two characters stand side by side that do so in no piece."""
@@ -261,47 +255,44 @@ class Segmenter:
                 if text[i - 1 : i + 1] not in pairs:
                     cuts.append(i)
             cuts.append(len(text))
-            return joined([self.part(text[a:b]) for a, b in itertools.pairwise(cuts)], self.n)
+            return joined([n_best(self.model, text[a:b], self.n) for a, b in itertools.pairwise(cuts)], self.n)
         return n_best(self.model, text, self.n)
 
-    def looked_up(self, texts: list[str]) -> list[tuple[float, float, bytes]]:
-        """(score of the best, loss of the second best, ids of the best) of each word; new words by length, all at once."""
-        new, old = self.words
-        found, ask = [], {}
+    def looked_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score of the best and loss of the second best, number of ids, ids of all) of words, by length, all at once."""
+        numbers, sizes, found = np.zeros((len(texts), 2)), np.zeros(len(texts), np.int64), [b""] * len(texts)
+        ask: dict[int, list[int]] = {}
         for i, t in enumerate(texts):
-            got = new.get(t)
-            if got is None and (got := old.get(t)) is not None:
-                new[t] = got
-            if got is None:
-                ask.setdefault(len(t) if len(t) <= 48 else 0, []).append(i)
-            found.append(got)
+            ask.setdefault(len(t) if len(t) <= 48 else 0, []).append(i)
         for size, which in ask.items():
             for a in range(0, len(which), 8192):
                 some = which[a : a + 8192]
                 words = [texts[i] for i in some]
                 if size:
                     scores, ids = forward(self.model, words, 2)
-                    made = zip(scores[:, 0].tolist(), (scores[:, 0] - scores[:, 1]).tolist(), ids, strict=True)
+                    numbers[some, 0], numbers[some, 1] = scores[:, 0], scores[:, 0] - scores[:, 1]
                 else:
                     longer = [n_best(self.model, w, 2) for w in words]
-                    made = [(w[0][0], w[0][0] - w[1][0] if len(w) > 1 else np.inf, w[0][1]) for w in longer]
-                for i, w, got in zip(some, words, made, strict=True):
-                    found[i] = new[w] = got
-        if len(new) > self.BOUND:
-            self.words = [{}, new]
-        return found
-
-    def alternatives(self, text: str, best: tuple[float, float, bytes]) -> list[tuple[float, bytes]]:
+                    numbers[some] = [(w[0][0], w[0][0] - w[1][0] if len(w) > 1 else np.inf) for w in longer]
+                    ids = [w[0][1] for w in longer]
+                for i, got in zip(some, ids, strict=True):
+                    found[i] = got
+                sizes[some] = [len(x) // 4 for x in ids]
+        return numbers, sizes, np.frombuffer(b"".join(found), np.uint32)
+
+    def alternatives(self, text: str, score: float, best: bytes) -> list[tuple[float, bytes]]:
         """The n best of a word, its known best first whatever ties there are."""
-        others = [x for x in self._known(self.parts, text, self.word) if x[1] != best[2]]
-        return [(best[0], best[2]), *others[: self.n - 1]]
+        if text not in self.parts:
+            if len(self.parts) >= self.PARTS:
+                self.parts.clear()
+            self.parts[text] = self.word(text)
+        return [(score, best), *[x for x in self.parts[text] if x[1] != best][: self.n - 1]]
 
     def one(self, text: str) -> list[list[tuple[float, bytes]]]:
         """The words of a text with a literal U+2581, which becomes byte pieces."""
-        literal = [(self.model.unknown, np.array([self.model.byte_ids[b] for b in SPACE.encode()], np.uint32).tobytes())]
         out = []
         for k, piece in enumerate(text.split(SPACE)):
-            out += [literal] * (k > 0)
+            out += [self.literal] * (k > 0)
             spaced = piece.replace(" ", SPACE)
             out += [self.word(w) for w in self.model.words(spaced if k else SPACE + spaced)]
         return out
@@ -309,21 +300,17 @@ class Segmenter:
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> list[list[tuple[float, bytes]]]:
         """The n best segmentations of each text, given as bytes and offsets.
 
-        Words are told apart by 64-bit hashes and lengths, looked up once per distinct word, and put together for all texts
-        at once. A text's other segmentations differ from its best only in the n - 1 words that lose least.
+        Words, cut where no piece goes on, are looked up once per distinct word and put together for all texts at once. A
+        text's other segmentations differ from its best only in the n - 1 words that lose least.
         """
         raw, n = data.tobytes(), len(offs) - 1
-        odd = np.zeros(n, bool)
-        mark = SPACE.encode()
-        at = raw.find(mark)
-        while at >= 0:
-            odd[np.searchsorted(offs, at, "right") - 1] = True
-            at = raw.find(mark, at + 1)
-        odd |= not self.model.by_word
+        odd = np.full(n, not self.model.by_word)
+        odd[np.searchsorted(offs, A.positions(raw, SPACE.encode()), "right") - 1] = True
         plain = np.flatnonzero(~odd & (np.diff(offs) > 0))
         gap = data == 32
         begin = gap.copy()
         begin[1:] &= ~gap[:-1]
+        begin[1:] |= ~self.model.joins[data[:-1], data[1:]]
         begins = np.flatnonzero(begin)
         owner = np.searchsorted(offs, begins, "right") - 1
         ok = ~odd[owner] & (begins > offs[owner])
@@ -332,26 +319,36 @@ class Segmenter:
         doc = np.sort(np.concatenate([plain, owner]))
         head = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
         ends = np.where(np.concatenate([head[1:], [True]]), offs[1:][doc], np.concatenate([starts[1:], [0]])) if len(doc) else starts
-        key = A.span_hash(A.byte_prefix(data), starts, ends)
-        key[head] = A.mix(key[head] ^ A.GRAM)
-        _, first, which = np.unique(key, return_index=True, return_inverse=True)
-        texts = [(SPACE if h else "") + raw[a:b].decode().replace(" ", SPACE) for a, b, h in zip(starts[first].tolist(), ends[first].tolist(), head[first].tolist(), strict=True)]
-        found = self.looked_up(texts)
-        score = np.array([w[0] for w in found])
-        loss = np.array([w[1] for w in found])
-        pool = b"".join([w[2] for w in found])
-        size = np.array([len(w[2]) for w in found], np.int64) // 4
-        place = np.cumsum(size) - size
-        ids = np.frombuffer(pool, np.uint32)
-        size, place, loss = size[which], place[which], loss[which]
+        names, short = word_keys(data, starts, ends, head.astype(np.uint8))
+        longer: dict[tuple[bytes, bool], int] = {}  # named by their number in the batch
+        for i in np.flatnonzero(~short).tolist():
+            names[i] = longer.setdefault((raw[starts[i] : ends[i]], bool(head[i])), len(longer)), 255 << 56
+        which, first, hashes = distinct(names)
+        names, short = names[first], short[first]
+        at = np.full(len(first), -1)
+        at[short] = self.words.find(names[short], hashes[short])
+        numbers, size, place = np.zeros((len(first), 2)), np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        there = at >= 0
+        numbers[there], size[there], place[there] = self.words.numbers[at[there]], self.words.size[at[there]], self.words.start[at[there]]
+        ask = np.flatnonzero(~there)
+
+        def text(k: int) -> str:
+            return (SPACE if head[k] else "") + raw[starts[k] : ends[k]].decode().replace(" ", SPACE)
+
+        numbers[ask], size[ask], ids = self.looked_up([text(k) for k in first[ask].tolist()])
+        place[ask] = len(self.words.pool) + np.cumsum(size[ask]) - size[ask]
+        ids = np.concatenate([self.words.pool, ids])
+        new = ask[short[ask]]
+        self.words.add(names[new], hashes[new], size[new], ids[runs(place[new], size[new])], numbers[new])
+        score, loss = numbers[which].T
+        size, place = size[which], place[which]
         total = np.cumsum(size)
-        flat = ids[np.repeat(place - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)]
-        scores = np.bincount(doc, score[which], n) if len(doc) else np.zeros(n)
+        body = ids[runs(place, size)].tobytes()
+        scores = np.bincount(doc, score, n) if len(doc) else np.zeros(n)
         lengths = np.bincount(doc, size, n).astype(np.int64) if len(doc) else np.zeros(n, np.int64)
         stop = np.cumsum(lengths)
         bounds = np.searchsorted(doc, np.arange(n + 1))
         out: list[list[tuple[float, bytes]]] = []
-        body = flat.tobytes()
         for i in range(n):
             if odd[i]:
                 out.append(joined(self.one(raw[offs[i] : offs[i + 1]].decode()), self.n) or [(0.0, b"")])
@@ -364,7 +361,7 @@ class Segmenter:
                 few = np.sort(few).tolist()
                 shift = int(total[a] - size[a])
                 spots = [(4 * int(total[k] - size[k] - shift), 4 * int(total[k] - shift)) for k in few]
-                words = [self.alternatives(texts[which[k]], found[which[k]]) for k in few]
+                words = [self.alternatives(text(k), float(score[k]), here[x:y]) for k, (x, y) in zip(few, spots, strict=True)]
                 for less, choice in combine(words, self.n)[1:]:
                     parts, last = [], 0
                     for (x, y), w, c in zip(spots, words, choice, strict=True):
@@ -375,16 +372,6 @@ class Segmenter:
         return out
 
 
-#: One per model and n in a worker process, kept between its tasks; what it remembers is bounded.
-_segmenters: dict[tuple[str, int], Segmenter] = {}
-
-
-def segmenter_of(path: str, n: int) -> Segmenter:
-    if (path, n) not in _segmenters:
-        _segmenters[path, n] = Segmenter(path, n)
-    return _segmenters[path, n]
-
-
 def text_of(model: Model, ids: bytes) -> bytes:
     """The UTF-8 text of little-endian unsigned 32-bit ids, without the space that encoding put in front."""
     raw = b"".join(map(model.raw.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
@@ -400,8 +387,8 @@ def sentencepiece_encode(docs: DataFrame, model: str, n: int = 2, id_col: str =
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = segmenter_of(model, n)
+    @keeping(("pieces", model, n), lambda: Segmenter(model, n))
+    def run(segment: Segmenter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         struct = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
         for batch in batches:
             data, offs = A.text_bytes(batch.column(1))
@@ -411,6 +398,7 @@ def sentencepiece_encode(docs: DataFrame, model: str, n: int = 2, id_col: str =
                 exact = [text_of(segment.model, best[0][1]) == raw[i:j] for best, (i, j) in zip(found, itertools.pairwise(at.tolist()), strict=True)]
                 nbest = [[{"score": s, "ids": ids} for s, ids in best] for best in found]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(2 + k) for k in range(len(carry))), pa.array(nbest, struct), pa.array(exact)], names=["doc_id", *carry, "nbest", "exact"])
+            tidy()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in carry))
     return picked.mapInArrow(run, "doc_id long, " + "".join(f"`{c}` {kinds[c]}, " for c in carry) + f"nbest {NBEST}, exact boolean")
@@ -423,8 +411,8 @@ def sentencepiece_decode(rows: DataFrame, model: str, ids_col: str = "ids", carr
     """
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Model(model)
+    @keeping(("model", model), lambda: Model(model))
+    def run(pieces: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 1000):
                 part = batch.slice(s, 1000)
