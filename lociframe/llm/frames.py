@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; set here only where it is unset (tests, local mode)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where neither is set, a local master gets a temporary one; on a cluster, whose nodes share none, that is an error.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        kept = spark.sparkContext.getCheckpointDir()
-        if kept:
-            return kept.rstrip("/")
-        path = "/tmp/lociframe-checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = mkdtemp(prefix="lociframe-shared-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -32,27 +35,62 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written as Parquet in the shared folder and read back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """The same rows, written as Parquet in the shared folder and read back: what is used twice is computed once, and a lost
+    executor loses none of it. The files stay until `remove_written`."""
+    path = f"{written_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_dir(spark: SparkSession) -> str:
+    """This application's folder of written tables."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-tables"
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete all tables that this application wrote with `written`; no DataFrame over them can be used afterwards."""
+    delete(spark, written_dir(spark))
+
+
+class Scratch:
+    """Tables written for one computation, removed together once what is made of them is written too."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{written_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_size(docs: DataFrame, text: str) -> tuple[int, int]:
     """(rows, bytes of text)."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
     return row["n"], row["b"] or 0
 
 
-def components(edges: DataFrame, rounds: int = 60, rows_per_file: int = 200_000) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200, rows_per_file: int = 200_000) -> DataFrame:
     """Connected components of `edges` (a long, b long): rows (node, component), component = smallest node reachable.
 
     Large-star and small-star steps in turn until a round changes nothing. Every step groups by node with partial
     aggregation and joins back on the node, so a node with very many neighbours is split by AQE. Each round ends in a
-    reliable checkpoint, in files of up to `rows_per_file` edges. A component's smallest node and nodes without
+    reliable checkpoint, in files of up to `rows_per_file` edges. Rounds grow with the logarithm of the longest path; if the
+    labels have not settled after `rounds`, which no size asks for, it raises. A component's smallest node and nodes without
     an edge have no row; null ends and self-loops are dropped; an empty input gives an empty result.
     """
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct().persist()
+    scratch = Scratch(edges.sparkSession)
+    edges = scratch.written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct(), "edges")
     files = 1 + edges.count() // rows_per_file
     seen = None
     for _ in range(rounds):
@@ -73,4 +111,7 @@ def components(edges: DataFrame, rounds: int = 60, rows_per_file: int = 200_000)
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
+    scratch.remove()
     return edges.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component")

@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm.frames import table
+from lociframe.llm.frames import table, written
 from lociframe.llm.stats import features, labelled_sample, training_rows, with_stats
+from lociframe.llm.workers import tidied
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,8 @@ class Discriminant:
     def score(self, x: np.ndarray) -> np.ndarray:
         """P(label 1), the log-density difference tempered by the number of features."""
         z = np.clip((transformed(x) - self.centre) / self.scale, -8, 8)
-        logs = [c - 0.5 * (((z - m) @ w.T) ** 2).sum(1) for m, w, c in zip(self.means, self.whiten, self.constant, strict=True)]
+        # row by row, so that a row's score does not depend on the batch it comes in
+        logs = [c - 0.5 * (((z - m)[:, None, :] * w[None]).sum(2) ** 2).sum(1) for m, w, c in zip(self.means, self.whiten, self.constant, strict=True)]
         return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -700, 700) / 4))
 
 
@@ -61,16 +63,26 @@ def fit(x: np.ndarray, y: np.ndarray, to_pooled: float = 0.3, to_diagonal: float
     return Discriminant(centre, scale, tuple(means), tuple(whiten), tuple(constant))
 
 
+def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 20_000) -> Discriminant:
+    """The model of at most about `bound` labelled documents outside the held-out third; only their texts are looked at."""
+    good = labelled_sample(labels, bound)
+    # bounded by `bound`
+    part = docs.join(F.broadcast(good.select(F.col("doc_id").alias(id_col))), id_col, "left_semi")
+    train = training_rows(with_stats(part, id_col, text_col), good)
+    return fit(features(train), train["quality"].to_numpy(int))
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 20_000) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted), one per row of `docs`.
 
     The model is fitted on at most about `bound` labelled rows outside the held-out third (crc32 of the id as text, mod 3,
     is 1). Null and empty texts are scored like any other; a null id is never held out; an empty table gives no rows.
     """
-    stats = with_stats(docs, id_col, text_col).persist()
+    stats = written(with_stats(docs, id_col, text_col), "stats")
     train = training_rows(stats, labelled_sample(labels, bound))
     model = fit(features(train), train["quality"].to_numpy(int))
 
+    @tidied
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": model.score(features(pdf))})

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
-from lociframe.llm.frames import table
+from lociframe.llm.frames import table, written
 from lociframe.llm.stats import COUNTS, WORSE, features, labelled_sample, text_stats, training_rows, with_stats
+from lociframe.llm.workers import tidied
 
 
 @dataclass(frozen=True)
@@ -121,10 +122,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     a tree score of at least `threshold`. Null and empty texts have no words and fail; repeated rows each have a row; an
     empty table gives no rows; without labels the score is constant and the base rules decide alone.
     """
-    stats = with_stats(docs, id_col, text_col).persist()
+    stats = written(with_stats(docs, id_col, text_col), "stats")
     train = training_rows(stats, labelled_sample(labels, bound))
     trees = grow(features(train), train["quality"].to_numpy(float))
 
+    @tidied
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = pdf[["doc_id", *COUNTS]].copy()
@@ -146,6 +148,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     trees = grow(features(train), train["quality"].to_numpy(float))
     at = docs.columns.index(text_col)
 
+    @tidied
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = A.text_bytes(batch.column(at))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
+from lociframe.llm.workers import tidied
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_chars", "n_lines", "n_upper", "n_digits", "n_marks", "n_stops", "n_short", "n_long", "n_wide", "n_pair_words", "n_distinct", "n_sentence_ends")
@@ -96,6 +97,7 @@ def text_stats(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
 def with_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Rows (doc_id, fields...), one per row of `docs`; a null text counts as empty, a null id stays null."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = A.text_bytes(batch.column(1))

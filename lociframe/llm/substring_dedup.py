@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lociframe.llm import arrays as A
 from lociframe.llm import exchange as X
 from lociframe.llm.frames import table
+from lociframe.llm.workers import tidied_group, tidied_pair
 
 U64 = A.U64
 LAST = np.dtype([("h", "<u8"), ("check", "<u4"), ("doc", "<i8")])
@@ -104,11 +105,12 @@ def packed_runs(flags: np.ndarray, sizes: list[int]) -> list[bytes]:
     return [np.packbits(flags[s], bitorder="little").tobytes() for s in X.split_lengths(sizes)]
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, base: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, base: int = 4, carry: tuple[str, ...] = (), joined: bool = True) -> DataFrame:
     """Rows (doc_id, carried columns, kept_text, n_words, n_removed, n_spans), one per row of `docs`.
 
     A word goes if a window of `window` words that covers it also starts in a document with a smaller id; windows are
-    judged on the input. kept_text: the other words, joined by one space. Null texts have no words; texts under one window
+    judged on the input. kept_text: the other words, joined by one space; or, if not `joined`, the text as it is without the
+    removed words and the white space between each of them and the next word. Null texts have no words; texts under one window
     lose nothing; rows with equal ids do not count against each other; a null id is larger than any other; an empty table
     gives no rows.
     """
@@ -132,9 +134,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             distinct, _ = group.distinct(*group.anchors(lengths[level]))
             return X.ask(g, distinct, distinct, buckets)
 
-        return run if level else (lambda docs_table: run(docs_table, None))
+        return tidied_pair(run) if level else tidied_group(lambda docs_table: run(docs_table, None))
 
     def answering(level: int):
+        @tidied_pair
         def run(key: tuple, rows: pa.Table) -> pa.Table:
             groups, payloads = rows.column("g").to_pylist(), rows.column("payload").to_pylist()
             if level == len(lengths) - 1:
@@ -162,6 +165,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = asked.groupBy("bucket").applyInArrow(answering(level), X.ANSWERED)
         answered = more if answered is None else answered.unionByName(more)
 
+    @tidied_pair
     def finish(docs_table: pa.Table, replies: pa.Table) -> pa.Table:
         group = load(docs_table, replies, len(lengths) - 1)
         entries, index = group.last()
@@ -178,7 +182,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         begins[1:] &= ~(gone[:-1] & (w.doc[1:] == w.doc[:-1]))
         removed = A.count_between(gone, w.first)
         raw, texts = group.data.tobytes(), []
-        for i, (a, b) in enumerate(zip(group.offs[:-1].tolist(), group.offs[1:].tolist(), strict=True)):
+        if not joined:
+            until = w.end.copy()
+            inner = np.flatnonzero(w.doc[1:] == w.doc[:-1])
+            until[inner] = w.start[inner + 1]
+            edge = np.zeros(len(group.data) + 1, np.int64)
+            np.add.at(edge, w.start[gone], 1)
+            np.add.at(edge, until[gone], -1)
+            stays = np.cumsum(edge[:-1]) == 0
+            ends = np.concatenate([[0], np.cumsum(stays)])[group.offs]
+            left = group.data[stays].tobytes()
+            texts = [left[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i, (a, b) in enumerate(zip(group.offs[:-1].tolist(), group.offs[1:].tolist(), strict=True) if joined else ()):
             words = raw[a:b].split()
             if removed[i]:
                 words = [x for x, no in zip(words, gone[w.first[i] : w.first[i + 1]].tolist(), strict=True) if not no]
