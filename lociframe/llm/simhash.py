@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
-from lociframe.llm.frames import components, cut, table, written
+from lociframe.llm.frames import Scratch, components, table, written
+from lociframe.llm.workers import tidied, tidied_group
 
 U64 = A.U64
 RECALL = 0.98
@@ -88,27 +89,21 @@ def packed(bits: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(U64).reshape(len(bits), -1)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, wide: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, fp binary, margin binary), one per row of `docs`: the fingerprint's little-endian bytes and, if wide,
-    one byte per bit that says how firmly it is set (else null). No words: all bits zero."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, fp binary), one per row of `docs`: the fingerprint's little-endian bytes. No words: all bits zero."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = A.text_bytes(batch.column(1))
             for a, b, part, at in A.pieces(data, offs, 1 << 20):
-                h, counts = (wide_shingles if wide else xx_shingles)(part, at, shingle)
-                ones = bit_counts(h, counts)
-                if not len(h):
-                    ones = np.zeros((b - a, 128 if wide else 64), np.int64)
+                h, counts = xx_shingles(part, at, shingle)
+                ones = bit_counts(h, counts) if len(h) else np.zeros((b - a, 64), np.int64)
                 fp = packed(2 * ones > counts[:, None])
-                margin = pa.nulls(b - a, pa.binary())
-                if wide:
-                    firm = np.abs(2 * ones - counts[:, None]) / np.sqrt(np.maximum(counts, 1))[:, None]
-                    margin = pa.array([r.tobytes() for r in np.minimum(firm * 32, 255).astype(np.uint8)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([r.tobytes() for r in fp], pa.binary()), margin], names=["doc_id", "fp", "margin"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([r.tobytes() for r in fp], pa.binary())], names=["doc_id", "fp"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp binary, margin binary")
+    return picked.mapInArrow(run, "doc_id long, fp binary")
 
 
 class Cover:
@@ -120,16 +115,15 @@ class Cover:
         edge = np.linspace(0, 64, self.blocks + 1).round().astype(int)
         self.size = np.diff(edge)
         self.masks = np.array([((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in itertools.pairwise(edge)], U64)
-        self.tables = 1
         self.replicas = 1 + self.blocks + self.blocks * self.blocks // 4
 
     def ones(self, fp: np.ndarray) -> np.ndarray:
         return np.bitwise_count(fp[:, :1] & self.masks[None, :]).astype(np.int64)
 
-    def home(self, fp: np.ndarray, _table: int = 0) -> np.ndarray:
+    def home(self, fp: np.ndarray) -> np.ndarray:
         return ((2 * self.ones(fp) > self.size) << np.arange(self.blocks)).sum(1).astype(np.int64)
 
-    def anchors(self, fp: np.ndarray, _margin: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    def anchors(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, anchor) of each replica."""
         ones, half = self.ones(fp), self.size // 2
         need = np.where(2 * ones > self.size, ones - half, half + 1 - ones)  # bits to change until a block's majority turns
@@ -243,39 +237,34 @@ def linked(homes: np.ndarray, members: np.ndarray, threshold: int) -> tuple[np.n
     return a, b
 
 
-def links(points: DataFrame, code: Cover | Soft, threshold: int, buckets: int, width: int) -> DataFrame:
+def links(points: DataFrame, code: Cover, threshold: int, buckets: int) -> DataFrame:
     """Edges (a binary, b binary) between distinct fingerprints within the threshold; per anchor a forest.
 
-    points: (fp, margin), one row per distinct fingerprint. Replicas travel packed per task and bucket of anchors.
+    points: (fp), one row per distinct fingerprint. Replicas travel packed per task and bucket of anchors.
     """
-    kind = np.dtype([("anchor", "<i8"), ("fp", "<u8", (width,))])
+    kind = np.dtype([("anchor", "<i8"), ("fp", "<u8", (1,))])
 
+    @tidied
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 2000):
-                part = batch.slice(s, 2000)
-                fp = np.frombuffer(b"".join(part.column(0).to_pylist()), U64).reshape(-1, width)
-                margin = None
-                if isinstance(code, Soft):
-                    margin = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(len(fp), -1)
-                rows, anchor = code.anchors(fp, margin)
+                fp = np.frombuffer(b"".join(batch.column(0).slice(s, 2000).to_pylist()), U64).reshape(-1, 1)
+                rows, anchor = code.anchors(fp)
                 out = np.empty(len(rows), kind)
                 out["anchor"], out["fp"] = anchor, fp[rows]
                 bucket = (A.mix(anchor.astype(U64) * A.MULT) % U64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 out, bucket = out[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
-                heads = np.concatenate([[0], cuts])
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[heads]), pa.array([x.tobytes() for x in np.split(out, cuts)], pa.binary())], names=["bucket", "payload"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in np.split(out, cuts)], pa.binary())], names=["bucket", "payload"])
 
+    @tidied_group
     def compare(group: pa.Table) -> pa.Table:
         entries = np.frombuffer(b"".join(group.column("payload").to_pylist()), kind)
         entries = entries[np.argsort(entries["anchor"], kind="stable")]
         starts = np.flatnonzero(np.concatenate([[True], np.diff(entries["anchor"]) != 0]))
         fps = np.ascontiguousarray(entries["fp"])
-        at_home = np.zeros(len(entries), bool)
-        for t in range(code.tables):
-            at_home |= code.home(fps, t) == entries["anchor"]
+        at_home = code.home(fps) == entries["anchor"]
         left, right = [], []
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(entries)]):  # noqa: B905
             homes = np.flatnonzero(at_home[s:e])
@@ -284,30 +273,31 @@ def links(points: DataFrame, code: Cover | Soft, threshold: int, buckets: int, w
                 if len(a):
                     left.append(fps[s:e][a])
                     right.append(fps[s:e][b])
-        a = np.concatenate(left) if left else np.zeros((0, width), U64)
-        b = np.concatenate(right) if right else np.zeros((0, width), U64)
+        a = np.concatenate(left) if left else np.zeros((0, 1), U64)
+        b = np.concatenate(right) if right else np.zeros((0, 1), U64)
         return pa.table({"a": pa.array([x.tobytes() for x in a], pa.binary()), "b": pa.array([x.tobytes() for x in b], pa.binary())})
 
     return points.mapInArrow(place, "bucket long, payload binary").groupBy("bucket").applyInArrow(compare, "a binary, b binary")
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 3, threshold: int = 2, wide: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_groups(docs: DataFrame, shingle: int = 3, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, fingerprint, component_id), one per row of `docs`; component_id is the smallest doc_id reachable.
 
-    wide=False: 64-bit fingerprints and the covering code, exact; wide=True: 128 bits and soft anchors. Null and empty
+    64-bit fingerprints and the covering code: every link within the threshold is found. Null and empty
     texts have fingerprint zero and are linked like any other; a null id has a row and is never a component's smallest id
     unless it has no other; repeated rows keep a row each; an empty table gives no rows. At most 2**62 distinct fingerprints.
     """
-    marked = fingerprints(docs, shingle, wide, id_col, text_col).persist()
-    points = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("margin").alias("margin")).persist()
+    scratch = Scratch(docs.sparkSession)
+    marked = scratch.written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    points = scratch.written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "points")
     n = points.count()
-    code = Soft(n) if wide else Cover(n, threshold)
-    width = 2 if wide else 1
-    buckets = max(64, int(n * code.replicas * 8 * (width + 1) / 4e6))
-    edges = links(points.select("fp", "margin"), code, threshold, buckets, width).distinct()
-    # from here a point is named by a 64-bit hash of its fingerprint: the fingerprint itself, where it has 64 bits
+    code = Cover(n, threshold)
+    buckets = max(64, int(n * code.replicas * 16 / 4e6))
+    edges = links(points.select("fp"), code, threshold, buckets).distinct()
+
+    # from here a point is named by its fingerprint as a number
     def name(c: str):
-        return F.xxhash64(c) if wide else F.conv(F.hex(c), 16, -10).cast("long")
+        return F.conv(F.hex(c), 16, -10).cast("long")
 
     named = points.select("fp", "first", name("fp").alias("point"))
     parts = components(edges.select(name("a").alias("a"), name("b").alias("b")))
@@ -315,7 +305,9 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, threshold: int = 2, wide:
     least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
     label = grouped.join(least, "group").select("fp", "component_id")
     high_first = F.array_join(F.reverse(F.regexp_extract_all(F.lower(F.hex("fp")), F.lit("(..)"), 1)), "")
-    return marked.join(label, "fp").select("doc_id", high_first.alias("fingerprint"), "component_id")
+    found = written(marked.join(label, "fp").select("doc_id", high_first.alias("fingerprint"), "component_id"), "groups")
+    scratch.remove()
+    return found
 
 
 # verified groups
@@ -325,6 +317,7 @@ def shingle_sets(docs: DataFrame, shingle: int, with_set: bool = False) -> DataF
     """Rows (doc_id, text_hash, point, fp, margin), one per row of `docs` (doc_id, text, text_hash): a 64-bit name of the set of
     shingles and the fingerprint of that set; with_set: (point, shingles binary), sorted 64-bit hashes of the set."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = A.text_bytes(batch.column(1))
@@ -352,35 +345,13 @@ def shingle_sets(docs: DataFrame, shingle: int, with_set: bool = False) -> DataF
     return docs.select("doc_id", "text", "text_hash").mapInArrow(run, "point long, shingles binary" if with_set else "doc_id long, text_hash long, point long, fp binary, margin binary")
 
 
-def nearest_forest(a: np.ndarray, b: np.ndarray, far: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Indices of the edges a-b of a spanning forest of least distance; ties go by name, so that all anchors choose alike."""
-    low, high = np.minimum(names[a], names[b]), np.maximum(names[a], names[b])
-    order = np.lexsort((high, low, far))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    label, chosen = np.arange(len(names)), []
-    while True:
-        x, y = label[a], label[b]
-        cross = x != y
-        if not cross.any():
-            break
-        best = np.full(len(names), len(order))
-        np.minimum.at(best, x[cross], rank[cross])
-        np.minimum.at(best, y[cross], rank[cross])
-        picked = order[np.unique(best[best < len(order)])]
-        chosen.append(picked)
-        node, root, nodes = forest(x[picked], y[picked])
-        step = np.arange(len(names))
-        step[nodes[node]] = nodes[root]
-        label = step[label]
-    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
-
-
-def candidates(points: DataFrame, code: Soft, bits: int, buckets: int, every: bool) -> DataFrame:
-    """Pairs (a long, b long) of points (point, fp, margin, label) of different labels that meet at an anchor and differ in at
-    most `bits` bits, a < b: per anchor a spanning forest of them, or every pair."""
-    kind = np.dtype([("anchor", "<i8"), ("point", "<i8"), ("label", "<i8"), ("fp", "<u8", (2,))])
+def candidates(points: DataFrame, code: Soft, bits: int, buckets: int, chunk: int = 0) -> DataFrame:
+    """What meets at an anchor and differs in at most `bits` bits, of points (point, fp, margin): per anchor a spanning forest of
+    such pairs, rows (a long, b long) with a < b; or, with a `chunk`, the points that have such a pair, rows (group long, side
+    int, point long): a group is an anchor, or a pair of its chunks of about that many points, told apart by `side`."""
+    kind = np.dtype([("anchor", "<i8"), ("point", "<i8"), ("fp", "<u8", (2,))])
 
+    @tidied
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 1000):
@@ -389,112 +360,211 @@ def candidates(points: DataFrame, code: Soft, bits: int, buckets: int, every: bo
                 margin = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(len(fp), -1)
                 rows, anchor = code.anchors(fp, margin)
                 out = np.empty(len(rows), kind)
-                out["anchor"], out["fp"] = anchor, fp[rows]
-                out["point"], out["label"] = part.column(0).to_numpy()[rows], part.column(3).to_numpy()[rows]
+                out["anchor"], out["fp"], out["point"] = anchor, fp[rows], part.column(0).to_numpy()[rows]
                 bucket = (A.mix(anchor.astype(U64) * A.MULT) % U64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 out, bucket = out[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in np.split(out, cuts)], pa.binary())], names=["bucket", "payload"])
 
-    def near(members: np.ndarray, homes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        step = max(1, (1 << 20) // len(members))
+    def met_before(x: np.ndarray, y: np.ndarray, table: int) -> np.ndarray:
+        """Pairs that are at home at one anchor of an earlier table, and are dealt with there."""
+        out = np.zeros(len(x), bool)
+        for t in range(table):
+            out |= code.home(x, t) == code.home(y, t)
+        return out
+
+    def near(members: np.ndarray, homes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        step, table = max(1, (1 << 20) // len(members)), int(members["anchor"][0]) % code.tables
+        fps = np.ascontiguousarray(members["fp"])
         for s in range(0, len(homes), step):
             part = homes[s : s + step]
             far = np.zeros((len(part), len(members)), np.uint8)
             for m in range(2):
-                far += np.bitwise_count(members["fp"][part, m][:, None] ^ members["fp"][:, m][None, :])
-            i, j = np.nonzero((far <= bits) & (members["label"][part][:, None] != members["label"][None, :]))
-            yield part[i], j, far[i, j]
+                far += np.bitwise_count(fps[part, m][:, None] ^ fps[:, m][None, :])
+            i, j = np.nonzero((far <= bits) & (members["point"][part][:, None] != members["point"][None, :]))
+            fresh = ~met_before(fps[part[i]], fps[j], table)
+            yield part[i][fresh], j[fresh]
 
-    def pairs(members: np.ndarray, homes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def trees(members: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every member of a tree with the tree's first by name: anchors that see the same points give the same rows."""
         names = members["point"]
-        a, b, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
-        for i, j, far in near(members, homes):
-            if every:
-                yield names[i], names[j]
-                continue
-            a, b, d = np.concatenate([a, i]), np.concatenate([b, j]), np.concatenate([d, far])
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i, j in near(members, homes):
+            a, b = np.concatenate([a, i]), np.concatenate([b, j])
             if len(a) > 1 << 18:
-                keep = nearest_forest(a, b, d, names)
-                a, b, d = a[keep], b[keep], d[keep]
-        if len(a):
-            keep = nearest_forest(a, b, d, names)
-            yield names[a[keep]], names[b[keep]]
-
+                x, y, nodes = forest(a, b)
+                a, b = nodes[x], nodes[y]
+        if not len(a):
+            return names[:0], names[:0]
+        x, y, nodes = forest(a, b)
+        return names[nodes[y]], names[nodes[x]]
+
+    def groups(members: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        has = np.zeros(len(members), bool)
+        for i, j in near(members, homes):
+            has[i] = has[j] = True
+        names = members["point"][has]
+        parts = -(-len(names) // chunk)
+        own = (A.mix(names.astype(U64)) % U64(max(parts, 1))).astype(np.int64)
+        other = np.tile(np.arange(parts), len(names))
+        own, names = np.repeat(own, parts), np.repeat(names, parts)
+        low, high = np.minimum(own, other), np.maximum(own, other)
+        group = A.mix(A.mix(members["anchor"][:1].astype(U64)) + (low * parts + high).astype(U64)).view(np.int64)
+        return group, (own > other).astype(np.int32), names
+
+    @tidied
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["group", "side", "point"] if chunk else ["a", "b"]
         entries = np.frombuffer(b"".join(p for batch in batches for p in batch.column("payload").to_pylist()), kind)
-        entries = entries[np.argsort(entries["anchor"], kind="stable")]
+        entries = entries[np.lexsort((entries["point"], entries["anchor"]))]
         starts = np.flatnonzero(np.concatenate([[True], np.diff(entries["anchor"]) != 0]))
         fps = np.ascontiguousarray(entries["fp"])
         at_home = np.zeros(len(entries), bool)
         for t in range(code.tables):
             at_home |= code.home(fps, t) == entries["anchor"]
-        left, right, waiting = [], [], 0
+        found: list[tuple[np.ndarray, ...]] = []
+        waiting = 0
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(entries)]):  # noqa: B905
             homes = np.flatnonzero(at_home[s:e])
             if not len(homes) or e - s < 2:
                 continue
-            for x, y in pairs(entries[s:e], homes):
-                left.append(np.minimum(x, y))
-                right.append(np.maximum(x, y))
-                waiting += len(x)
-                if waiting > 1 << 16:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
-                    left, right, waiting = [], [], 0
+            found.append((groups if chunk else trees)(entries[s:e], homes))
+            waiting += len(found[-1][0])
+            if waiting > 1 << 16:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=names)
+                found, waiting = [], 0
         if waiting:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=names)
 
-    picked = points.select("point", "fp", "margin", "label")
-    return picked.mapInArrow(place, "bucket long, payload binary").groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+    picked = points.select("point", "fp", "margin")
+    return picked.mapInArrow(place, "bucket long, payload binary").groupBy("bucket").applyInArrow(compare, "group long, side int, point long" if chunk else "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles have this Jaccard similarity at least."""
+def similar_pairs(fps: np.ndarray, side: np.ndarray, ends: np.ndarray, values: np.ndarray, bits: int, similarity: float, cells: int = 1 << 23) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs i < j of rows whose fingerprints differ in at most `bits` bits and whose sets (values between ends) have this
+    Jaccard similarity at least; rows of one side are not compared where there are two.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-                both = len(np.intersect1d(p, q, assume_unique=True)) if min(len(p), len(q)) >= similarity * max(len(p), len(q)) else 0
-                keep.append(both >= similarity * (len(p) + len(q) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    Elements of one row alone meet nothing and are left out; the others are columns of 0/1 matrices, `cells` large at most,
+    whose product counts what rows share.
+    """
+    n, size = len(fps), np.diff(ends).astype(np.int64)
+    distinct, column, often = np.unique(values, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), size)
+    keep = often[column] > 1
+    row, column = row[keep], column[keep]
+    first = np.searchsorted(row, np.arange(n + 1))
+    two = side.min() != side.max()
+
+    def matrix(some: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(some), len(columns)), np.float32)
+        for k, r in enumerate(some.tolist()):
+            mine = column[first[r] : first[r + 1]]
+            at = np.minimum(np.searchsorted(columns, mine), max(len(columns) - 1, 0))
+            if len(columns):
+                out[k, at[columns[at] == mine]] = 1
+        return out
+
+    step = max(1, min(256, (1 << 20) // n))
+    for s in range(0, n, step):
+        mine = np.arange(s, min(s + step, n))
+        far = np.zeros((len(mine), n), np.uint8)
+        for m in range(fps.shape[1]):
+            far += np.bitwise_count(fps[mine, m][:, None] ^ fps[:, m][None, :])
+        ratio = np.minimum(size[mine][:, None], size[None, :]) >= similarity * np.maximum(size[mine][:, None], size[None, :]) - 1e-9
+        open_ = (far <= bits) & ratio & (mine[:, None] < np.arange(n)[None, :])
+        if two:
+            open_ &= side[mine][:, None] != side[None, :]
+        theirs = np.flatnonzero(open_.any(0))
+        mine = mine[open_.any(1)]
+        while len(mine) and len(theirs):
+            # as many rows at once as keep their columns few
+            a = len(mine)
+            while True:
+                columns = np.unique(np.concatenate([column[first[r] : first[r + 1]] for r in mine[:a].tolist()]))
+                if a == 1 or a * len(columns) <= cells:
+                    break
+                a = -(-a // 4)
+            left = matrix(mine[:a], columns)
+            wide = max(1, cells // max(len(columns), 1))
+            for t in range(0, len(theirs), wide):
+                right = theirs[t : t + wide]
+                both = np.rint(left @ matrix(right, columns).T).astype(np.int64)
+                union = size[mine[:a]][:, None] + size[right][None, :] - both
+                i, j = np.nonzero((both >= similarity * union - 1e-9) & open_[mine[:a] - s][:, right])
+                yield mine[:a][i], right[j]
+            mine = mine[a:]
+
+
+def verified(groups: DataFrame, points: DataFrame, sets: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """Links (a long, b long) between points of a group (group, side, point) whose sets of shingles are similar enough: per group
+    a spanning forest. A point's set travels once per group that it is in."""
+
+    @tidied_group
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("point")
+        names = rows.column("point").to_numpy()
+        fps = np.frombuffer(b"".join(rows.column("fp").to_pylist()), U64).reshape(len(names), -1)
+        data, ends = A.text_bytes(rows.column("shingles"))
+        values = np.frombuffer(data.tobytes(), U64)
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i, j in similar_pairs(fps, rows.column("side").to_numpy(), ends // 8, values, bits, similarity):
+            a, b = np.concatenate([a, i]), np.concatenate([b, j])
+            if len(a) > 1 << 18:
+                x, y, nodes = forest(a, b)
+                a, b = nodes[x], nodes[y]
+        if len(a):
+            x, y, nodes = forest(a, b)
+            a, b = nodes[x], nodes[y]
+        return pa.table({"a": pa.array(names[a], pa.int64()), "b": pa.array(names[b], pa.int64())})
 
-    both = pairs.join(sets.select(F.col("point").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("point").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    held = groups.join(points.select("point", "fp"), "point").join(sets, "point")
+    return held.select("group", "side", "point", "fp", "shingles").groupBy("group").applyInArrow(run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 36, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 36, id_col: str = "doc_id", text_col: str = "text", chunk: int = 2048, chunks: int = 32
+) -> DataFrame:
     """Rows (doc_id, point, component_id), one per row of `docs`; component_id is the smallest doc_id reachable over pairs whose
     sets of shingles have the Jaccard similarity. No pair below it links; of those at it, `RECALL` meet at an anchor.
 
-    Equal sets are one point. Candidates are pairs that meet at an anchor within `bits` bits. A spanning forest of them per
-    anchor is verified first; then every candidate pair whose points are not in one verified class yet. So near copies of
-    one text cost a tree, and every candidate is either verified or in one class. Nulls as in `simhash_groups`.
+    Equal sets are one point. Candidates are pairs that meet at an anchor within `bits` bits; per anchor a spanning forest of
+    them joins points to families, and within a family all pairs within the bits are verified in one task, in blocks. Families
+    of more than `chunk` points are dealt by pairs of chunks; those of more than `chunks` of them, where most pairs do not
+    meet anywhere, by anchors. So no pair is a row, and every candidate is verified. Nulls as in `simhash_groups`.
     """
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    marked = shingle_sets(rows, shingle).persist()
-    points = marked.groupBy("point").agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"), F.first("margin").alias("margin")).persist()
+    marked = scratch.written(shingle_sets(rows, shingle), "shingled")
+    points = scratch.written(marked.groupBy("point").agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"), F.first("margin").alias("margin")), "points")
     n = points.count()
     code = Soft(n)
-    buckets = max(64, int(n * code.replicas * 40 / 1.6e7))
-    tree = cut(candidates(points.withColumn("label", F.col("point")), code, bits, buckets, False))
+    buckets = max(64, int(n * code.replicas * 32 / 1.6e7))
+    tree = scratch.written(candidates(points, code, bits, buckets), "trees")
+    families = components(tree)
     met = tree.select(F.explode(F.array("a", "b")).alias("point")).distinct()
-    some = points.join(met, "point", "left_semi").persist()
+    some = scratch.written(points.join(met.join(families, met["point"] == families["node"], "left").select("point", F.coalesce("component", "point").alias("family")), "point"), "met-points")
+    parts = F.ceil(F.col("n") / chunk)
+    large = some.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk).select("family", parts.alias("parts"))
+    dealt = some.join(large, "family", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.xxhash64(F.lit(3), "point"), F.col("parts"))
+    paired = dealt.where(F.col("parts") <= chunks).select("point", "family", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
+    groups = paired.select(F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")).alias("group"), (F.col("own") > F.col("other")).cast("int").alias("side"), "point")
+    wide = dealt.where(F.col("parts") > chunks).select("point", "fp", "margin")
+    if not wide.isEmpty():
+        groups = groups.unionByName(candidates(wide, code, bits, buckets, chunk))
     texts = rows.join(some.select("text_hash"), "text_hash", "left_semi")
-    sets = written(shingle_sets(texts, shingle, with_set=True).dropDuplicates(["point"]), "shingle-sets")
-    links = cut(verified(tree, sets, similarity))
-    classes = components(links)
-    labelled = some.join(classes, some["point"] == classes["node"], "left").select("point", "fp", "margin", F.coalesce("component", "point").alias("label"))
-    rest = candidates(labelled, code, bits, buckets, True).join(tree, ["a", "b"], "left_anti")
-    links = links.unionByName(cut(verified(rest, sets, similarity)))
-    parts = components(links)
-    grouped = points.select("point", "first").join(parts, points["point"] == parts["node"], "left").select("point", "first", F.coalesce("component", "point").alias("group"))
+    sets = scratch.written(shingle_sets(texts, shingle, with_set=True).dropDuplicates(["point"]), "shingle-sets")
+    links = scratch.written(verified(groups, some, sets, bits, similarity), "links")
+    joined = components(links)
+    grouped = points.select("point", "first").join(joined, points["point"] == joined["node"], "left").select("point", "first", F.coalesce("component", "point").alias("group"))
     least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
     label = grouped.join(least, "group").select("point", "component_id")
-    return marked.join(label, "point").select("doc_id", "point", "component_id")
+    found = written(marked.select("doc_id", "point").join(label, "point").select("doc_id", "point", "component_id"), "groups")
+    scratch.remove()
+    return found
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
