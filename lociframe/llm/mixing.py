@@ -1,6 +1,6 @@
 """Mixing sources to target weights: Efraimidis-Spirakis keys, prefix sums to token budgets, complete epochs first.
 
-Every document draws an exponential key -ln(u)/w, where u is a hash of its id and w its quality weight. A source takes as
+Every document draws an exponential key -ln(u)/w, where u is a hash of its id and w its quality weight, the score of a model. A source takes as
 many complete epochs as its target holds; the rest is filled by its documents in order of their keys, the last of them in
 part. Prefix sums run in two levels: totals of (source, slice of the key) and then sums within a slice, so a source that
 holds a third of all rows is spread over many tasks.
@@ -8,25 +8,45 @@ holds a third of all rows is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lociframe.llm.frames import table
+from lociframe.llm import arrays as A
+from lociframe.llm.frames import Scratch, table, written
+from lociframe.llm.quality_classifier import Discriminant, trained
+from lociframe.llm.stats import features, text_stats
+from lociframe.llm.workers import tidied
 
 WEIGHTS = (3, 1, 2)
+#: The smallest quality weight: no document is left out for its score alone.
+LEAST = 0.05
 
 
-def size_of(text: Column) -> Column:
-    """Number of words; a null text has none."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+def weighed(docs: DataFrame, text_col: str, model: Discriminant | None, columns: list[str]) -> DataFrame:
+    """The named columns of `docs` with __size, the number of words of the text (null: 0), and __weight, the model's score of it, at
+    least LEAST; without a model every weight is 1. A text has the same weight wherever it is scored."""
+    kinds = {f.name: f.dataType for f in docs.schema}
 
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = A.text_bytes(batch.column(0))
+            for a, b, some, at in A.pieces(data, offs):
+                if model is None:
+                    size, weight = A.Words(some, at).count, np.ones(b - a)
+                else:
+                    found = pd.DataFrame(text_stats(some, at))
+                    size, weight = found["n_words"].to_numpy(), np.maximum(LEAST, np.round(model.score(features(found)), 6))
+                yield pa.RecordBatch.from_arrays([*(batch.column(1 + k).slice(a, b - a) for k in range(len(columns))), pa.array(size.astype(np.int64)), pa.array(weight)], names=[*columns, "__size", "__weight"])
 
-def quality_weight(text: Column) -> Column:
-    """1 for prose, down to 0.25 for texts dense in symbols: a cheap stand-in for a model's score, from the text alone."""
-    marks = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
-    share = marks / F.greatest(F.length(text), F.lit(1))
-    return F.coalesce(F.greatest(F.lit(0.25), F.lit(1.0) - 4 * share), F.lit(0.25))
+    schema = "".join(f"`{c}` {kinds[c].simpleString()}, " for c in columns) + "__size long, __weight double"
+    return docs.select(F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in columns)).mapInArrow(run, schema)
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0) -> DataFrame:
@@ -56,11 +76,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return ranked.withColumn("level", level["level"]).select("source", "source_size", F.least(F.col("most"), F.coalesce(F.col("level") * F.col("w"), F.col("most"))).alias("target"))
 
 
-def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, limit: float, seed: int, slices: int) -> DataFrame:
-    """Rows (doc_id, source, size, key, source_size, target, epochs, part): part is what the last pass takes of the row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), key_of(F.col(id_col), F.col(text_col), seed).alias("key"))
+def key_of(doc_id: Column, weight: Column, seed: int) -> Column:
+    """Exponential key, smaller for documents of more weight."""
+    u = (F.pmod(F.xxhash64(F.lit(seed), doc_id.cast("long")), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    return -F.log(u) / weight
+
+
+def _placed(rows: DataFrame, weights: tuple[int, ...], share: float, limit: float, slice_rows: int) -> DataFrame:
+    """Rows (doc_id, source, size, key, source_size, target, epochs, part) for rows (doc_id, source, size, key): part is what the
+    last pass takes of the row."""
+    slices = max(64, rows.count() // slice_rows)
     # slices of nearly equal width in probability; any rising function of the key would do
-    rows = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * slices).cast("int")).persist()
+    rows = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * slices).cast("int"))
     by_slice = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, limit)
     slice_before = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
@@ -75,41 +102,50 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     return joined.select("doc_id", "source", "size", "key", "source_size", "target", epochs.alias("epochs"), part.alias("part"))
 
 
-def key_of(doc_id: Column, text: Column, seed: int) -> Column:
-    """Exponential key, smaller for documents of more weight."""
-    u = (F.pmod(F.xxhash64(F.lit(seed), doc_id.cast("long")), F.lit(1 << 53)) + 0.5) / float(1 << 53)
-    return -F.log(u) / quality_weight(text)
+def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, model: Discriminant | None, seed: int) -> DataFrame:
+    """Rows (doc_id, source, size, key), one per row of `docs`."""
+    found = weighed(docs, text_col, model, list(dict.fromkeys([id_col, source_col])))
+    return found.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col("__size").alias("size"), key_of(F.col(id_col), F.col("__weight"), seed).alias("key"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slices: int = 64) -> DataFrame:
+def mix_sources(
+    docs: DataFrame, model: Discriminant | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slice_rows: int = 50_000
+) -> DataFrame:
     """Rows (doc_id, source, size, source_size, target, taken), one per row of `docs`.
 
     taken: words of the document in the mix, repeats counted, at most ceil(limit) times its size; a source's sum is its
     target, rounded down. Empty and null texts have size 0 and take 0. Ties of keys go by id, then size; rows with equal id
     and size are told apart by nothing and share a key, each counted. Reruns agree: keys are hashes, not random numbers.
     """
-    placed = _placed(docs, id_col, text_col, source_col, weights, share, limit, seed, slices)
+    rows = written(keyed(docs, id_col, text_col, source_col, model, seed), "mix-keys")
+    placed = _placed(rows, weights, share, limit, slice_rows)
     return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slices: int = 64) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, model: Discriminant | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, seed: int = 7, slice_rows: int = 50_000
+) -> DataFrame:
     """The rows of `docs` as the mix repeats them: each once per epoch, and once more if its key comes before its source's cut.
 
     Documents stay whole: the one that the cut falls into is taken if at least half of it lies before the cut. Empty texts
-    go once per epoch. Only one row per source (epochs and cut) is joined; the texts are not shuffled while that table is
-    small enough for Spark to broadcast.
+    go once per epoch; repeated rows share their fate. Only one row per source (epochs and cut) is joined; the texts are not
+    shuffled while that table is small enough for Spark to broadcast.
     """
-    placed = _placed(docs, id_col, text_col, source_col, weights, share, limit, seed, slices)
+    scratch = Scratch(docs.sparkSession)
+    placed = _placed(scratch.written(keyed(docs, id_col, text_col, source_col, model, seed), "mix-keys"), weights, share, limit, slice_rows)
     place = F.struct("key", "doc_id", "size")
     half = F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), place)
-    cuts = placed.groupBy("source").agg(F.first("epochs").alias("__epochs"), F.min(F.when(F.col("part") < F.col("size"), place)).alias("__cut"), F.max(F.when(F.col("part") < F.col("size"), half)).alias("__half"))
-    cuts = cuts.withColumnRenamed("source", "__source")
-    own = F.struct(key_of(F.col(id_col), F.col(text_col), seed).alias("key"), F.col(id_col).cast("long").alias("doc_id"), size_of(F.col(text_col)).alias("size"))
-    last = ((own < F.col("__cut")) | F.coalesce(own == F.col("__half"), F.lit(False))) & (own["size"] > 0)
-    joined = docs.join(cuts, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    cuts = placed.groupBy(F.col("source").alias("__source")).agg(F.first("epochs").alias("__epochs"), F.min(F.when(F.col("part") < F.col("size"), place)).alias("__cut"), F.max(F.when(F.col("part") < F.col("size"), half)).alias("__half"))
+    cuts = written(cuts, "mix-cuts")
+    scratch.remove()
+    columns = [c for c in docs.columns if c not in ("__size", "__weight")]
+    own = F.struct(key_of(F.col(id_col), F.col("__weight"), seed).alias("key"), F.col(id_col).cast("long").alias("doc_id"), F.col("__size").alias("size"))
+    last = ((own < F.col("__cut")) | F.coalesce(own == F.col("__half"), F.lit(False))) & (F.col("__size") > 0)
+    joined = weighed(docs, text_col, model, columns).join(F.broadcast(cuts), F.col(source_col).cast("string").eqNullSafe(F.col("__source")))  # one row per source
     copies = F.when(F.col("__cut").isNull(), F.col("__epochs")).otherwise(F.col("__epochs") + last.cast("int")).cast("int")
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
+    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+    docs = table(spark, sf_dir, "documents")
+    return mix_sources(docs, trained(docs, table(spark, sf_dir, "labels"))).drop("source")
