@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,20 +28,29 @@ def genotype_likelihoods(gt: DataFrame, error: float = 0.01, ploidy: int = 2) ->
 
 
 def genotype_posteriors(gl: DataFrame, popmap: DataFrame | None = None, model: str = "cohort", rounds: int = 5) -> DataFrame:
-    """`gp`: likelihood times Hardy-Weinberg prior. The allele frequency is of the cohort, of each population, or none (flat);
-    a fixed number of EM rounds, each one aggregation per site."""
+    """`gp`: likelihood times Hardy-Weinberg prior. The allele frequency is of the cohort, of each population, or none (flat): a
+    fixed number of EM rounds over the likelihoods of a site, which one aggregation puts in one row."""
     if model == "flat":
         return gl.withColumn("gp", normalised(F.col("gl")))
     keys = SITE if model == "cohort" else [*SITE, "pop"]
     cur = gl if model == "cohort" else gl.join(popmap, "sample_id")
-    freq = cur.select(*keys).distinct().withColumn("f", F.lit(0.25))
-    prior = lambda f: F.array((1 - f) * (1 - f), 2 * f * (1 - f), f * f)
-    weighted = lambda: normalised(F.zip_with("gl", prior(F.col("f")), lambda a, b: a * b))
-    for _ in range(rounds):
-        gp = cur.join(freq, keys).withColumn("gp", weighted())
-        freq = gp.groupBy(*keys).agg((F.sum(F.col("gp")[1] + 2 * F.col("gp")[2]) / (2 * F.count(F.lit(1)))).alias("f"))
-        freq = freq.withColumn("f", F.least(F.greatest("f", F.lit(1e-6)), F.lit(1 - 1e-6)))
-    return cur.join(freq, keys).withColumn("gp", weighted()).drop("f")
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for g in batch.column(len(keys)):
+                likely, f = np.asarray(g.values, float).reshape(-1, 3), 0.25
+                for _ in range(rounds):
+                    post = likely * ((1 - f) ** 2, 2 * f * (1 - f), f * f)
+                    f = float(((post[:, 1] + 2 * post[:, 2]) / post.sum(1)).sum() / (2 * len(likely)))
+                    f = min(max(f, 1e-6), 1 - 1e-6)
+                found.append(f)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(found, pa.float64())], names=[*keys, "f"])
+
+    kinds = ", ".join(f"{k} {cur.schema[k].dataType.simpleString()}" for k in keys)
+    freq = cur.where("gl is not null").groupBy(*keys).agg(F.flatten(F.collect_list("gl")).alias("g")).mapInArrow(frequencies, f"{kinds}, f double")
+    prior = F.array((1 - F.col("f")) * (1 - F.col("f")), 2 * F.col("f") * (1 - F.col("f")), F.col("f") * F.col("f"))
+    return cur.join(freq, keys).withColumn("gp", normalised(F.zip_with("gl", prior, lambda a, b: a * b))).drop("f")
 
 
 def call_of(gp: Column, min_posterior: float) -> Column:

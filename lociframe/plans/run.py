@@ -1,6 +1,7 @@
-"""A whole run on lazy tables: alignments to called, filtered variants, with masks, coverage and chunks beside them.
+"""A whole run: alignments to called, filtered variants, with masks, coverage and chunks beside them.
 
-Every result is a DataFrame; Spark plans and runs what is read or written of them.
+The mask, the alignments taken in, their depth, the sites and the genotypes are used by several results; they are written to the
+shared folder once and read from there, which is also where a lost executor's work is taken up again. All else is lazy.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
 from lociframe.operators import reads as R
 from lociframe.operators import sequence as K
+from lociframe.operators.lineage import scratch
 from lociframe.operators.params import CallParams, ReadParams, RunParams
 
 TILE = 4096
@@ -66,34 +68,44 @@ def usable(alignments: DataFrame, params: ReadParams) -> DataFrame:
 
 
 def called(alignments: DataFrame, sequences: DataFrame, popmap: DataFrame, reads: ReadParams, calls: CallParams) -> tuple[DataFrame, DataFrame]:
-    """(sites, genotypes) of biallelic substitutions: the alternative is the base seen most beside the reference's."""
+    """(alternatives, genotypes) of substitutions: the alternative is the base seen most beside the reference's."""
     counts = R.pileup(usable(alignments, reads), reads.min_base_quality, reads.min_mapping_quality, 0, reads.max_depth)
     seen = reference_bases(sequences, counts.withColumn("n", F.col("fwd") + F.col("rev"))).where("ref in ('A', 'C', 'G', 'T')")
     others = seen.where("allele <> ref and allele in ('A', 'C', 'G', 'T')").groupBy("chrom", "pos", "ref", "allele").agg(F.sum("n").alias("n"))
     alts = others.groupBy("chrom", "pos", "ref").agg(F.min(F.struct((-F.col("n")).alias("n"), "allele")).alias("top")).select("chrom", "pos", "ref", F.col("top.allele").alias("a"))
     cell = seen.join(alts.select("chrom", "pos", "a"), ["chrom", "pos"]).groupBy("chrom", "pos", "sample_id").agg(F.sum(F.when(F.col("allele") == F.col("ref"), F.col("n")).otherwise(0)).alias("n_ref"), F.sum(F.when(F.col("allele") == F.col("a"), F.col("n")).otherwise(0)).alias("n_alt"), F.sum("n").alias("dp"))
     likely = G.genotype_likelihoods(cell, calls.error, calls.ploidy)
-    grouped = likely if calls.model != "population" else likely.join(popmap.select("sample_id", "pop"), "sample_id")
     model = {"cohort": "cohort", "population": "population", "sample": "flat"}[calls.model]
-    posterior = G.genotype_posteriors(likely if model != "population" else grouped.drop("pop"), popmap.select("sample_id", "pop") if model == "population" else None, model)
+    posterior = G.genotype_posteriors(likely, popmap.select("sample_id", "pop"), model)
     gt = G.gp_to_gt(posterior, calls.min_posterior).withColumn("gq", F.least(F.lit(99), F.floor(-10 * F.log10(F.greatest(F.lit(1e-10), 1 - F.array_max("gp"))))).cast("int"))
-    some = F.sum(-10 * F.log10(F.greatest(F.col("gp")[0], F.lit(1e-30))))
-    qual = gt.groupBy("chrom", "pos").agg(some.alias("qual"))
-    sites = alts.join(qual, ["chrom", "pos"]).select("chrom", "pos", "ref", F.array("a").alias("alt"), "qual", F.lit("SNP").alias("type"))
-    return sites, gt.select("chrom", "pos", "sample_id", "dosage", "dp", "gq", "gp")
+    return alts, gt.select("chrom", "pos", "sample_id", "dosage", "dp", "gq", "gp")
+
+
+def scored(alts: DataFrame, genotypes: DataFrame) -> DataFrame:
+    """Sites with their quality: how improbable it is, by the posteriors, that no sample has the alternative."""
+    qual = genotypes.groupBy("chrom", "pos").agg(F.sum(-10 * F.log10(F.greatest(F.col("gp")[0], F.lit(1e-30)))).alias("qual"))
+    return alts.join(qual, ["chrom", "pos"]).select("chrom", "pos", "ref", F.array("a").alias("alt"), "qual", F.lit("SNP").alias("type"))
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run(inputs: Inputs, params: RunParams = RunParams()) -> dict[str, DataFrame]:
     """mask, coverage, chunks, sites, genotypes, filtered (sites with tags and `filter`), passing and summary."""
     contigs = inputs.sequences.select("contig", "length", "rank")
     whole = contigs.select(F.col("contig").alias("chrom"), F.lit(0).cast("long").alias("start"), F.col("length").alias("end"))
-    mask = masks(inputs, params)
+    mask = kept(masks(inputs, params), "mask")
     include = inputs.include if inputs.include is not None else whole
-    aln = I.overlap_semi(inputs.alignments, include.select("chrom", "start", "end"))
-    depth = R.per_base_depth(usable(aln, params.reads), params.reads.min_mapping_quality)
+    aln = kept(I.overlap_semi(inputs.alignments, include.select("chrom", "start", "end")), "alignments")
+    depth = kept(R.per_base_depth(usable(aln, params.reads), params.reads.min_mapping_quality), "depth")
     weighted = R.covered_intervals(depth, mask, params.calls.min_depth)
     cut = C.chunk_balanced_split if params.chunks.split_large else C.chunk_balanced
-    sites, genotypes = called(aln, inputs.sequences, inputs.popmap, params.reads, params.calls)
+    cells, likely = called(aln, inputs.sequences, inputs.popmap, params.reads, params.calls)
+    genotypes = kept(likely, "genotypes")
+    sites = kept(scored(cells, genotypes), "sites")
     inside = sites.join(Q.regions_overlap(sites, include), ["chrom", "pos"], "left_semi")
     filtered = Q.site_filter_query(genotypes, inside, inputs.popmap, params.filters, mask.select("chrom", "start", "end"))
     return {
