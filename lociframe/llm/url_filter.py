@@ -4,18 +4,21 @@ Keys are strings `host suffix + path prefix`. Level 0 encodes the listed keys; l
 key universe that level 0 passes though they are not listed; level 2 the listed keys that level 1 passes; and so on until
 a level passes nothing false. A key of the universe is listed exactly if the number of levels it passes in a row is odd.
 The filters are literal arrays of 64-bit words, so judging a url needs no join. Their size follows the number of listed
-keys, which has a stated bound (`max_keys`); false positives shrink with every level.
+keys, a byte each up to MAX_KEYS; false positives shrink with every level.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm.frames import table
+from lociframe.llm.frames import Scratch, table
 
+#: Listed keys up to which filters are sent to every task: 2 MB.
+MAX_KEYS = 2_000_000
 RULES = (
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -58,13 +61,13 @@ class Bloom:
     hashes: int
 
     def passes(self, key: Column) -> Column:
-        """True if every bit of the key is set."""
-        bits = F.array(*(F.lit(w).cast("long") for w in self.words))
+        """True if every bit of the key is set. The words are one array literal, folded from its text before the query runs."""
+        bits = F.from_json(F.lit(json.dumps(self.words)), "array<bigint>")
         total = 64 * len(self.words)
         test = F.lit(True)
         for i in range(self.hashes):
             at = F.pmod(F.xxhash64(F.lit(self.seed * 31 + i), key), F.lit(total))
-            test = test & F.coalesce(F.getbit(F.element_at(bits, (F.shiftright(at, 6) + 1).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1, F.lit(False))
+            test = test & F.coalesce(F.getbit(F.get(bits, F.shiftright(at, 6).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1, F.lit(False))
         return test
 
 
@@ -77,24 +80,28 @@ def build_bloom(keys: DataFrame, n: int, seed: int, bits_per_key: int = 8, hashe
     return Bloom(tuple(found.get(i, 0) for i in range(size)), seed, hashes)
 
 
-def cascade(listed: DataFrame, universe: DataFrame, max_keys: int = 100_000, max_levels: int = 40) -> list[Bloom]:
+def cascade(listed: DataFrame, universe: DataFrame, max_levels: int = 40) -> list[Bloom]:
     """Levels that together tell the listed keys from all others of the universe. Both frames have a column `key`.
 
-    Raises ValueError beyond `max_keys` listed keys (the bound on what is broadcast), or if a level after the first would
-    hold more false positives than that.
+    The universe is read once, for what level 0 passes; all further levels are made of that and of the listed keys. A filter
+    takes a byte a key and is sent to every task: see MAX_KEYS.
     """
-    listed = listed.distinct()
-    others = universe.join(listed, "key", "left_anti")
-    left, right, levels = listed, others, []
-    for level in range(max_levels):
+    scratch = Scratch(listed.sparkSession)
+    known = scratch.written(listed.distinct(), "listed-keys")
+    n = known.count()
+    if n == 0:
+        scratch.remove()
+        return []
+    levels = [build_bloom(known, n, 1)]
+    passed = scratch.written(universe.where(levels[0].passes(F.col("key"))).distinct(), "passed-keys")
+    left, right = passed.join(known, "key", "left_anti"), known
+    while len(levels) < max_levels:
         n = left.count()
         if n == 0:
+            scratch.remove()
             return levels
-        if n > max_keys:
-            raise ValueError(f"level {level} of the cascade has {n} keys, over max_keys={max_keys}")
-        levels.append(build_bloom(left, n, level + 1))
-        passed = right.where(levels[-1].passes(F.col("key"))).distinct()
-        left, right = passed, left
+        levels.append(build_bloom(left, n, len(levels) + 1))
+        left, right = right.where(levels[-1].passes(F.col("key"))), left
     raise ValueError(f"the cascade is not exact after {max_levels} levels")
 
 
@@ -106,26 +113,40 @@ def listed(levels: list[Bloom], key: Column) -> Column:
     return answer
 
 
-def url_filter(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
+def rule_frame(spark: SparkSession, rules: tuple[tuple[str, str, str], ...]) -> DataFrame:
+    """Rows (key, length, verdict) of rules given as (host, path, verdict), from literals."""
+    one = [F.struct(F.lit(h + p).alias("key"), F.lit(len(p)).alias("length"), F.lit(v).alias("verdict")) for h, p, v in rules]
+    return spark.range(1).select(F.inline(F.array(*one)))
+
+
+def url_filter(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] | DataFrame = RULES, id_col: str = "page_id", url_col: str = "url", default: str = "allow", max_keys: int = MAX_KEYS) -> DataFrame:
     """Rows (page_id, host, path, rule, verdict), one per row of `pages`.
 
-    A rule (host, path, verdict) fits its host and all subdomains where the path starts with the rule's; the longest
-    fitting rule wins; without one the rule is null and the verdict `default`. A null url or one without `://` has empty
-    host and path. Repeated rows keep a row each; no rules: every page has the default.
+    rules: triples (host, path, verdict), or a frame with these columns for long lists. A rule fits its host and all
+    subdomains where the path starts with the rule's; the longest fitting rule wins, and of equal ones the first verdict by
+    name; without one the rule is null and the verdict `default`. A null url or one without `://` has empty host and path.
+    Repeated rows keep a row each; no rules: every page has the default. Beyond `max_keys` rules the distinct (host, path)
+    pairs are joined with them instead, with the same result.
     """
     spark = pages.sparkSession
-    lengths = sorted({len(p) for _, p, _ in rules})
     parts = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    if not rules:
+    if isinstance(rules, DataFrame):
+        keyed = rules.select(F.concat("host", "path").alias("key"), F.length("path").alias("length"), "verdict").where("key is not null and verdict is not null")
+    else:
+        keyed = rule_frame(spark, rules) if rules else None
+    shape = keyed.agg(F.count(F.lit(1)).alias("n"), F.collect_set("length").alias("lengths"), F.collect_set("verdict").alias("verdicts")).first() if keyed is not None else None
+    if shape is None or not shape["n"]:
         return parts.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    lengths, verdicts = sorted(shape["lengths"]), sorted(shape["verdicts"])
     keys = candidate_keys(F.col("host"), F.col("path"), lengths)
-    universe = parts.select("host", *(F.substring("path", 1, n).alias(f"p{n}") for n in lengths), "path").select(F.explode(keys).alias("key"))
-    by_verdict = {v: cascade(spark.createDataFrame([(h + p,) for h, p, v2 in rules if v2 == v], "key string"), universe) for v in sorted({v for _, _, v in rules})}
-    tests = [(v, levels) for v, levels in by_verdict.items()]
+    if shape["n"] > max_keys:
+        return joined_rules(parts, keys, keyed, default)
+    universe = parts.select(F.explode(keys).alias("key"))
+    tests = [(v, cascade(keyed.where(F.col("verdict") == v).select("key"), universe)) for v in verdicts]
 
     def judged(key: Column) -> Column:
         out = F.lit(None).cast("string")
-        for v, levels in tests:
+        for v, levels in reversed(tests):
             out = F.when(listed(levels, key), F.lit(v)).otherwise(out)
         return out
 
@@ -134,6 +155,16 @@ def url_filter(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
     return parts.select("page_id", "host", "path", hit.alias("hit")).select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
 
 
+def joined_rules(parts: DataFrame, keys: Column, keyed: DataFrame, default: str) -> DataFrame:
+    """What `url_filter` gives, by joins on the keys: one row per distinct (host, path) and key that could fit."""
+    rules = keyed.groupBy(F.col("key").alias("rule")).agg(F.min("verdict").alias("found"))
+    tried = parts.select("host", "path").distinct().select("host", "path", F.explode(keys).alias("rule"))
+    order = F.struct((-F.length("rule")).alias("n"), F.col("rule").alias("r"))
+    best = tried.join(rules, "rule").groupBy(F.col("host").alias("h"), F.col("path").alias("p")).agg(F.min_by(F.struct("rule", "found"), order).alias("hit"))
+    joined = parts.join(best, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
+    return joined.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.found", F.lit(default)).alias("verdict"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
