@@ -7,14 +7,16 @@ bounded number:
 
 1. Every window of `length` bytes names its anchor, the smallest of the `gram`-byte strings in it. Equal windows name equal
    anchors at equal offsets. Windows of one anchor form a segment of at most 2 * length - gram bytes. Groups of documents ask
-   which anchors stand elsewhere, and which segments stand elsewhere unchanged; the latter are repeats throughout.
-2. What is left, one copy of each distinct segment whose anchor has several, is the collection of documents of the
-   column-wise construction, aligned at the anchor. Per bucket of anchors, each round inserts the next column's symbol of
-   all segments at once and updates order and common prefixes; a window repeats if a neighbour in its column shares
-   `length` bytes with it. Rounds are bounded by the segment's length. The sequential files of the external algorithm are
-   Spark's shuffled rows.
-3. An anchor with more than `hot` distinct segments would be one large group. Its windows are told apart by 128 bits of hash
-   instead, as whole segments are in step 1, and dealt by them: only equal windows meet, once per group of documents.
+   which anchors stand elsewhere; what stands at an anchor of its own cannot repeat.
+2. All other segments, aligned at their anchors, are the collection of documents of the column-wise construction; one that
+   stands several times in a group comes twice. Per bucket of anchors, each round inserts the next column's symbol of every
+   segment. In the order of the suffixes so far these symbols are the collection's Burrows-Wheeler transform; its LF mapping,
+   a stable sort by anchor and symbol, is the next order, and the common prefixes follow from range minima over the last
+   ones. A window repeats if a neighbour in its column shares `length` bytes with it. Rounds are bounded by the segments'
+   length, and a bucket by the share of the text dealt to it, so order, transform and prefixes stay in the task's memory: the
+   sequential files of the external algorithm, which hold them between rounds, are not needed.
+3. An anchor with more than `hot` segments would be one large group. Its segments, and what of them differs its windows, are
+   told apart by 128 bits of hash and dealt by them: only equal ones meet, once per group of documents.
 """
 
 from __future__ import annotations
@@ -27,12 +29,15 @@ from pyspark.sql import functions as F
 from lociframe.llm import arrays as A
 from lociframe.llm import exchange as X
 from lociframe.llm.frames import table
+from lociframe.llm.workers import tidied_group, tidied_pair
 
 U64 = A.U64
 KEY = np.dtype([("anchor", "<u8"), ("segment", "<u8")])
 WINDOW = np.dtype([("anchor", "<u8"), ("window", "<u8")])
 HEAD = np.dtype([("anchor", "<u8"), ("left", "<i4"), ("starts", "<i4")])
-SEND, FLAG, HOT = 1, 2, 4
+#: Answers to a segment: it takes part in the construction; its anchor is large and it stands elsewhere unchanged; its anchor is
+#: large and its windows are asked for; its anchor is large.
+SEND, FLAG, HOT, LARGE = 1, 2, 4, 8
 
 
 class Group:
@@ -78,6 +83,12 @@ class Group:
     def codes(self, answered: pa.Table) -> np.ndarray:
         return np.frombuffer(X.answers(answered, 0), np.uint8)
 
+    def sent(self, codes: np.ndarray) -> np.ndarray:
+        """Distinct segments that take part in the construction, those that stand here several times twice."""
+        take = ((codes & SEND) > 0) | ((codes == 0) & (self.times > 1)) if len(codes) else np.zeros(0, bool)
+        chosen = np.flatnonzero(take)
+        return np.repeat(chosen, 1 + (self.times[chosen] > 1))
+
     def window_starts(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Every window start of these occurrences of segments, and the row of `which` it belongs to."""
         count = self.count[which]
@@ -140,7 +151,8 @@ def repeated_columns(heads: np.ndarray, body: np.ndarray, length: int) -> np.nda
     in another segment of the same anchor at the same offset.
 
     Rounds go from the rightmost column to the left. `order` holds the active segments sorted by (anchor, suffix from this
-    column on) and `common` the bytes each shares with the one before it.
+    column on), `common` the bytes each shares with the one before it, and `transform` the symbols that the next round puts
+    before the suffixes, in their order.
     """
     n = len(heads)
     sizes = heads["starts"].astype(np.int64) - 1 + length
@@ -179,9 +191,9 @@ def repeated_columns(heads: np.ndarray, body: np.ndarray, length: int) -> np.nda
         if not len(order):
             continue
         g = group[order]
-        symbol = body[base[order] + left[order] + column].astype(np.int64)
-        key = g * 256 + symbol
-        place = np.argsort(key, kind="stable")
+        transform = body[base[order] + left[order] + column].astype(np.int64)
+        key = g * 256 + transform
+        place = np.argsort(key, kind="stable")  # the LF mapping, by anchor
         key = key[place]
         same = np.concatenate([[False], key[1:] == key[:-1]])
         rows = np.flatnonzero(same)
@@ -201,16 +213,18 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A byte goes if a `length`-byte string that covers it also starts anywhere else, in the same document or another;
     strings are judged on the input. Null texts are empty; shorter texts lose nothing; repeated rows repeat each other, so
-    all of their strings go; an empty table gives no rows. Segments, and windows of anchors with more than `hot` distinct
-    segments, are told apart by 128 bits of hash.
+    all of their strings go; an empty table gives no rows. What stands at an anchor of more than `hot` segments is told apart
+    by 128 bits of hash; all else is compared byte by byte.
     """
     grouped, size = X.grouped_text(docs, id_col, text_col, carry)
     buckets = X.buckets_for(size)
 
+    @tidied_group
     def first(rows: pa.Table) -> pa.Table:
         g = Group(rows, length, gram)
         return X.ask(rows.column("g")[0].as_py(), g.keys, g.keys["anchor"], buckets)
 
+    @tidied_pair
     def compare_keys(key: tuple, rows: pa.Table) -> pa.Table:
         payloads = rows.column("payload").to_pylist()
         e = np.frombuffer(b"".join(payloads), KEY)
@@ -220,16 +234,18 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         new_anchor = np.concatenate([[True], s["anchor"][1:] != s["anchor"][:-1]])
         new_segment = new_anchor | np.concatenate([[True], s["segment"][1:] != s["segment"][:-1]])
         anchor, segment = np.cumsum(new_anchor) - 1, np.cumsum(new_segment) - 1
-        kinds = np.bincount(anchor[new_segment])  # distinct segments of each anchor
-        code = np.where(new_segment & (kinds[anchor] > 1), np.where(kinds[anchor] > hot, HOT, SEND), 0) | np.where(np.bincount(segment)[segment] > 1, FLAG, 0)
+        stands, kinds = np.bincount(anchor)[anchor], np.bincount(anchor[new_segment])[anchor]  # segments of each anchor, and distinct ones
+        large = np.where(new_segment & (kinds > 1), HOT, LARGE) | np.where(np.bincount(segment)[segment] > 1, FLAG, 0)
+        code = np.where(stands > hot, large, np.where(stands > 1, SEND, 0))
         out = np.empty(len(e), np.uint8)
         out[order] = code
         return X.answer_rows(0, key[0].as_py(), rows.column("g").to_pylist(), [out[x].tobytes() for x in X.split_lengths(sizes)])
 
+    @tidied_pair
     def second(rows: pa.Table, answered: pa.Table) -> pa.Table:
         g = Group(rows, length, gram)
         codes, group = g.codes(answered), rows.column("g")[0].as_py()
-        chosen = np.flatnonzero(codes & SEND)
+        chosen = g.sent(codes)
         sent = X.ask(group, chosen, g.keys["anchor"][chosen], buckets, g.blob(chosen))
         distinct = g.windows(np.flatnonzero(codes & HOT))[2]
         asked = X.ask(group, distinct, distinct["window"], buckets)
@@ -246,6 +262,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         out[order] = np.bincount(window)[window] > 1
         return X.answer_rows(2, bucket, rows.column("g").to_pylist(), [out[x].tobytes() for x in X.split_lengths([len(p) // WINDOW.itemsize for p in payloads])])
 
+    @tidied_pair
     def columns(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() >= buckets:
             return compare_windows(key[0].as_py(), rows)
@@ -258,25 +275,31 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         flags = repeated_columns(np.concatenate(heads), np.concatenate(bodies), length)
         return X.answer_rows(1, key[0].as_py(), rows.column("g").to_pylist(), [np.packbits(flags[x]).tobytes() for x in X.split_lengths(counts)])
 
+    @tidied_pair
     def finish(rows: pa.Table, answered: pa.Table) -> pa.Table:
         g = Group(rows, length, gram)
         codes = g.codes(answered)
         n = len(g.data)
         starts = np.zeros(n, bool)
-        # whole segments that stand elsewhere unchanged, in this group or another
-        whole = ((codes & FLAG) > 0) | (g.times > 1) if len(codes) else np.zeros(0, bool)
-        all_starts = np.repeat(g.begin - np.concatenate([[0], np.cumsum(g.count)[:-1]]), g.count) + np.arange(int(g.count.sum())) if len(g.begin) else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(g.begin)), g.count)
-        starts[all_starts[whole[g.entry[owner]]]] = True
-        chosen = np.flatnonzero(codes & SEND)
+        # of large anchors: whole segments that stand elsewhere unchanged, in this group or another
+        large = (codes & (HOT | LARGE)) > 0
+        whole = ((codes & FLAG) > 0) | (large & (g.times > 1)) if len(codes) else np.zeros(0, bool)
+        chosen = g.sent(codes)
         where = X.bucket_of(g.keys["anchor"][chosen], buckets)
         replies = {b: a for lv, b, a in zip(answered.column("level").to_pylist(), answered.column("bucket").to_pylist(), answered.column("answer").to_pylist(), strict=True) if lv == 1}
         for b in np.unique(where).tolist():
-            which = g.sample[chosen[where == b]]
+            keys = chosen[where == b]
+            which = g.sample[keys]
             count = g.count[which]
             yes = np.unpackbits(np.frombuffer(replies[b], np.uint8))[: int(count.sum())].astype(bool)
             at = np.repeat(g.begin[which] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
             starts[at[yes]] = True
+            # a segment of repeats throughout has them wherever it stands
+            full = np.bincount(np.repeat(np.arange(len(keys)), count), yes, len(keys)) == count
+            whole[keys[full]] = True
+        all_starts = np.repeat(g.begin - np.concatenate([[0], np.cumsum(g.count)[:-1]]), g.count) + np.arange(int(g.count.sum())) if len(g.begin) else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(g.begin)), g.count)
+        starts[all_starts[whole[g.entry[owner]]]] = True
         at, entry, distinct, times = g.windows(np.flatnonzero(codes & HOT))
         elsewhere = np.frombuffer(X.answers(answered, 2), np.uint8).astype(bool)
         starts[at[((times > 1) | elsewhere)[entry]]] = True
