@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm import arrays as A
-from lociframe.llm.frames import components, table
+from lociframe.llm.frames import Scratch, components, table, written
 from lociframe.llm.simhash import forest
+from lociframe.llm.workers import tidied, tidied_group
 
 SLICE = 2048
 
@@ -84,7 +85,9 @@ class Grid:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one. They are scaled by their largest component first, so no square overflows or vanishes."""
     x = x.astype(np.float64)
+    x = x / np.maximum(np.abs(x).max(1, initial=0), np.finfo(np.float64).tiny)[:, None]
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -118,7 +121,9 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     dims = lengths["n"] if lengths else 1
     sound = (F.size("v") == dims) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("v", F.when(F.coalesce(sound, F.lit(False)), F.col("v"))).withColumn("point", F.xxhash64("v"))
-    points = rows.where("v is not null").groupBy("point").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("times"), F.min("vec_id").alias("first")).persist()
+    points = rows.where("v is not null").groupBy("point").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("times"), F.min("vec_id").alias("first"))
+    scratch = Scratch(vectors.sparkSession)
+    points = scratch.written(points, "points")
     n = points.count()
     part = points if n <= sample else points.where(F.pmod(F.xxhash64(F.lit(11), "point"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
     picked = part.orderBy("point").select("v").toArrow().column("v").combine_chunks()
@@ -127,6 +132,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     def matrix(column: pa.Array) -> np.ndarray:
         return unit(np.asarray(column.flatten()).reshape(-1, dims))
 
+    @tidied
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(grid.home(matrix(batch.column(0))))], names=["cell"])
@@ -134,20 +140,24 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     # at most 512 x 512 cells
     residents = points.select("v").mapInArrow(homes, "cell long").groupBy("cell").count().where(F.col("count") > SLICE).collect()
     slices = {r["cell"]: -(-r["count"] // SLICE) for r in residents}
-    kind = np.dtype([("cell", "<i8"), ("slice", "<i4"), ("lives", "u1"), ("point", "<i8"), ("home", "<i8"), ("times", "<i8"), ("far", "<f8"), ("v", "<f8", (dims,))])
+    # vectors travel as they came, in four bytes a component if they are floats, and are made unit length again where compared
+    raw = "<f4" if "float" in dict(vectors.dtypes)[vector_col] else "<f8"
+    kind = np.dtype([("cell", "<i8"), ("slice", "<i4"), ("lives", "u1"), ("point", "<i8"), ("home", "<i8"), ("times", "<i8"), ("far", "<f8"), ("v", raw, (dims,))])
     buckets = max(64, int(n * grid.visits * kind.itemsize / 16e6))
 
+    @tidied
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 500):
                 few = batch.slice(s, 500)
-                x = matrix(few.column(1))
+                given = np.asarray(few.column(1).flatten()).reshape(-1, dims)
+                x = unit(given)
                 row, cell, far = grid.visited(x)
                 home = grid.home(x)
                 entries = np.zeros(len(row) + len(x), kind)
                 at = np.concatenate([row, np.arange(len(x))])
                 entries["cell"], entries["lives"] = np.concatenate([cell, home]), np.arange(len(at)) >= len(row)
-                for name, values in (("point", np.asarray(few.column(0))), ("home", home), ("times", np.asarray(few.column(2))), ("far", far), ("v", x)):
+                for name, values in (("point", np.asarray(few.column(0))), ("home", home), ("times", np.asarray(few.column(2))), ("far", far), ("v", given)):
                     entries[name] = values[at]
                 if slices:  # residents go to one slice of their cell, visitors to all
                     parts = np.array([slices.get(c, 1) for c in entries["cell"].tolist()])
@@ -162,6 +172,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[np.concatenate([[0], cuts])]), pa.array([e.tobytes() for e in np.split(entries, cuts)], pa.binary())], names=["bucket", "payload"])
 
+    @tidied_group
     def compare(group: pa.Table) -> pa.Table:
         entries = np.frombuffer(b"".join(group.column("payload").to_pylist()), kind)
         order = np.lexsort((entries["lives"], entries["slice"], entries["cell"]))
@@ -171,10 +182,11 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
             here = entries[order[s:e]]
             guests, own = here[here["lives"] == 0], here[here["lives"] == 1]
+            own_v = unit(own["v"])
             a = b = np.zeros(0, np.int64)
             for g in range(0, len(guests), 512):
                 some = guests[g : g + 512]
-                i, j = np.nonzero(some["v"] @ own["v"].T >= threshold)
+                i, j = np.nonzero(unit(some["v"]) @ own_v.T >= threshold)
                 x, y = some[i], own[j]
                 differ = x["point"] != y["point"]
                 x, y = x[differ], y[differ]
@@ -183,7 +195,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 ids.append(x["point"])
                 counts.append(y["times"])
                 one_way = x["home"] != y["home"]
-                one_way[one_way] = grid.cost_of(y["v"][one_way], x["home"][one_way]) > y["far"][one_way]
+                one_way[one_way] = grid.cost_of(unit(y["v"][one_way]), x["home"][one_way]) > y["far"][one_way]
                 ids.append(y["point"][one_way])
                 counts.append(x["times"][one_way])
                 a, b = np.concatenate([a, x["point"]]), np.concatenate([b, y["point"]])
@@ -204,19 +216,22 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         eb = np.concatenate([*edge_b, np.zeros(0, np.int64)])
         return pa.table({"a": pa.array(np.concatenate([point, ea])), "b": pa.array(np.concatenate([np.zeros(len(point), np.int64), eb])), "n": pa.array(np.concatenate([n_links, np.zeros(len(ea), np.int64)]))})
 
-    found = points.select("point", "v", "times").mapInArrow(place, "bucket long, payload binary").groupBy("bucket").applyInArrow(compare, "a long, b long, n long").persist()
+    found = scratch.written(points.select("point", "v", "times").mapInArrow(place, "bucket long, payload binary").groupBy("bucket").applyInArrow(compare, "a long, b long, n long"), "found")
     counted = found.where("n > 0").groupBy(F.col("a").alias("p")).agg(F.sum("n").alias("others"))
     parts = components(found.where("n = 0").select("a", "b"))
     grouped = points.select("point", "times", "first").join(parts, F.col("point") == F.col("node"), "left").select("point", "times", "first", F.coalesce("component", "point").alias("group"))
     least = grouped.groupBy("group").agg(F.min("first").alias("least"))
     label = grouped.join(least, "group").join(counted, F.col("point") == F.col("p"), "left").select(F.col("point").alias("q"), (F.coalesce("others", F.lit(0)) + F.col("times") - 1).alias("n"), "least")
     joined = rows.select("vec_id", F.when(F.col("v").isNotNull(), F.col("point")).alias("point")).join(label, F.col("point") == F.col("q"), "left")
-    return joined.select(
+    result = joined.select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("vec_id").isNotNull(), F.coalesce("least", "vec_id")).alias("component_id"),
         F.coalesce(F.col("vec_id") == F.coalesce("least", "vec_id"), F.lit(False)).alias("kept"),
     )
+    result = written(result, "classes")
+    scratch.remove()
+    return result
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
