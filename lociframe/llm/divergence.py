@@ -27,7 +27,7 @@ from lociframe.llm.workers import tidied
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
 #: Bytes of text that are split at once, and rows of counts that are merged at once.
-SLICE_BYTES, MERGE_ROWS = 4 << 20, 600_000
+SLICE_BYTES, MERGE_ROWS = 2 << 20, 200_000
 #: Left-hand sources of a shard's task.
 BLOCK = 128
 CELLS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
@@ -131,7 +131,6 @@ def shard_sums(top: int):
         sources = sources.sort_by("source")
         names, n, own = sources.column("source").to_pylist(), sources.column("n").to_numpy(), sources.column("own").to_numpy(zero_copy_only=False)
         lang, v, whole = key[0].as_py(), int(sources.column("v")[0].as_py()), int(n.sum())
-        at_source = {s: i for i, s in enumerate(names)}
         coded = cells.column("term").combine_chunks().dictionary_encode()
         place = pc.sort_indices(coded.dictionary).to_numpy()  # by UTF-8
         rank = np.empty(len(place), np.int64)
@@ -140,7 +139,7 @@ def shard_sums(top: int):
         row, n_terms = rank[coded.indices.to_numpy()], len(terms)
         order = np.argsort(row, kind="stable")
         row, count, total = row[order], cells.column("n").to_numpy()[order], cells.column("total").to_numpy()[order]
-        col = np.array([at_source[s] for s in cells.column("source").to_pylist()], np.int64)[order]
+        col = pc.index_in(cells.column("source").combine_chunks(), sources.column("source").combine_chunks()).to_numpy(zero_copy_only=False).astype(np.int64)[order]
         left = np.flatnonzero(own)
         pair = np.zeros((len(left), len(names)), np.int64)
         best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in left]
@@ -190,7 +189,7 @@ def source_divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, lang_c
     texts = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
     scratch = Scratch(spark)
     _, size = text_size(texts, "text")
-    shards = max(48, size >> 26)
+    shards = max(96, size >> 25)
     partial = texts.mapInArrow(partial_counts, "lang string, source string, term string, n long, docs long")
     cells = scratch.written(partial.repartition(shards, "lang", "term").mapInArrow(kept_cells(min_docs), "lang string, source string, term string, n long, total long, head boolean"), "cells")
     kept = cells.groupBy("lang", "source").agg(F.sum("n").alias("n"))
@@ -199,7 +198,7 @@ def source_divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, lang_c
     groups = scratch.written(groups.select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v")), "groups")
     widest = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("s"), F.max("v").alias("v")).agg(F.max("s").alias("s"), F.max("v").alias("v")).first()
     s, v = widest["s"] or 1, widest["v"] or 0
-    pieces, blocks = max(1, -(-v // int(np.clip(200_000_000 // s**2, 1024, 50_000)))), -(-s // BLOCK)
+    pieces, blocks = max(1, -(-v // int(np.clip(200_000_000 // s**2, 1024, 8_000)))), -(-s // BLOCK)
     dealt = cells.select("lang", "source", "term", "n", "total", F.pmod(F.xxhash64("term"), F.lit(pieces)).cast("int").alias("piece"))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else dealt.withColumn("block", F.lit(0))
     block = F.pmod(F.xxhash64("source"), F.lit(blocks)).cast("int")
