@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from tempfile import mkdtemp
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -24,3 +24,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}-files/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written in the shared folder and read back: computed once however often they are used."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lociframe.operators.sequence import PIECE, pieces
+
 BASES = ["A", "C", "G", "T"]
 #: Names of the verdicts, in the order in which they are tried.
 VERDICTS = ("LOW_DEPTH", "NON_SNV_EVIDENCE", "NO_BASE_SUPPORT", "PASS", "MIXED_IUPAC", "LOW_MAJOR_AF")
@@ -101,8 +103,12 @@ def majority_fasta(pileup: DataFrame, min_samples: int, drop_snps: bool = False)
 def region_consensus(seqs: DataFrame, regions: DataFrame, variants: DataFrame, depth: DataFrame, mode: str = "iupac", min_depth: int = 1, min_length: int = 0) -> DataFrame:
     """Per region and sample the reference with the sample's variants (SNVs: chrom, pos, sample_id, ref, alt, dosage), N below
     min_depth (chrom, pos, sample_id, dp); kept where the part that is not N is longer than min_length. mode: iupac, hap1, hap2."""
-    bases = regions.join(seqs.select(F.col("contig").alias("chrom"), "seq"), "chrom").select("chrom", "start", "end", "seq", F.explode(F.sequence(F.col("start") + 1, F.col("end"))).alias("pos"))
-    bases = bases.select("chrom", "start", "end", "pos", F.upper(F.substr("seq", F.col("pos").cast("int"), F.lit(1))).alias("ref_base"))
+    bins = F.explode(F.sequence(F.floor(F.col("start") / PIECE), F.floor((F.greatest("start", F.col("end") - 1)) / PIECE)))
+    cut = regions.withColumn("bin", bins).join(pieces(seqs).select(F.col("contig").alias("chrom"), "bin", "at", "seq"), ["chrom", "bin"])
+    low, high = F.greatest("start", "at"), F.least(F.col("end"), F.col("at") + F.length("seq"))
+    part = F.upper(F.substr("seq", (low - F.col("at") + 1).cast("int"), (high - low).cast("int")))
+    bases = cut.where(high > low).select("chrom", "start", "end", low.alias("low"), F.posexplode(F.split(part, "")).alias("i", "ref_base")).where("ref_base <> ''")
+    bases = bases.select("chrom", "start", "end", (F.col("low") + F.col("i") + 1).alias("pos"), "ref_base")
     samples = depth.select("sample_id").distinct()
     cells = bases.crossJoin(samples).join(depth.select("chrom", "pos", "sample_id", "dp"), ["chrom", "pos", "sample_id"], "left").join(variants.select("chrom", "pos", "sample_id", "alt", "dosage"), ["chrom", "pos", "sample_id"], "left")
     pair = F.concat(F.least("ref_base", "alt"), F.greatest("ref_base", "alt"))

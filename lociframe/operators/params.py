@@ -61,6 +61,7 @@ class MaskParams:
     complexity_kmer: int = 7
     complexity_window: int = 5_000
     complexity: float = 0.6
+    numt_kmer: int = 20
     numt_min_length: int = 100
     numt_max_gap: int = 1_000
 

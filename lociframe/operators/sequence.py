@@ -1,4 +1,4 @@
-"""Masks and statistics of sequences: frames (contig, seq)."""
+"""Masks and statistics of sequences: frames (contig, seq) or, where a function walks along sequences, tiles of them."""
 
 from __future__ import annotations
 
@@ -9,38 +9,115 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import complement, label_lengths, merge, overlap_semi, subtract
 
-TILE = 65_536
+#: Characters of a tile, and of a piece of one that sites are looked up in.
+TILE, PIECE = 65_536, 4_096
+TILES = "contig string, at long, n int, before string, ends boolean, seq string"
+
+
+def letters(text: str) -> np.ndarray:
+    """Code points, upper-cased where that is one character."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    lower = (codes >= 97) & (codes <= 122)
+    codes = np.where(lower, codes - 32, codes)
+    for c in np.unique(codes[codes > 127]).tolist():
+        up = chr(c).upper()
+        if len(up) == 1 and ord(up) != c:
+            codes[codes == c] = ord(up)
+    return codes
+
+
+COMPLEMENT = str.maketrans("ACGTacgt", "TGCAtgca")
+
+
+def complemented(text: str) -> str:
+    """The reverse complement; characters other than A, C, G and T are their own."""
+    return text.translate(COMPLEMENT)[::-1]
+
+
+def tiled(seqs: DataFrame, overlap: int = 0, tile: int = TILE) -> DataFrame:
+    """(contig, at, n, before, ends, seq): tiles of (contig, seq), as `sources.fasta.read_fasta_tiles` reads them: n characters from `at` on,
+    with up to `overlap` that follow, the character before, and whether the contig ends in `seq`. Each sequence is walked once.
+    Frames that are tiles already pass; their overlap must be as large."""
+    if "at" in seqs.columns:
+        return seqs.select("contig", "at", "n", "before", "ends", "seq")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: list[tuple] = []
+            size = 0
+            for contig, seq in zip(batch.column(0), batch.column(1), strict=True):
+                name, text = contig.as_py(), seq.as_py() or ""
+                for at in range(0, len(text), tile):
+                    n = min(tile, len(text) - at)
+                    held.append((name, at, n, text[at - 1] if at else "", at + n + overlap >= len(text), text[at : at + n + overlap]))
+                    size += n
+                    if size > 1 << 22:
+                        yield tile_batch(held)
+                        held, size = [], 0
+            if held:
+                yield tile_batch(held)
+
+    return seqs.select("contig", "seq").mapInArrow(cut, TILES)
+
+
+def tile_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[c.split()[0] for c in TILES.split(", ")])
+
+
+def full_text(before: str, seq: str, n: int, ends: bool, k: int) -> str:
+    """The character before a tile and the tile, whose overlap must reach to all windows of k characters and one more."""
+    if not ends and len(seq) < n + k:
+        raise ValueError(f"windows of {k} need tiles with an overlap of {k}")
+    return before + seq
+
+
+def lengths(seqs: DataFrame) -> DataFrame:
+    """(contig, len) of sequences or tiles."""
+    if "at" in seqs.columns:
+        return seqs.groupBy("contig").agg(F.max(F.col("at") + F.col("n")).alias("len"))
+    return seqs.select("contig", F.length("seq").cast("long").alias("len"))
+
+
+def pieces(seqs: DataFrame, size: int = PIECE) -> DataFrame:
+    """(contig, bin, at, seq): short pieces of sequences or tiles, each within one bin of `size` bases."""
+    bins = F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("n") - 1) / size))
+    cut = tiled(seqs).where("n > 0").withColumn("bin", F.explode(bins)).withColumn("from", F.greatest("at", F.col("bin") * size))
+    to = F.least(F.col("at") + F.col("n"), (F.col("bin") + 1) * size)
+    return cut.select("contig", "bin", F.col("from").alias("at"), F.substr("seq", (F.col("from") - F.col("at") + 1).cast("int"), (to - F.col("from")).cast("int")).alias("seq"))
 
 
 def _runs(contigs: DataFrame, inside: bytes, label: str) -> DataFrame:
-    """Maximal runs of the ASCII characters `inside`. Sequences are tiled first, so one huge contig is spread; the runs of a tile
-    are found in numpy, and only those that touch a tile's edge are merged."""
+    """Maximal runs of the ASCII characters `inside`. Runs of a tile are found in numpy, and only those that touch a tile's edge are
+    merged."""
     member = np.zeros(256, bool)
     member[list(inside)] = True
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts, ends, edges = [], [], [], []
-            for k, (at, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), strict=True)):
+            for k, (at, n, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(5), strict=True)):
                 raw = np.frombuffer(text.as_buffer(), np.uint8)
-                flag = np.concatenate([[False], member[raw], [False]])
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                whole = chars[-1] == n  # nothing of what follows
+                if not whole:
+                    raw = raw[: np.searchsorted(chars[1:], n, "right")]
+                flag = np.concatenate([[False], member[raw], [False]])
                 change = np.flatnonzero(flag[1:] != flag[:-1])
                 first, last = chars[change[::2]], chars[change[1::2]]
                 rows.append(np.full(len(first), k))
                 starts.append(first + at)
                 ends.append(last + at)
-                edges.append(((first == 0) & (at > 0)) | ((last == chars[-1]) & (chars[-1] == TILE)))
+                closed = whole and batch.column(4)[k].as_py()
+                edges.append(((first == 0) & (at > 0)) | ((last == n) & (not closed)))
             some = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(some), *(pa.array(np.concatenate([np.zeros(0, t), *x])) for t, x in ((np.int64, starts), (np.int64, ends), (bool, edges)))], names=["chrom", "start", "end", "edge"])
 
-    tiles = contigs.where(F.length("seq") > 0).select("contig", F.col("seq"), F.explode(F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(TILE).cast("long"))).alias("at")).select("contig", "at", F.substr("seq", (F.col("at") + 1).cast("int"), F.lit(TILE)).alias("seq"))
-    hits = tiles.mapInArrow(find, "chrom string, start long, end long, edge boolean")
+    hits = tiled(contigs).mapInArrow(find, "chrom string, start long, end long, edge boolean")
     return hits.where("not edge").select("chrom", "start", "end").unionByName(merge(hits.where("edge").select("chrom", "start", "end"))).withColumn("label", F.lit(label))
 
 
@@ -58,38 +135,64 @@ def exclude_mask(iv: DataFrame) -> DataFrame:
     return iv.select("chrom", "start", "end", F.lit("Excluded").alias("label"))
 
 
-def kmers(contigs: DataFrame, k: int, tile: int = 512) -> DataFrame:
-    """(contig, pos, kmer) for every window of k characters, upper-cased. Sequences are cut into short overlapping tiles first,
-    so no exploded row carries a sequence and no substring starts far into one."""
-    starts = F.sequence(F.lit(0), F.length("seq") - k, F.lit(tile))
-    tiles = contigs.where(F.length("seq") >= k).select("contig", F.posexplode(F.transform(starts, lambda at: F.substr("seq", at + 1, F.lit(tile + k - 1)))).alias("t", "part"))
-    inner = F.transform(F.sequence(F.lit(0), F.length("part") - k), lambda i: F.upper(F.substr("part", i + 1, F.lit(k))))
-    return tiles.select("contig", "t", F.posexplode(inner).alias("i", "kmer")).select("contig", (F.col("t") * tile + F.col("i")).alias("pos"), "kmer")
+def window_sums(seqs: DataFrame, k: int, window: int) -> DataFrame:
+    """(contig, w, s, m) of each window of `window` starts: the sum of ln(n!) over the counts n of its k-mers, and their number.
 
+    Windows within a tile are summed there; of those that tiles share, the counts of k-mers meet first."""
 
-def kmer_mappability(contigs: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Merged intervals of k-mer starts whose 1/frequency is below the threshold (exact k-mers, no mismatches)."""
-    found = kmers(contigs, k)
-    often = found.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(1 / F.col("n") < threshold)
-    low = found.join(often, "kmer").select(F.col("contig").alias("chrom"), F.col("pos").cast("long").alias("start"), (F.col("pos") + 1).cast("long").alias("end"))
-    return merge(low)
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for row in range(batch.num_rows):
+                contig, at, n, _, ends, seq = (batch.column(c)[row].as_py() for c in range(6))
+                text = full_text("", seq, n, ends, k - 1)
+                starts = min(n, len(text) - k + 1)
+                if starts <= 0:
+                    continue
+                codes = letters(text)
+                known, rank = np.unique(codes, return_inverse=True)
+                bits = max(1, int(len(known) - 1).bit_length())
+                per, words = 64 // bits, []
+                for a in range(0, k, per):
+                    word = np.zeros(starts, np.uint64)
+                    for j in range(a, min(k, a + per)):
+                        word = (word << np.uint64(bits)) | rank[j : j + starts].astype(np.uint64)
+                    words.append(word)
+                w = (np.arange(starts) + at) // window
+                order = np.lexsort([*words[::-1], w])
+                new = np.concatenate([[True], np.any([x[order][1:] != x[order][:-1] for x in (w, *words)], axis=0)])
+                head = np.flatnonzero(new)
+                count = np.diff(np.concatenate([head, [starts]]))
+                of = w[order][head]
+                closed = ends and len(seq) == n
+                inside = (of * window >= at) & (((of + 1) * window <= at + n) | closed)
+                log = np.array([math.lgamma(x + 1) for x in range(int(count.max()) + 1)])[count]
+                first = int(of[0])
+                sums, sizes = (np.bincount(of[inside] - first, x[inside]) for x in (log, count))
+                out += [(contig, first + i, float(sums[i]), int(sizes[i]), None, None) for i in np.flatnonzero(sizes).tolist()]
+                upper = "".join(map(chr, codes))
+                out += [(contig, int(of[i]), None, None, upper[p : p + k], int(count[i])) for i in np.flatnonzero(~inside).tolist() for p in [int(order[head[i]])]]
+            types = (pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, types, strict=True)], names=["contig", "w", "s", "m", "kmer", "n"])
+
+    found = tiled(seqs, k).mapInArrow(find, "contig string, w long, s double, m long, kmer string, n long")
+    shared = found.where("kmer is not null").groupBy("contig", "w", "kmer").agg(F.sum("n").alias("n"))
+    logs = F.expr("ln(1)") + F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("n")), F.lit(0.0), lambda t, i: t + F.log(i))
+    summed = shared.groupBy("contig", "w").agg(F.sum(logs).alias("s"), F.sum("n").alias("m"))
+    return found.where("kmer is null").select("contig", "w", "s", "m").unionByName(summed)
 
 
 def low_complexity_mask(contigs: DataFrame, k: int = 7, window: int = 5_000, threshold: float = 0.6) -> DataFrame:
     """Merged windows of low complexity: over the counts n of a window's k-mers, the sum of ln(n!) exceeds what as many random
-    k-mers give, 4^k e^-x sum(ln(n!) x^n / n!) with x = k-mers / 4^k, by more than `threshold` per k-mer."""
-    log_factorial = [0.0, 0.0]
-    for n in range(2, window + 1):
-        log_factorial.append(log_factorial[-1] + math.log(n))
-    logs = F.from_json(F.lit(json.dumps(log_factorial)), "array<double>")  # entry n is ln(n!)
-    found = kmers(contigs, k).withColumn("w", F.floor(F.col("pos") / window).cast("long"))
-    counts = found.groupBy("contig", "w", "kmer").agg(F.count(F.lit(1)).alias("n"))
-    sums = counts.groupBy("contig", "w").agg(F.sum(F.get(logs, F.col("n").cast("int"))).alias("s"), F.sum("n").alias("m"))
+    k-mers give, 4^k e^-x sum(ln(n!) x^n / n!) with x = k-mers / 4^k, by more than `threshold` per k-mer.
+
+    contigs: (contig, seq), or tiles with an overlap of k or more."""
+    sums = window_sums(contigs, k, window)
     x = F.col("m") / float(4**k)
     random = F.aggregate(F.sequence(F.lit(2), F.lit(RANDOM_TERMS)), F.lit(0.0), lambda a, n: a + F.get(logs_to(RANDOM_TERMS), n) * F.exp(n * F.log(x) - x - F.get(logs_to(RANDOM_TERMS), n)))
     scored = sums.where(F.col("s") - float(4**k) * random > threshold * F.col("m"))
-    ends = scored.join(contigs.select("contig", F.length("seq").alias("len")), "contig")
-    return merge(ends.select(F.col("contig").alias("chrom"), (F.col("w") * window).alias("start"), F.least((F.col("w") + 1) * window, F.col("len").cast("long")).alias("end")))
+    ends = scored.join(lengths(contigs), "contig")
+    return merge(ends.select(F.col("contig").alias("chrom"), (F.col("w") * window).alias("start"), F.least((F.col("w") + 1) * window, F.col("len")).alias("end")))
 
 
 #: Terms of the sum for random k-mers; x is small where a window has fewer k-mers than there are different ones.
@@ -110,20 +213,6 @@ def gc_percent(contigs: DataFrame) -> DataFrame:
     return contigs.agg((100.0 * F.sum(count_of(F.col("seq"), "GCgc")) / F.sum(count_of(F.col("seq"), "ACGTacgt"))).alias("gc_percent"))
 
 
-def kmer_hits(a: DataFrame, b: DataFrame, k: int, min_len: int) -> DataFrame:
-    """Shared exact k-mers between two sequence sets, chained along diagonals into blocks (a_contig, b_contig, start, end, b_start).
-
-    A k-mer seen m times on one side and n times on the other gives m * n hits, all of them part of the result; AQE splits the
-    tasks of such k-mers. Repeats on both sides are best masked before."""
-    left = kmers(a, k).select(F.col("contig").alias("a_contig"), F.col("pos").alias("a_pos"), "kmer")
-    right = kmers(b, k).select(F.col("contig").alias("b_contig"), F.col("pos").alias("b_pos"), "kmer")
-    hits = left.join(right, "kmer").withColumn("diagonal", F.col("a_pos") - F.col("b_pos"))
-    run = W.partitionBy("a_contig", "b_contig", "diagonal").orderBy("a_pos")
-    chained = hits.withColumn("block", F.col("a_pos") - F.row_number().over(run))
-    blocks = chained.groupBy("a_contig", "b_contig", "diagonal", "block").agg(F.min("a_pos").alias("start"), (F.max("a_pos") + k).alias("end"))
-    return blocks.where(F.col("end") - F.col("start") >= min_len).select("a_contig", "b_contig", "start", "end", (F.col("start") - F.col("diagonal")).alias("b_start"))
-
-
 def cluster_hits(hits: DataFrame, min_len: int, max_gap: int, drop_contig: str) -> DataFrame:
     """hits (chrom, start, end, q_start, q_end): long ones off the dropped contig, strand from the query's order, merged within max_gap."""
     strand = F.when(F.col("q_start") <= F.col("q_end"), "+").otherwise("-")
@@ -131,6 +220,15 @@ def cluster_hits(hits: DataFrame, min_len: int, max_gap: int, drop_contig: str)
     return merge(used, max_gap, {"strands": F.concat_ws(",", F.array_sort(F.collect_set("strand"))), "q_min": F.min(F.least("q_start", "q_end")), "q_max": F.max(F.greatest("q_start", "q_end"))})
 
 
+def numt_mask(hits: DataFrame, min_len: int, max_gap: int, mito: str | None = None) -> DataFrame:
+    """(chrom, start, end, strands, label): where the matches of `kmers.kmer_hits` of nuclear against mitochondrial sequences lie, from
+    `min_len` on, merged within `max_gap`; not on the mitochondrial contig itself."""
+    last = F.col("b_start") + F.col("end") - F.col("start")
+    forward = F.col("strand") == "+"
+    turned = hits.select(F.col("a_contig").alias("chrom"), "start", "end", F.when(forward, F.col("b_start")).otherwise(last).alias("q_start"), F.when(forward, last).otherwise(F.col("b_start")).alias("q_end"))
+    return cluster_hits(turned, min_len, max_gap, mito or "").select("chrom", "start", "end", "strands", F.lit("NUMT").alias("label"))
+
+
 def merge_masks(*masks: DataFrame) -> DataFrame:
     """All masks in one, overlapping ones merged with their distinct labels."""
     out = masks[0].select("chrom", "start", "end", "label")

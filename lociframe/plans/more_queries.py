@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
+from lociframe.operators import kmers as N
 from lociframe.operators import mito as M
 from lociframe.operators import popgen as P
 from lociframe.operators import reads as R
@@ -61,7 +62,7 @@ def exclude_mask(spark: SparkSession, d: str) -> DataFrame:
 @query(V.with_views("seq", body="@" + kmers_sql("seq", "k", 24) + """, o AS (SELECT kmer FROM k GROUP BY 1 HAVING 1 / count(*) < 0.5), h AS (SELECT contig, p, p - row_number() OVER (PARTITION BY contig ORDER BY p) AS run FROM k WHERE kmer IN (SELECT kmer FROM o))
 SELECT contig AS chrom, min(p) AS start, max(p) + 1 AS "end" FROM h GROUP BY contig, run"""))
 def kmer_mappability(spark: SparkSession, d: str) -> DataFrame:
-    return K.kmer_mappability(V.sequences(spark, d), 24, 0.5)
+    return N.kmer_mappability(V.sequences(spark, d), 24, 0.5)
 
 
 @query(V.with_views("seq", body="@" + kmers_sql("seq", "k", 3) + """, c AS (SELECT contig, p // 64 AS w, kmer, count(*) AS n FROM k GROUP BY 1, 2, 3), t AS (SELECT contig, w, sum(lgamma(n + 1)) AS s, CAST(sum(n) AS DOUBLE) AS m FROM c GROUP BY 1, 2),
@@ -75,11 +76,42 @@ def gc_percent(spark: SparkSession, d: str) -> DataFrame:
     return rounded(K.gc_percent(V.sequences(spark, d)), "gc_percent")
 
 
-@query(V.with_views("seq", body="@pg AS (SELECT 'p' || CAST(page_id AS VARCHAR) AS contig, html AS seq FROM pages WHERE html IS NOT NULL), " + kmers_sql("seq", "ka", 40) + ", " + kmers_sql("pg", "kb", 40) + """, h AS (SELECT ka.contig AS a_contig, kb.contig AS b_contig, ka.p AS a, ka.p - kb.p AS diagonal FROM ka JOIN kb USING (kmer)),
-r AS (SELECT *, a - row_number() OVER (PARTITION BY a_contig, b_contig, diagonal ORDER BY a) AS run FROM h) SELECT a_contig, b_contig, min(a) AS start, max(a) + 40 AS "end", min(a) - diagonal AS b_start FROM r GROUP BY a_contig, b_contig, diagonal, run HAVING max(a) + 40 - min(a) >= 60"""))
+def hits_sql(a: str, b: str, k: int, min_len: int) -> str:
+    """Maximal matches of k-mers between views a and b (contig, seq) on both strands of b, by islands on diagonals."""
+    return f"""{b}_r AS (SELECT contig, length(seq) AS n, reverse(translate(upper(seq), 'ACGT', 'TGCA')) AS seq FROM {b}), """ + kmers_sql(a, "ka", k) + ", " + kmers_sql(b, "kb", k) + ", " + kmers_sql(f"{b}_r", "kr", k) + f""",
+h AS (SELECT ka.contig AS a_contig, kb.contig AS b_contig, '+' AS strand, ka.p AS a, ka.p - kb.p AS diagonal FROM ka JOIN kb USING (kmer)
+  UNION ALL SELECT ka.contig, kr.contig, '-', ka.p, ka.p + n - kr.p - {k} FROM ka JOIN kr USING (kmer) JOIN {b}_r r ON r.contig = kr.contig),
+hr AS (SELECT *, a - row_number() OVER (PARTITION BY a_contig, b_contig, strand, diagonal ORDER BY a) AS run FROM h),
+hits AS (SELECT a_contig, b_contig, min(a) AS start, max(a) + {k} AS "end", CASE strand WHEN '+' THEN min(a) - diagonal ELSE diagonal - max(a) END AS b_start, strand FROM hr GROUP BY a_contig, b_contig, strand, diagonal, run HAVING max(a) + {k} - min(a) >= {min_len})"""
+
+
+@query(V.with_views("seq", body="@pg AS (SELECT 'p' || CAST(page_id AS VARCHAR) AS contig, html AS seq FROM pages WHERE html IS NOT NULL), " + hits_sql("seq", "pg", 40, 60) + " SELECT * FROM hits"))
 def kmer_hits(spark: SparkSession, d: str) -> DataFrame:
     pages = V.table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("contig"), F.col("html").alias("seq"))
-    return K.kmer_hits(V.sequences(spark, d), pages.where("seq is not null"), 40, 60)
+    return N.kmer_hits(V.sequences(spark, d), pages.where("seq is not null"), 40, 60)
+
+
+@query(V.with_views("dna", "benchmark_dna", body="@" + hits_sql("dna", "benchmark_dna", 24, 30) + " SELECT * FROM hits"))
+def strand_hits(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' letters as bases against the benchmark's, every other item of which is its reverse complement."""
+    return N.kmer_hits(V.dna(spark, d), V.benchmark_dna(spark, d), 24, 30)
+
+
+@query(V.with_views("dna", "benchmark_dna", body="@" + hits_sql("dna", "benchmark_dna", 24, 60) + """, u AS (SELECT a_contig AS chrom, start, "end", strand FROM hits), """ + islands_sql("u", "mu", 200, """, string_agg(DISTINCT strand, ',' ORDER BY strand) AS strands""") + """ SELECT chrom, start, "end", strands, 'NUMT' AS label FROM mu"""))
+def numt_mask(spark: SparkSession, d: str) -> DataFrame:
+    return K.numt_mask(N.kmer_hits(V.dna(spark, d), V.benchmark_dna(spark, d), 24, 60), 60, 200)
+
+
+@query(V.with_views("dna", body="@" + kmers_sql("dna", "k", 21) + " SELECT n, count(*) AS kmers FROM (SELECT kmer, count(*) AS n FROM k GROUP BY 1) GROUP BY 1"))
+def kmer_spectrum(spark: SparkSession, d: str) -> DataFrame:
+    """How many k-mers of the documents' letters as bases stand how often."""
+    return N.kmer_counts(V.dna(spark, d), 21).groupBy("n").agg(F.count(F.lit(1)).alias("kmers"))
+
+
+@query(V.with_views("dna", body="@" + kmers_sql("dna", "k", 31) + """, o AS (SELECT kmer FROM k GROUP BY 1 HAVING 1 / count(*) < 0.4), h AS (SELECT contig, p, p - row_number() OVER (PARTITION BY contig ORDER BY p) AS run FROM k WHERE kmer IN (SELECT kmer FROM o))
+SELECT contig AS chrom, min(p) AS start, max(p) + 1 AS "end" FROM h GROUP BY contig, run"""))
+def kmer_mappability_bases(spark: SparkSession, d: str) -> DataFrame:
+    return N.kmer_mappability(V.dna(spark, d), 31, 0.4)
 
 
 @query(V.with_views("iv", body="@u AS (SELECT chrom, start, \"end\" FROM iv WHERE \"end\" - start >= 5000 AND chrom <> 'click'), " + merged_sql("u", 2000) + " SELECT * FROM merged"))

@@ -15,24 +15,30 @@ from lociframe.operators import chunking as C
 from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
+from lociframe.operators import kmers as M
 from lociframe.operators import reads as R
 from lociframe.operators import sequence as K
-from lociframe.operators.lineage import scratch
+from lociframe.operators.lineage import kept
 from lociframe.operators.params import CallParams, ReadParams, RunParams
 
-TILE = 4096
-
 
 @dataclass(frozen=True)
 class Inputs:
-    """sequences (contig, seq, length, rank), alignments (as `sources.read_sam` gives them, with sample_id, chrom, start, end and
-    aligned), popmap (sample_id, pop), and intervals to take in or leave out (chrom, start, end)."""
+    """sequences (contig, seq, length, rank), their tiles where they were read as such (with an overlap of the longest k-mer or more;
+    then sequences needs no seq), alignments (as `sources.read_sam` gives them, with sample_id, chrom, start, end and
+    aligned), popmap (sample_id, pop), intervals to take in or leave out (chrom, start, end), and the name of the mitochondrial contig."""
 
     sequences: DataFrame
     alignments: DataFrame
     popmap: DataFrame
     include: DataFrame | None = None
     exclude: DataFrame | None = None
+    tiles: DataFrame | None = None
+    mito: str | None = None
+
+    @property
+    def bases(self) -> DataFrame:
+        return self.sequences if self.tiles is None else self.tiles
 
 
 def masks(inputs: Inputs, params: RunParams) -> DataFrame:
@@ -40,25 +46,29 @@ def masks(inputs: Inputs, params: RunParams) -> DataFrame:
     m = params.masks
     found = []
     if m.hard_masks:
-        found.append(K.hard_mask(inputs.sequences))
+        found.append(K.hard_mask(inputs.bases))
     if m.soft_masks:
-        found.append(K.soft_mask(inputs.sequences))
+        found.append(K.soft_mask(inputs.bases))
     if inputs.exclude is not None:
         contigs = inputs.sequences.select("contig", "length", "rank")
         found.append(K.exclude_mask(I.slop(inputs.exclude.select("chrom", "start", "end"), m.exclude_padding, contigs)))
     if m.mappability:
-        found.append(K.kmer_mappability(inputs.sequences, m.kmer, m.mappability).withColumn("label", F.lit("GENMAP")))
+        found.append(M.kmer_mappability(inputs.bases, m.kmer, m.mappability).withColumn("label", F.lit("GENMAP")))
     if m.complexity:
-        found.append(K.low_complexity_mask(inputs.sequences, m.complexity_kmer, m.complexity_window, m.complexity).withColumn("label", F.lit("LONGDUST")))
+        found.append(K.low_complexity_mask(inputs.bases, m.complexity_kmer, m.complexity_window, m.complexity).withColumn("label", F.lit("LONGDUST")))
+    if inputs.mito is not None:
+        own = F.col("contig") == inputs.mito
+        hits = M.kmer_hits(inputs.bases.where(~own), inputs.bases.where(own), m.numt_kmer, m.numt_min_length)
+        found.append(K.numt_mask(hits, m.numt_min_length, m.numt_max_gap, inputs.mito))
     return K.merge_masks(*found)
 
 
 def reference_bases(sequences: DataFrame, sites: DataFrame) -> DataFrame:
-    """sites (chrom, pos 1-based) with `ref`, the reference base in upper case, by tiles of the sequences."""
-    starts = F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(TILE).cast("long"))
-    tiles = sequences.where(F.length("seq") > 0).select(F.col("contig").alias("chrom"), F.posexplode(F.transform(starts, lambda at: F.substr("seq", (at + 1).cast("int"), F.lit(TILE)))).alias("__tile", "__seq"))
-    joined = sites.withColumn("__tile", F.floor((F.col("pos") - 1) / TILE).cast("int")).join(tiles, ["chrom", "__tile"])
-    return joined.withColumn("ref", F.upper(F.substr("__seq", ((F.col("pos") - 1) % TILE + 1).cast("int"), F.lit(1)))).drop("__tile", "__seq")
+    """sites (chrom, pos 1-based) with `ref`, the reference base in upper case, by pieces of the sequences."""
+    cut = K.pieces(sequences).select(F.col("contig").alias("chrom"), F.col("bin").alias("__bin"), F.col("at").alias("__at"), F.col("seq").alias("__seq"))
+    at = F.col("pos") - 1 - F.col("__at")
+    joined = sites.withColumn("__bin", F.floor((F.col("pos") - 1) / K.PIECE)).join(cut, ["chrom", "__bin"]).where((at >= 0) & (at < F.length("__seq")))
+    return joined.withColumn("ref", F.upper(F.substr("__seq", (at + 1).cast("int"), F.lit(1)))).drop("__bin", "__at", "__seq")
 
 
 def usable(alignments: DataFrame, params: ReadParams) -> DataFrame:
@@ -87,12 +97,6 @@ def scored(alts: DataFrame, genotypes: DataFrame) -> DataFrame:
     return alts.join(qual, ["chrom", "pos"]).select("chrom", "pos", "ref", F.array("a").alias("alt"), "qual", F.lit("SNP").alias("type"))
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run(inputs: Inputs, params: RunParams = RunParams()) -> dict[str, DataFrame]:
     """mask, coverage, chunks, sites, genotypes, filtered (sites with tags and `filter`), passing and summary."""
     contigs = inputs.sequences.select("contig", "length", "rank")
@@ -103,7 +107,7 @@ def run(inputs: Inputs, params: RunParams = RunParams()) -> dict[str, DataFrame]
     depth = kept(R.per_base_depth(usable(aln, params.reads), params.reads.min_mapping_quality), "depth")
     weighted = R.covered_intervals(depth, mask, params.calls.min_depth)
     cut = C.chunk_balanced_split if params.chunks.split_large else C.chunk_balanced
-    cells, likely = called(aln, inputs.sequences, inputs.popmap, params.reads, params.calls)
+    cells, likely = called(aln, inputs.bases, inputs.popmap, params.reads, params.calls)
     genotypes = kept(likely, "genotypes")
     sites = kept(scored(cells, genotypes), "sites")
     inside = sites.join(Q.regions_overlap(sites, include), ["chrom", "pos"], "left_semi")

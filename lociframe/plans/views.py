@@ -72,6 +72,23 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text is not null").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("contig"), F.col("text").alias("seq"), F.length("text").cast("long").alias("length"))
 
 
+#: Letters as bases, by their place in the alphabet.
+ALPHABET, AS_BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"
+
+
+def dna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contig, seq): the documents' ASCII letters as bases, all else left out."""
+    seq = F.translate(F.upper(F.regexp_replace("seq", "[^A-Za-z]", "")), ALPHABET, AS_BASES)
+    return sequences(spark, sf_dir).select("contig", seq.alias("seq"))
+
+
+def benchmark_dna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contig, seq): the benchmark's letters as bases; items with an odd id are reverse complements."""
+    rows = table(spark, sf_dir, "benchmark").where("text is not null")
+    seq = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), ALPHABET, AS_BASES)
+    return rows.select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("contig"), F.when(F.col("item_id") % 2 == 1, F.reverse(F.translate(seq, "ACGT", "TGCA"))).otherwise(seq).alias("seq"))
+
+
 def allele_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample_id, pos, allele, fwd, rev, shifted) from lineitem: few reads a row, most of them of the position's own base, some
     alleles in lower case."""
@@ -102,11 +119,14 @@ SQL = {
       event_type AS chrom, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS start, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 + 1 + CAST(floor(value) AS BIGINT) AS "end", CAST(event_id % 61 AS INT) AS mapq,
       CAST(floor(value) AS BIGINT) AS tlen, CAST(floor(value) AS BIGINT) + 1 AS aligned, 'S' || CAST(user_id % 10 AS VARCHAR) AS sample_id, 'g' || CAST(user_id % 5 AS VARCHAR) AS rg, event_id % 97 AS qual_sum FROM events)""",
     "seq": """seq AS (SELECT 'd' || CAST(doc_id AS VARCHAR) AS contig, text AS seq, CAST(length(text) AS BIGINT) AS length FROM documents WHERE text IS NOT NULL)""",
+    "dna": """dna AS (SELECT contig, translate(upper(regexp_replace(seq, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM seq)""",
+    "benchmark_dna": """benchmark_dna AS (SELECT 'b' || CAST(item_id AS VARCHAR) AS contig, CASE WHEN item_id % 2 = 1 THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END AS seq
+      FROM (SELECT item_id, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC') AS s FROM benchmark WHERE text IS NOT NULL))""",
     "reads_at": """reads_at AS (SELECT 'S' || CAST(l_suppkey % 4 AS VARCHAR) AS sample_id, l_partkey % 500 + 1 AS pos, CASE WHEN l_suppkey % 7 = 0 THEN lower(allele) ELSE allele END AS allele,
       CASE WHEN l_returnflag = 'N' THEN n ELSE 0 END AS fwd, CASE WHEN l_returnflag = 'N' THEN 0 ELSE n END AS rev, l_linestatus = 'O' AS shifted
       FROM (SELECT *, ['A', 'C', 'G', 'T', 'AT'][CAST(CASE WHEN l_linenumber <= 5 THEN l_partkey % 4 ELSE (l_linenumber + l_suppkey) % 5 END AS INT) + 1] AS allele, CAST(floor(l_quantity) AS BIGINT) % 4 AS n FROM lineitem))""",
 }
-NEEDS = {"contigs": ["iv"]}
+NEEDS = {"contigs": ["iv"], "dna": ["seq"]}
 
 
 def with_views(*names: str, body: str) -> str:

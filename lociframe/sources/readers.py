@@ -96,8 +96,10 @@ def gvcf_blocks(sites: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(contig, seq, length, rank). A record is one row; ranks follow the order in the file, and are made from the row ids alone."""
-    records = spark.read.text(path, lineSep=">").where(F.trim("value") != "").select("value", F.monotonically_increasing_id().alias("__at"))
+    """(contig, seq, length, rank). A record is one row; ranks follow the order in the file, and are made from the row ids alone.
+    For genomes, `fasta.read_fasta_tiles` reads tiles instead."""
+    parts = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", "^>", "").alias("value"), F.monotonically_increasing_id().alias("__at"))
+    records = parts.where(F.trim("value") != "")
     named = records.select("__at", F.regexp_extract("value", r"^(\S+)", 1).alias("contig"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
     # one number per contig
     ranks = records.select("__at").withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("__at")))
