@@ -1,7 +1,7 @@
 """Relatedness, distances, ordination and D statistics on genotype frames (chrom, pos, sample_id, dosage).
 
-Pair statistics: a site's called samples are gathered in one row (its length is the cohort), pairs are made inside the row and
-summed by pair with partial aggregation, so the shuffle carries one row per pair and task, not one per pair and site.
+Pair statistics are blocked Gram products (`gram`): cells are packed into small matrices of sites and samples, and a task hands on
+one row per pair of samples and block of sites.
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.gram import dosages, gram_sums, numbered_samples, replicate_distances, standardised
 from lociframe.operators.lineage import ensure_checkpoint_dir
+from lociframe.operators.spectral import Square, as_frames, centred, leading
 from lociframe.operators.tiles import numbered
 
 SITE = ["chrom", "pos"]
@@ -25,45 +27,40 @@ def allele_frequencies(gt: DataFrame) -> DataFrame:
     return gt.groupBy(*SITE).agg((F.sum("dosage") / (2 * F.count("dosage"))).alias("freq"), F.count("dosage").alias("n_obs")).where("n_obs > 0")
 
 
-def site_pairs(gt: DataFrame, value: str = "dosage", extra: list[str] | None = None, include_self: bool = False) -> DataFrame:
-    """(chrom, pos, sample_i, sample_j, x, y, extra...) with sample_i < sample_j (or <=)."""
-    extra = extra or []
-    packed = gt.where(F.col(value).isNotNull()).groupBy(*SITE, *extra).agg(F.array_sort(F.collect_list(F.struct(F.col("sample_id").alias("s"), F.col(value).alias("v")))).alias("g"))
-    first = packed.select(*SITE, *extra, "g", F.posexplode("g").alias("i", "a"))
-    rest = F.slice("g", F.col("i") + (1 if include_self else 2), F.size("g"))
-    return first.select(*SITE, *extra, "a", F.explode(rest).alias("b")).select(*SITE, *extra, F.col("a.s").alias("sample_i"), F.col("b.s").alias("sample_j"), F.col("a.v").alias("x"), F.col("b.v").alias("y"))
+def polymorphic(gt: DataFrame, freq: DataFrame | None) -> DataFrame:
+    """Cells of sites whose frequency lies between 0 and 1, with `freq`."""
+    f = (freq or allele_frequencies(gt)).where("freq > 0 and freq < 1").select(*SITE, "freq")
+    return gt.where("dosage is not null").join(f, SITE)
 
 
 def grm(gt: DataFrame, freq: DataFrame | None = None) -> DataFrame:
     """Genomic relationships: mean over shared polymorphic sites of (x - 2p)(y - 2p) / (2p(1 - p))."""
-    f = (freq or allele_frequencies(gt)).where("freq > 0 and freq < 1").select(*SITE, "freq")
-    pairs = site_pairs(gt.join(f, SITE), extra=["freq"], include_self=True)
-    p = F.col("freq")
-    return pairs.groupBy("sample_i", "sample_j").agg((F.sum((F.col("x") - 2 * p) * (F.col("y") - 2 * p) / (2 * p * (1 - p))) / F.count(F.lit(1))).alias("value"))
+    sums = gram_sums(polymorphic(gt, freq), [F.col("dosage")], standardised, [("zz", 0, 0)], [F.col("freq")], include_self=True)
+    return sums.select("sample_i", "sample_j", (F.col("zz") / F.col("n")).alias("value"))
 
 
 def relatedness_ajk(gt: DataFrame, freq: DataFrame | None = None) -> DataFrame:
     """Unadjusted A_jk: off the diagonal as `grm`; on it 1 + mean of (x^2 - (1 + 2p)x + 2p^2) / (2p(1 - p))."""
-    f = (freq or allele_frequencies(gt)).where("freq > 0 and freq < 1").select(*SITE, "freq")
-    pairs = site_pairs(gt.join(f, SITE), extra=["freq"], include_self=True)
-    p, x = F.col("freq"), F.col("x")
-    term = F.when(F.col("sample_i") == F.col("sample_j"), (x * x - (1 + 2 * p) * x + 2 * p * p) / (2 * p * (1 - p))).otherwise((x - 2 * p) * (F.col("y") - 2 * p) / (2 * p * (1 - p)))
-    return pairs.groupBy("sample_i", "sample_j").agg((F.sum(term) / F.count(F.lit(1)) + F.max((F.col("sample_i") == F.col("sample_j")).cast("int"))).alias("value"))
+    sums = gram_sums(polymorphic(gt, freq), [F.col("dosage")], standardised, [("zz", 0, 0), ("own", 1, 2)], [F.col("freq")], include_self=True)
+    value = F.when(F.col("sample_i") == F.col("sample_j"), 1 + F.col("own") / F.col("n")).otherwise(F.col("zz") / F.col("n"))
+    return sums.select("sample_i", "sample_j", value.alias("value"))
 
 
 def king_table(gt: DataFrame) -> DataFrame:
     """Per pair: shared sites, both heterozygous, opposite homozygous, heterozygous in each, KING-robust kinship."""
-    x, y = F.col("x"), F.col("y")
-    n = lambda c: F.sum(c.cast("long"))
-    t = site_pairs(gt).groupBy("sample_i", "sample_j").agg(F.count(F.lit(1)).alias("nsnp"), n((x == 1) & (y == 1)).alias("hethet"), n(F.abs(x - y) == 2).alias("ibs0"), n(x == 1).alias("het_i"), n(y == 1).alias("het_j"))
+    sums = gram_sums(gt, [F.col("dosage")], dosages, [("hethet", 1, 1), ("a", 0, 2), ("b", 2, 0), ("het_i", 1, 3), ("het_j", 3, 1)])
+    t = sums.select("sample_i", "sample_j", F.col("n").alias("nsnp"), *(c.cast("long").alias(name) for name, c in (("hethet", F.col("hethet")), ("ibs0", F.col("a") + F.col("b")), ("het_i", F.col("het_i")), ("het_j", F.col("het_j")))))
     least = F.least("het_i", "het_j")
     kin = (F.col("hethet") - 2 * F.col("ibs0")) / (2 * least) + 0.5 - 0.25 * (F.col("het_i") + F.col("het_j")) / least
     return t.withColumn("kinship", F.when(least > 0, kin))
 
 
 def ibs_distance(gt: DataFrame) -> DataFrame:
-    """1 - IBS per pair: mean |x - y| / 2 over shared sites; a pair that shares none has no row here and NaN in a square."""
-    return site_pairs(gt).groupBy("sample_i", "sample_j").agg((F.sum(F.abs(F.col("x") - F.col("y"))) / (2.0 * F.count(F.lit(1)))).alias("value"))
+    """1 - IBS per pair: mean |x - y| / 2 over shared sites; a pair that shares none has no row here and NaN in a square. Dosages
+    are 0, 1 and 2."""
+    sums = gram_sums(gt, [F.col("dosage")], dosages, [(f"n{i}{j}", i, j) for i in range(3) for j in range(3) if i != j])
+    total = sum(abs(i - j) * F.col(f"n{i}{j}") for i in range(3) for j in range(3) if i != j)
+    return sums.select("sample_i", "sample_j", (total / (2.0 * F.col("n"))).alias("value"))
 
 
 def square(pairs: DataFrame, samples: DataFrame, diagonal: float = 0.0) -> DataFrame:
@@ -103,10 +100,25 @@ def _eigen(spark, names: list[str], m: np.ndarray, k: int, centre: bool) -> tupl
     return spark.createDataFrame(rows, "sample_id string, component int, value double"), spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(values)], "component int, eigenvalue double")
 
 
-def pca(relationships: DataFrame, samples: DataFrame, n_pcs: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(vectors, values): min(n_pcs, n - 1) components of the relationship matrix; missing pairs count as 0."""
-    names, m = _matrix(square(relationships, samples))
-    return _eigen(relationships.sparkSession, names, np.nan_to_num(m), min(n_pcs, max(len(names) - 1, 0)), False)
+#: Samples up to which the driver decomposes the whole matrix, of 8 MB; with more it stays in Spark.
+WHOLE = 1_000
+
+
+def pca(relationships: DataFrame, samples: DataFrame, n_pcs: int = 20, n_variants: int | None = None, whole: int = WHOLE) -> tuple[DataFrame, DataFrame]:
+    """(vectors, values): min(n_pcs, samples - 1, variants) components of the relationship matrix; missing pairs count as 0. Fewer than
+    two samples, or no variant, is an error."""
+    numbered_ = numbered_samples(samples)
+    n = numbered_.count()
+    if n < 2:
+        raise ValueError("at least two samples are needed")
+    if n_variants is not None and n_variants < 1:
+        raise ValueError("at least one variant is needed")
+    k = min(n_pcs, n - 1, n if n_variants is None else n_variants)
+    if n <= whole:
+        names, m = _matrix(square(relationships, samples), whole)
+        vectors, values = _eigen(relationships.sparkSession, names, np.nan_to_num(m), k, False)
+        return vectors, values.where(F.col("component") <= k)
+    return as_frames(relationships.sparkSession, numbered_, *leading(Square(relationships, numbered_).times, n, k))
 
 
 def pca_table(vectors: DataFrame, values: DataFrame, popmap: DataFrame) -> DataFrame:
@@ -133,36 +145,47 @@ def drop_until_complete(sq: DataFrame) -> DataFrame:
     return sq.join(F.broadcast(gone), F.col("sample_i") == F.col("__gone"), "left_anti").join(F.broadcast(gone), F.col("sample_j") == F.col("__gone"), "left_anti")
 
 
-def mds(sq: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Classical scaling of a complete distance square: coordinates and eigenvalues; fewer than three samples is an error."""
-    names, m = _matrix(sq)
-    if len(names) < 3:
+def mds(sq: DataFrame, k: int = 2, whole: int = WHOLE) -> tuple[DataFrame, DataFrame]:
+    """Classical scaling of a complete distance square: coordinates and eigenvalues; fewer than three samples is an error. Of more
+    than `whole` samples, only the k leading eigenvalues are found."""
+    numbered_ = numbered_samples(sq.select(F.col("sample_i").alias("sample_id")))
+    n = numbered_.count()
+    if n < 3:
         raise ValueError("at least three samples are needed")
-    np.fill_diagonal(m, 0.0)
-    return _eigen(sq.sparkSession, names, (m + m.T) / 2, k, True)
+    if n <= whole:
+        names, m = _matrix(sq, whole)
+        np.fill_diagonal(m, 0.0)
+        return _eigen(sq.sparkSession, names, (m + m.T) / 2, k, True)
+    mean = sq.where("sample_i <> sample_j").groupBy(F.least("sample_i", "sample_j").alias("sample_i"), F.greatest("sample_i", "sample_j").alias("sample_j")).agg(F.avg("value").alias("value"))
+    values, vectors = leading(centred(Square(mean, numbered_, np.square)), n, k)
+    return as_frames(sq.sparkSession, numbered_, values, vectors * np.sqrt(np.maximum(values, 0)))
 
 
 def gl_expected_distance(gl: DataFrame) -> DataFrame:
     """Mean over shared sites of the expected |g_i - g_j| / 2 under the posteriors `gp` of each pair."""
-    x, y = F.col("x"), F.col("y")
-    expected = sum(abs(i - j) / 2 * x[i] * y[j] for i in range(3) for j in range(3) if i != j)
-    return site_pairs(gl, "gp").groupBy("sample_i", "sample_j").agg((F.sum(expected) / F.count(F.lit(1))).alias("value"))
+    far = lambda x, site: [*x, *(sum(abs(i - j) / 2 * x[j] for j in range(3)) for i in range(3))]
+    sums = gram_sums(gl.where("gp is not null"), [F.col("gp")[i] for i in range(3)], far, [(f"d{i}", i, 3 + i) for i in range(3)])
+    return sums.select("sample_i", "sample_j", ((F.col("d0") + F.col("d1") + F.col("d2")) / F.col("n")).alias("value"))
 
 
 def bootstrap_blocks(gt: DataFrame, block: int = 1000, reps: int = 100, seed: int = 7) -> DataFrame:
     """Distances of replicates that weigh blocks of sites by Poisson(1) numbers from a hash: (rep, sample_i, sample_j, value)."""
     blocks = numbered(gt.select(*SITE).distinct(), "__i").withColumn("block", F.floor(F.col("__i") / block)).drop("__i")
-    sums = site_pairs(gt.join(blocks, SITE), extra=["block"]).groupBy("chrom", "block", "sample_i", "sample_j").agg(F.sum(F.abs(F.col("x") - F.col("y")) / 2).alias("d"), F.count(F.lit(1)).alias("n"))
-    wide = sums.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
-    u = (F.pmod(F.xxhash64(F.lit(seed), "rep", "chrom", "block"), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    weight, cum = F.lit(7), 0.0
-    steps = []
+    steps, cum = [], 0.0
     for i in range(7):
         cum += math.exp(-1) / math.factorial(i)
         steps.append(cum)
-    for i in reversed(range(7)):
-        weight = F.when(u < steps[i], F.lit(i)).otherwise(weight)
-    return wide.withColumn("w", weight).groupBy("rep", "sample_i", "sample_j").agg((F.sum(F.col("w") * F.col("d")) / F.sum(F.col("w") * F.col("n"))).alias("value"))
+
+    def weight(rep: Column) -> Column:
+        u = (F.pmod(F.xxhash64(F.lit(seed), rep, "chrom", "block"), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+        out = F.lit(7)
+        for i in reversed(range(7)):
+            out = F.when(u < steps[i], F.lit(i)).otherwise(out)
+        return out
+
+    weighed = blocks.withColumn("w", F.transform(F.sequence(F.lit(1), F.lit(reps)), weight))
+    sums = replicate_distances(gt.join(weighed, SITE), F.xxhash64("chrom", "block"), F.col("w"), reps)
+    return sums.select("rep", "sample_i", "sample_j", (F.col("d") / F.when(F.col("n") > 0, F.col("n"))).alias("value"))
 
 
 def expected_dosage(gl: DataFrame) -> DataFrame:
@@ -242,7 +265,11 @@ def admixture_residual_corr(gl: DataFrame, q: DataFrame, f: DataFrame) -> DataFr
     """Correlation over sites of the residuals (expected dosage minus 2 * sum q f) of every pair of samples."""
     fit = q.select("sample_id", "cluster", "q").join(f.select(*SITE, "cluster", "f"), "cluster").groupBy(*SITE, "sample_id").agg((2 * F.sum(F.col("q") * F.col("f"))).alias("fit"))
     res = expected_dosage(gl).join(fit, [*SITE, "sample_id"]).withColumn("r", F.col("dosage") - F.col("fit"))
-    return site_pairs(res.select(*SITE, "sample_id", "r"), "r").groupBy("sample_i", "sample_j").agg(F.corr("x", "y").alias("value"))
+    moments = lambda x, site: [x[0], x[0] ** 2, np.ones_like(x[0])]
+    sums = gram_sums(res, [F.col("r")], moments, [("xy", 0, 0), ("x", 0, 2), ("y", 2, 0), ("xx", 1, 2), ("yy", 2, 1)])
+    n, c = F.col("n"), F.col
+    spread = (n * c("xx") - c("x") ** 2) * (n * c("yy") - c("y") ** 2)
+    return sums.select("sample_i", "sample_j", F.when(spread > 0, (n * c("xy") - c("x") * c("y")) / F.sqrt(spread)).alias("value"))
 
 
 def abba_baba(gt: DataFrame, pops: DataFrame, h1: str, h2: str, h3: str, out: str, block: int = 5_000_000) -> DataFrame:
@@ -262,7 +289,8 @@ def abba_baba(gt: DataFrame, pops: DataFrame, h1: str, h2: str, h3: str, out: st
 def joint_genotype_counts(gt: DataFrame) -> DataFrame:
     """3 x 3 table of each pair with KING, R0, R1."""
     cells = [(i, j) for i in range(3) for j in range(3)]
-    t = site_pairs(gt).groupBy("sample_i", "sample_j").agg(*(F.sum(((F.col("x") == i) & (F.col("y") == j)).cast("long")).alias(f"n{i}{j}") for i, j in cells))
+    sums = gram_sums(gt, [F.col("dosage")], dosages, [(f"n{i}{j}", i, j) for i, j in cells])
+    t = sums.select("sample_i", "sample_j", *(F.col(f"n{i}{j}").cast("long").alias(f"n{i}{j}") for i, j in cells))
     c = F.col
     ibs0, off = c("n02") + c("n20"), c("n01") + c("n10") + c("n12") + c("n21")
     return t.withColumns({"R0": ibs0 / c("n11"), "R1": c("n11") / (off + ibs0), "KING": (c("n11") - 2 * ibs0) / (off + 2 * c("n11"))})

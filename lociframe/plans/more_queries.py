@@ -532,7 +532,7 @@ def gl_expected_distance(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def bootstrap_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return P.bootstrap_blocks(V.genotypes(spark, d), 100, 5)
+    return P.bootstrap_blocks(V.genotypes(spark, d))
 
 
 @query(V.with_views("g", body=f"@{GL}, ed AS (SELECT chrom, pos, sample_id, l1 + 2 * l2 AS x FROM gl), fq AS (SELECT chrom, pos, sum(x) / (2 * count(x)) AS freq FROM ed GROUP BY 1, 2) SELECT a.sample_id AS sample_i, b.sample_id AS sample_j, round(avg((a.x - 2 * freq) * (b.x - 2 * freq) / (2 * freq * (1 - freq))), 5) AS value FROM ed a JOIN ed b ON a.chrom = b.chrom AND a.pos = b.pos AND a.sample_id <= b.sample_id JOIN fq ON fq.chrom = a.chrom AND fq.pos = a.pos WHERE freq > 0 AND freq < 1 GROUP BY 1, 2"))
