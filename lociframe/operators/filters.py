@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lociframe.operators.intervals import overlap_pairs, site_in_mask, windows_around_points
-from lociframe.operators.lineage import ensure_checkpoint_dir
 from lociframe.operators.params import FilterParams, TypeThresholds
 from lociframe.operators.tiles import near, running
 
@@ -389,43 +388,6 @@ def thin_sites(sites: DataFrame, window: int = 10_000) -> DataFrame:
     return sites.groupBy("chrom", F.floor(F.col("pos") / window).cast("long").alias("window")).agg(F.min("pos").alias("pos"))
 
 
-def ld_r2_pairs(gt: DataFrame, window: int) -> DataFrame:
-    """r2 of dosages for pairs of sites of a contig at most `window` apart; a pair needs two samples and variance in both."""
-    called = gt.where("dosage is not null").select("chrom", "pos", "sample_id", "dosage")
-    block = F.floor(F.col("pos") / window)
-    a = called.select("chrom", "sample_id", F.col("pos").alias("pos_a"), F.col("dosage").alias("x"), F.explode(F.array(block, block + 1)).alias("b"))
-    b = called.select("chrom", "sample_id", F.col("pos").alias("pos_b"), F.col("dosage").alias("y"), block.alias("b"))
-    pairs = a.join(b, ["chrom", "sample_id", "b"]).where((F.col("pos_a") < F.col("pos_b")) & (F.col("pos_b") - F.col("pos_a") <= window))
-    n, sx, sy = F.count(F.lit(1)), F.sum("x"), F.sum("y")
-    cov = n * F.sum(F.col("x") * F.col("y")) - sx * sy
-    vx, vy = n * F.sum(F.col("x") * F.col("x")) - sx * sx, n * F.sum(F.col("y") * F.col("y")) - sy * sy
-    return pairs.groupBy("chrom", "pos_a", "pos_b").agg(n.alias("n"), F.when((vx > 0) & (vy > 0), cov * cov / (vx * vy)).alias("r2")).where("r2 is not null and n >= 2")
-
-
-def ld_prune(pairs: DataFrame, sites: DataFrame, r2: float = 0.2) -> DataFrame:
-    """Sites (chrom, pos, priority) kept by greedy pruning: in order of priority (then position), a kept site removes its
-    neighbours with r2 above the threshold. Each round keeps the local maxima and drops their neighbours, which gives the
-    sequential result; rounds are cut by checkpoints and go on until every site is kept or removed."""
-    ensure_checkpoint_dir(pairs.sparkSession)
-    edges = pairs.where(F.col("r2") > r2).select("chrom", F.col("pos_a").alias("pos"), F.col("pos_b").alias("other"))
-    edges = edges.unionByName(edges.select("chrom", F.col("other").alias("pos"), F.col("pos").alias("other"))).persist()
-    place = F.struct(F.col("priority").alias("p"), (-F.col("pos")).alias("n"))
-    left, kept = sites.select("chrom", "pos", place.alias("rank")).checkpoint(), []
-    while True:  # a round settles at least the highest site left of every contig
-        best = edges.join(left.select("chrom", F.col("pos").alias("other"), F.col("rank").alias("other_rank")), ["chrom", "other"]).groupBy("chrom", "pos").agg(F.max("other_rank").alias("m"))
-        tops = left.join(best, SITE, "left").where("m is null or rank > m").select(*SITE).checkpoint()
-        kept.append(tops)
-        gone = edges.join(tops, SITE, "left_semi").select("chrom", F.col("other").alias("pos")).unionByName(tops)
-        left = left.join(gone, SITE, "left_anti").checkpoint()
-        if left.isEmpty():
-            break
-    edges.unpersist()
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.unionByName(k)
-    return out
-
-
 def join_site_stats(sites: DataFrame, *stats: DataFrame) -> DataFrame:
     """Site list with statistics joined by position, null where absent."""
     for s in stats:

@@ -11,6 +11,7 @@ from lociframe.operators import chunking as C
 from lociframe.operators import dataflow as D
 from lociframe.operators import filters as Q
 from lociframe.operators import intervals as I
+from lociframe.operators import ld as L
 from lociframe.operators.params import FilterParams, TypeThresholds
 from lociframe.plans import views as V
 from lociframe.plans.registry import query
@@ -631,7 +632,7 @@ def thin_sites(spark: SparkSession, d: str) -> DataFrame:
 @query(V.with_views("g", body="""@p AS (SELECT a.chrom, a.pos AS pos_a, b.pos AS pos_b, a.dosage AS x, b.dosage AS y FROM g a JOIN g b ON a.chrom = b.chrom AND a.sample_id = b.sample_id AND a.pos < b.pos AND b.pos - a.pos <= 1000),
 t AS (SELECT chrom, pos_a, pos_b, count(*) AS n, count(*) * sum(x * y) - sum(x) * sum(y) AS c, count(*) * sum(x * x) - sum(x) * sum(x) AS vx, count(*) * sum(y * y) - sum(y) * sum(y) AS vy FROM p GROUP BY 1, 2, 3) SELECT chrom, pos_a, pos_b, n, round(CAST(c AS DOUBLE) * c / (CAST(vx AS DOUBLE) * vy), 6) AS r2 FROM t WHERE vx > 0 AND vy > 0 AND n >= 2"""))
 def ld_r2_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return Q.ld_r2_pairs(V.genotypes(spark, d), 1000).withColumn("r2", F.round(F.col("r2").cast("double"), 6))
+    return L.ld_r2_pairs(V.genotypes(spark, d), 1000).withColumn("r2", F.round(F.col("r2").cast("double"), 6))
 
 
 @query(V.with_views("g", "s", body="SELECT s.chrom, s.pos, n FROM s LEFT JOIN (SELECT chrom, pos, count(*) AS n FROM g WHERE gq > 60 GROUP BY 1, 2) USING (chrom, pos)"))

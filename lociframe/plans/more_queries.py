@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
+from lociframe.operators import ld as L
 from lociframe.operators import kmers as N
 from lociframe.operators import mito as M
 from lociframe.operators import popgen as P
@@ -700,8 +701,8 @@ def sfs_em(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def ld_prune(spark: SparkSession, d: str) -> DataFrame:
-    pairs = Q.ld_r2_pairs(V.genotypes(spark, d), 1000)
-    return Q.ld_prune(pairs, V.sites(spark, d).select("chrom", "pos", F.col("size").alias("priority")), 0.2)
+    pairs = L.ld_r2_pairs(V.genotypes(spark, d), 1000)
+    return L.ld_prune(pairs, V.sites(spark, d).select("chrom", "pos", F.col("size").alias("priority")), 0.2)
 
 
 @query()

@@ -11,6 +11,7 @@ from lociframe.functions.sql import register_sql_functions
 from lociframe.operators import dataflow as D
 from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
+from lociframe.operators import ld as L
 from lociframe.operators import mito as M
 from lociframe.operators import popgen as P
 from lociframe.operators import reads as R
@@ -62,7 +63,7 @@ def test_greedy_prune(spark):
     for _, p, _ in sorted(sites, key=lambda s: (-s[2], s[1])):
         if not any((a == p and b in kept) or (b == p and a in kept) for _, a, b, _ in pairs):
             kept.add(p)
-    got = Q.ld_prune(spark.createDataFrame(pairs, "chrom string, pos_a long, pos_b long, r2 double"), spark.createDataFrame(sites, "chrom string, pos long, priority int"))
+    got = L.ld_prune(spark.createDataFrame(pairs, "chrom string, pos_a long, pos_b long, r2 double"), spark.createDataFrame(sites, "chrom string, pos long, priority int"))
     assert {x["pos"] for x in got.collect()} == kept
 
 
@@ -310,5 +311,5 @@ def test_spectrum_em_counts_sites_with_fewer_samples(spark):
 def test_prune_settles_a_long_chain(spark):
     """Tied priorities along a chain: every second site stays, past any number of rounds."""
     sites, pairs = [("c", p, 0) for p in range(106)], [("c", p, p + 1, 0.9) for p in range(105)]
-    got = Q.ld_prune(spark.createDataFrame(pairs, "chrom string, pos_a long, pos_b long, r2 double").coalesce(1), spark.createDataFrame(sites, "chrom string, pos long, priority int").coalesce(1))
+    got = L.ld_prune(spark.createDataFrame(pairs, "chrom string, pos_a long, pos_b long, r2 double").coalesce(1), spark.createDataFrame(sites, "chrom string, pos long, priority int").coalesce(1))
     assert {x["pos"] for x in got.collect()} == set(range(0, 106, 2))
