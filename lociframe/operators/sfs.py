@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,29 +13,6 @@ from lociframe.operators.tiles import numbered
 SITE = ["chrom", "pos"]
 
 
-def site_allele_likelihood(gl: DataFrame) -> DataFrame:
-    """`saf`: likelihood of each number of derived alleles at a site, the samples' likelihoods convolved in order of their ids,
-    binomials divided out; scaled to maximum 1."""
-    packed = gl.groupBy(*SITE).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sample_id", "gl"))), lambda x: x["gl"])).alias("g"))
-
-    def convolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for g in batch.column(2):
-                z = np.ones(1)
-                for a, b, c in np.asarray(g.values, float).reshape(-1, 3):
-                    z = np.convolve(z, (a, 2 * b, c))
-                    z /= z.max()
-                n = len(z) - 1
-                ways = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in range(n + 1)])
-                logs = np.log(np.maximum(z, 1e-300)) - ways
-                out.append(np.exp(logs - logs.max()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))], names=[*SITE, "saf"])
-
-    chrom, pos = (gl.schema[c].dataType.simpleString() for c in SITE)
-    return packed.mapInArrow(convolve, f"chrom {chrom}, pos {pos}, saf array<double>")
-
-
 def sfs_em(saf: DataFrame, rounds: int = 20, tol: float = 1e-6) -> DataFrame:
     """Maximum-likelihood spectrum (bin, n) by EM over sites: a round sums the posterior arrays; the spectrum itself, 2n + 1
     numbers, is what travels between rounds. Samples without a row at a site have a flat likelihood there, so every site counts."""

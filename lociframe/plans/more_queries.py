@@ -13,6 +13,7 @@ from lociframe.operators import kmers as N
 from lociframe.operators import mito as M
 from lociframe.operators import popgen as P
 from lociframe.operators import reads as R
+from lociframe.operators import saf as S
 from lociframe.operators import sequence as K
 from lociframe.operators import sfs as X
 from lociframe.plans import views as V
@@ -690,13 +691,18 @@ def windowed_fst(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def site_allele_likelihood(spark: SparkSession, d: str) -> DataFrame:
     """Every entry of every site's likelihoods."""
-    saf = X.site_allele_likelihood(likelihoods(spark, d)).select("chrom", "pos", F.posexplode("saf").alias("n_derived", "likelihood"))
+    saf = S.site_allele_likelihood(likelihoods(spark, d)).select("chrom", "pos", F.posexplode("saf").alias("n_derived", "likelihood"))
     return rounded(saf, "likelihood")
 
 
+@query()
+def sfs_2d_em(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(S.sfs_2d_em(likelihoods(spark, d), V.popmap(spark, d), "P0", "P1"), "n", digits=4)
+
+
 @query()
 def sfs_em(spark: SparkSession, d: str) -> DataFrame:
-    return X.sfs_em(X.site_allele_likelihood(likelihoods(spark, d)))
+    return X.sfs_em(S.site_allele_likelihood(likelihoods(spark, d)))
 
 
 @query()

@@ -15,6 +15,7 @@ from lociframe.operators import ld as L
 from lociframe.operators import mito as M
 from lociframe.operators import popgen as P
 from lociframe.operators import reads as R
+from lociframe.operators import saf as S
 from lociframe.operators import sequence as K
 from lociframe.operators import sfs as X
 from lociframe.operators.params import TypeThresholds
@@ -140,7 +141,7 @@ def test_indels_move_left_as_far_as_the_flank_shows(spark):
 
 def test_spectrum_likelihoods_of_long_cohorts(spark):
     rows = [("c", 1, f"s{s:03}", [0.9, 0.05, 0.05] if s % 3 else [0.05, 0.9, 0.05]) for s in range(200)]
-    saf = X.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")).first()["saf"]
+    saf = S.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")).first()["saf"]
     assert len(saf) == 401 and max(saf) == pytest.approx(1.0) and all(math.isfinite(x) and x >= 0 for x in saf)
 
 
@@ -211,7 +212,7 @@ def test_spectrum_em_finds_called_counts(spark):
             d = int(r.random() < 0.3) + int(r.random() < 0.3)
             rows.append(("c", p, f"s{s}", [1.0 if d == i else 1e-9 for i in range(3)], d))
     g = spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>, dosage int")
-    em = {x["bin"]: x["n"] for x in X.sfs_em(X.site_allele_likelihood(g), 30).collect()}
+    em = {x["bin"]: x["n"] for x in X.sfs_em(S.site_allele_likelihood(g), 30).collect()}
     called = {x["bin"]: x["n"] for x in X.sfs_1d(g, folded=False).collect()}
     assert all(abs(em[b] - called.get(b, 0)) < 0.1 for b in em)
 
@@ -304,7 +305,7 @@ def test_spectrum_em_counts_sites_with_fewer_samples(spark):
     for _ in range(20):
         post = np.array(safs) * want
         want = (post / post.sum(1, keepdims=True)).mean(0)
-    em = {x["bin"]: x["n"] for x in X.sfs_em(X.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")), tol=0.0).collect()}
+    em = {x["bin"]: x["n"] for x in X.sfs_em(S.site_allele_likelihood(spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")), tol=0.0).collect()}
     assert np.allclose([em[j] for j in range(11)], 20 * want) and abs(sum(em.values()) - 20) < 1e-6
 
 
