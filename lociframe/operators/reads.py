@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import merge, overlap_pairs, overlap_semi, subtract
+from lociframe.operators.pileup import pileup as tiled_pileup
 from lociframe.operators.tiles import running, tile_of
 
 #: Alignment flag bits.
@@ -62,12 +63,6 @@ def _cut(reads: DataFrame, length: Column) -> DataFrame:
     return reads.withColumn("__n", length).withColumns({"seq": F.substr("seq", F.lit(1), F.col("__n").cast("int")), "qual": F.substr("qual", F.lit(1), F.col("__n").cast("int"))}).drop("__n")
 
 
-def trim_adapter(reads: DataFrame, adapters: list[str], min_overlap: int = 8) -> DataFrame:
-    """Clipped from the first exact match of an adapter's first min_overlap bases."""
-    at = F.least(F.length("seq") + 1, *(F.when(F.instr("seq", a[:min_overlap]) > 0, F.instr("seq", a[:min_overlap])).otherwise(F.length("seq") + 1) for a in adapters)) if adapters else F.length("seq") + 1
-    return _cut(reads, at - 1)
-
-
 def trim_poly_g(reads: DataFrame, min_len: int = 10) -> DataFrame:
     tail = F.length(F.regexp_extract("seq", f"(G{{{min_len},}})$", 1))
     return _cut(reads, F.length("seq") - tail)
@@ -101,8 +96,8 @@ def alignment_filter(aln: DataFrame, drop_flags: int = DROPPED, min_mapq: int =
     return aln.where(~flag(drop_flags) & (F.col("mapq") >= min_mapq) & pair & size & (F.col("aligned") >= min_aligned))
 
 
-def mark_duplicates(aln: DataFrame) -> DataFrame:
-    """`duplicate`: all but the best (quality sum, then name) of the reads with equal group, 5' ends and strand."""
+def mark_duplicate_reads(aln: DataFrame) -> DataFrame:
+    """Single reads, without mates and clips (`duplicates.mark_duplicates` has both). `duplicate`: all but the best (quality sum, then name) of the reads with equal group, 5' ends and strand."""
     five = F.when(flag(REVERSE), F.col("end")).otherwise(F.col("start"))
     w = W.partitionBy("rg", "chrom", "__five", "__strand").orderBy(F.desc("qual_sum"), "qname")
     return aln.withColumns({"__five": five, "__strand": flag(REVERSE)}).withColumn("duplicate", F.row_number().over(w) > 1).drop("__five", "__strand")
@@ -158,25 +153,8 @@ def downsample_to_coverage(aln: DataFrame, targets: DataFrame, x: float, seed: i
 
 
 def pileup(aln: DataFrame, min_bq: int = 13, min_mq: int = 20, trim: int = 0, max_depth: int = 1000) -> DataFrame:
-    """Allele counts per site and sample (chrom, pos, sample_id, allele, fwd, rev) from CIGARs; reads deeper than max_depth at a
-    site are left out in order of name. Insertions and clips advance the read only, deletions the reference only."""
-    ops = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+[MIDNSHP=X])"), F.lit(1)), lambda c: F.struct(F.regexp_extract(c, "^([0-9]+)", 1).cast("int").alias("n"), F.substring(c, -1, 1).alias("op")))
-    zero = F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), F.expr("cast(array() as array<struct<r:int,q:int,n:int>>)").alias("m"))
-    on_ref, on_read, both = ["M", "D", "N", "=", "X"], ["M", "I", "S", "=", "X"], ["M", "=", "X"]
-    walk = F.aggregate(
-        ops, zero,
-        lambda a, o: F.struct(
-            (a["r"] + F.when(o["op"].isin(*on_ref), o["n"]).otherwise(0)).alias("r"), (a["q"] + F.when(o["op"].isin(*on_read), o["n"]).otherwise(0)).alias("q"),
-            F.when(o["op"].isin(*both), F.concat(a["m"], F.array(F.struct(a["r"].alias("r"), a["q"].alias("q"), o["n"].alias("n"))))).otherwise(a["m"]).alias("m"),
-        ), lambda a: a["m"],
-    )
-    used = aln.where(~flag(DROPPED) & (F.col("mapq") >= min_mq)).select("chrom", "pos", "sample_id", "qname", "seq", "qual", flag(REVERSE).alias("__rev"), F.explode(walk).alias("m"))
-    bases = used.select("chrom", "pos", "sample_id", "qname", "seq", "qual", "__rev", "m", F.explode(F.sequence(F.lit(0), F.col("m.n") - 1)).alias("k")).withColumn("__at", F.col("m.q") + F.col("k"))
-    base = F.upper(F.substr("seq", F.col("__at") + 1, F.lit(1)))
-    good = bases.where((F.ascii(F.substr("qual", F.col("__at") + 1, F.lit(1))) - 33 >= min_bq) & (F.col("__at") >= trim) & (F.col("__at") < F.length("seq") - trim))
-    placed = good.select("chrom", (F.col("pos") + F.col("m.r") + F.col("k")).cast("long").alias("pos"), "sample_id", "qname", base.alias("allele"), "__rev")
-    near = placed.withColumn("__d", F.row_number().over(W.partitionBy("chrom", "pos", "sample_id").orderBy("qname"))).where(F.col("__d") <= max_depth)
-    return near.groupBy("chrom", "pos", "sample_id", "allele").agg(F.sum((~F.col("__rev")).cast("int")).alias("fwd"), F.sum(F.col("__rev").cast("int")).alias("rev"))
+    """Allele counts per site and sample, as `pileup.pileup`, without unmapped, secondary, failed, duplicate and supplementary reads."""
+    return tiled_pileup(aln, DROPPED, min_bq, min_mq, trim, max_depth)
 
 
 def insert_sizes(aln: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.operators import duplicates as U
 from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
@@ -16,6 +17,7 @@ from lociframe.operators import reads as R
 from lociframe.operators import saf as S
 from lociframe.operators import sequence as K
 from lociframe.operators import sfs as X
+from lociframe.operators import trimming as T
 from lociframe.plans import views as V
 from lociframe.plans.core_queries import AB, merged_sql
 from lociframe.plans.registry import query
@@ -199,9 +201,37 @@ def annotate_rg(spark: SparkSession, d: str) -> DataFrame:
     return R.annotate_rg(reads(spark, d)).select("read_id")
 
 
-@query(f"WITH {RD} SELECT doc_id, part, substr(seq, 1, CASE WHEN strpos(seq, 'the and ') > 0 THEN strpos(seq, 'the and ') - 1 ELSE length(seq) END) AS seq FROM rd")
+ADAPTERS = ["the and of", "athon"]
+
+
+def adapters_sql(least: int) -> str:
+    """`cut`: where the first adapter begins, or the length: all starts, all letters, an eighth of them wrong at most."""
+    hits = " + ".join(f"""list_filter(range(0, greatest(length(seq) - {least} + 1, 0)), lambda i: length(list_filter(range(1, least({len(a)}, length(seq) - i) + 1), lambda k: substr(seq, i + k, 1) <> substr('{a}', k, 1))) <= least({len(a)}, length(seq) - i) // 8)""" for a in ADAPTERS if len(a) >= least).replace(" + list", " || list")
+    return f"{RD}, st AS (SELECT doc_id, part, seq, list_min({hits}) AS hit FROM rd)"
+
+
+@query(f"WITH {adapters_sql(3)} SELECT doc_id, part, substr(seq, 1, CAST(coalesce(hit, length(seq)) AS BIGINT)) AS seq FROM st")
 def trim_adapter(spark: SparkSession, d: str) -> DataFrame:
-    return R.trim_adapter(reads(spark, d), ["the and of"], 8).select("doc_id", "part", "seq")
+    return T.trim_adapter(reads(spark, d), ADAPTERS, 3).select("doc_id", "part", "seq")
+
+
+def read_through(spark: SparkSession, d: str) -> DataFrame:
+    """Mates of 100 letters from inserts of the documents' letters as bases, one in 20 to 119 letters by the number of the piece; what is beyond
+    the insert is adapter."""
+    starts = F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / 120).cast("int"))
+    cut = V.dna(spark, d).where("length(seq) > 0").select("contig", F.posexplode(F.transform(starts, lambda i: F.substr("seq", 120 * i + 1, F.lit(120)))).alias("part", "piece"))
+    cut = cut.where("length(piece) = 120").withColumn("ins", F.substr("piece", F.lit(1), (40 + F.pmod(F.col("part") * 7 + F.length("contig"), F.lit(80))).cast("int")))
+    back = F.reverse(F.translate("ins", "ACGT", "TGCA"))
+    mate = lambda s, a: F.substr(F.concat(s, F.lit(a), F.repeat(F.lit("T"), F.lit(100))), F.lit(1), F.lit(100))
+    return cut.select("contig", "part", F.length("ins").alias("size"), mate(F.col("ins"), "AGATCGGAAGAGC").alias("seq1"), F.repeat(F.lit("I"), F.lit(100)).alias("qual1"), mate(back, "AGATCGGAAGAGC").alias("seq2"), F.repeat(F.lit("I"), F.lit(100)).alias("qual2"))
+
+
+@query(V.with_views("dna", body="""@pc AS (SELECT contig, unnest(range(0, (length(seq) - 1) // 120 + 1)) AS part, seq FROM dna WHERE length(seq) > 0), ins AS (SELECT contig, part, substr(substr(seq, part * 120 + 1, 120), 1, CAST(40 + (part * 7 + length(contig)) % 80 AS BIGINT)) AS s FROM pc WHERE length(substr(seq, part * 120 + 1, 120)) = 120),
+mt AS (SELECT contig, part, substr(s || 'AGATCGGAAGAGC' || repeat('T', 100), 1, 100) AS a, substr(reverse(translate(s, 'ACGT', 'TGCA')) || 'AGATCGGAAGAGC' || repeat('T', 100), 1, 100) AS b FROM ins),
+fd AS (SELECT *, list_max(list_filter(range(40, 101), lambda n: substr(a, 1, n) = reverse(translate(substr(b, 1, n), 'ACGT', 'TGCA')))) AS n FROM mt)
+SELECT contig, part, substr(a, 1, coalesce(n, 100)) AS seq1, substr(b, 1, coalesce(n, 100)) AS seq2 FROM fd"""))
+def trim_read_through(spark: SparkSession, d: str) -> DataFrame:
+    return T.trim_read_through(read_through(spark, d), 40, 0.0, 0).select("contig", "part", "seq1", "seq2")
 
 
 @query(f"WITH {RD} SELECT doc_id, part, regexp_replace(seq, 'G{{2,}}$', '') AS seq FROM rd")
@@ -253,10 +283,40 @@ def alignment_filter(spark: SparkSession, d: str) -> DataFrame:
     return R.alignment_filter(V.alignments(spark, d)).select("qname")
 
 
+def paired_alignments(spark: SparkSession, d: str) -> DataFrame:
+    """Two mates of every event with clips and tile coordinates in the name; a fifth have one mapped mate, some a supplementary row."""
+    e = V.table(spark, d, "events")
+    k, u = F.col("event_id"), F.col("user_id")
+    name = F.concat(F.lit("M1:7:FC:1:"), (u % 3).cast("string"), F.lit(":"), (k * 37 % 9000).cast("string"), F.lit(":"), (k * 91 % 9000).cast("string"))
+    at = F.floor(F.unix_timestamp("ts") / 2000) % 150 * 10
+    pick = lambda *v: F.element_at(F.array(*(F.lit(x) for x in v)), (k % 3 + 1).cast("int"))
+    row = lambda flag, start, end, cigar: F.struct(F.lit(flag).alias("flag"), start.alias("start"), end.alias("end"), cigar.alias("cigar"))
+    lead, trail = pick(0, 2, 5), pick(0, 0, 3)
+    single, more = k % 5 == 0, k % 11 == 0
+    rows = F.array(row(65, at + lead, at + 32, pick("32M", "2S30M", "5H27M")), F.when(~single, row(145, at + 50, at + 82 + u % 2 - trail, pick("32M", "32M", "29M3S"))), F.when(single, row(133, at, at, F.lit("*"))), F.when(more, row(2113, at + 500, at + 520, F.lit("20M12S"))))
+    wide = e.select(name.alias("qname"), F.col("event_type").alias("chrom"), F.concat(F.lit("g"), (u % 2).cast("string")).alias("rg"), F.translate(F.md5(k.cast("string")), "0123456789abcdef", "$$IIIIIIIIIIIIII").alias("qual"), F.explode(F.array_compact(rows)).alias("x"))
+    return wide.select("qname", "chrom", "rg", "qual", "x.*")
+
+
+PAIRED = """ev AS (SELECT *, 'M1:7:FC:1:' || CAST(user_id % 3 AS VARCHAR) || ':' || CAST(event_id * 37 % 9000 AS VARCHAR) || ':' || CAST(event_id * 91 % 9000 AS VARCHAR) AS qname, 'g' || CAST(user_id % 2 AS VARCHAR) AS rg, event_type AS chrom, CAST(floor(epoch(ts)) AS BIGINT) // 2000 % 150 * 10 AS base,
+  40 * length(replace(translate(md5(CAST(event_id AS VARCHAR)), '0123456789abcdef', '$$IIIIIIIIIIIIII'), '$', '')) AS s FROM events),
+rows_ AS (SELECT qname, rg, chrom, 65 AS flag, base AS five, s FROM ev UNION ALL SELECT qname, rg, chrom, 145, base + 82 + user_id % 2, s FROM ev WHERE event_id % 5 <> 0 UNION ALL SELECT qname, rg, chrom, 133, NULL, s FROM ev WHERE event_id % 5 = 0 UNION ALL SELECT qname, rg, chrom, 2113, NULL, s FROM ev WHERE event_id % 11 = 0),
+tm AS (SELECT rg, qname, list_sort(list(chrom || ':' || lpad(CAST(five AS VARCHAR), 9, '0') || CASE WHEN (flag & 16) <> 0 THEN '-' ELSE '+' END)) AS ends, sum(s) AS score FROM rows_ WHERE flag IN (65, 145) GROUP BY 1, 2),
+rk AS (SELECT *, row_number() OVER (PARTITION BY rg, ends ORDER BY score DESC, qname) AS place, first_value(qname) OVER (PARTITION BY rg, ends ORDER BY score DESC, qname) AS best FROM tm),
+taken AS (SELECT DISTINCT rg, unnest(ends) AS e FROM tm WHERE len(ends) > 1),
+jd AS (SELECT rk.*, len(ends) = 1 AND EXISTS (SELECT 1 FROM taken t WHERE t.rg = rk.rg AND t.e = rk.ends[1]) AS by_pair FROM rk),
+mk AS (SELECT rg, qname, place > 1 OR by_pair AS dup, NOT by_pair AND split_part(qname, ':', 5) = split_part(best, ':', 5) AND abs(CAST(split_part(qname, ':', 6) AS BIGINT) - CAST(split_part(best, ':', 6) AS BIGINT)) <= 2500 AND abs(CAST(split_part(qname, ':', 7) AS BIGINT) - CAST(split_part(best, ':', 7) AS BIGINT)) <= 2500 AS near FROM jd)"""
+
+
+@query(f"WITH {PAIRED} SELECT r.qname, r.rg, r.flag, flag <> 133 AND dup AS duplicate, flag <> 133 AND dup AND near AS optical FROM rows_ r JOIN mk USING (rg, qname)")
+def mark_template_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return U.mark_duplicates(paired_alignments(spark, d)).select("qname", "rg", "flag", "duplicate", "optical")
+
+
 @query(V.with_views("aln", body="""SELECT qname, row_number() OVER (PARTITION BY rg, chrom, CASE WHEN (flag & 16) <> 0 THEN "end" ELSE start END, (flag & 16) <> 0 ORDER BY qual_sum DESC, qname) > 1 AS duplicate FROM (SELECT * REPLACE (start // 1000 AS start, "end" // 1000 AS "end") FROM aln)"""))
 def mark_duplicates(spark: SparkSession, d: str) -> DataFrame:
     coarse = V.alignments(spark, d).withColumns({"start": F.floor(F.col("start") / 1000), "end": F.floor(F.col("end") / 1000)})
-    return R.mark_duplicates(coarse).select("qname", "duplicate")
+    return R.mark_duplicate_reads(coarse).select("qname", "duplicate")
 
 
 @query(V.with_views("aln", "iv", body="@" + merged_sql("(SELECT chrom, start, \"end\" FROM iv WHERE weight > 450)") + f""" SELECT qname FROM aln a WHERE (flag & {0x4 | 0x100 | 0x400 | 0x800}) = 0 AND EXISTS (SELECT 1 FROM merged m WHERE m.chrom = a.chrom AND m.start < a."end" AND a.start < m."end")"""))
