@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,18 +80,68 @@ def constrain_to_panel(calls: DataFrame, panel: DataFrame, exclude: DataFrame) -
     return used.join(calls.drop(*[c for c in calls.columns if c in panel.columns and c not in SITE]), SITE, "left")
 
 
+#: Bases of a tile of the cohort matrix, and samples of a block of it.
+TILE, SAMPLES = 65_536, 256
+
+
 def combine_samples(variants: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Cohort matrix at variant sites: each sample's variant call, or dosage 0 with the depth of the reference block that holds
-    the site (sample_id, chrom, start, end, dp), or missing. Blocks are looked up by the binned range join."""
-    from lociframe.operators.intervals import overlap_pairs
-
-    sites = variants.select(*SITE).distinct()
-    samples = blocks.select("sample_id").unionByName(variants.select("sample_id")).distinct()
-    points = sites.select("chrom", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"), "pos")
-    inside = overlap_pairs(points, blocks).select("chrom", "pos", F.col("b_sample_id").alias("sample_id"), F.col("b_dp").alias("block_dp")).groupBy(*CELL).agg(F.max("block_dp").alias("block_dp"))
-    cells = sites.crossJoin(samples).join(variants.select(*CELL, "dosage", "dp"), CELL, "left").join(inside, CELL, "left")
-    called = F.coalesce("dosage", F.when(F.col("block_dp").isNotNull() & F.col("dp").isNull(), F.lit(0)))
-    return cells.select(*CELL, called.cast("int").alias("dosage"), F.coalesce("dp", "block_dp").alias("dp"))
+    """Cohort matrix at variant sites: each sample's variant call (chrom, pos, sample_id, dosage, dp), or dosage 0 with the depth of the
+    reference block that holds the site (sample_id, chrom, start, end, dp; the deepest if they overlap), or missing. A sample has one
+    call at a site at most.
+
+    A task has a tile's sites, its variant calls and reference blocks of some samples, and lays each block over the sorted sites; a block
+    is a row for each tile that it reaches into, however many sites it holds.
+    """
+    number = lambda n: F.pmod(F.xxhash64("sample_id"), F.lit(n)).cast("int")
+    samples = blocks.select("sample_id").unionByName(variants.select("sample_id")).where("sample_id is not null").distinct()
+    parts = max(1, -(-samples.count() // SAMPLES))
+    tile = lambda c: F.floor(c / TILE)
+    sites = variants.where("chrom is not null and pos is not null").select(*SITE, tile(F.col("pos") - 1).alias("tile")).distinct()
+    names = samples.groupBy(number(parts).alias("part")).agg(F.collect_list("sample_id").alias("names"))
+    keys = sites.select("chrom", "tile").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(names, "part")
+    kind = dict(variants.dtypes)["dp"]
+    columns = {"kind": "int", "pos": "bigint", "end": "bigint", "sample_id": "string", "dosage": "int", "dp": "bigint", "names": "array<string>"}
+
+    def rows(df: DataFrame, **given: Column) -> DataFrame:
+        return df.select("chrom", "tile", "part", *(given.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns.items()))
+
+    c = F.col
+    placed = blocks.where(c("end") > c("start")).withColumn("tile", F.explode(F.sequence(tile(c("start")), tile(c("end") - 1)))).withColumn("part", number(parts))
+    union = rows(keys, kind=F.lit(0), names=c("names"))
+    union = union.unionByName(rows(sites.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), kind=F.lit(1), pos=c("pos")))
+    union = union.unionByName(rows(variants.withColumn("tile", tile(c("pos") - 1)).withColumn("part", number(parts)), kind=F.lit(2), pos=c("pos"), sample_id=c("sample_id"), dosage=c("dosage"), dp=c("dp")))
+    union = union.unionByName(rows(placed, kind=F.lit(3), pos=c("start"), end=c("end"), sample_id=c("sample_id"), dp=c("dp")))
+
+    def lay(key: tuple, group: pa.Table) -> pa.Table:
+        of = lambda k: group.filter(pc.equal(group.column("kind"), k))
+        names = [s for some in of(0).column("names").to_pylist() for s in some]
+        pos = np.unique(of(1).column("pos").to_numpy())
+        at = {s: i for i, s in enumerate(names)}
+        none = np.iinfo(np.int64).min
+        deep = np.full((len(names), len(pos)), none)
+        covering = of(3)
+        if len(pos) and len(names):
+            dp = covering.column("dp").combine_chunks().fill_null(none + 1).to_numpy()  # a block without a depth still holds its sites
+            low, high = (np.searchsorted(pos - 1, covering.column(x).to_numpy(), "left") for x in ("pos", "end"))
+            for s, a, b, d in zip(covering.column("sample_id").to_pylist(), low.tolist(), high.tolist(), dp.tolist(), strict=True):
+                if a < b and s in at:
+                    np.maximum(deep[at[s], a:b], d, out=deep[at[s], a:b])
+        deep[deep == none + 1] = none
+        called, depth = np.full(deep.shape, none), np.full(deep.shape, none)
+        calls = of(2)
+        known = [i for i, s in enumerate(calls.column("sample_id").to_pylist()) if s in at]
+        calls = calls.take(pa.array(known, pa.int64()))
+        i = np.array([at[s] for s in calls.column("sample_id").to_pylist()], np.int64)
+        j = np.searchsorted(pos, calls.column("pos").to_numpy())
+        called[i, j] = calls.column("dosage").combine_chunks().cast(pa.int64()).fill_null(none).to_numpy()
+        depth[i, j] = calls.column("dp").combine_chunks().fill_null(none).to_numpy()
+        dosage = np.where(called != none, called, np.where((deep != none) & (depth == none), 0, none)).ravel()
+        dp = np.where(depth != none, depth, deep).ravel()
+        n = len(names) * len(pos)
+        return pa.table({"chrom": pa.array([key[0].as_py()] * n, pa.string()), "pos": pa.array(np.tile(pos, len(names))), "sample_id": pa.array(np.repeat(np.array(names, object), len(pos)), pa.string()), "dosage": pa.array(dosage.astype(np.int32), mask=dosage == none), "dp": pa.array(dp, mask=dp == none)})
+
+    cells = union.groupBy("chrom", "tile", "part").applyInArrow(lay, "chrom string, pos long, sample_id string, dosage int, dp long")
+    return cells.withColumn("dp", c("dp").cast(kind))
 
 
 def gvcf_bands(persite: DataFrame, edges: list[int]) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lociframe.streaming.store import Store, reuse
+
 
 def counted_groups(stream: DataFrame, key: str = "sample_id", part: str = "part", expected: str = "n_parts") -> DataFrame:
     """Keys whose declared number of distinct parts has arrived, each emitted once. State per key: the parts seen; repeats of
@@ -28,22 +30,15 @@ def counted_groups(stream: DataFrame, key: str = "sample_id", part: str = "part"
 
 
 def incremental_reuse(stream: DataFrame, store: str, checkpoint: str, key: str = "sample_id", valid: Column | str | None = None):
-    """Appends to the store (Parquet) the samples of each batch that it does not hold yet; returns the running query.
+    """Adds to the store (`store.Store`, read with `Store.read`) the samples of each batch that it does not hold yet; returns the
+    running query.
 
-    valid: stored samples count as held only if this holds for one of their rows; others are made again, and what is stored
-    later stands beside the invalid row. Repeats within a batch count once; a batch that is run again adds nothing.
+    valid: stored samples count as held only if this holds for their row; others are replaced. Repeats within a batch count once; a
+    batch that is run again adds nothing, and one that died before its commit leaves nothing to read.
     """
 
-    def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
-        try:
-            held = spark.read.schema(batch.schema).parquet(store)
-            fresh = fresh.join((held if valid is None else held.where(valid)).select(key), key, "left_anti")
-        except Exception as e:  # the first batch finds no store
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        fresh.write.mode("append").parquet(store)
+    def add(batch: DataFrame, number: int) -> None:
+        reuse(batch, number, Store(batch.sparkSession, store, batch.schema, key), valid)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -78,3 +78,23 @@ def test_nothing_linked(spark):
     pairs, sites = frames(spark, [("c", 5, 1), ("d", 5, None)], [("c", 5, 9, 0.1)])
     assert sorted(tuple(x) for x in L.ld_prune(pairs, sites).collect()) == [("c", 5), ("d", 5)]
     assert L.ld_prune(pairs, sites.limit(0)).count() == 0
+
+
+def test_cohort_matrix_by_a_sweep(spark, monkeypatch):
+    """Calls, overlapping and long reference blocks, and missing cells, against plain Python; a block is a row for each tile."""
+    from lociframe.operators import genotypes as G
+
+    monkeypatch.setattr(G, "TILE", 100)
+    monkeypatch.setattr(G, "SAMPLES", 3)
+    r = random.Random(1)
+    calls = {(c, p, f"s{s}"): (r.choice([1, 2, None]), r.choice([7, None])) for c in "xy" for p in r.sample(range(1, 900), 25) for s in r.sample(range(9), 2)}
+    blocks = [(f"s{s}", c, a, a + r.choice([1, 50, 600]), r.choice([3, 5, None])) for s in range(8) for c in "xy" for a in r.sample(range(900), 4)]
+    got = G.combine_samples(spark.createDataFrame([(*k, *v) for k, v in calls.items()], "chrom string, pos long, sample_id string, dosage int, dp long"), spark.createDataFrame(blocks, "sample_id string, chrom string, start long, end long, dp long"))
+    sites, want = {k[:2] for k in calls}, {}
+    for c, p in sites:
+        for s in {f"s{i}" for i in range(9)} & ({k[2] for k in calls} | {b[0] for b in blocks}):
+            deep = [b[4] for b in blocks if b[0] == s and b[1] == c and b[2] < p <= b[3] and b[4] is not None]
+            dosage, dp = calls.get((c, p, s), (None, None))
+            deepest = max(deep, default=None)
+            want[c, p, s] = (dosage if dosage is not None else 0 if deepest is not None and dp is None else None, dp if dp is not None else deepest)
+    assert {(x["chrom"], x["pos"], x["sample_id"]): (x["dosage"], x["dp"]) for x in got.collect()} == want
