@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.admixture import admixture_em
 from lociframe.operators.gram import dosages, gram_sums, numbered_samples, replicate_distances, standardised
 from lociframe.operators.lineage import ensure_checkpoint_dir
 from lociframe.operators.spectral import Square, as_frames, centred, leading
@@ -213,38 +214,7 @@ def site_inbreeding(gt: DataFrame) -> DataFrame:
     return out.where("exp_het > 0").withColumn("F", 1 - F.col("obs_het") / F.col("exp_het"))
 
 
-def admixture_em(gl: DataFrame, k: int, reps: int = 1, seed: int = 1, rounds: int = 10, parts: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """K-cluster EM on likelihoods `gl`: (q: rep, sample_id, cluster, q), (f: rep, site, cluster, f), (log-likelihoods per rep).
-
-    Every restart has its own seed, seed + restart. A round joins q and f (arrays of K) to the cells and sums by sample and
-    by site; each is cut by a checkpoint. parts (sample_id, rep) runs one model per set of samples instead of restarts."""
-    ensure_checkpoint_dir(gl.sparkSession)
-    cells = gl.select(*SITE, "sample_id", "gl")
-    cells = cells.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))) if parts is None else cells.join(parts.select("sample_id", "rep"), "sample_id")
-    cells = cells.persist()
-    draw = lambda *c: F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: (F.pmod(F.xxhash64(F.lit(seed) + F.col("rep"), *c, i), F.lit(9973)) + 1) / 9974.0)
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    q = cells.select("rep", "sample_id").distinct().withColumn("q", draw("sample_id")).withColumn("q", F.transform("q", lambda x: x / total(F.col("q"))))
-    f = cells.select("rep", *SITE).distinct().withColumn("f", draw("chrom", "pos"))
-    g = F.col("gl")
-    like = None
-    for _ in range(rounds):
-        x = cells.join(q, ["rep", "sample_id"]).join(f, ["rep", *SITE])
-        x = x.withColumn("h", total(F.zip_with("q", "f", lambda a, b: a * b)))
-        x = x.withColumns({"l0": g[0] * (1 - F.col("h")) ** 2, "l1": g[1] * 2 * F.col("h") * (1 - F.col("h")), "l2": g[2] * F.col("h") ** 2}).withColumn("l", F.col("l0") + F.col("l1") + F.col("l2"))
-        x = x.withColumn("d", (F.col("l1") + 2 * F.col("l2")) / F.col("l"))
-        x = x.withColumn("a", F.zip_with("q", "f", lambda p, r: F.col("d") * p * r / F.col("h"))).withColumn("b", F.zip_with("q", "f", lambda p, r: (2 - F.col("d")) * p * (1 - r) / (1 - F.col("h"))))
-        x = x.select("rep", *SITE, "sample_id", "a", "b", "l").persist()
-        sums = lambda c: F.array(*(F.sum(F.col(c)[i]) for i in range(k)))
-        q = x.groupBy("rep", "sample_id").agg(sums("a").alias("A"), sums("b").alias("B")).select("rep", "sample_id", F.zip_with("A", "B", lambda s, t: s + t).alias("q")).withColumn("q", F.transform("q", lambda v: v / total(F.col("q")))).checkpoint()
-        f = x.groupBy("rep", *SITE).agg(sums("a").alias("A"), sums("b").alias("B")).select("rep", *SITE, F.transform(F.zip_with("A", "B", lambda s, t: s / (s + t)), lambda v: F.least(F.greatest(v, F.lit(1e-6)), F.lit(1 - 1e-6))).alias("f")).checkpoint()
-        like = x.groupBy("rep").agg(F.sum(F.log("l")).alias("log_likelihood")).checkpoint()
-        x.unpersist()
-    cells.unpersist()
-    return q.select("rep", "sample_id", F.posexplode("q").alias("cluster", "q")), f.select("rep", *SITE, F.posexplode("f").alias("cluster", "f")), like
-
-
-def recursive_bipartition(gl: DataFrame, depth: int = 5, rounds: int = 10) -> DataFrame:
+def recursive_bipartition(gl: DataFrame, depth: int = 5, rounds: int = 300) -> DataFrame:
     """K = 2, samples split at Q > 0.5, again inside each part; parts of one sample stay. (sample_id, part), part a string of 0
     and 1. All parts of a level are split in one run, each a model of its own."""
     ensure_checkpoint_dir(gl.sparkSession)
@@ -255,7 +225,7 @@ def recursive_bipartition(gl: DataFrame, depth: int = 5, rounds: int = 10) -> Da
         split = sized.where("__n > 1").select("sample_id", "part", F.conv(F.concat(F.lit("1"), "part"), 2, 10).cast("long").alias("rep"))
         if split.isEmpty():
             break
-        q, _, _ = admixture_em(gl, 2, 1, 1, rounds, split)
+        q, _, _ = admixture_em(gl, 2, 1, 1, rounds, split, tolerance=1e-3)
         side = q.where("cluster = 0").join(split.select("sample_id", "part"), "sample_id").select("sample_id", F.concat("part", F.when(F.col("q") > 0.5, "0").otherwise("1")).alias("part"))
         parts = sized.where("__n = 1").select("sample_id", "part").unionByName(side).checkpoint()
     return parts

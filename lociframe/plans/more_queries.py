@@ -683,12 +683,12 @@ def rename_pair_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def recursive_bipartition(spark: SparkSession, d: str) -> DataFrame:
-    return P.recursive_bipartition(likelihoods(spark, d), 2, 5)
+    return P.recursive_bipartition(likelihoods(spark, d))
 
 
 @query()
 def admixture_em(spark: SparkSession, d: str) -> DataFrame:
-    return P.admixture_em(likelihoods(spark, d), 2, 1, 1)[0]
+    return P.admixture_em(likelihoods(spark, d), 2, 1, 1, tolerance=1e-4)[0]
 
 
 # spectra
@@ -774,7 +774,7 @@ def ld_prune(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def admixture_residual_corr(spark: SparkSession, d: str) -> DataFrame:
     gl = likelihoods(spark, d)
-    q, f, _ = P.admixture_em(gl, 2, 1, 1)
+    q, f, _ = P.admixture_em(gl, 2, 1, 1, tolerance=1e-4)
     return P.admixture_residual_corr(gl.withColumnRenamed("gl", "gp"), q, f)
 
 
