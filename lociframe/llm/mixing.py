@@ -82,12 +82,39 @@ def key_of(doc_id: Column, weight: Column, seed: int) -> Column:
     return -F.log(u) / weight
 
 
+#: Probabilities at which the keys' distribution is measured: even ones, and the tail by halves.
+LEVELS = [i / 160 for i in range(160)] + [1 - 2.0**-j / 160 for j in range(1, 7)]
+
+
+def slice_of(rows: DataFrame, slices: int) -> Column:
+    """A number that does not fall as `key` rises, with about as many rows each, whatever the weights: the ranges between measured
+    quantiles of the key, each cut evenly into its share of `slices`. Results do not depend on where slices end."""
+    found = rows.approxQuantile("key", [*LEVELS, 1.0], 1e-4)
+    if not found:
+        return F.lit(0)
+    bounds = sorted(set(found))
+    share = [sum(hi - lo for lo, hi, at in zip(LEVELS, [*LEVELS[1:], 1.0], found, strict=False) if at == b) for b in bounds]
+    pieces = [max(1, round(s * slices)) for s in share]
+    first = [sum(pieces[:i]) for i in range(len(pieces))]
+
+    def pick(lo: int, hi: int) -> Column:  # a tree of comparisons
+        if hi - lo == 1:
+            width = (bounds[lo + 1] if lo + 1 < len(bounds) else found[-1]) - bounds[lo]
+            if pieces[lo] == 1 or width <= 0:
+                return F.lit(first[lo])
+            within = F.floor((F.col("key") - F.lit(bounds[lo])) / F.lit(width) * pieces[lo])
+            return F.lit(first[lo]) + F.least(F.greatest(within, F.lit(0)), F.lit(pieces[lo] - 1)).cast("int")
+        mid = (lo + hi) // 2
+        return F.when(F.col("key") < F.lit(bounds[mid]), pick(lo, mid)).otherwise(pick(mid, hi))
+
+    return pick(0, len(bounds))
+
+
 def _placed(rows: DataFrame, weights: tuple[int, ...], share: float, limit: float, slice_rows: int) -> DataFrame:
     """Rows (doc_id, source, size, key, source_size, target, epochs, part) for rows (doc_id, source, size, key): part is what the
     last pass takes of the row."""
     slices = max(64, rows.count() // slice_rows)
-    # slices of nearly equal width in probability; any rising function of the key would do
-    rows = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * slices).cast("int"))
+    rows = rows.withColumn("slice", slice_of(rows, slices).cast("int"))
     by_slice = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, limit)
     slice_before = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
