@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import make_windows, map_sum, merge
+from lociframe.operators.lineage import kept
 from lociframe.operators.tiles import running, tile_of
 
 
@@ -33,27 +34,28 @@ def chunk_balanced(iv: DataFrame, contigs: DataFrame, target: float) -> DataFram
     interval, so a cut that would not advance moves on by one: b'_j = j + max over i <= j of (b_i - i). Intervals of weight
     zero stay in the open chunk.
     """
-    placed = with_prefix(iv, contigs)
+    # everything else is counted along these numbers, so that equal intervals keep apart
+    numbered = kept(with_prefix(iv, contigs).drop("before"), "numbered")
+    summed = running(numbered, "__b", "sum", F.col("weight"), ["place"], tile_of("place", 100_000), keys=())
+    summed = running(summed, "__r0", "sum", (F.col("weight") > 0).cast("int"), ["place"], tile_of("place", 100_000), keys=())
+    placed = summed.select(*iv.columns, F.coalesce("__b", F.lit(0)).alias("before"), "place", "total", F.coalesce("__r0", F.lit(0)).alias("rank0"))
     positive = placed.where("weight > 0")
     n = positive.agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total")).first()
     if not n["n"]:
         return placed.select(*iv.columns, F.lit(0).cast("long").alias("chunk"))
     k = max(1, min(int(-(-float(n["total"]) // target)), n["n"]))
     per = float(n["total"]) / k
-    # number of positive intervals before each, in two levels like the weights
-    key = [c for c in iv.columns if c != "weight"]
-    counted = with_prefix(iv.withColumn("weight", (F.col("weight") > 0).cast("int")), contigs).select(*key, F.col("before").alias("rank0"))
-    ends = positive.join(counted, key).select("rank0", (F.col("before") + F.col("weight")).alias("cum"), "before")
+    ends = positive.select("rank0", (F.col("before") + F.col("weight")).alias("cum"), "before")
     # a boundary after interval r (r + 1 intervals before it) competes for the cuts near its running weight
     low, high = F.floor(F.col("before") / per), F.ceil(F.col("cum") / per)
     near = ends.withColumn("j", F.explode(F.sequence(F.greatest(low, F.lit(0)).cast("int"), F.least(high + 1, F.lit(k)).cast("int")))).where(f"j between 1 and {k - 1}")
     best = near.groupBy("j").agg(F.min(F.struct(F.least(F.abs(F.col("before") - F.col("j") * per), F.abs(F.col("cum") - F.col("j") * per)).alias("d"), (F.when(F.abs(F.col("before") - F.col("j") * per) <= F.abs(F.col("cum") - F.col("j") * per), F.col("rank0")).otherwise(F.col("rank0") + 1)).alias("b"))).alias("x")).select("j", F.col("x.b").alias("b"))
     moved = best.withColumn("cut", F.col("j") + F.max(F.col("b") - F.col("j")).over(W.partitionBy(F.lit(0)).orderBy("j")))
     moved = moved.select("j", F.greatest("cut", "j").alias("cut"))
-    filled = placed.join(counted, key).withColumn("__r", F.when(F.col("weight") > 0, F.col("rank0")).otherwise(F.col("rank0") - 1))
+    filled = placed.withColumn("__r", F.when(F.col("weight") > 0, F.col("rank0")).otherwise(F.col("rank0") - 1))
     # every interval looks up the last cut at or before it, by union and a running maximum over its number
-    kept = F.struct(*iv.columns)
-    rows = filled.select(F.col("__r").cast("long").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__j"), kept.alias("__row"))
+    whole = F.struct(*iv.columns)
+    rows = filled.select(F.col("__r").cast("long").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__j"), whole.alias("__row"))
     marks = moved.select(F.col("cut").cast("long").alias("__at"), F.lit(0).alias("__kind"), F.col("j").cast("long").alias("__j"), F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"))
     found = running(rows.unionByName(marks), "chunk", "max", F.col("__j"), ["__at", "__kind"], tile_of("__at", 100_000), keys=(), inclusive=True)
     return found.where("__kind = 1").select("__row.*", F.coalesce("chunk", F.lit(0)).alias("chunk"))

@@ -126,15 +126,25 @@ def genotype_counts(gt: DataFrame, by: list[str] | None = None) -> DataFrame:
     return gt.groupBy(*SITE, *(by or [])).agg(*(F.sum((F.col("dosage") == d).cast("int")).alias(f"n{d}") for d in (0, 1, 2))).na.fill(0, ["n0", "n1", "n2"])
 
 
+@functools.lru_cache(2)
+def _log_factorials(size: int) -> np.ndarray:
+    return np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, size)))])
+
+
+def log_factorials(n: int) -> np.ndarray:
+    """ln(i!) for i up to n at least; tables double in size, so few are made."""
+    return _log_factorials(1 << max(10, (n + 1).bit_length()))
+
+
 def hwe_p(n_hom: int, n_het: int, n_alt: int) -> tuple[float, float]:
-    """Exact Hardy-Weinberg p and the p of excess heterozygosity, by the recurrence over heterozygote counts."""
+    """Exact Hardy-Weinberg p and the p of excess heterozygosity, over all heterozygote counts that the alleles allow."""
     n = n_hom + n_het + n_alt
     rare = min(2 * n_hom + n_het, 2 * n_alt + n_het)
     if n == 0:
         return 1.0, 1.0
-    hets = np.arange(rare % 2, rare + 1, 2)
-    logs = [math.lgamma(n + 1) - math.lgamma((rare - h) // 2 + 1) - math.lgamma(h + 1) - math.lgamma(n - (rare + h) // 2 + 1) + h * math.log(2) for h in hets.tolist()]
-    p = np.exp(np.array(logs) - max(logs))
+    hets, table = np.arange(rare % 2, rare + 1, 2), log_factorials(n)
+    logs = hets * math.log(2) - table[(rare - hets) // 2] - table[hets] - table[n - (rare + hets) // 2]
+    p = np.exp(logs - logs.max())
     p /= p.sum()
     here = p[(n_het - rare % 2) // 2]
     return float(min(1.0, p[p <= here * (1 + 1e-9)].sum())), float(min(1.0, p[hets >= n_het].sum()))
@@ -349,7 +359,8 @@ def lr_pvalue_bh(lr: DataFrame, given_p: bool = False) -> DataFrame:
 
     @F.pandas_udf("double")
     def tail(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: 0.5 * math.erfc(math.sqrt(max(v, 0.0) / 2)) if v == v else None)
+        distinct, which = np.unique(x.to_numpy(np.float64, na_value=np.nan), return_inverse=True)
+        return pd.Series(np.array([0.5 * math.erfc(math.sqrt(max(v, 0.0) / 2)) if v == v else np.nan for v in distinct.tolist()])[which]).replace({np.nan: None})
 
     withp = lr if given_p else lr.withColumn("p", tail("lr"))
     levels = withp.where("p is not null").groupBy("p").agg(F.count(F.lit(1)).alias("n"))

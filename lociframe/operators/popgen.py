@@ -10,6 +10,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -256,6 +257,47 @@ def abba_baba(gt: DataFrame, pops: DataFrame, h1: str, h2: str, h3: str, out: st
     return left.agg(d.alias("D"), se.alias("SE"), F.count(F.lit(1)).alias("n_blocks")).withColumn("Z", F.col("D") / F.col("SE"))
 
 
+def abba_baba_trees(gt: DataFrame, pops: DataFrame, out: str, block: int = 5_000_000) -> DataFrame:
+    """D of every tree (h1, h2, h3) of the populations other than `out`, h1 before h2 by name, from one pass: (h1, h2, h3, D, SE, n_blocks, Z)
+    as `abba_baba` gives them one by one. A tree uses the sites where all its populations are called.
+
+    Sites of a block are one matrix of population frequencies; the sums of all trees are products of it. The populations, a row each,
+    are collected.
+    """
+    names = sorted(r["pop"] for r in pops.select("pop").where("pop is not null").distinct().collect())
+    if out not in names:
+        raise ValueError(f"no population {out}")
+    inner = [p for p in names if p != out]
+    at = {p: i for i, p in enumerate([*inner, out])}
+    k = len(inner)
+    p = gt.where("dosage is not null").join(pops.select("sample_id", "pop").where("pop is not null"), "sample_id").groupBy(*SITE, "pop").agg((F.sum("dosage") / (2 * F.count("dosage"))).alias("p"))
+    trees = [(i, j, m) for i in range(k) for j in range(i + 1, k) for m in range(k) if m not in (i, j)]
+    i, j, m = (np.array([t[x] for t in trees], np.int64) for x in range(3))
+
+    def sums(key: tuple, rows: pa.Table) -> pa.Table:
+        pos, site = np.unique(rows.column("pos").to_numpy(), return_inverse=True)
+        f = np.full((len(pos), k + 1), np.nan)
+        f[site, np.array([at[x] for x in rows.column("pop").to_pylist()], np.int64)] = rows.column("p").to_numpy()
+        f = f[np.isfinite(f[:, k])]
+        o, f = f[:, k], f[:, :k]
+        known = np.isfinite(f)
+        yes, no = np.where(known, f, 0.0), np.where(known, 1 - f, 0.0)
+        triple = lambda a, b, c: np.einsum("si,sj,sm->ijm", a, b, c, optimize=True)
+        abba = triple(no, yes, yes * (1 - o)[:, None]) + triple(yes, no, no * o[:, None])
+        baba = triple(yes, no, yes * (1 - o)[:, None]) + triple(no, yes, no * o[:, None])
+        n = triple(*(known.astype(float),) * 3)
+        some = n[i, j, m] > 0
+        return pa.table({"tree": pa.array(np.flatnonzero(some).astype(np.int32)), "a": abba[i, j, m][some], "b": baba[i, j, m][some]})
+
+    blocks = p.groupBy("chrom", F.floor(F.col("pos") / block).alias("block")).applyInArrow(sums, "tree int, a double, b double")
+    total = blocks.groupBy("tree").agg(F.sum("a").alias("all_a"), F.sum("b").alias("all_b"))
+    left = blocks.join(total, "tree").withColumn("d", (F.col("all_a") - F.col("a") - (F.col("all_b") - F.col("b"))) / F.nullif(F.col("all_a") - F.col("a") + F.col("all_b") - F.col("b"), F.lit(0.0)))
+    d = (F.first("all_a") - F.first("all_b")) / F.nullif(F.first("all_a") + F.first("all_b"), F.lit(0.0))
+    done = left.groupBy("tree").agg(d.alias("D"), F.sqrt((F.count("d") - 1) * F.var_pop("d")).alias("SE"), F.count(F.lit(1)).alias("n_blocks"))
+    named = gt.sparkSession.createDataFrame([(n, *(inner[x] for x in t)) for n, t in enumerate(trees)], "tree int, h1 string, h2 string, h3 string")
+    return named.join(done, "tree").select("h1", "h2", "h3", "D", "SE", "n_blocks", (F.col("D") / F.nullif("SE", F.lit(0.0))).alias("Z"))
+
+
 def joint_genotype_counts(gt: DataFrame) -> DataFrame:
     """3 x 3 table of each pair with KING, R0, R1."""
     cells = [(i, j) for i in range(3) for j in range(3)]

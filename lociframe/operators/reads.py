@@ -52,11 +52,14 @@ def strip_rg(aln: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def pair_sync(r1: DataFrame, r2: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs by group and name, unpaired reads with their mate number)."""
-    keys = ["rg", "name"]
-    pairs = r1.select(*keys, F.col("seq").alias("seq1"), F.col("qual").alias("qual1")).join(r2.select(*keys, F.col("seq").alias("seq2"), F.col("qual").alias("qual2")), keys)
-    alone = r1.join(r2.select(*keys), keys, "left_anti").select(*keys, F.lit(1).alias("mate")).unionByName(r2.join(r1.select(*keys), keys, "left_anti").select(*keys, F.lit(2).alias("mate")))
-    return pairs, alone
+    """(pairs by group and name, unpaired reads with their mate number). Reads that repeat a name pair one to one, in order of their
+    letters and qualities."""
+    keys = ["rg", "name", "__k"]
+    order = W.partitionBy("rg", "name").orderBy("seq", "qual")
+    a, b = (r.withColumn("__k", F.row_number().over(order)) for r in (r1, r2))
+    pairs = a.select(*keys, F.col("seq").alias("seq1"), F.col("qual").alias("qual1")).join(b.select(*keys, F.col("seq").alias("seq2"), F.col("qual").alias("qual2")), keys)
+    alone = a.join(b.select(*keys), keys, "left_anti").select("rg", "name", F.lit(1).alias("mate")).unionByName(b.join(a.select(*keys), keys, "left_anti").select("rg", "name", F.lit(2).alias("mate")))
+    return pairs.drop("__k"), alone
 
 
 def _cut(reads: DataFrame, length: Column) -> DataFrame:

@@ -619,6 +619,13 @@ def abba_baba(spark: SparkSession, d: str) -> DataFrame:
     return rounded(P.abba_baba(V.genotypes(spark, d), V.popmap(spark, d), "P0", "P1", "P2", "P3", 5000).select("D", "SE", "n_blocks"), "D", "SE", digits=5)
 
 
+@query(V.with_views("g", "pop", body="""@p AS (SELECT chrom, pos, pop, sum(dosage) / (2 * count(dosage)) AS p FROM g JOIN pop USING (sample_id) GROUP BY 1, 2, 3), tr AS (SELECT a.chrom, a.pos, a.pop AS h1, b.pop AS h2, c.pop AS h3, a.p AS a, b.p AS b, c.p AS c, e.p AS e FROM p a JOIN p b ON a.chrom = b.chrom AND a.pos = b.pos AND a.pop < b.pop JOIN p c ON a.chrom = c.chrom AND a.pos = c.pos AND c.pop NOT IN (a.pop, b.pop) JOIN p e ON a.chrom = e.chrom AND a.pos = e.pos AND e.pop = 'P3' WHERE a.pop <> 'P3' AND b.pop <> 'P3' AND c.pop <> 'P3'),
+k AS (SELECT h1, h2, h3, chrom, floor(pos / 5000) AS blk, sum((1 - a) * b * c * (1 - e) + a * (1 - b) * (1 - c) * e) AS x, sum(a * (1 - b) * c * (1 - e) + (1 - a) * b * (1 - c) * e) AS y FROM tr GROUP BY 1, 2, 3, 4, 5), t AS (SELECT h1, h2, h3, sum(x) AS xx, sum(y) AS yy FROM k GROUP BY 1, 2, 3),
+l AS (SELECT h1, h2, h3, xx, yy, (xx - x - (yy - y)) / (xx - x + yy - y) AS dd FROM k JOIN t USING (h1, h2, h3)) SELECT h1, h2, h3, round((max(xx) - max(yy)) / (max(xx) + max(yy)), 5) AS D, round(sqrt((count(dd) - 1) * var_pop(dd)), 5) AS SE, count(*) AS n_blocks FROM l GROUP BY 1, 2, 3"""))
+def abba_baba_trees(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.abba_baba_trees(V.genotypes(spark, d), V.popmap(spark, d), "P3", 5000).select("h1", "h2", "h3", "D", "SE", "n_blocks"), "D", "SE", digits=5)
+
+
 @query(V.with_views("g", body=f"@{PAIRS.format(op='<')}, t AS (SELECT sample_i, sample_j, " + ", ".join(f"CAST(sum(CASE WHEN x = {i} AND y = {j} THEN 1 ELSE 0 END) AS BIGINT) AS n{i}{j}" for i in range(3) for j in range(3)) + " FROM pr GROUP BY 1, 2) SELECT *, round(CASE WHEN n11 > 0 THEN (n02 + n20) / n11 END, 6) AS R0, round(CASE WHEN n01 + n10 + n12 + n21 + n02 + n20 > 0 THEN n11 / (n01 + n10 + n12 + n21 + n02 + n20) END, 6) AS R1, round(CASE WHEN n01 + n10 + n12 + n21 + 2 * n11 > 0 THEN (n11 - 2 * (n02 + n20)) / (n01 + n10 + n12 + n21 + 2 * n11) END, 6) AS KING FROM t"))
 def joint_genotype_counts(spark: SparkSession, d: str) -> DataFrame:
     return rounded(P.joint_genotype_counts(V.genotypes(spark, d)), "R0", "R1", "KING")

@@ -141,9 +141,9 @@ def read_sitelist(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vcf(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Sites and genotypes of samples S0 to S7 as VCF lines, read back. Cells without a row are missing."""
+    """Sites and genotypes of all samples, S0 to S39, as VCF lines, read back. Cells without a row are missing."""
     s, g = V.sites(spark, d), V.genotypes(spark, d)
-    names = [f"S{i}" for i in range(8)]
+    names = [f"S{i}" for i in range(40)]
     wide = g.where(F.col("sample_id").isin(names)).groupBy("chrom", "pos").pivot("sample_id", names).agg(F.first(F.concat(F.element_at(F.array(F.lit("0/0"), F.lit("0/1"), F.lit("1/1")), F.col("dosage") + 1), F.lit(":"), F.col("dp").cast("string"), F.lit(":"), F.col("gq").cast("string"), F.lit(":"), F.col("n_ref").cast("string"), F.lit(","), F.col("n_alt").cast("string"))))
     joined = s.join(wide, ["chrom", "pos"], "left")
     alt = F.when(F.size("alt") == 0, F.lit(".")).otherwise(F.concat_ws(",", "alt"))
@@ -160,7 +160,7 @@ def read_vcf_sites(spark: SparkSession, d: str) -> DataFrame:
     return vcf(spark, d)[0].select("chrom", "pos", "ref", F.concat_ws(",", "alt").alias("alt"), "qual", F.concat_ws(";", "filter").alias("filter"), F.col("info")["SZ"].alias("sz"))
 
 
-@query(V.with_views("g", "s", body="@nm AS (SELECT 'S' || CAST(unnest(range(0, 8)) AS VARCHAR) AS sample_id) SELECT s.chrom, s.pos, nm.sample_id, g.dosage, CAST(g.dp AS INT) AS dp, g.gq, CAST(g.n_ref AS INT) AS ad0, CAST(g.n_alt AS INT) AS ad1 FROM s CROSS JOIN nm LEFT JOIN g ON g.chrom = s.chrom AND g.pos = s.pos AND g.sample_id = nm.sample_id"))
+@query(V.with_views("g", "s", body="@nm AS (SELECT 'S' || CAST(unnest(range(0, 40)) AS VARCHAR) AS sample_id) SELECT s.chrom, s.pos, nm.sample_id, g.dosage, CAST(g.dp AS INT) AS dp, g.gq, CAST(g.n_ref AS INT) AS ad0, CAST(g.n_alt AS INT) AS ad1 FROM s CROSS JOIN nm LEFT JOIN g ON g.chrom = s.chrom AND g.pos = s.pos AND g.sample_id = nm.sample_id"))
 def read_vcf_genotypes(spark: SparkSession, d: str) -> DataFrame:
     return vcf(spark, d)[1].select("chrom", "pos", "sample_id", "dosage", "dp", "gq", F.get("ad", F.lit(0)).alias("ad0"), F.get("ad", F.lit(1)).alias("ad1"))
 
