@@ -389,6 +389,18 @@ def vcf_stats(sites: DataFrame) -> DataFrame:
     return sites.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum(true(ts).cast("long")).alias("n_ts"), F.sum(true(tv).cast("long")).alias("n_tv"), F.avg("qual").alias("mean_qual"))
 
 
+def site_distributions(sites: DataFrame, gt: DataFrame) -> DataFrame:
+    """(measure, bin, n): sites by alternative allele frequency in hundredths (AF), quality (QUAL) and depth of all samples (DP) rounded
+    down, and indels by how many bases longer the first alternative is than the reference (INDEL). Unknown values have no bin."""
+    per = gt.groupBy(*SITE).agg((F.sum("dosage") / (2 * F.count("dosage"))).alias("af"), F.sum("dp").alias("dp"))
+    joined = sites.select(*SITE, "ref", "alt", "qual", "type").join(per, SITE, "left")
+    longer = F.when(F.col("type") == "INDEL", F.length(F.get("alt", F.lit(0))) - F.length("ref"))
+    # a hundredth's lower edge belongs to it, whatever the rounding of the share
+    values = {"AF": F.floor(F.round(F.col("af") * 100, 6)), "QUAL": F.floor("qual"), "DP": F.floor("dp"), "INDEL": longer}
+    cells = joined.select(F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), v.cast("long").alias("bin")) for m, v in values.items()))).alias("x")).select("x.*")
+    return cells.where("bin is not null").groupBy("measure", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
 def sample_stats(gt: DataFrame) -> DataFrame:
     """Per sample: homozygous reference, heterozygous, homozygous alternative, missing, mean depth."""
     return gt.groupBy("sample_id").agg(*(F.sum(true(F.col("dosage") == d).cast("long")).alias(n) for d, n in ((0, "n_hom_ref"), (1, "n_het"), (2, "n_hom_alt"))), F.sum(F.col("dosage").isNull().cast("long")).alias("n_missing"), F.avg("dp").alias("mean_dp"))

@@ -243,6 +243,24 @@ def admixture_residual_corr(gl: DataFrame, q: DataFrame, f: DataFrame) -> DataFr
     return sums.select("sample_i", "sample_j", F.when(spread > 0, (n * c("xy") - c("x") * c("y")) / F.sqrt(spread)).alias("value"))
 
 
+def site_inbreeding_ratio(gt: DataFrame) -> DataFrame:
+    """Per site: F and `lr`, twice the log-likelihood of the genotypes at that F over that at F = 0; a chi-square of one degree where
+    there is no inbreeding. Sites without variation have none."""
+    n = [F.sum((F.col("dosage") == d).cast("double")) for d in range(3)]
+    t = gt.where("dosage is not null").groupBy(*SITE).agg(*(x.alias(f"n{d}") for d, x in enumerate(n))).withColumn("n", F.col("n0") + F.col("n1") + F.col("n2"))
+    p = (F.col("n1") + 2 * F.col("n2")) / (2 * F.col("n"))
+    t = t.withColumn("p", p).where("p > 0 and p < 1")
+    q = 1 - F.col("p")
+    hwe = [q * q, 2 * F.col("p") * q, F.col("p") * F.col("p")]
+    ratio = sum(F.when(F.col(f"n{d}") > 0, F.col(f"n{d}") * F.log(F.col(f"n{d}") / F.col("n") / hwe[d])).otherwise(0.0) for d in range(3))
+    return t.select(*SITE, (1 - F.col("n1") / F.col("n") / hwe[1]).alias("F"), F.greatest(F.lit(0.0), 2 * ratio).alias("lr"))
+
+
+def inbreeding_filter(gt: DataFrame, most: float = 24.0) -> DataFrame:
+    """Sites (chrom, pos) whose inbreeding ratio is at most `most`; 24 is a p of about 10^-6."""
+    return site_inbreeding_ratio(gt).where(F.col("lr") <= most).select(*SITE)
+
+
 def abba_baba(gt: DataFrame, pops: DataFrame, h1: str, h2: str, h3: str, out: str, block: int = 5_000_000) -> DataFrame:
     """D of (h1, h2, h3, out) from population frequencies; jackknife over blocks by total minus block: D, SE, Z, blocks."""
     p = gt.join(pops, "sample_id").where(F.col("pop").isin(h1, h2, h3, out)).groupBy(*SITE, "pop").agg((F.sum("dosage") / (2 * F.count("dosage"))).alias("p"))
@@ -320,6 +338,21 @@ def substitution_matrix(pileup: DataFrame, anc: DataFrame) -> DataFrame:
     return t.withColumn("rate", F.col("n") / F.sum("n").over(W.partitionBy("sample_id", "anc")))
 
 
+def error_from_excess(matrix: DataFrame, perfect: str) -> DataFrame:
+    """(sample_id, error, excess by `anc` and `base`): how much oftener a sample shows each base that is not the ancestral one than the
+    sample taken as free of errors does, and the sum of these excesses weighted by the ancestral bases seen. Rates below the perfect
+    sample's count as they are, negative."""
+    own = matrix.select("anc", "base", F.col("rate").alias("__rate")).where(F.col("sample_id") == perfect)
+    seen = matrix.groupBy("sample_id", "anc").agg(F.sum("n").alias("__n"))
+    bases = matrix.select("base").distinct().withColumnRenamed("base", "b")
+    wanted = seen.join(bases, F.col("anc") != F.col("b")).select("sample_id", "anc", F.col("b").alias("base"), "__n")
+    rates = wanted.join(matrix.select("sample_id", "anc", "base", "rate"), ["sample_id", "anc", "base"], "left").join(own, ["anc", "base"], "left")
+    excess = rates.withColumn("excess", F.coalesce("rate", F.lit(0.0)) - F.coalesce("__rate", F.lit(0.0)))
+    whole = seen.groupBy("sample_id").agg(F.sum("__n").alias("__all"))
+    error = excess.groupBy("sample_id").agg(F.sum(F.col("excess") * F.col("__n")).alias("__e")).join(whole, "sample_id").select("sample_id", (F.col("__e") / F.col("__all")).alias("error"))
+    return excess.join(error, "sample_id").select("sample_id", "error", "anc", "base", "excess")
+
+
 def geo_filter(coords: DataFrame, habitat: DataFrame, dist: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(samples inside the habitat's bounding box and in the matrix, their sub-matrix); equal coordinates are an error."""
     box = habitat.agg(F.min("long").alias("__x0"), F.max("long").alias("__x1"), F.min("lat").alias("__y0"), F.max("lat").alias("__y1"))

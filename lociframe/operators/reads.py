@@ -184,6 +184,22 @@ def read_qc(reads: DataFrame) -> DataFrame:
     return at.groupBy((F.col("i") + 1).cast("long").alias("cycle")).agg(F.count(F.lit(1)).alias("n"), F.avg(F.ascii("c") - 33).alias("mean_quality"), F.avg(gc.cast("double")).alias("gc"))
 
 
+def base_composition(reads: DataFrame) -> DataFrame:
+    """(cycle, base, n): bases by their place in the read, in upper case; all but A, C, G and T are N."""
+    at = reads.select(F.posexplode(F.split("seq", "")).alias("i", "c")).where("c <> ''").withColumn("c", F.upper("c"))
+    base = F.when(F.col("c").isin("A", "C", "G", "T"), F.col("c")).otherwise("N")
+    return at.groupBy((F.col("i") + 1).cast("long").alias("cycle"), base.alias("base")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def gc_bias(aln: DataFrame, windows: DataFrame, size: int) -> DataFrame:
+    """(gc, windows, reads, normalised): whole windows by GC percent (`sequence.gc_windows`), the reads that start in them, and reads a
+    window over the mean of all."""
+    starts = aln.where(~flag(DROPPED)).groupBy(F.col("chrom").alias("contig"), F.floor(F.col("start") / size).alias("bin")).agg(F.count(F.lit(1)).alias("r"))
+    bins = windows.join(starts, ["contig", "bin"], "left").groupBy("gc").agg(F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("r"), F.lit(0)).alias("reads"))
+    mean = bins.agg((F.sum("reads") / F.sum("windows")).alias("__mean"))
+    return bins.crossJoin(F.broadcast(mean)).select("gc", "windows", "reads", (F.col("reads") / F.col("windows") / F.when(F.col("__mean") > 0, F.col("__mean"))).alias("normalised"))
+
+
 def length_and_duplication(reads: DataFrame) -> DataFrame:
     """Reads per length with the number of distinct sequences."""
     return reads.groupBy(F.length("seq").cast("long").alias("length")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("seq").alias("n_distinct"))

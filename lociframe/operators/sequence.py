@@ -253,6 +253,12 @@ def circular_shift(contigs: DataFrame, n: int) -> DataFrame:
     return contigs.withColumn("seq", F.concat(F.substr("seq", at + 1), F.substr("seq", F.lit(1), at)))
 
 
+def gc_windows(seqs: DataFrame, size: int) -> DataFrame:
+    """(contig, bin, gc): GC percent, rounded down, among A, C, G and T of whole windows of `size` bases that have any."""
+    cut = pieces(seqs, size).groupBy("contig", "bin").agg(F.sum(count_of(F.col("seq"), "GCgc")).alias("g"), F.sum(count_of(F.col("seq"), "ACGTacgt")).alias("n"), F.sum(F.length("seq")).alias("len"))
+    return cut.where((F.col("len") == size) & (F.col("n") > 0)).select("contig", "bin", F.floor(100 * F.col("g") / F.col("n")).alias("gc"))
+
+
 def n_proportion(contigs: DataFrame) -> DataFrame:
     """Per sequence: bases, N bases, share."""
     n = count_of(F.col("seq"), "Nn")

@@ -94,6 +94,13 @@ def sfs_blocks(gt: DataFrame, n_blocks: int = 100) -> DataFrame:
     return own.crossJoin(F.broadcast(whole)).select("chrom", "block", "pi", "theta_w", "S", "n_sites", (F.col("__pi") - F.col("pi")).alias("pi_without"), (F.col("__s") - F.col("S")).alias("S_without"))
 
 
+def sfs_block_spectra(gt: DataFrame, n_blocks: int = 100, folded: bool = True) -> DataFrame:
+    """(chrom, block, bin, an, n): the spectrum of each block of neighbouring sites, as `sfs_1d` gives it of all."""
+    site = gt.groupBy(*SITE).agg(F.sum("dosage").alias("ac"), (2 * F.count("dosage")).alias("an")).where("an > 0")
+    own = F.least(F.col("ac"), F.col("an") - F.col("ac")) if folded else F.col("ac")
+    return blocks_of_equal_size(site, n_blocks).groupBy("chrom", "block", own.alias("bin"), "an").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _windows(size: int, step: int) -> Column:
     """Start of every window [k * step, k * step + size) that holds pos - 1."""
     at = F.col("pos") - 1

@@ -789,4 +789,46 @@ def admixture_residual_corr(spark: SparkSession, d: str) -> DataFrame:
 def covered_n_share(spark: SparkSession, d: str) -> DataFrame:
     s = V.sequences(spark, d)
     every = s.where("length > 0").select(F.col("contig").alias("chrom"), F.explode(F.sequence(F.lit(1).cast("long"), F.length("seq").cast("long"))).alias("pos"))
-    return rounded(K.covered_n_share(s, every), "not_n")
\ No newline at end of file
+    return rounded(K.covered_n_share(s, every), "not_n")
+
+# distributions and tests
+
+
+@query(V.with_views("s", "g", body="""@per AS (SELECT chrom, pos, sum(dosage) / (2 * count(dosage)) AS af, sum(dp) AS dp FROM g GROUP BY 1, 2), j AS (SELECT s.*, af, per.dp AS depth FROM s LEFT JOIN per ON s.chrom = per.chrom AND s.pos = per.pos)
+SELECT 'AF' AS measure, CAST(floor(round(af * 100, 6)) AS BIGINT) AS bin, count(*) AS n FROM j WHERE af IS NOT NULL GROUP BY 2 UNION ALL SELECT 'QUAL', CAST(floor(qual) AS BIGINT), count(*) FROM j WHERE qual IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'DP', CAST(depth AS BIGINT), count(*) FROM j WHERE depth IS NOT NULL GROUP BY 2 UNION ALL SELECT 'INDEL', CAST(length(alt[1]) - length(ref) AS BIGINT), count(*) FROM j WHERE type = 'INDEL' AND alt[1] IS NOT NULL GROUP BY 2"""))
+def site_distributions(spark: SparkSession, d: str) -> DataFrame:
+    return Q.site_distributions(V.sites(spark, d), V.genotypes(spark, d))
+
+
+@query(f"WITH {RD}, c AS (SELECT unnest(range(1, length(seq) + 1)) AS cycle, upper(seq) AS seq FROM rd) SELECT cycle, CASE WHEN substr(seq, cycle, 1) IN ('A', 'C', 'G', 'T') THEN substr(seq, cycle, 1) ELSE 'N' END AS base, count(*) AS n FROM c GROUP BY 1, 2")
+def base_composition(spark: SparkSession, d: str) -> DataFrame:
+    return R.base_composition(reads(spark, d))
+
+
+@query(V.with_views("dna", body="""@w AS (SELECT contig, unnest(range(0, length(seq) // 50)) AS bin, seq FROM dna), gw AS (SELECT contig, bin, floor(100 * (50 - length(translate(substr(seq, bin * 50 + 1, 50), 'GC', ''))) / 50) AS gc FROM w), st AS (SELECT 'd' || CAST(event_id % 1000 AS VARCHAR) AS contig, CAST(floor(value * 7) AS BIGINT) // 50 AS bin, count(*) AS r FROM events GROUP BY 1, 2),
+b AS (SELECT gc, count(*) AS windows, coalesce(sum(r), 0) AS reads FROM gw LEFT JOIN st USING (contig, bin) GROUP BY 1) SELECT CAST(gc AS BIGINT) AS gc, windows, CAST(reads AS BIGINT) AS reads, round(reads / windows / (SELECT sum(reads) / sum(windows) FROM b), 6) AS normalised FROM b"""))
+def gc_bias(spark: SparkSession, d: str) -> DataFrame:
+    aln = V.table(spark, d, "events").select(F.concat(F.lit("d"), (F.col("event_id") % 1000).cast("string")).alias("chrom"), F.floor(F.col("value") * 7).alias("start"), F.lit(0).alias("flag"))
+    return rounded(R.gc_bias(aln, K.gc_windows(V.dna(spark, d), 50), 50), "normalised")
+
+
+@query(V.with_views("reads_at", body="""@a AS (SELECT sample_id, ['A', 'C', 'G', 'T'][CAST(pos % 4 AS INT) + 1] AS anc, upper(allele) AS base, CAST(sum(fwd + rev) AS BIGINT) AS n FROM reads_at WHERE upper(allele) <> 'AT' GROUP BY 1, 2, 3), m AS (SELECT *, n / sum(n) OVER (PARTITION BY sample_id, anc) AS rate FROM a), sn AS (SELECT sample_id, anc, sum(n) AS k FROM m GROUP BY 1, 2), bs AS (SELECT DISTINCT base FROM m),
+x AS (SELECT sn.sample_id, sn.anc, bs.base, k, coalesce(m.rate, 0) - coalesce(p.rate, 0) AS excess FROM sn JOIN bs ON bs.base <> sn.anc LEFT JOIN m ON m.sample_id = sn.sample_id AND m.anc = sn.anc AND m.base = bs.base LEFT JOIN m p ON p.sample_id = 'S0' AND p.anc = sn.anc AND p.base = bs.base), e AS (SELECT sample_id, sum(excess * k) AS s FROM x GROUP BY 1), w AS (SELECT sample_id, sum(k) AS t FROM sn GROUP BY 1)
+SELECT sample_id, round(s / t, 6) AS error, anc, base, round(excess, 6) AS excess FROM x JOIN e USING (sample_id) JOIN w USING (sample_id)"""))
+def error_from_excess(spark: SparkSession, d: str) -> DataFrame:
+    base = F.upper("allele")
+    p = V.allele_reads(spark, d).where(base != "AT").select(F.lit("m").alias("chrom"), "pos", "sample_id", base.alias("base"), (F.col("fwd") + F.col("rev")).alias("n"))
+    anc = p.select("chrom", "pos").distinct().withColumn("anc", F.get(F.array(*(F.lit(b) for b in "ACGT")), (F.col("pos") % 4).cast("int")))
+    return rounded(P.error_from_excess(P.substitution_matrix(p, anc), "S0"), "error", "excess")
+
+
+@query(V.with_views("g", body=f"@{SITE}, bk AS (SELECT *, ntile(10) OVER (PARTITION BY chrom ORDER BY pos) AS block FROM st) SELECT chrom, CAST(block AS INT) AS block, CAST(least(ac, an - ac) AS BIGINT) AS bin, an, count(*) AS n FROM bk GROUP BY 1, 2, 3, 4"))
+def sfs_block_spectra(spark: SparkSession, d: str) -> DataFrame:
+    return X.sfs_block_spectra(V.genotypes(spark, d), 10)
+
+
+@query(V.with_views("g", body="""@c AS (SELECT chrom, pos, CAST(count(*) FILTER (dosage = 0) AS DOUBLE) AS a, CAST(count(*) FILTER (dosage = 1) AS DOUBLE) AS b, CAST(count(*) FILTER (dosage = 2) AS DOUBLE) AS c FROM g WHERE dosage IS NOT NULL GROUP BY 1, 2), f AS (SELECT *, a + b + c AS n, (b + 2 * c) / (2 * (a + b + c)) AS p FROM c)
+SELECT chrom, pos, round(1 - b / n / (2 * p * (1 - p)), 6) AS F, round(greatest(0, 2 * (CASE WHEN a > 0 THEN a * ln(a / n / ((1 - p) * (1 - p))) ELSE 0 END + CASE WHEN b > 0 THEN b * ln(b / n / (2 * p * (1 - p))) ELSE 0 END + CASE WHEN c > 0 THEN c * ln(c / n / (p * p)) ELSE 0 END)), 6) AS lr FROM f WHERE p > 0 AND p < 1"""))
+def site_inbreeding_ratio(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(P.site_inbreeding_ratio(V.genotypes(spark, d)), "F", "lr")
