@@ -49,7 +49,7 @@ class Group:
         grams = A.gram_hash(self.hash, length)
         if length == self.window or not len(self.starts):
             return grams[self.starts] if len(self.starts) else np.zeros(0, U64), self.starts
-        bits = U64(max(20, int(len(grams)).bit_length()))
+        bits = U64(32)  # a fixed width: equal windows choose alike in groups of any size, equal hashes by their order
         low = (U64(1) << bits) - U64(1)
         least = A.sliding_min((grams & ~low) | np.arange(len(grams), dtype=U64), self.window - length + 1)
         at = (least[self.starts] & low).astype(np.int64)

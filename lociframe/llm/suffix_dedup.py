@@ -57,7 +57,7 @@ class Group:
         if len(starts):
             every = np.arange(n - gram + 1)
             grams = A.span_hash(self.prefix, every, every + gram)
-            bits = U64(max(22, int(n).bit_length()))
+            bits = U64(32)  # a fixed width: equal windows choose alike in groups of any size, equal hashes by their order
             low = (U64(1) << bits) - U64(1)
             least = A.sliding_min((grams & ~low) | every.astype(U64), length - gram + 1)
             anchor = (least[starts] & low).astype(np.int64)
