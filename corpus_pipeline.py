@@ -36,8 +36,11 @@ def stage_simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """
     groups = similar_groups(docs, SHINGLE, SIMILARITY, NEAR_BITS)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    # rows that agree in id and text are one; dealt by id as the join has dealt them, so the texts move once
-    kept = docs.withColumn("__digest", F.md5(F.encode("text", "UTF-8"))).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "__digest"]).select(*DOCUMENT)
+    # rows that agree in id and text are one, with the least of their other columns; dealt by id as the join has dealt them, so the
+    # texts move once
+    same = docs.withColumn("__digest", F.md5(F.encode("text", "UTF-8"))).join(first, "doc_id", "left_semi").groupBy("doc_id", "__digest")
+    rest = [c for c in DOCUMENT if c not in ("doc_id", "text")]
+    kept = same.agg(F.first("text").alias("text"), F.min(F.struct(*rest)).alias("__rest")).select("doc_id", "text", "__rest.*").select(*DOCUMENT)
     return kept.unionByName(docs.where("doc_id is null").select(*DOCUMENT))
 
 
