@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lociframe.operators.intervals import overlap_pairs, site_in_mask, windows_around_points
+from lociframe.operators.lineage import kept
 from lociframe.operators.params import FilterParams, TypeThresholds
 from lociframe.operators.tiles import near, running
 
@@ -128,7 +129,7 @@ def genotype_counts(gt: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 @functools.lru_cache(2)
 def _log_factorials(size: int) -> np.ndarray:
-    return np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, size)))])
+    return np.array([math.lgamma(i + 1) for i in range(size)])
 
 
 def log_factorials(n: int) -> np.ndarray:
@@ -143,7 +144,7 @@ def hwe_p(n_hom: int, n_het: int, n_alt: int) -> tuple[float, float]:
     if n == 0:
         return 1.0, 1.0
     hets, table = np.arange(rare % 2, rare + 1, 2), log_factorials(n)
-    logs = hets * math.log(2) - table[(rare - hets) // 2] - table[hets] - table[n - (rare + hets) // 2]
+    logs = table[n] - table[(rare - hets) // 2] - table[hets] - table[n - (rare + hets) // 2] + hets * math.log(2)
     p = np.exp(logs - logs.max())
     p /= p.sum()
     here = p[(n_het - rare % 2) // 2]
@@ -450,18 +451,23 @@ def site_filter_query(gt: DataFrame, sites: DataFrame, popmap: DataFrame, params
     cells = masked.join(F.broadcast(spark.createDataFrame(chosen, "sample_id string, pop string")), "sample_id", "left")
     count = lambda d, who: F.sum((true(F.col("dosage") == d) & true(who)).cast("long"))
     counts = cells.groupBy(*SITE).agg(F.sum("dp").alias("DP"), *(count(d, F.col("pop").isNotNull()).alias(f"n{d}") for d in (0, 1, 2)), *(count(d, F.col("pop") == p).alias(f"n{d}_{p}") for p in pops for d in (0, 1, 2)))
-    deep = sites.join(counts, SITE, "left")
+    # written once: the tests, the depth histogram and the neighbours of sites all start from it
+    deep = kept(sites.join(counts, SITE, "left").withColumn("__row", F.monotonically_increasing_id()), "site-counts")
     two = biallelic(deep).where("n0 is not null")
     tags = {**tags_of([F.col(f"n{d}") for d in (0, 1, 2)], len(chosen)), **{f"{m}_{p}": c for p in pops for m, c in tags_of([F.col(f"n{d}_{p}") for d in (0, 1, 2)], sizes[p]).items() if m in POP_METRICS}}
     tested = two.withColumns({f"__h{p}": hwe_test(f"n0{p}", f"n1{p}", f"n2{p}") for p in ("", *(f"_{p}" for p in pops))})
     tags |= {f"{m}{p}": F.col(f"__h{p}")[m] for p in ("", *(f"_{p}" for p in pops)) for m in ("HWE", "ExcHet")}
-    tagged = tested.select(*sites.columns, *(c.alias(n) for n, c in tags.items()), "DP")
+    tagged = tested.select(*sites.columns, *(c.alias(n) for n, c in tags.items()), "DP", "__row")
+    near = two.select(*sites.columns, "__row")
     if params.dist_indel_snp is not None:
-        tagged = snp_gap(tagged, params.dist_indel_snp)
+        near = snp_gap(near, params.dist_indel_snp)
     if params.dist_indel_indel is not None:
-        tagged = indel_gap(tagged, params.dist_indel_indel)
+        near = indel_gap(near, params.dist_indel_indel)
     if mask is not None and params.filter_masked:
-        tagged = site_in_mask(tagged, mask, "__masked")
+        near = site_in_mask(near, mask, "__masked")
+    flags = [c for c in ("snp_gap", "indel_gap", "__masked") if c in near.columns]
+    if flags:
+        tagged = tagged.join(near.select("__row", *flags), "__row")
     bounds = {"dp_lower": params.dp_percentile_lower, "dp_upper": params.dp_percentile_upper}
     if any(v is not None for v in bounds.values()):
         hist = depth_histogram(deep.select(F.col("DP").alias("dp")))
@@ -480,4 +486,4 @@ def site_filter_query(gt: DataFrame, sites: DataFrame, popmap: DataFrame, params
             tests[name].append((F.col("type") == kind) & true(bad))
     fails += [F.when(functools.reduce(lambda a, b: a | b, bad), F.lit(name)) for name, bad in tests.items() if bad]
     found = F.array_compact(F.array(*fails)) if fails else F.expr("cast(array() as array<string>)")
-    return tagged.withColumn("filter", found).drop("snp_gap", "indel_gap", "__masked", "DPlower", "DPupper")
+    return tagged.withColumn("filter", found).drop("snp_gap", "indel_gap", "__masked", "DPlower", "DPupper", "__row")
