@@ -16,6 +16,8 @@ from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import intervals as I
 from lociframe.operators import kmers as M
+from lociframe.operators import mito as T
+from lociframe.operators import popgen as P
 from lociframe.operators import reads as R
 from lociframe.operators import sequence as K
 from lociframe.operators.lineage import kept
@@ -26,7 +28,8 @@ from lociframe.operators.params import CallParams, ReadParams, RunParams
 class Inputs:
     """sequences (contig, seq, length, rank), their tiles where they were read as such (with an overlap of the longest k-mer or more;
     then sequences needs no seq), alignments (as `sources.read_sam` gives them, with sample_id, chrom, start, end and
-    aligned), popmap (sample_id, pop), intervals to take in or leave out (chrom, start, end), and the name of the mitochondrial contig."""
+    aligned), popmap (sample_id, pop), intervals to take in or leave out (chrom, start, end), the name of the mitochondrial contig, and
+    alignments to that contig begun `mito.shift` bases later, under the same name."""
 
     sequences: DataFrame
     alignments: DataFrame
@@ -35,6 +38,7 @@ class Inputs:
     exclude: DataFrame | None = None
     tiles: DataFrame | None = None
     mito: str | None = None
+    shifted: DataFrame | None = None
 
     @property
     def bases(self) -> DataFrame:
@@ -97,6 +101,38 @@ def scored(alts: DataFrame, genotypes: DataFrame) -> DataFrame:
     return alts.join(qual, ["chrom", "pos"]).select("chrom", "pos", "ref", F.array("a").alias("alt"), "qual", F.lit("SNP").alias("type"))
 
 
+def mito_consensus(inputs: Inputs, params: RunParams = RunParams()) -> dict[str, DataFrame]:
+    """calls, consensus (sample_id, seq) and qc of the mitochondrial contig: near its two ends from the alignments to the shifted
+    contig, elsewhere from those to the contig as it is."""
+    m = params.mito
+    contigs = inputs.sequences.where(F.col("contig") == inputs.mito).select("length").limit(2).collect()
+    length = contigs[0]["length"] if contigs else 0
+    T.validate_mito(length, len(contigs), m.shift, [m.major_af, m.het_af, m.max_non_snv_af])
+    own = inputs.alignments.where(F.col("chrom") == inputs.mito)
+    count = lambda aln: T.allele_counts(R.pileup(aln, m.min_base_quality, m.min_mapping_quality, m.trim_read_ends, params.reads.max_depth).drop("chrom"))
+    original = count(own)
+    shifted = T.shifted_to_original(count(inputs.shifted), m.shift, length) if inputs.shifted is not None else original.limit(0)
+    samples = inputs.popmap.select("sample_id").distinct()
+    chosen = T.choose_source(original, shifted, samples, length, m.breakpoint_window)
+    calls = kept(T.call_major_allele(chosen, m.min_depth, m.max_non_snv_af, m.major_af, m.het_af, m.het_min_depth, m.het_mode), "mito-calls")
+    return {"calls": calls, "consensus": T.consensus_sequence(calls), "qc": T.mito_qc(calls, m.min_depth)}
+
+
+def outputs(passing: DataFrame, genotypes: DataFrame, popmap: DataFrame, n_pcs: int = 20) -> dict[str, DataFrame]:
+    """Relationships of the samples over the passing substitutions: grm, relatedness, kinship, distance, components with the share of
+    variance of the first two, and coordinates of the distances where three samples or more share sites."""
+    snps = kept(genotypes.join(passing.where("type = 'SNP'").select("chrom", "pos").distinct(), ["chrom", "pos"], "left_semi"), "snps")
+    samples = snps.select("sample_id").distinct()
+    grm, distance = kept(P.grm(snps), "grm"), kept(P.ibs_distance(snps), "distance")
+    variants = snps.select("chrom", "pos").distinct().count()
+    vectors, values = P.pca(grm, samples, n_pcs, variants)
+    whole = P.drop_until_complete(P.square(distance, samples))
+    out = {"grm": grm, "relatedness": P.relatedness_ajk(snps), "kinship": P.king_table(snps), "distance": distance, "pca": P.pca_table(vectors, values, popmap), "eigenvalues": values}
+    if whole.select("sample_i").distinct().limit(3).count() == 3:
+        out["coordinates"] = P.mds(whole)[0]
+    return out
+
+
 def run(inputs: Inputs, params: RunParams = RunParams()) -> dict[str, DataFrame]:
     """mask, coverage, chunks, sites, genotypes, filtered (sites with tags and `filter`), passing and summary."""
     contigs = inputs.sequences.select("contig", "length", "rank")

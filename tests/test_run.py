@@ -2,7 +2,7 @@
 
 import random
 
-from lociframe.operators.params import ChunkParams, FilterParams, MaskParams, RunParams, TypeThresholds
+from lociframe.operators.params import ChunkParams, FilterParams, MaskParams, MitoParams, RunParams, TypeThresholds
 from lociframe.plans import run as U
 
 
@@ -40,4 +40,36 @@ def test_planted_variants_are_called_and_filtered(spark):
     assert sum(right) >= 0.95 * len(right) and len(right) > 30
     assert sum(x["COUNT"] for x in got["summary"].collect()) == len(found)
     assert {x["label"] for x in got["mask"].collect()} == {"NRef", "Excluded"}
+    passing = got["passing"].join(got["sites"].select("chrom", "pos", "type"), ["chrom", "pos"])
+    made = U.outputs(passing, got["genotypes"], pops)
+    pairs = made["kinship"].count()
+    assert 30 < pairs <= 66 and made["distance"].count() == pairs and made["grm"].count() >= pairs + 10
+    assert made["eigenvalues"].count() == 2 and 10 <= made["pca"].count() <= 12 and made["coordinates"].count() >= 6
     assert got["chunks"].columns == ["chrom", "start", "end", "weight", "chunk"] and got["coverage"].columns[0] == "chrom"
+
+
+def test_mitochondrial_consensus_of_a_run(spark):
+    r = random.Random(5)
+    length, shift = 400, 150
+    mito = "".join(r.choice("ACGT") for _ in range(length))
+    other = {"A": "C", "C": "G", "G": "T", "T": "A"}
+    own = {"s1": mito[:9] + other[mito[9]] + mito[10:], "s2": mito[:200] + other[mito[200]] + mito[201:]}
+    rows = {False: [], True: []}
+    for sample, seq in own.items():
+        for i in range(600):
+            at = r.randrange(length)
+            read = (seq + seq)[at : at + 40]
+            for shifted in (False, True):
+                start = (at - shift) % length if shifted else at
+                if start + 40 <= length:  # what crosses the ends of a linear contig is not aligned
+                    rows[shifted].append((f"{sample}r{i}", 0, "mt", start + 1, start, start + 40, 60, "40M", 0, read, "I" * 40, sample, 40))
+    schema = "qname string, flag int, chrom string, pos long, start long, end long, mapq int, cigar string, tlen long, seq string, qual string, sample_id string, aligned long"
+    aln, shifted = (spark.createDataFrame(rows[s], schema) for s in (False, True))
+    sequences = spark.createDataFrame([("mt", mito, length, 0)], "contig string, seq string, length long, rank int")
+    pops = spark.createDataFrame([("s1", "A"), ("s2", "B")], "sample_id string, pop string")
+    params = RunParams(mito=MitoParams(shift=shift, breakpoint_window=60, min_depth=10))
+    got = U.mito_consensus(U.Inputs(sequences, aln, pops, mito="mt", shifted=shifted), params)
+    assert {x["sample_id"]: x["seq"] for x in got["consensus"].collect()} == own
+    assert {x["sample_id"]: x["n_shifted"] for x in got["qc"].collect()} == {"s1": 120, "s2": 120}
+    alone = U.mito_consensus(U.Inputs(sequences, aln, pops, mito="mt"), params)["consensus"].collect()
+    assert all(x["seq"][0] == "N" and x["seq"][100:300] == own[x["sample_id"]][100:300] for x in alone)
