@@ -22,4 +22,4 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from lociframe.plans import core_queries, more_queries, source_queries  # noqa: F401
+    from lociframe.plans import core_queries, more_queries, source_queries, stream_queries  # noqa: F401
