@@ -28,13 +28,21 @@ def numbered_samples(gt: DataFrame) -> DataFrame:
     return gt.select("sample_id").where("sample_id is not null").distinct().withColumn("n", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("sample_id")) - 1).cast("int"))
 
 
-def packs(gt: DataFrame, samples: DataFrame, values: Sequence[Column], site: Sequence[Column] = (), pack: Column | None = None) -> DataFrame:
+def counted_samples(gt: DataFrame) -> tuple[DataFrame, int, int]:
+    """(samples (sample_id, n) from 0 in order of their names, how many, the most cells of one): one pass over the cells."""
+    cells = gt.where("sample_id is not null").groupBy("sample_id").agg(F.count(F.lit(1)).alias("cells"))
+    # one row per sample
+    samples = cells.withColumn("n", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("sample_id")) - 1).cast("int")).cache()
+    size = samples.agg(F.count(F.lit(1)).alias("n"), F.max("cells").alias("most")).first()
+    return samples.drop("cells"), size["n"], size["most"] or 0
+
+
+def packs(gt: DataFrame, samples: DataFrame, values: Sequence[Column], site: Sequence[Column] = (), pack: Column | None = None, sites: int = 0) -> DataFrame:
     """(pack, block, n_sites, payload): cells with all `values` known, some sites and one block of samples a row. `pack` deals the sites,
-    all samples of a site alike; by default a hash, about SITES each. Cells of one site and sample must not repeat."""
+    all samples of a site alike; by default a hash, about SITES each of `sites`. Cells of one site and sample must not repeat."""
     used = gt.where(" and ".join(["sample_id is not null", "chrom is not null", "pos is not null"]))
     if pack is None:
-        n = used.agg(F.approx_count_distinct(F.struct("chrom", "pos"))).first()[0]
-        pack = F.pmod(F.xxhash64("chrom", "pos"), F.lit(max(8, -(-n // SITES))))
+        pack = F.pmod(F.xxhash64("chrom", "pos"), F.lit(max(8, -(-sites // SITES))))
     width, wide = len(values), len(site)
     cells = used.select("sample_id", pack.alias("pack"), F.xxhash64("chrom").alias("c"), F.col("pos").cast("long").alias("p"), F.array(*(v.cast("double") for v in values)).alias("v"), F.array(*(s.cast("double") for s in site)).cast("array<double>").alias("s"))
     cells = cells.where(F.forall("v", lambda x: x.isNotNull())).join(samples, "sample_id").select("pack", (F.col("n") / BLOCK).cast("int").alias("block"), F.pmod("n", F.lit(BLOCK)).alias("col"), "c", "p", "v", "s")
@@ -93,8 +101,8 @@ def paired(rows: pa.Table, p: int, q: int, width: int, wide: int) -> Iterator[tu
 def gram_sums(gt: DataFrame, values: Sequence[Column], features: Features, products: Sequence[tuple[str, int, int]], site: Sequence[Column] = (), include_self: bool = False) -> DataFrame:
     """(sample_i, sample_j, n, one double for each product), sample_i < sample_j (or <=): sums over the n sites where both samples have
     all `values`. products: (name, feature of i, feature of j). A pair without common sites has no row."""
-    samples = numbered_samples(gt).cache()
-    blocks = -(-samples.count() // BLOCK)
+    samples, n_samples, sites = counted_samples(gt)
+    blocks = -(-n_samples // BLOCK)
     width, wide, names = len(values), len(site), [name for name, _, _ in products]
     out = "i int, j int, n double, " + ", ".join(f"{name} double" for name in names)
 
@@ -114,7 +122,7 @@ def gram_sums(gt: DataFrame, values: Sequence[Column], features: Features, produ
             i, j = i[keep], j[keep]
         return pa.table({"i": pa.array((i + p * BLOCK).astype(np.int32)), "j": pa.array((j + q * BLOCK).astype(np.int32)), "n": sums[0][i, j]} | {name: sums[r][i, j] for r, name in enumerate(names, 1)})
 
-    packed = packs(gt, samples, values, site)
+    packed = packs(gt, samples, values, site, sites=sites)
     found = block_pairs(packed, blocks).groupBy(F.floor(F.col("pack") / PACKS).alias("some"), "p", "q").applyInArrow(multiply, out)
     summed = found.groupBy("i", "j").agg(F.sum("n").cast("long").alias("n"), *(F.sum(name).alias(name) for name in names))
     return named(summed, samples)
@@ -143,8 +151,8 @@ def standardised(x: np.ndarray, site: np.ndarray) -> list[np.ndarray]:
 def replicate_distances(gt: DataFrame, block_of: Column, weights: Column, reps: int) -> DataFrame:
     """(rep, sample_i, sample_j, d, n): sums over blocks of sites of |x - y| / 2 and of common sites, each block times its weight in the
     replicate. weights: array of `reps` numbers, the same for all cells of a block."""
-    samples = numbered_samples(gt).cache()
-    blocks = -(-samples.count() // BLOCK)
+    samples, n_samples, _ = counted_samples(gt)
+    blocks = -(-n_samples // BLOCK)
     width = 1
 
     def multiply(key: tuple, rows: pa.Table) -> pa.Table:
