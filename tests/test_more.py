@@ -85,3 +85,12 @@ def test_all_trees_equal_one_by_one(spark):
     for h in (("A", "B", "C"), ("B", "D", "A"), ("C", "D", "B")):
         one = P.abba_baba(gt, pops, *h, "O", 50).first()
         assert all(trees[h][c] == pytest.approx(one[c], abs=1e-9) for c in ("D", "SE", "Z")) and trees[h]["n_blocks"] == one["n_blocks"]
+
+
+def test_no_trees_without_the_outgroup_or_three_others(spark):
+    gt = spark.createDataFrame([("c", 1, f"{p}0", 1) for p in "ABCO"], "chrom string, pos long, sample_id string, dosage int")
+    pops = lambda names: spark.createDataFrame([(f"{p}0", p) for p in names], "sample_id string, pop string")
+    for names in ("ABC", "ABO", "O"):
+        got = P.abba_baba_trees(gt, pops(names), "O", 50)
+        assert got.columns == ["h1", "h2", "h3", "D", "SE", "n_blocks", "Z"] and got.count() == 0
+    assert P.abba_baba_trees(gt, pops("ABCO"), "O", 50).count() == 3
