@@ -94,3 +94,14 @@ def test_no_trees_without_the_outgroup_or_three_others(spark):
         got = P.abba_baba_trees(gt, pops(names), "O", 50)
         assert got.columns == ["h1", "h2", "h3", "D", "SE", "n_blocks", "Z"] and got.count() == 0
     assert P.abba_baba_trees(gt, pops("ABCO"), "O", 50).count() == 3
+
+
+def test_samples_at_one_place_stay_and_a_repeated_sample_is_an_error(spark):
+    coords = spark.createDataFrame([(1.0, 1.0, "a"), (1.0, 1.0, "b"), (9.0, 9.0, "c")], "long double, lat double, sample_id string")
+    box = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0)], "long double, lat double")
+    dist = spark.createDataFrame([(i, j, 1.0) for i in "abc" for j in "abc"], "sample_i string, sample_j string, value double")
+    used, sub = P.geo_filter(coords, box, dist)
+    assert sorted(x["sample_id"] for x in used.collect()) == ["a", "b"]
+    assert sorted((x["sample_i"], x["sample_j"]) for x in sub.collect()) == [("a", "a"), ("a", "b"), ("b", "a"), ("b", "b")]
+    with pytest.raises(ValueError):
+        P.geo_filter(coords.unionByName(coords), box, dist)
