@@ -33,7 +33,7 @@ def mark_duplicates(aln: DataFrame, optical_distance: int = 2500, by_read_group:
     """aln with `duplicate`, and `optical` where the template lies within `optical_distance` of the kept one on the same tile.
 
     A template is a name within a read group; its signature is the unclipped 5' ends and strands of its mapped primary reads, and its
-    score the sum of their base qualities. Of templates with two ends and equal signatures the best stays, by score, then name. A template
+    score the sum of their base qualities. Of templates with two or more ends and equal signatures the best stays, by score, then name. A template
     with one mapped end is a duplicate of any pair with that end, else of the best such template. Mapped reads share their template's
     marks, supplementary ones too; unmapped and secondary ones are not marked. by_read_group: templates of different groups are not
     each other's duplicates.
@@ -46,10 +46,10 @@ def mark_duplicates(aln: DataFrame, optical_distance: int = 2500, by_read_group:
     primary = aln.where(~bit(UNMAPPED | SECONDARY | SUPPLEMENTARY)).withColumn("__r", bit(REVERSE))
     ends = primary.select(F.coalesce("rg", F.lit("")).alias("__rg"), "qname", F.struct("chrom", five_prime(F.col("__r")).alias("at"), F.col("__r").alias("r")).alias("e"), score.alias("s"))
     templates = ends.groupBy("__rg", "qname").agg(F.array_sort(F.collect_list("e")).alias("ends"), F.sum("s").alias("score"))
-    templates = templates.withColumns({"group": F.col("__rg") if by_read_group else F.lit(""), "first": F.col("ends")[0], "last": F.get("ends", F.size("ends") - 1), "paired": F.size("ends") > 1})
-    signature = ["group", "first", "last", "paired"]
+    templates = templates.withColumns({"group": F.col("__rg") if by_read_group else F.lit(""), "first": F.col("ends")[0], "paired": F.size("ends") > 1})
+    signature = ["group", "first", "paired", "ends"]
     best = templates.groupBy(*signature).agg(F.min(F.struct((-F.col("score")).alias("n"), "qname", "__rg")).alias("best"))
-    taken = templates.where("paired").select("group", F.explode(F.array_distinct(F.array("first", "last"))).alias("first")).distinct().withColumn("taken", F.lit(True))
+    taken = templates.where("paired").select("group", F.explode(F.array_distinct("ends")).alias("first")).distinct().withColumn("taken", F.lit(True))
     best = best.join(taken, ["group", "first"], "left").withColumn("taken", F.coalesce("taken", F.lit(False)) & ~F.col("paired"))
     place = lambda c: F.regexp_extract(F.regexp_extract(c, r"^(\S+)", 1), r"^(.*:[0-9]+):[0-9]+:[0-9]+$", 1)
     number = lambda c, i: F.regexp_extract(F.regexp_extract(c, r"^(\S+)", 1), r":([0-9]+):([0-9]+)$", i).try_cast("long")

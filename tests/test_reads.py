@@ -141,6 +141,13 @@ def test_duplicates_of_templates(spark, by_group):
     assert any(x["duplicate"] for x in got if x["flag"] & 0x800)
 
 
+def test_templates_of_more_than_two_ends_are_equal_in_all_of_them(spark):
+    rows = [(q, f, "c", a, a + 10, "10M", "g", "IIII") for q, ats in (("p", (0, 100, 300)), ("q", (0, 200, 300)), ("r", (0, 200, 300)), ("s", (200,)), ("t", (400,))) for f, a in zip((65, 65, 65), ats, strict=False)]
+    schema = "qname string, flag int, chrom string, start long, end long, cigar string, rg string, qual string"
+    got = U.mark_duplicates(spark.createDataFrame(rows, schema)).where("duplicate").select("qname").distinct().collect()
+    assert sorted(x[0] for x in got) == ["r", "s"]
+
+
 def brute_pileup(rows, min_bq, trim, depth):
     import re
 
