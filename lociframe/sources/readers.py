@@ -96,9 +96,9 @@ def gvcf_blocks(sites: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(contig, seq, length, rank). A record is one row; ranks follow the order in the file, and are made from the row ids alone.
+    """(contig, seq, length, rank). A record is one row; ranks follow the order in the files.
     For genomes, `fasta.read_fasta_tiles` reads tiles instead."""
-    parts = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", "^>", "").alias("value"), F.monotonically_increasing_id().alias("__at"))
+    parts = numbered_splits(by_split(spark.read.text(path, lineSep="\n>"))).select(F.regexp_replace("value", "^>", "").alias("value"), F.col("n").alias("__at"))
     records = parts.where(F.trim("value") != "")
     named = records.select("__at", F.regexp_extract("value", r"^(\S+)", 1).alias("contig"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
     # one number per contig
@@ -106,14 +106,25 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return named.join(ranks, "__at").select("contig", "seq", F.length("seq").cast("long").alias("length"), "rank")
 
 
+def by_split(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with their row id `__id` and their split, `__file` and `__start`. Spark deals splits by size, so row ids follow the
+    order of the files only within a split."""
+    return rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
+
+
+def numbered_splits(rows: DataFrame) -> DataFrame:
+    """rows of `by_split` with `n`, their number from 0 in the order of the files' names. A split's rows are counted from its least id, and
+    the splits before it, a row per split, once."""
+    counts = rows.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    # one row per split
+    line = W.partitionBy(F.lit(0)).orderBy("__file", "__start").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select("__file", "__start", (F.coalesce(F.sum("__n").over(line), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return rows.join(F.broadcast(before), ["__file", "__start"]).withColumn("n", F.col("__id") + F.col("__shift")).drop("__file", "__start", "__id", "__shift")
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, n): lines with their number from 0 in the order of the files' splits. Row ids count within a split; the splits
-    before are counted once, a row per split."""
-    ids = spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("__id"))
-    split, within = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ids.groupBy(split.alias("__split")).agg(F.count(F.lit(1)).alias("__n"))
-    before = counts.select("__split", F.coalesce(F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__split").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    return ids.withColumn("__split", split).join(F.broadcast(before), "__split").select("line", (F.col("__before") + within).alias("n"))
+    """(line, n): lines with their number from 0, in the order of the files' names."""
+    return numbered_splits(by_split(spark.read.text(path))).select(F.col("value").alias("line"), "n")
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:

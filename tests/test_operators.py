@@ -315,3 +315,11 @@ def test_prune_settles_a_long_chain(spark):
     sites, pairs = [("c", p, 0) for p in range(106)], [("c", p, p + 1, 0.9) for p in range(105)]
     got = L.ld_prune(spark.createDataFrame(pairs, "chrom string, pos_a long, pos_b long, r2 double").coalesce(1), spark.createDataFrame(sites, "chrom string, pos long, priority int").coalesce(1))
     assert {x["pos"] for x in got.collect()} == set(range(0, 106, 2))
+
+
+def test_lines_are_numbered_in_order_of_the_files_names(spark, tmp_path):
+    """Spark deals the larger file first."""
+    for name, n in (("part-00000", 3), ("part-00001", 500), ("part-00002", 40)):
+        (tmp_path / name).write_text("".join(f"{name}:{i}\n" for i in range(n)))
+    got = [r["line"] for r in readers.numbered_lines(spark, str(tmp_path)).orderBy("n").collect()]
+    assert got == [f"{name}:{i}" for name, n in (("part-00000", 3), ("part-00001", 500), ("part-00002", 40)) for i in range(n)]
