@@ -323,3 +323,16 @@ def test_lines_are_numbered_in_order_of_the_files_names(spark, tmp_path):
         (tmp_path / name).write_text("".join(f"{name}:{i}\n" for i in range(n)))
     got = [r["line"] for r in readers.numbered_lines(spark, str(tmp_path)).orderBy("n").collect()]
     assert got == [f"{name}:{i}" for name, n in (("part-00000", 3), ("part-00001", 500), ("part-00002", 40)) for i in range(n)]
+
+
+def test_a_fastq_record_may_span_files_of_any_size(spark, tmp_path):
+    (tmp_path / "part-00000").write_text("@a\nAC\n")
+    (tmp_path / "part-00001").write_text("+\nII\n" + "".join(f"@b{i}\nGT\n+\n!!\n" for i in range(300)))
+    got = readers.read_fastq(spark, str(tmp_path), 1).collect()
+    assert len(got) == 301 and sorted((r["read_id"], r["seq"], r["qual"]) for r in got)[0] == ("@a", "AC", "II")
+
+
+def test_fasta_ranks_follow_the_files_names(spark, tmp_path):
+    (tmp_path / "part-00000").write_text(">x\nAC\n")
+    (tmp_path / "part-00001").write_text(">y\n" + "ACGT\n" * 50 + ">z\nA\n")
+    assert [(r["contig"], r["rank"]) for r in readers.read_fasta(spark, str(tmp_path)).orderBy("rank").collect()] == [("x", 1), ("y", 2), ("z", 3)]
