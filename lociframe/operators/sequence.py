@@ -266,7 +266,13 @@ def n_proportion(contigs: DataFrame) -> DataFrame:
 
 
 def covered_n_share(contigs: DataFrame, sites: DataFrame) -> DataFrame:
-    """Share of covered sites (chrom, pos) that are not in runs of N."""
+    """Share of covered sites that are not in runs of N. sites: (chrom, pos), a row each, or intervals (chrom, start, end), whose bases
+    count once and are not rows."""
+    if "pos" not in sites.columns:
+        bases = lambda iv, name: iv.agg(F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0)).alias(name))
+        covered = merge(sites.select("chrom", "start", "end"))
+        free = subtract(covered, hard_mask(contigs).select("chrom", "start", "end"))
+        return bases(covered, "n_sites").crossJoin(bases(free, "n_free")).select("n_sites", (F.col("n_free") / F.nullif("n_sites", F.lit(0))).alias("not_n"))
     points = sites.select("chrom", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end")).distinct()
     inside = overlap_semi(points, hard_mask(contigs).drop("label")).agg(F.count(F.lit(1)).alias("n_in"))
     return points.agg(F.count(F.lit(1)).alias("n_sites")).crossJoin(inside).select("n_sites", (1 - F.col("n_in") / F.col("n_sites")).alias("not_n"))

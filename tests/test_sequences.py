@@ -211,3 +211,15 @@ def test_read_fasta_ranks(spark, tmp_path):
     seqs = genome()
     got = readers.read_fasta(spark, written(tmp_path, seqs, 50)).orderBy("rank").collect()
     assert [(x["contig"], x["seq"], x["length"], x["rank"]) for x in got] == [(c, s, len(s), i) for i, (c, s) in enumerate(seqs.items(), 1)]
+
+
+def test_share_of_covered_bases_by_intervals_and_by_sites(spark):
+    seqs = spark.createDataFrame([("a", "NNACGNTN"), ("b", "ACGT"), ("c", "NN")], "contig string, seq string")
+    parts = [("a", 0, 4), ("a", 2, 7), ("b", 1, 3), ("c", 1, 2)]
+    spans = spark.createDataFrame(parts, "chrom string, start long, end long")
+    points = spark.createDataFrame(sorted({(c, p + 1) for c, s, e in parts for p in range(s, e)}), "chrom string, pos long")
+    for sites in (spans, points):
+        got = K.covered_n_share(seqs, sites).first()
+        assert got["n_sites"] == 10 and abs(got["not_n"] - 0.6) < 1e-12
+    whole = K.covered_n_share(seqs, spark.createDataFrame([], "chrom string, start long, end long")).first()
+    assert whole["n_sites"] == 0 and whole["not_n"] is None
