@@ -223,3 +223,11 @@ def test_share_of_covered_bases_by_intervals_and_by_sites(spark):
         assert got["n_sites"] == 10 and abs(got["not_n"] - 0.6) < 1e-12
     whole = K.covered_n_share(seqs, spark.createDataFrame([], "chrom string, start long, end long")).first()
     assert whole["n_sites"] == 0 and whole["not_n"] is None
+
+
+def test_runs_of_kmers_are_packed_by_bucket(spark):
+    r = random.Random(8)
+    seqs = {f"s{i}": "".join(r.choice("ACGT") for _ in range(2000)) for i in range(30)}
+    rows = N.super_kmers(frame(spark, seqs).coalesce(1), 31, buckets=8, named=False)
+    assert rows.where("bucket >= 0").count() == 8 and rows.agg({"n": "sum"}).first()[0] == 30 * 1970
+    assert rows.selectExpr("sum(length(seq) + length(runs))").first()[0] < 5 * 30 * 2000  # once a row of text for each run
