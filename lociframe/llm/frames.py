@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from tempfile import mkdtemp
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,10 +83,43 @@ def text_size(docs: DataFrame, text: str) -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
+def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of a partition's edges a-b: each node with its tree's smallest, as (a, b)."""
+    a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    waiting, full = [], 1 << 18
+
+    def tree(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        x, y = at[: len(a)], at[len(a) :]
+        label = np.arange(len(nodes))
+        while True:
+            low = np.minimum(label[x], label[y])
+            new = label.copy()
+            for end in (label[x], label[y]):
+                np.minimum.at(new, end, low)
+            while (new[new] != new).any():
+                new = new[new]
+            if (new == label).all():
+                break
+            label = new
+        out = np.flatnonzero(label != np.arange(len(nodes)))
+        return nodes[out], nodes[label[out]]
+
+    for batch in batches:
+        waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        if sum(len(x) for x, _ in waiting) > max(full, len(a)):
+            a, b = tree(*(np.concatenate(x) for x in zip((a, b), *waiting, strict=True)))
+            waiting = []
+    if waiting:
+        a, b = tree(*(np.concatenate(x) for x in zip((a, b), *waiting, strict=True)))
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
 def components(edges: DataFrame, rounds: int = 200, rows_per_file: int = 200_000) -> DataFrame:
     """Connected components of `edges` (a long, b long): rows (node, component), component = smallest node reachable.
 
-    Large-star and small-star steps in turn until a round changes nothing. Every step groups by node with partial
+    First each partition of up to `rows_per_file` edges keeps a spanning forest of its own, so a group whose members meet in many
+    ways does not pass through the rounds with all of them. Large-star and small-star steps in turn until a round changes nothing. Every step groups by node with partial
     aggregation and joins back on the node, so a node with very many neighbours is split by AQE. Each round ends in a
     reliable checkpoint, in files of up to `rows_per_file` edges. Rounds grow with the logarithm of the longest path; if the
     labels have not settled after `rounds`, which no size asks for, it raises. A component's smallest node and nodes without
@@ -92,6 +128,7 @@ def components(edges: DataFrame, rounds: int = 200, rows_per_file: int = 200_000
     scratch = Scratch(edges.sparkSession)
     edges = scratch.written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a is not null and b is not null and a <> b").distinct(), "edges")
     files = 1 + edges.count() // rows_per_file
+    edges = scratch.written(edges.coalesce(files).mapInArrow(spanning, "a long, b long"), "forest")
     seen = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
