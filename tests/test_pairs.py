@@ -162,3 +162,10 @@ def test_shares_of_a_table(spark):
     ev = [r["eigenvalue"] for r in values.orderBy("component").collect()]
     assert len(ev) == 5 and rows["s0001"]["pop"] == "A" and rows["s0002"]["pop"] == "Unknown"
     assert rows["s0000"]["PC1_percent"] == pytest.approx(100 * ev[0] / sum(ev)) and rows["s0000"]["PC2_percent"] == pytest.approx(100 * ev[1] / sum(ev))
+
+
+def test_a_block_is_no_wider_than_the_samples(spark):
+    g = cells(spark, matrix(10, 30, missing=0.0))
+    samples, n, sites = gram.counted_samples(g)
+    packed = gram.packs(g, samples, [F.col("dosage")], sites=sites, block=n)
+    assert packed.selectExpr("sum(length(payload)) / sum(n_sites)").first()[0] == 16 + 4 * 10  # a block of 256 has 1,040
