@@ -2,41 +2,88 @@
 
 from __future__ import annotations
 
-import json
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociframe.operators.lineage import kept
 from lociframe.operators.tiles import numbered
 
 SITE = ["chrom", "pos"]
 
 
+def fewer(p: np.ndarray, least: int) -> dict[int, np.ndarray]:
+    """A spectrum of N chromosomes, and what it is for each number n of them from `least` on: of n + 1 with j derived, the one left out is
+    derived in j / (n + 1) of all cases."""
+    out = {len(p) - 1: p}
+    for n in range(len(p) - 2, least - 1, -1):
+        i = np.arange(n + 1)
+        out[n] = ((n + 1 - i) * out[n + 1][:-1] + (i + 1) * out[n + 1][1:]) / (n + 1)
+    return out
+
+
+def more(sums: dict[int, np.ndarray], least: int, most: int) -> np.ndarray:
+    """The transpose of `fewer`: sums over sites of n chromosomes, for each n, brought to `most` chromosomes and added."""
+    total = np.zeros(least + 1)
+    for n in range(least, most + 1):
+        if n > least:
+            j = np.arange(n + 1)
+            total = ((n - j) * np.append(total, 0.0) + j * np.append(0.0, total)) / n
+        total = total + sums.get(n, 0.0)
+    return total
+
+
+def likelihood_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, sites, payload): the arrays of a batch by their length k, as matrices."""
+    for batch in batches:
+        values = batch.column(0)
+        start, sizes = values.offsets.to_numpy()[:-1] - values.offsets[0].as_py(), values.value_lengths().to_numpy()
+        flat = values.flatten().to_numpy(zero_copy_only=False)
+        rows = [(k, len(mine), flat[start[mine][:, None] + np.arange(k)].tobytes()) for k in np.unique(sizes).tolist() for mine in [np.flatnonzero(sizes == k)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["k", "sites", "payload"])
+
+
 def sfs_em(saf: DataFrame, rounds: int = 20, tol: float = 1e-6) -> DataFrame:
     """Maximum-likelihood spectrum (bin, n) by EM over sites: a round sums the posterior arrays; the spectrum itself, 2n + 1
-    numbers, is what travels between rounds. Samples without a row at a site have a flat likelihood there, so every site counts."""
-    first = saf.select(F.size("saf").alias("k"), F.lit(1).alias("one")).agg(F.max("k").alias("k"), F.count("one").alias("sites")).first()
+    numbers, is what travels between rounds. Samples without a row at a site have a flat likelihood there, so every site counts.
+
+    Sites stay as wide as their own samples: the spectrum is brought to each number of chromosomes, and the sums are brought back."""
+    spark = saf.sparkSession
+    known = saf.where("saf is not null and size(saf) > 0 and forall(saf, x -> x is not null)").select(F.col("saf").cast("array<double>").alias("saf"))
+    packed = kept(known.mapInArrow(likelihood_packs, "k int, sites long, payload binary"), "sfs-likelihoods")
+    first = packed.agg(F.min("k").alias("least"), F.max("k").alias("most"), F.sum("sites").alias("sites")).first()
     if not first["sites"]:
-        return saf.sparkSession.createDataFrame([], "bin int, n double")
-    # one chromosome more of unknown state: of m + 1 with j derived, the unknown one is derived in j / (m + 1) of all cases
-    wider = lambda a: F.transform(F.sequence(F.lit(0), F.size(a)), lambda j: ((F.size(a) - j) * F.coalesce(F.get(a, j), F.lit(0.0)) + j * F.when(j >= 1, F.get(a, F.greatest(j - 1, F.lit(0)))).otherwise(0.0)) / F.size(a))
-    short = F.size("saf") < first["k"]
-    saf = saf.select(F.when(short, F.aggregate(F.sequence(F.size("saf"), F.greatest(F.size("saf"), F.lit(first["k"] - 1))), F.col("saf"), lambda a, _: wider(a))).otherwise(F.col("saf")).alias("saf")).persist()
-    p = [1.0 / first["k"]] * first["k"]
+        return spark.createDataFrame([], "bin int, n double")
+    least, most = first["least"] - 1, first["most"] - 1
+
+    def posterior(spectra: dict[int, np.ndarray]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for k, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    m = np.frombuffer(payload.as_buffer()).reshape(-1, k)
+                    total = m @ spectra[k - 1]
+                    sums[k - 1] = sums.get(k - 1, 0.0) + m.T @ np.divide(1.0, total, out=np.zeros_like(total), where=total > 0)
+            n = np.concatenate([np.zeros(0, np.int32), *(np.full(n + 1, n, np.int32) for n in sums)])
+            j = np.concatenate([np.zeros(0, np.int32), *(np.arange(n + 1, dtype=np.int32) for n in sums)])
+            yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(j), pa.array(np.concatenate([np.zeros(0), *sums.values()]))], names=["n", "j", "x"])
+
+        return run
+
+    p = np.full(most + 1, 1.0 / (most + 1))
     for _ in range(rounds):
-        # the spectrum goes in as one literal and the sums come out as one row a bin, however many bins there are
-        weighted = F.zip_with("saf", F.from_json(F.lit(json.dumps(p)), "array<double>"), lambda a, b: a * b)
-        total = F.aggregate("w", F.lit(0.0), lambda s, x: s + x)
-        post = saf.select(weighted.alias("w")).select(F.posexplode(F.transform("w", lambda x: x / total)).alias("j", "x"))
-        sums = {r["j"]: r["s"] for r in post.groupBy("j").agg(F.sum("x").alias("s")).collect()}
-        new = [sums.get(j, 0.0) / first["sites"] for j in range(len(p))]
-        change = max(abs(a - b) for a, b in zip(p, new, strict=True))
+        found = packed.select("k", "payload").mapInArrow(posterior(fewer(p, least)), "n int, j int, x double").groupBy("n", "j").agg(F.sum("x").alias("x")).toArrow().sort_by([("n", "ascending"), ("j", "ascending")])
+        n, x = found.column("n").to_numpy(), found.column("x").to_numpy()
+        new = p * more({int(i): x[n == i] for i in np.unique(n)}, least, most) / first["sites"]
+        change = np.abs(new - p).max()
         p = new
         if change < tol:
             break
-    saf.unpersist()
-    return saf.sparkSession.createDataFrame([(j, v * first["sites"]) for j, v in enumerate(p)], "bin int, n double")
+    return spark.createDataFrame([(j, float(v) * first["sites"]) for j, v in enumerate(p)], "bin int, n double")
 
 
 def sfs_1d(gt: DataFrame, folded: bool = True) -> DataFrame:

@@ -91,3 +91,22 @@ def test_sites_with_few_samples_and_none(spark):
     some = gl.where("not (sample_id = 's1' and pos % 3 = 0)").withColumn("gl", F.when(F.expr("not (sample_id = 's5' and pos % 4 = 0)"), F.col("gl")))
     assert sum(x["n"] for x in S.sfs_2d_em(some, pops, "A", "B").collect()) == pytest.approx(60)
     assert S.sfs_2d_em(gl.limit(0), pops, "A", "B").count() == 0 and S.banded_likelihood(gl.limit(0)).count() == 0
+
+
+def test_spectrum_of_sites_of_all_widths_is_that_of_widened_sites(spark):
+    r = np.random.default_rng(3)
+    arrays = [r.random(int(k)) for k in r.choice([3, 5, 9, 13], 200)]
+    wide = []
+    for a in arrays:
+        while len(a) < 13:
+            j = np.arange(len(a) + 1)
+            a = ((len(a) - j) * np.append(a, 0.0) + j * np.append(0.0, a)) / len(a)
+        wide.append(a)
+    p = np.full(13, 1 / 13)
+    for _ in range(5):
+        w = np.array(wide) * p
+        p = (w / w.sum(1, keepdims=True)).mean(0)
+    assert np.allclose(X.fewer(p, 2)[2] @ arrays[0][:1].repeat(3), p @ np.full(13, arrays[0][0]))
+    saf = spark.createDataFrame([(a.tolist(),) for a in arrays], "saf array<double>")
+    got = {x["bin"]: x["n"] for x in X.sfs_em(saf, 5, 0.0).collect()}
+    assert [got[j] for j in range(13)] == pytest.approx((200 * p).tolist(), abs=1e-9)
