@@ -155,10 +155,19 @@ def windows_around_points(sites: DataFrame, radius: int) -> DataFrame:
     return merge(sites.select("chrom", F.greatest(F.lit(0), F.col("pos") - radius).alias("start"), (F.col("pos") + radius).alias("end")))
 
 
+#: Ranges of a sample that are made in one task at a time.
+RANGES = 1_000
+
+
 def read_ranges(counts: DataFrame, size: int, limit: int = 99_999) -> DataFrame:
-    """(sample, first, last, part): reads 1..n in ranges of `size`, the last one takes the rest; at most `limit` ranges."""
+    """(sample, first, last, part): reads 1..n in ranges of `size`, the last one takes the rest; at most `limit` ranges.
+
+    Samples are few and their ranges many, so a sample's ranges are dealt by the RANGES before they are made."""
     parts = F.least(F.greatest(F.ceil(F.col("n_reads") / size), F.lit(1)), F.lit(limit))
-    wide = counts.withColumn("__n", parts).withColumn("part", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    some = counts.withColumn("__n", parts.cast("int")).withColumn("__from", F.explode(F.sequence(F.lit(1), F.col("__n"), F.lit(RANGES))))
+    # a number of partitions, as rows so small would be put together again
+    dealt = some.repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("sample_id", "n_reads", "__from"))
+    wide = dealt.withColumn("part", F.explode(F.sequence(F.col("__from"), F.least(F.col("__from") + (RANGES - 1), F.col("__n")))))
     last = F.when(F.col("part") == F.col("__n"), F.col("n_reads")).otherwise(F.col("part") * size)
     return wide.select("sample_id", ((F.col("part") - 1) * size + 1).cast("long").alias("first"), last.cast("long").alias("last"), "part")
 

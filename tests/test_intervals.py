@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lociframe.operators import chunking as C
 from lociframe.operators import intervals as I
@@ -119,3 +120,12 @@ def test_split_chunks_keep_every_base(spark):
     got = C.chunk_balanced_split(frame(spark, iv, True), contigs(spark), 33).collect()
     assert bases((r["chrom"], r["start"], r["end"]) for r in got) == bases(x[:3] for x in iv)
     assert sum(r["end"] - r["start"] for r in got) == sum(e - s for _, s, e, _ in iv) and {r["chunk"] for r in got} == set(range(5))
+
+
+def test_ranges_of_one_sample_are_made_in_several_tasks(spark):
+    counts = spark.createDataFrame([("a", 10_000_001), ("b", 0), ("c", 20_000)], "sample_id string, n_reads long")
+    got = I.read_ranges(counts, 500)
+    assert got.withColumn("task", F.spark_partition_id()).where("sample_id = 'a'").select("task").distinct().count() > 1
+    a = got.where("sample_id = 'a'").orderBy("part").collect()
+    assert [(r["first"], r["last"], r["part"]) for r in a] == [(i * 500 + 1, i * 500 + 500 if i < 20_000 else 10_000_001, i + 1) for i in range(20_001)]
+    assert [(r["first"], r["last"]) for r in got.where("sample_id = 'b'").collect()] == [(1, 0)] and got.where("sample_id = 'c'").count() == 40
