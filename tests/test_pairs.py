@@ -169,3 +169,25 @@ def test_a_block_is_no_wider_than_the_samples(spark):
     samples, n, sites = gram.counted_samples(g)
     packed = gram.packs(g, samples, [F.col("dosage")], sites=sites, block=n)
     assert packed.selectExpr("sum(length(payload)) / sum(n_sites)").first()[0] == 16 + 4 * 10  # a block of 256 has 1,040
+
+
+def test_cells_and_squares_are_computed_once(spark):
+    rows = [("c", p, f"s{i}", (p * 7 + i * i) % 3) for p in range(60) for i in range(6)]
+    gt = spark.createDataFrame(rows, "chrom string, pos long, sample_id string, dosage int")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def seen(run, df):
+        before = read.value
+        run(df.mapInArrow(counted, df.schema)).collect()
+        return read.value - before
+
+    assert seen(P.grm, gt) == len(rows)
+    assert seen(lambda g: P.bootstrap_blocks(g, 10, 5), gt) == len(rows)
+    relationships, sq = P.grm(gt), P.square(P.ibs_distance(gt), gt.select("sample_id"))
+    assert seen(lambda r: P.pca(r, gt.select("sample_id"))[0], relationships) == 21
+    assert seen(lambda s: P.mds(P.drop_until_complete(s))[0], sq) == 36
