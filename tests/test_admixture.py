@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociframe.operators import admixture as A
+from lociframe.operators import popgen as P
 
 
 def planted(spark, n=24, sites=400, seed=1, missing=0.05):
@@ -95,3 +96,29 @@ def test_samples_and_cells_without_likelihoods(spark):
     q, _, like = A.admixture_em(empty, 2)
     assert q.count() == 18 and like.first()["converged"]
     assert A.admixture_em(gl.limit(0), 2)[0].count() == 0
+
+
+def test_likelihoods_are_computed_once_for_all_levels_and_residuals(spark):
+    r = np.random.default_rng(4)
+    freq = np.where(np.arange(80) % 2 == 0, 0.05, 0.95)
+    rows = [("c", p, f"s{i}", np.roll([0.98, 0.01, 0.01], int(r.binomial(2, freq[p] if i < 4 else 1 - freq[p]))).tolist()) for p in range(80) for i in range(8)]
+    gl = spark.createDataFrame(rows, "chrom string, pos long, sample_id string, gl array<double>")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    parts = {x["sample_id"]: x["part"] for x in P.recursive_bipartition(gl.mapInArrow(counted, gl.schema), 2, 20).collect()}
+    assert read.value == len(rows) and len({parts[f"s{i}"][0] for i in range(4)} | {parts["s5"][0]}) == 2
+    q, f, _ = A.admixture_em(gl, 2, tolerance=1e-4)
+    got = {(x["sample_i"], x["sample_j"]): x["value"] for x in P.admixture_residual_corr(gl.withColumnRenamed("gl", "gp"), q, f.mapInArrow(counted, f.schema)).collect()}
+    assert read.value == len(rows) + 160
+    shares = {(x["sample_id"], x["cluster"]): x["q"] for x in q.collect()}
+    freqs = {(x["pos"], x["cluster"]): x["f"] for x in f.collect()}
+    res = np.zeros((8, 80))
+    for _, p, s, x in rows:
+        res[int(s[1:]), p] = x[1] + 2 * x[2] - 2 * sum(shares[s, k] * freqs[p, k] for k in range(2))
+    want = np.corrcoef(res)
+    assert all(got[f"s{i}", f"s{j}"] == pytest.approx(want[i, j], abs=1e-9) for i in range(8) for j in range(i + 1, 8))
