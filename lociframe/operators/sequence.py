@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.operators.intervals import complement, label_lengths, merge, overlap_semi, subtract
+from lociframe.operators.lineage import kept
 
 #: Characters of a tile, and of a piece of one that sites are looked up in.
 TILE, PIECE = 65_536, 4_096
+#: Bytes of a text that are walked at once, and runs that are handed on together.
+WALK, RUNS = 1 << 20, 1 << 16
 TILES = "contig string, at long, n int, before string, ends boolean, seq string"
 
 
@@ -117,10 +120,59 @@ def _runs(contigs: DataFrame, inside: bytes, label: str) -> DataFrame:
             some = pa.array(np.concatenate([np.zeros(0, np.int64), *rows]))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(some), *(pa.array(np.concatenate([np.zeros(0, t), *x])) for t, x in ((np.int64, starts), (np.int64, ends), (bool, edges)))], names=["chrom", "start", "end", "edge"])
 
+    if "at" not in contigs.columns:
+        return contigs.select("contig", "seq").mapInArrow(whole_runs(member), "chrom string, start long, end long").withColumn("label", F.lit(label))
     hits = tiled(contigs).mapInArrow(find, "chrom string, start long, end long, edge boolean")
     return hits.where("not edge").select("chrom", "start", "end").unionByName(merge(hits.where("edge").select("chrom", "start", "end"))).withColumn("label", F.lit(label))
 
 
+def whole_runs(member: np.ndarray):
+    """A function for mapInArrow over (contig, seq): maximal runs of the bytes in `member`, text by text in pieces of WALK bytes. A run that
+    goes on in the next piece is held until it ends, so a text needs no tiles and its runs no merging."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, ends, held = [], [], [], 0
+            for k, text in enumerate(batch.column(1)):
+                if not text.is_valid:
+                    continue
+                raw, seen, open_ = np.frombuffer(text.as_buffer(), np.uint8), 0, -1
+                for s in range(0, len(raw), WALK):
+                    piece = raw[s : s + WALK]
+                    flag = np.concatenate([[open_ >= 0], member[piece], [False]])
+                    lead = (piece & 0xC0) != 0x80
+                    if lead.all():
+                        place = lambda x, seen=seen: x + seen
+                        size = len(piece)
+                    else:
+                        chars = np.concatenate([[0], np.cumsum(lead, dtype=np.int32)])
+                        place = lambda x, chars=chars, seen=seen: chars[x] + seen
+                        size = int(chars[-1])
+                    change = np.flatnonzero(flag[1:] != flag[:-1])
+                    if open_ >= 0:  # the run that came in ends at the first change, its start is known
+                        first, last = np.concatenate([[open_], place(change[1::2])]), place(change[::2])
+                    else:
+                        first, last = place(change[::2]), place(change[1::2])
+                    seen, open_ = seen + size, -1
+                    if s + WALK < len(raw) and len(piece) and member[piece[-1]]:
+                        open_, first, last = int(first[-1]), first[:-1], last[:-1]
+                    rows.append(np.full(len(first), k, np.int32))
+                    starts.append(first.astype(np.int64))
+                    ends.append(last.astype(np.int64))
+                    held += len(first)
+                    if held > RUNS:
+                        yield run_batch(batch, rows, starts, ends)
+                        rows, starts, ends, held = [], [], [], 0
+            yield run_batch(batch, rows, starts, ends)
+
+    return run
+
+
+def run_batch(batch: pa.RecordBatch, rows: list[np.ndarray], starts: list[np.ndarray], ends: list[np.ndarray]) -> pa.RecordBatch:
+    columns = (pa.array(np.concatenate([np.zeros(0, t), *x])) for t, x in ((np.int64, starts), (np.int64, ends)))
+    return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate([np.zeros(0, np.int32), *rows]))), *columns], names=["chrom", "start", "end"])
+
+
 def hard_mask(contigs: DataFrame) -> DataFrame:
     """Runs of upper-case N."""
     return _runs(contigs, b"N", "NRef")
@@ -143,6 +195,7 @@ def window_sums(seqs: DataFrame, k: int, window: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
+            closed_ones: list[tuple] = []
             for row in range(batch.num_rows):
                 contig, at, n, _, ends, seq = (batch.column(c)[row].as_py() for c in range(6))
                 text = full_text("", seq, n, ends, k - 1)
@@ -169,13 +222,22 @@ def window_sums(seqs: DataFrame, k: int, window: int) -> DataFrame:
                 log = np.array([math.lgamma(x + 1) for x in range(int(count.max()) + 1)])[count]
                 first = int(of[0])
                 sums, sizes = (np.bincount(of[inside] - first, x[inside]) for x in (log, count))
-                out += [(contig, first + i, float(sums[i]), int(sizes[i]), None, None) for i in np.flatnonzero(sizes).tolist()]
+                some = np.flatnonzero(sizes)
+                closed_ones.append((contig, first + some, sums[some], sizes[some].astype(np.int64)))
                 upper = "".join(map(chr, codes))
                 out += [(contig, int(of[i]), None, None, upper[p : p + k], int(count[i])) for i in np.flatnonzero(~inside).tolist() for p in [int(order[head[i]])]]
             types = (pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.string(), pa.int64())
+            if closed_ones:
+                names, *columns = zip(*closed_ones, strict=True)
+                many = sum(len(w) for w in columns[0])
+                owners = pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(len(names)), [len(w) for w in columns[0]])))
+                yield pa.RecordBatch.from_arrays([owners, *(pa.array(np.concatenate(c)) for c in columns), pa.nulls(many, pa.string()), pa.nulls(many, pa.int64())], names=["contig", "w", "s", "m", "kmer", "n"])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, types, strict=True)], names=["contig", "w", "s", "m", "kmer", "n"])
 
-    found = tiled(seqs, k).mapInArrow(find, "contig string, w long, s double, m long, kmer string, n long")
+    aligned = "at" not in seqs.columns and window <= TILE
+    found = tiled(seqs, k, TILE // window * window if aligned else TILE).mapInArrow(find, "contig string, w long, s double, m long, kmer string, n long")
+    if aligned:  # tiles hold whole windows
+        return found.where("kmer is null").select("contig", "w", "s", "m")
     shared = found.where("kmer is not null").groupBy("contig", "w", "kmer").agg(F.sum("n").alias("n"))
     logs = F.expr("ln(1)") + F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("n")), F.lit(0.0), lambda t, i: t + F.log(i))
     summed = shared.groupBy("contig", "w").agg(F.sum(logs).alias("s"), F.sum("n").alias("m"))
@@ -188,9 +250,18 @@ def low_complexity_mask(contigs: DataFrame, k: int = 7, window: int = 5_000, thr
 
     contigs: (contig, seq), or tiles with an overlap of k or more."""
     sums = window_sums(contigs, k, window)
-    x = F.col("m") / float(4**k)
-    random = F.aggregate(F.sequence(F.lit(2), F.lit(RANDOM_TERMS)), F.lit(0.0), lambda a, n: a + F.get(logs_to(RANDOM_TERMS), n) * F.exp(n * F.log(x) - x - F.get(logs_to(RANDOM_TERMS), n)))
-    scored = sums.where(F.col("s") - float(4**k) * random > threshold * F.col("m"))
+    logs = np.array([math.lgamma(i + 1) for i in range(2, RANDOM_TERMS + 1)])
+
+    def complex_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, at = np.unique(batch.column(3).to_numpy(), return_inverse=True)  # few numbers of k-mers, many windows
+            x = m[:, None] / float(4**k)
+            random = (logs * np.exp(np.arange(2, RANDOM_TERMS + 1) * np.log(x) - x - logs)).sum(1)
+            low = batch.column(2).to_numpy() - float(4**k) * random[at] > threshold * m[at]
+            yield batch.filter(pa.array(low)).select(["contig", "w"])
+
+    # far fewer than the windows, and `merge` reads them more than once
+    scored = kept(sums.mapInArrow(complex_enough, "contig string, w long"), "low-complexity")
     ends = scored.join(lengths(contigs), "contig")
     return merge(ends.select(F.col("contig").alias("chrom"), (F.col("w") * window).alias("start"), F.least((F.col("w") + 1) * window, F.col("len")).alias("end")))
 

@@ -4,6 +4,7 @@ import random
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from lociframe.operators import kmers as N
@@ -231,3 +232,24 @@ def test_runs_of_kmers_are_packed_by_bucket(spark):
     rows = N.super_kmers(frame(spark, seqs).coalesce(1), 31, buckets=8, named=False)
     assert rows.where("bucket >= 0").count() == 8 and rows.agg({"n": "sum"}).first()[0] == 30 * 1970
     assert rows.selectExpr("sum(length(seq) + length(runs))").first()[0] < 5 * 30 * 2000  # once a row of text for each run
+
+
+def test_whole_texts_are_masked_without_tiles_or_merging(spark, monkeypatch):
+    from lociframe.operators import sequence as S
+
+    monkeypatch.setattr(S, "WALK", 5)
+    text = "aaaaaaaéabcDEfghijklmnopqNNNNNNNNNNNNx" + "ß" * 7 + "zz"
+    seqs = spark.createDataFrame([("a", text), ("b", ""), ("c", None), ("d", "N")], "contig string, seq string")
+    for inside, find in ((set("abcdefghijklmnopqrstuvwxyz"), lambda: next(S.whole_runs(member(range(97, 123)))(iter([batch])))), ({"N"}, lambda: next(S.whole_runs(member(b"N"))(iter([batch]))))):
+        member = lambda of: np.isin(np.arange(256), list(of))
+        batch = seqs.toArrow().combine_chunks().to_batches()[0]
+        want = []
+        for name, s in (("a", text), ("d", "N")):
+            flags = [False, *(x in inside for x in s), False]
+            edges = [i for i in range(len(s) + 1) if flags[i] != flags[i + 1]]
+            want += [(name, x, y) for x, y in zip(edges[::2], edges[1::2], strict=True)]
+        assert [tuple(r.values()) for r in find().to_pylist()] == want
+    plan = S.soft_mask(seqs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    windows = S.window_sums(seqs, 3, 64)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in windows, "tiles hold whole windows, so none is summed again"
