@@ -185,3 +185,14 @@ def test_pileup_of_mates_and_tiles(spark, trim, depth):
     assert got == brute_pileup(rows, 13, trim, depth) and len(got) > 150
     plan = R.pileup(df)._jdf.queryExecution().toString()
     assert "Window" not in plan
+
+
+def test_cuts_and_changes_take_no_function_call_for_each_letter(spark):
+    from lociframe.operators import reads as R
+
+    rows = [("AACC😀😀GT", "IIII!!!!"), ("ACGT", None), ("", ""), ("AC", "!!"), ("ACGTACGT", "IIIIIIII")]
+    reads = spark.createDataFrame(rows, "seq string, qual string")
+    cut, kept = R.cut_right(reads), R.read_filter(reads, 0, 5, 0.6)
+    assert [r["seq"] for r in cut.collect()] == ["AAC", "ACGT", "", "", "ACGTACGT"]
+    assert [r["seq"] for r in kept.collect()] == ["ACGT", "", "AC", "ACGTACGT"]
+    assert all("lambda" not in df._jdf.queryExecution().optimizedPlan().toString() for df in (cut, kept))
