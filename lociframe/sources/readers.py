@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.lineage import kept
+
 SHEET = ["sample", "lib", "pop", "fwd", "rev"]
 ACCESSION = r"^(?i)[SED]RR[0-9]{6,}$"
 
@@ -114,7 +116,9 @@ def by_split(rows: DataFrame) -> DataFrame:
 
 def numbered_splits(rows: DataFrame) -> DataFrame:
     """rows of `by_split` with `n`, their number from 0 in the order of the files' names. A split's rows are counted from its least id, and
-    the splits before it, a row per split, once."""
+    the splits before it, a row per split, once. The rows are written first: splits follow the number of cores, so a second scan of the
+    text has others where executors come or go in between."""
+    rows = kept(rows, "splits")
     counts = rows.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     # one row per split
     line = W.partitionBy(F.lit(0)).orderBy("__file", "__start").rowsBetween(W.unboundedPreceding, -1)

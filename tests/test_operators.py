@@ -332,6 +332,22 @@ def test_a_fastq_record_may_span_files_of_any_size(spark, tmp_path):
     assert len(got) == 301 and sorted((r["read_id"], r["seq"], r["qual"]) for r in got)[0] == ("@a", "AC", "II")
 
 
+def test_lines_keep_their_numbers_when_another_scan_would_be_split_otherwise(spark, tmp_path):
+    """Every evaluation of these rows cuts them into more splits, as scans do when cores come."""
+    runs = tmp_path / "runs"
+
+    def cut(batches):
+        with open(runs, "ab") as f:
+            f.write(b"x")
+        size = 100 >> runs.stat().st_size
+        for b in batches:
+            yield b.assign(__file="f", __start=b["__id"] // size * size)
+
+    rows = spark.range(0, 100, 1, 1).select(F.col("id").cast("string").alias("value"), F.col("id").alias("__id")).mapInPandas(cut, "value string, __id long, __file string, __start long")
+    got = sorted((r["n"], r["value"]) for r in readers.numbered_splits(rows).collect())
+    assert got == [(i, str(i)) for i in range(100)]
+
+
 def test_fasta_ranks_follow_the_files_names(spark, tmp_path):
     (tmp_path / "part-00000").write_text(">x\nAC\n")
     (tmp_path / "part-00001").write_text(">y\n" + "ACGT\n" * 50 + ">z\nA\n")
