@@ -12,6 +12,7 @@ from lociframe.operators import filters as Q
 from lociframe.operators import genotypes as G
 from lociframe.operators import popgen as P
 from lociframe.operators import reads as R
+from lociframe.plans.more_queries import reads as cut_into_reads
 
 
 def plain_hwe(a, h, b):
@@ -63,6 +64,23 @@ def test_repeated_names_pair_one_to_one(spark):
     assert sorted(map(tuple, alone.collect())) == [("g", "m", 1), ("g", "n", 1), ("h", "n", 1), ("h", "x", 2)]
 
 
+def test_unpaired_reads_are_found_without_their_letters(spark):
+    """By counts: names of many reads, and reads without a group or a name, which pair with none."""
+    names = [("g", "n")] * 3 + [("g", "m")] + [(None, "n"), ("g", None)] * 2
+    one = spark.createDataFrame(names, "rg string, name string").unionByName(spark.range(3501).select(F.lit("g").alias("rg"), F.lit("many").alias("name")))
+    two = spark.createDataFrame([("g", "n"), ("h", "m"), ("g", "many"), (None, "n")], "rg string, name string")
+    letters = {c: F.raise_error(F.lit("letters are read")).cast("string") for c in ("seq", "qual")}
+    alone = R.pair_sync(one.withColumns(letters), two.withColumns(letters))[1].groupBy("rg", "name", "mate").count()
+    assert {(r["rg"], r["name"], r["mate"]): r["count"] for r in alone.collect()} == {("g", "n", 1): 2, ("g", "m", 1): 1, (None, "n", 1): 2, ("g", None, 1): 2, ("g", "many", 1): 3500, ("h", "m", 2): 1, (None, "n", 2): 1}
+
+
+def test_texts_of_any_length_are_cut_into_whole_reads(spark, tmp_path):
+    texts = {i: ("aé漢😀 " * 900)[:n] for i, n in enumerate((0, 1, 100, 101, 1999, 2000, 2001, 2100, 4001))} | {9: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["part"]): r["seq"] for r in cut_into_reads(spark, str(tmp_path)).collect()}
+    assert got == {(i, k // 100): t[k : k + 100] for i, t in texts.items() for k in range(0, len(t or ""), 100)}
+
+
 def test_equal_intervals_stay_as_many(spark):
     rows = [("a", 10 * (i // 3), 10 * (i // 3) + 5, 4) for i in range(30)] + [("b", 0, 5, 0), ("b", 0, 5, 0), ("b", 0, 5, 7)]
     iv = spark.createDataFrame(rows, "chrom string, start long, end long, weight long")
