@@ -5,6 +5,8 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from lociframe.operators import kmers as N
@@ -141,6 +143,22 @@ def test_repeats_have_rows_for_matches_only(spark):
     assert len([h for h in hits(N.kmer_hits(frame(spark, a), frame(spark, b), 20, 300))]) == 120
 
 
+def test_a_product_of_one_group_is_made_in_pieces(spark, monkeypatch):
+    group, by_a, by_b = np.zeros(300, np.int64), np.full(300, 65), np.full(500, 66)
+    made = list(N.unlike_pairs(group, by_a, np.zeros(500, np.int64), by_b, 1000))
+    assert max(len(i) for i, _ in made) == 1000 and len({(x, y) for i, j in made for x, y in zip(i.tolist(), j.tolist(), strict=True)}) == 150_000
+    unit = "".join(random.Random(7).choices("ACGT", k=70))
+    a, b = {f"a{i}": "ACGT"[i % 4] + unit + "TG"[i % 2] for i in range(12)}, {f"b{i}": unit + "AC"[i % 2] + "AC" * 45 for i in range(10)}
+    want = brute_hits(a, b, 60, 60)
+    assert hits(N.kmer_hits(frame(spark, a), frame(spark, b), 40, 60)) == want and len(want) == 120
+    rows = N.super_kmers(frame(spark, a), 60).unionByName(N.super_kmers(frame(spark, b), 60, 1)).unionByName(N.super_kmers(frame(spark, b), 60, 2, True)).toArrow()
+    ends = [e for e in N.pieces_of_ends(rows, 60)]
+    packed = [e.packed(8, (N.name_hashes(e.a_names),) * 2) for e in ends]
+    assert sum(x.num_rows for x in packed) <= 16 < 240 == sum(len(e.at) for e in ends), "a row for each shard and piece, not for each end"
+    got = [r for shard in range(8) for x in N.matched(iter([p.filter(pa.compute.equal(p["shard"], shard)) for p in packed]), 60, 60, 50) for r in x.to_pylist()]
+    assert sorted((r["a_contig"], r["b_contig"], r["start"], r["end"], r["b_start"], r["strand"]) for r in got) == want
+
+
 def test_counts_of_kmers(spark, monkeypatch):
     seqs = genome() | {"text": "Straße übér alles, ünd nøch 日本語 " * 6}
     for k in (1, 5, 31, 32, 70):
