@@ -122,3 +122,31 @@ def test_likelihoods_are_computed_once_for_all_levels_and_residuals(spark):
         res[int(s[1:]), p] = x[1] + 2 * x[2] - 2 * sum(shares[s, k] * freqs[p, k] for k in range(2))
     want = np.corrcoef(res)
     assert all(got[f"s{i}", f"s{j}"] == pytest.approx(want[i, j], abs=1e-9) for i in range(8) for j in range(i + 1, 8))
+
+
+def test_frequencies_of_a_site_stand_still_within_the_rounds(monkeypatch):
+    r = np.random.default_rng(8)
+    q = A.normalised(r.dirichlet([1, 1], 20))
+    dosage = r.binomial(2, np.outer(r.uniform(0.05, 0.95, 200), q[:, 0]) + np.outer(r.uniform(0.05, 0.95, 200), q[:, 1]))
+    g, known = A.unit(np.where(dosage[:, :, None] == np.arange(3), 0.9, np.where(r.random((200, 20, 1)) < 0.2, np.nan, 0.05)))
+    _, like, f = A.steps_of(q, g, known)
+    monkeypatch.setattr(A, "INNER", 4000)
+    _, most, far = A.steps_of(q, g, known)
+    assert 0 <= most - like < 0.3 and (np.abs(f - far).max(1) < 1e-3).mean() > 0.85  # plain steps: 0.46 and 0.70
+
+
+def test_packs_hold_planes_that_need_no_scaling(spark):
+    gl, _, _ = planted(spark, 6, 30, missing=0.2)
+    gl = gl.withColumn("gl", F.transform("gl", lambda x: x * 1e-30))
+    cells = A.prepared(gl)
+    want = {(x["chrom"], x["pos"], x["sample_id"]): x["gl"] for x in gl.collect() if x["gl"]}
+    seen, names = 0, {x["n"]: x["sample_id"] for x in cells.samples.collect()}
+    for batch in cells.packs.toArrow().to_batches():
+        for chroms, positions, payload in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+            planes = A.unpacked(payload, 6)
+            for i, (c, p) in enumerate(zip(chroms.as_py(), positions.as_py(), strict=True)):
+                for j in range(6):
+                    x = want.get((c, p, names[j]))
+                    assert planes[:, i, j] == pytest.approx(np.array(x) / max(x) if x else np.zeros(3), rel=1e-6)
+                    seen += x is not None
+    assert seen == len(want) > 100
