@@ -178,6 +178,27 @@ def test_mappability_of_hot_minimizers(spark, monkeypatch):
     assert spans(N.kmer_mappability(frame(spark, seqs), 9, 0.6)) == plain
 
 
+def test_buckets_go_in_passes_that_leave_no_shuffle_files(spark, monkeypatch):
+    seqs = genome() | {"poly": "A" * 500 + "ACGT" * 100}
+    plain = spans(N.kmer_mappability(frame(spark, seqs), 9, 0.6))
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    write = N.kept
+
+    def watched(df, what, *compression):
+        seen.append((what, spark.conf.get(name), *compression))
+        return write(df, what, *compression)
+
+    monkeypatch.setattr(N, "kept", watched)
+    monkeypatch.setattr(N, "PASS", N.BUCKET)  # as many passes as are allowed
+    assert spans(N.kmer_mappability(frame(spark, seqs), 9, 0.6)) == plain
+    assert seen.count(("pass", "true")) == N.PASSES and ("super-kmers", "false", "zstd") in seen and spark.conf.get(name) == "false"
+    monkeypatch.setattr(N, "HOT", 50)
+    assert spans(N.kmer_mappability(frame(spark, seqs), 9, 0.6)) == plain
+    rows = N.super_kmers(frame(spark, seqs), 9, buckets=2, named=False).where("bucket >= 0").toArrow()
+    runs = N.Runs(rows, 9)
+    assert not runs.flags.any() and len(runs.codes) == sum(runs.size) + 8 * len(runs.size), "no letters beside the runs"
+
+
 def test_pieces_and_reference_bases(spark):
     seqs = genome()
     cut = K.pieces(K.tiled(frame(spark, seqs), 3, 100), 64).collect()
